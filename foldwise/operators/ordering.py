@@ -8,16 +8,21 @@ offset from a tiny per-partition count table (one row per partition, broadcast).
 ``with_global_cumsum`` adds running sums in a total order the same way; the in-partition
 running sum is an Arrow-batched ``mapInPandas`` over the sorted partition.
 
-Both use one range shuffle; the per-partition counts reuse the same exchange.
+The range-partitioned, numbered rows are written once with a reliable ``checkpoint`` (to the
+shared ``spark.checkpoint.dir``) before the per-partition totals are taken: two independent
+executions of a range shuffle may draw different range bounds (the bound sample is seeded per
+RDD), so positions and offsets must come from the same materialised partitions. The
+checkpoint also makes the result survive executor loss without recomputing the shuffle.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foldwise.session import cut_lineage
+
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -39,7 +44,7 @@ def with_global_rank(df: DataFrame, order: list, name: str = "rank", partitions:
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     sort_cols = [c.asc_nulls_first() if isinstance(o, str) else c for c, o in zip(cols, order)]
     ranged = df.repartitionByRange(_n_partitions(df, partitions), *cols).sortWithinPartitions(*sort_cols)
-    ranged = ranged.withColumn("_mid", F.monotonically_increasing_id())
+    ranged = cut_lineage(ranged.withColumn("_mid", F.monotonically_increasing_id()))
     ranged = ranged.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
         "_pos", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))
     )
@@ -61,7 +66,7 @@ def with_global_cumsum(
     ``order`` must be a total order on the rows (e.g. distinct scores).
     """
     ranged = df.repartitionByRange(_n_partitions(df, partitions), *order).sortWithinPartitions(*order)
-    ranged = ranged.withColumn("_pid", F.spark_partition_id().cast("long"))
+    ranged = cut_lineage(ranged.withColumn("_pid", F.spark_partition_id().cast("long")))
     out_fields = list(ranged.schema.fields) + [
         T.StructField(f"{c}_local", T.DoubleType()) for c in value_cols
     ]
