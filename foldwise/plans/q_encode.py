@@ -116,7 +116,8 @@ def _scale_sql(mode, n_samples, f):
     return f"(1.0 / {n_samples})"
 
 
-def beta_sql(features, moments, mode="expected", n_samples=50, f=0.8, train_where="TRUE", keep=("ID",)):
+def beta_sql(features, moments, mode="expected", n_samples=50, f=0.8, train_where="TRUE", keep=("ID",), rounded=True):
+    rd = (lambda x: f"round({x}, 6)") if rounded else (lambda x: x)
     w = _weight_sql(mode, n_samples, f)
     sc = _scale_sql(mode, n_samples, f)
     ctes = [
@@ -139,9 +140,9 @@ def beta_sql(features, moments, mode="expected", n_samples=50, f=0.8, train_wher
         a = f"coalesce(l_{name}.a, (SELECT p FROM s))"
         b = f"coalesce(l_{name}.b, (SELECT 1 - p FROM s))"
         if "mean" in moments:
-            sel.append(f"round({a} / ({a} + {b}), 6) AS {name}__M")
+            sel.append(f"{rd(f'{a} / ({a} + {b})')} AS {name}__M")
         if "variance" in moments:
-            sel.append(f"round(({a} * {b}) / (({a} + {b}) * ({a} + {b}) * ({a} + {b} + 1)), 6) AS {name}__V")
+            sel.append(f"{rd(f'({a} * {b}) / (({a} + {b}) * ({a} + {b}) * ({a} + {b} + 1))')} AS {name}__V")
     return "WITH " + ",\n".join(ctes) + f"\nSELECT {', '.join(sel)} FROM e " + " ".join(joins)
 
 
