@@ -160,14 +160,19 @@ def quantile_transform(df: DataFrame, st: QuantileState, cols: list[str], output
     return out
 
 
-def quantile_inverse(df: DataFrame, st: QuantileState, cols: list[str], output: str = "normal", suffix: str = "") -> DataFrame:
-    """Back from the output distribution to the data scale (linear interpolation on the quantiles)."""
+def quantile_inverse(df: DataFrame, st: QuantileState, cols: list[str], output: str = "normal", suffix: str = "",
+                     fitted: dict[str, str] | None = None) -> DataFrame:
+    """Back from the output distribution to the data scale (linear interpolation on the quantiles).
+
+    ``fitted`` maps a column to the fitted column whose quantiles it uses (default: same name).
+    """
     out = df
     n = len(st.refs)
     step = 1.0 / (n - 1) if n > 1 else 1.0
     R = _arr(st.refs)
     for c in cols:
-        Q = _arr(st.quantiles[c])
+        qs = st.quantiles[(fitted or {}).get(c, c)]
+        Q = _arr(qs)
         z = F.col(c).cast("double")
         out = out.withColumn(f"_u_{c}", norm_cdf(z) if output == "normal" else z)
         u = F.col(f"_u_{c}")
@@ -179,6 +184,6 @@ def quantile_inverse(df: DataFrame, st: QuantileState, cols: list[str], output:
         rj, rk = F.element_at(R, j + 1), F.element_at(R, F.least(j + 2, F.lit(n)))
         qj, qk = F.element_at(Q, j + 1), F.element_at(Q, F.least(j + 2, F.lit(n)))
         val = F.when(rk == rj, qj).otherwise(qj + (u - rj) * (qk - qj) / (rk - rj))
-        res = F.when(lower, F.lit(st.quantiles[c][0])).when(upper, F.lit(st.quantiles[c][-1])).otherwise(val)
+        res = F.when(lower, F.lit(qs[0])).when(upper, F.lit(qs[-1])).otherwise(val)
         out = out.withColumn(c + suffix, F.when(z.isNull(), F.lit(None).cast("double")).otherwise(res)).drop(f"_u_{c}")
     return out

@@ -22,6 +22,7 @@ def score_stream(stream: DataFrame, scorer: Callable[[DataFrame], DataFrame], ou
     """Append scored rows to Parquet; the checkpoint folder must be on shared storage."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        scorer(batch).write.mode("append").parquet(f"{out_path}/batch={batch_id}")
+        # overwrite of a batch-specific folder: a replayed batch rewrites the same output (idempotent)
+        scorer(batch).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
     return stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint).start()
