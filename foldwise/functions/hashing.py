@@ -43,16 +43,21 @@ def poisson_thresholds(lam: float) -> list[float]:
     return out
 
 
+def _tree(u, t, lo, hi, when, lit):
+    """Smallest k in [lo, hi] with u < t[k] (hi = len(t) means none): a balanced comparison tree,
+    so a draw costs about log2(len(t)) comparisons instead of a linear CASE chain."""
+    if lo == hi:
+        return lit(lo)
+    mid = (lo + hi) // 2
+    return when(u, t[mid], _tree(u, t, lo, mid, when, lit), _tree(u, t, mid + 1, hi, when, lit))
+
+
 def poisson_weight(u: Column, lam: float) -> Column:
     """Inverse-CDF Poisson(lam) draw from a uniform column (exact in double precision)."""
-    expr = None
-    thresholds = poisson_thresholds(lam)
-    for k, t in enumerate(thresholds):
-        expr = F.when(u < F.lit(t), F.lit(k)) if expr is None else expr.when(u < F.lit(t), F.lit(k))
-    return expr.otherwise(F.lit(len(thresholds)))
+    t = poisson_thresholds(lam)
+    return _tree(u, t, 0, len(t), lambda x, th, a, b: F.when(x < F.lit(th), a).otherwise(b), F.lit)
 
 
 def poisson_weight_sql(u_sql: str, lam: float) -> str:
-    thresholds = poisson_thresholds(lam)
-    whens = " ".join(f"WHEN {u_sql} < {t!r} THEN {k}" for k, t in enumerate(thresholds))
-    return f"(CASE {whens} ELSE {len(thresholds)} END)"
+    t = poisson_thresholds(lam)
+    return _tree(u_sql, t, 0, len(t), lambda x, th, a, b: f"(CASE WHEN {x} < {th!r} THEN {a} ELSE {b} END)", str)

@@ -29,4 +29,6 @@ def clean_numeric(c: Column, digits_only: bool = False) -> Column:
     reference does); the default also keeps '.' and '-'.
     """
     pattern = "[^0-9]" if digits_only else r"[^0-9.\-]"
-    return F.coalesce(F.regexp_replace(c, pattern, "").try_cast("double"), F.lit(0.0))
+    cleaned = F.regexp_replace(c, pattern, "")
+    # an empty string is tested first: a failed cast is much slower than a comparison
+    return F.coalesce(F.when(cleaned == "", F.lit(None)).otherwise(cleaned.try_cast("double")), F.lit(0.0))

@@ -25,11 +25,11 @@ def sum_aggs(cols: list[str]) -> list[Column]:
     return [F.coalesce(F.sum(c), F.lit(0)).alias(clean_name(c)) for c in cols]
 
 
-def pivot_count_aggs(levels: dict[str, list[str]]) -> list[Column]:
+def pivot_count_aggs(levels: dict[str, list[str]], precleaned: bool = False) -> list[Column]:
     """count of rows per (column, level); cleaned levels that collide merge their counts."""
     aggs = []
     for c, lv in levels.items():
-        cleaned = clean_category(F.col(c))
+        cleaned = F.col(c) if precleaned else clean_category(F.col(c))
         for level in lv:
             aggs.append(F.count_if(cleaned == F.lit(level)).alias(f"{clean_name(c)}__{level}"))
     return aggs
@@ -51,7 +51,10 @@ def child_summary(
     levels: dict[str, list[str]] | None = None,
     num_cols: list[str] = (),
 ) -> DataFrame:
-    aggs = sum_aggs(list(sum_cols)) + pivot_count_aggs(levels or {}) + mean_std_aggs(list(num_cols))
+    levels = levels or {}
+    # clean each category once per row (not once per level inside the aggregate)
+    child = child.withColumns({c: clean_category(F.col(c)) for c in levels})
+    aggs = sum_aggs(list(sum_cols)) + pivot_count_aggs(levels, precleaned=True) + mean_std_aggs(list(num_cols))
     return child.groupBy(key).agg(*aggs)
 
 

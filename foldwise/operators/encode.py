@@ -37,7 +37,12 @@ def one_hot(df: DataFrame, levels: dict[str, list[str]], drop_first: bool = True
 def fit_label_encoder(df: DataFrame, col: str, code_col: str = "code") -> Lookup:
     """Sorted distinct levels -> 0..n-1. Distributed rank, so any cardinality works."""
     levels = df.select(F.col(col).cast("string").alias(col)).where(F.col(col).isNotNull()).distinct()
-    ranked = with_global_rank(levels, [col], name="_r")
+    small = Lookup.fit(levels)
+    if small.broadcastable:  # bounded level set: sort on the driver
+        names = sorted(r[0] for r in small.df.collect())
+        lut = df.sparkSession.createDataFrame(list(zip(names, range(len(names)))), f"{col} string, {code_col} int")
+        return Lookup(lut, True)
+    ranked = with_global_rank(small.df, [col], name="_r")  # any cardinality: distributed rank
     return Lookup.fit(ranked.select(col, (F.col("_r") - 1).cast("int").alias(code_col)))
 
 
@@ -112,18 +117,46 @@ def sample_weight(key: Column, n_samples: int, sample_size: float, seed: int, mo
     """(integer per-row weight, scale) such that scale * sum(weight * x) = the replicate average.
 
     expected: weight 1, scale int(n * f) / n (the bootstrap mean, exact and noise free).
-    bootstrap: weight = sum over replicates r of a Poisson(f) draw from uniform(key | r | seed),
-    scale 1 / n_samples. Integer sums keep the fit exact and order independent.
+    bootstrap: a row's total weight over R replicates of Poisson(f) resampling is a sum of R
+    independent Poisson(f) draws, i.e. one Poisson(R * f) draw; it is taken from
+    uniform(key | seed), scale 1 / R. One hash per row instead of R, same distribution.
+    Integer sums keep the fit exact and order independent.
     """
     if mode == "expected":
         return F.lit(1), (int(n_rows * sample_size) / n_rows if n_rows else 0.0)
     if mode != "bootstrap":
         raise ValueError(f"unknown mode {mode}")
-    draws = [poisson_weight(uniform(key, F.lit(r), seed=seed), sample_size) for r in range(n_samples)]
-    total = draws[0]
-    for d in draws[1:]:
-        total = total + d
-    return total, 1.0 / n_samples
+    return poisson_weight(uniform(key, seed=seed), n_samples * sample_size), 1.0 / n_samples
+
+
+def fit_stacked(df: DataFrame, features: dict[str, list[str]], carry: list[str], aggs: list[Column]) -> dict[str, Lookup]:
+    """Fit per-level statistics of SEVERAL features in one scan and one shuffle.
+
+    Each row is exploded into one (feature, key) pair per feature (the key is the array of the
+    key columns as text; rows with a NULL key part are dropped, as pandas does), aggregated by
+    (feature, key) with map-side combining, and split back into per-feature lookups with the
+    original key columns and types.
+    """
+    structs = [
+        F.struct(F.lit(name).alias("_f"),
+                 F.when(all_not_null(keys), F.array(*[F.col(k).cast("string") for k in keys])).alias("_k"))
+        for name, keys in features.items()
+    ]
+    long = df.select(*carry, F.explode(F.array(*structs)).alias("_s")).select(*carry, "_s._f", "_s._k")
+    stats = Lookup.fit(long.where(F.col("_k").isNotNull()).groupBy("_f", "_k").agg(*aggs))
+    value_cols = [c for c in stats.df.columns if c not in ("_f", "_k")]
+    out = {}
+    for name, keys in features.items():
+        sub = stats.df.where(F.col("_f") == name).select(
+            *[F.element_at("_k", i + 1).cast(df.schema[k].dataType).alias(k) for i, k in enumerate(keys)],
+            *[F.col(c).alias(f"{c}_{name}") for c in value_cols],
+        )
+        out[name] = Lookup(sub, stats.broadcastable)
+    return out
+
+
+def _keys(features: dict[str, object]) -> dict[str, list[str]]:
+    return {name: ([cols] if isinstance(cols, str) else list(cols)) for name, cols in features.items()}
 
 
 @dataclass
@@ -139,17 +172,14 @@ def fit_beta(df: DataFrame, target: str, features: dict[str, object], id_col: st
     stats = df.agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(target).cast("double")).alias("p")).first()
     n, alpha0 = stats["n"], float(stats["p"] or 0.0)
     w, scale = sample_weight(F.col(id_col), n_samples, sample_size, seed, mode, n)
-    weighted = df.withColumn("_w", w)
-    st = BetaState(alpha0, 1.0 - alpha0)
-    for name, cols in features.items():
-        keys = [cols] if isinstance(cols, str) else list(cols)
-        agg = weighted.where(all_not_null(keys)).groupBy(*keys).agg(
-            (F.lit(alpha0) + F.lit(scale) * F.sum(F.col("_w") * F.col(target))).alias(f"_a_{name}"),
-            (F.lit(1.0 - alpha0) + F.lit(scale) * F.sum(F.col("_w") * (1 - F.col(target)))).alias(f"_b_{name}"),
-        )
-        st.lookups[name] = Lookup.fit(agg)
-        st.keys[name] = keys
-    return st
+    keys = _keys(features)
+    key_cols = sorted({k for ks in keys.values() for k in ks})
+    weighted = df.select(*key_cols, F.col(target).alias("_y"), w.alias("_w"))
+    fitted = fit_stacked(weighted, keys, ["_y", "_w"], [
+        (F.lit(alpha0) + F.lit(scale) * F.sum(F.col("_w") * F.col("_y"))).alias("_a"),
+        (F.lit(1.0 - alpha0) + F.lit(scale) * F.sum(F.col("_w") * (1 - F.col("_y")))).alias("_b"),
+    ])
+    return BetaState(alpha0, 1.0 - alpha0, fitted, keys)
 
 
 def beta_transform(df: DataFrame, st: BetaState, moments=("mean",)) -> DataFrame:
@@ -182,26 +212,24 @@ def fit_dirichlet(df: DataFrame, target: str, features: dict[str, object], id_co
     classes = sorted(r[target] for r in counts if r[target] is not None)
     prior = {r[target]: r["n"] / n for r in counts if r[target] is not None}
     w, scale = sample_weight(F.col(id_col), n_samples, sample_size, seed, mode, n)
-    weighted = df.withColumn("_w", w)
-    st = DirichletState(classes, prior)
-    for name, cols in features.items():
-        keys = [cols] if isinstance(cols, str) else list(cols)
-        notnull = all_not_null(keys)
-        aggs = [
-            (F.lit(prior[k]) + F.lit(scale) * F.sum(F.when(F.col(target) == F.lit(k), F.col("_w")).otherwise(F.lit(0))))
-            .alias(f"_a_{name}_{k}")
-            for k in classes
-        ]
-        st.lookups[name] = Lookup.fit(weighted.where(notnull).groupBy(*keys).agg(*aggs))
-        st.keys[name] = keys
-    return st
+    keys = _keys(features)
+    key_cols = sorted({k for ks in keys.values() for k in ks})
+    weighted = df.select(*key_cols, F.col(target).alias("_y"), w.alias("_w"))
+    aggs = [
+        (F.lit(prior[k]) + F.lit(scale) * F.sum(F.when(F.col("_y") == F.lit(k), F.col("_w")).otherwise(F.lit(0))))
+        .alias(f"_a_{k}")
+        for k in classes
+    ]
+    fitted = fit_stacked(weighted, keys, ["_y", "_w"], aggs)
+    # per-feature columns are named _a_{class}_{feature}
+    return DirichletState(classes, prior, fitted, keys)
 
 
 def dirichlet_transform(df: DataFrame, st: DirichletState, moments=("mean",), drop_last: bool = True) -> DataFrame:
     out = df
     for name, lk in st.lookups.items():
         out = lk.join(out, st.keys[name], "left")
-        alphas = {k: F.coalesce(F.col(f"_a_{name}_{k}"), F.lit(st.prior[k])) for k in st.classes}
+        alphas = {k: F.coalesce(F.col(f"_a_{k}_{name}"), F.lit(st.prior[k])) for k in st.classes}
         a0 = None
         for a in alphas.values():
             a0 = a if a0 is None else a0 + a
@@ -212,7 +240,7 @@ def dirichlet_transform(df: DataFrame, st: DirichletState, moments=("mean",), dr
                 exprs[f"{name}_M_{k}"] = alphas[k] / a0
             if "var" in moments:
                 exprs[f"{name}_V_{k}"] = alphas[k] * (a0 - alphas[k]) / (a0 * a0 * (a0 + 1))
-        out = out.withColumns(exprs).drop(*[f"_a_{name}_{k}" for k in st.classes])
+        out = out.withColumns(exprs).drop(*[f"_a_{k}_{name}" for k in st.classes])
     return out
 
 

@@ -107,7 +107,7 @@ def q_combine(spark, d):
 def _weight_sql(mode, n_samples, f):
     if mode == "expected":
         return "1"
-    return " + ".join(poisson_weight_sql(uniform_sql("ID", f"'{r}'", seed=SEED), f) for r in range(n_samples))
+    return poisson_weight_sql(uniform_sql("ID", seed=SEED), n_samples * f)
 
 
 def _scale_sql(mode, n_samples, f):
