@@ -25,19 +25,33 @@ def history_sum(c: Column) -> Column:
     )
 
 
+_BAD = -(2**62)  # sentinel for an unparseable 8-character item
+
+
 def history_date_gap(reported: Column, c: Column, fmt: str = "yyyyMMdd") -> Column:
     """Mean gap, in 30-day months, between ``reported`` and each 8-character date item.
 
     NULL inputs or an unparseable 8-character item give 0; no 8-character item gives NULL.
+    Each item is parsed once (to epoch micros, a sentinel when unparseable); one aggregate
+    then folds (sum, count, bad) and its finish step returns the value, so no array
+    expression is evaluated twice.
     """
-    items = F.filter(F.split(c, ","), lambda x: F.length(x) == 8)
-    parsed = F.transform(items, lambda x: F.try_to_timestamp(x, F.lit(fmt)))
     rep = F.unix_micros(reported.cast("timestamp"))
-    gaps = F.transform(parsed, lambda t: (rep - F.unix_micros(t)) / F.lit(MICROS_PER_30_DAYS))
-    mean = F.aggregate(gaps, F.lit(0.0), lambda a, x: a + x) / F.size(gaps)
-    return (
-        F.when(reported.isNull() | c.isNull(), F.lit(0.0))
-        .when(F.exists(parsed, lambda t: t.isNull()), F.lit(0.0))
-        .when(F.size(gaps) == 0, F.lit(None).cast("double"))
-        .otherwise(mean)
+    micros = F.transform(
+        F.split(c, ","),
+        lambda x: F.when(F.length(x) == 8, F.coalesce(F.unix_micros(F.try_to_timestamp(x, F.lit(fmt))), F.lit(_BAD))),
     )
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"), F.lit(False).alias("bad"))
+
+    def step(acc, m):
+        ok = m.isNotNull() & (m != F.lit(_BAD))
+        return F.struct(
+            (acc["s"] + F.when(ok, (rep - m) / F.lit(MICROS_PER_30_DAYS)).otherwise(F.lit(0.0))).alias("s"),
+            (acc["n"] + F.when(m.isNotNull(), F.lit(1)).otherwise(F.lit(0))).alias("n"),
+            (acc["bad"] | F.coalesce(m == F.lit(_BAD), F.lit(False))).alias("bad"),
+        )
+
+    def finish(acc):
+        return F.when(acc["bad"], F.lit(0.0)).when(acc["n"] == 0, F.lit(None).cast("double")).otherwise(acc["s"] / acc["n"])
+
+    return F.when(reported.isNull() | c.isNull(), F.lit(0.0)).otherwise(F.aggregate(micros, zero, step, finish))
