@@ -246,3 +246,75 @@ def dirichlet_transform(df: DataFrame, st: DirichletState, moments=("mean",), dr
 
 def class_levels(df: DataFrame, col: str) -> list:
     return collect_levels(df, [col])[col]
+
+
+# ---- out-of-fold (leakage-free) Beta encoding --------------------------------------------------
+
+@dataclass
+class BetaFoldState:
+    fold_col: str
+    priors: dict  # fold -> (alpha0, beta0) of the rows outside the fold
+    lookups: dict[str, Lookup] = field(default_factory=dict)
+    keys: dict[str, list[str]] = field(default_factory=dict)
+
+
+def fit_beta_by_fold(df: DataFrame, target: str, features: dict[str, object], fold_col: str,
+                     sample_size: float = 0.8) -> BetaFoldState:
+    """Rows of fold f are encoded from the rows outside fold f (expected-bootstrap posterior).
+
+    One aggregation by (feature, level, fold); out-of-fold counts are level totals minus the
+    fold's own counts, so the k fits cost a single pass.
+    """
+    per_fold = df.groupBy(fold_col).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(target)).alias("p")).collect()
+    n_all = sum(r["n"] for r in per_fold)
+    p_all = sum(r["p"] or 0 for r in per_fold)
+    priors, scales = {}, {}
+    for r in per_fold:
+        n_out = n_all - r["n"]
+        a0 = (p_all - (r["p"] or 0)) / n_out if n_out else 0.0
+        priors[r[fold_col]] = (a0, 1.0 - a0)
+        scales[r[fold_col]] = int(n_out * sample_size) / n_out if n_out else 0.0
+    keys = _keys(features)
+    key_cols = sorted({k for ks in keys.values() for k in ks})
+    data = df.select(*key_cols, F.col(fold_col).alias("_fold"), F.col(target).alias("_y"))
+    structs = [
+        F.struct(F.lit(name).alias("_f"),
+                 F.when(all_not_null(ks), F.array(*[F.col(k).cast("string") for k in ks])).alias("_k"))
+        for name, ks in keys.items()
+    ]
+    long = data.select("_fold", "_y", F.explode(F.array(*structs)).alias("_s")).select("_fold", "_y", "_s._f", "_s._k")
+    cnt = long.where(F.col("_k").isNotNull()).groupBy("_f", "_k", "_fold").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_pos"))
+    stats = Lookup.fit(cnt)  # levels x folds rows: size checked before any broadcast
+    tot = stats.df.groupBy("_f", "_k").agg(F.sum("_n").alias("_tot_n"), F.sum("_pos").alias("_tot_pos"))
+    j = stats.df.join(tot, ["_f", "_k"])
+    a0 = F.element_at(F.create_map(*[x for f, (a, _) in priors.items() for x in (F.lit(f), F.lit(a))]), F.col("_fold"))
+    sc = F.element_at(F.create_map(*[x for f, s in scales.items() for x in (F.lit(f), F.lit(s))]), F.col("_fold"))
+    pos_out = F.col("_tot_pos") - F.col("_pos")
+    neg_out = (F.col("_tot_n") - F.col("_n")) - pos_out
+    j = j.select("_f", "_k", "_fold", (a0 + sc * pos_out).alias("_a"), ((1 - a0) + sc * neg_out).alias("_b"))
+    fitted = Lookup.fit(j)
+    st = BetaFoldState(fold_col, priors, {}, keys)
+    for name, ks in keys.items():
+        sub = fitted.df.where(F.col("_f") == name).select(
+            *[F.element_at("_k", i + 1).cast(df.schema[k].dataType).alias(k) for i, k in enumerate(ks)],
+            F.col("_fold").alias(fold_col), F.col("_a").alias(f"_a_{name}"), F.col("_b").alias(f"_b_{name}"))
+        st.lookups[name] = Lookup(sub, fitted.broadcastable)
+    return st
+
+
+def beta_transform_by_fold(df: DataFrame, st: BetaFoldState, moments=("mean",)) -> DataFrame:
+    out = df
+    pa = F.create_map(*[x for f, (a, _) in st.priors.items() for x in (F.lit(f), F.lit(a))])
+    for name, lk in st.lookups.items():
+        out = lk.join(out, st.keys[name] + [st.fold_col], "left")
+        a0 = F.element_at(pa, F.col(st.fold_col))
+        a = F.coalesce(F.col(f"_a_{name}"), a0)
+        b = F.coalesce(F.col(f"_b_{name}"), 1 - a0)
+        exprs = {}
+        if "mean" in moments:
+            exprs[f"{name}__M"] = a / (a + b)
+        if "variance" in moments or "var" in moments:
+            exprs[f"{name}__V"] = (a * b) / ((a + b) * (a + b) * (a + b + 1))
+        out = out.withColumns(exprs).drop(f"_a_{name}", f"_b_{name}")
+    return out

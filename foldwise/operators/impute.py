@@ -79,3 +79,18 @@ def transform_fallback(df: DataFrame, st: MissForestState, cat_cols: list[str],
     fills = {c: st.means[c] for c in num_cols if c not in st.models}
     fills.update({c: st.modes[c] for c in cat_cols if c not in st.models})
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.items()})
+
+
+def transform_missforest(df: DataFrame, st: MissForestState, cat_cols: list[str], num_cols: list[str]) -> DataFrame:
+    """Apply the fitted per-column forests to a new batch in the fitted order; columns without
+    a model use the mean / mode fallback. Stateless per row, so valid on a stream too."""
+    current = df
+    for target in st.order:
+        indexers, assembler, model, decoder = st.models[target]
+        feats, _, _ = _features(current, cat_cols, num_cols, target, st.means, st.modes, [])
+        for ix in indexers:
+            feats = ix.transform(feats)
+        pred = model.transform(assembler.transform(feats))
+        fill = decoder.transform(pred).withColumn("_fill", F.col("_pred_s")) if decoder else pred.withColumn("_fill", F.col("_pred"))
+        current = fill.withColumn(target, F.coalesce(F.col(target), F.col("_fill"))).select(*df.columns)
+    return transform_fallback(current, st, cat_cols, num_cols)

@@ -254,3 +254,43 @@ def q_dir_var(spark, d):
 @query("dirichlet_encode_composite", sql=dirichlet_sql(PLACE, ("mean",)))
 def q_dir_composite(spark, d):
     return _dirichlet(spark, d, PLACE, ("mean",))
+
+
+def _oof_beta_sql(features, f=0.8):
+    from foldwise.plans.q_split import FOLDS_SQL
+
+    ctes = [
+        f"e AS (SELECT x.*, k.kfold FROM {ENTITY_SQL} x JOIN {FOLDS_SQL} k ON x.ID = k.ID)",
+        "pf AS (SELECT kfold, count(*) AS n, sum(target) AS p FROM e GROUP BY kfold)",
+        "tt AS (SELECT sum(n) AS n, sum(p) AS p FROM pf)",
+        "pr AS (SELECT pf.kfold, (tt.p - pf.p) / (tt.n - pf.n) AS a0, "
+        f"floor((tt.n - pf.n) * CAST({f!r} AS DOUBLE)) / (tt.n - pf.n) AS sc FROM pf, tt)",
+    ]
+    sel, joins = ["e.ID", "e.kfold"], []
+    for name, col in features.items():
+        ctes.append(
+            f"c_{name} AS (SELECT {col}, kfold, count(*) AS n, sum(target) AS pos FROM e WHERE {col} IS NOT NULL GROUP BY {col}, kfold)"
+        )
+        ctes.append(
+            f"l_{name} AS (SELECT c.{col}, c.kfold, pr.a0 + pr.sc * (sum(c.pos) OVER w - c.pos) AS a, "
+            f"(1 - pr.a0) + pr.sc * ((sum(c.n) OVER w - c.n) - (sum(c.pos) OVER w - c.pos)) AS b "
+            f"FROM c_{name} c JOIN pr ON c.kfold = pr.kfold WINDOW w AS (PARTITION BY c.{col}))"
+        )
+        joins.append(f"LEFT JOIN l_{name} ON e.{col} = l_{name}.{col} AND e.kfold = l_{name}.kfold")
+        a = f"coalesce(l_{name}.a, (SELECT a0 FROM pr WHERE pr.kfold = e.kfold))"
+        b = f"coalesce(l_{name}.b, (SELECT 1 - a0 FROM pr WHERE pr.kfold = e.kfold))"
+        sel.append(f"round({a} / ({a} + {b}), 6) AS {name}__M")
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT {', '.join(sel)} FROM e " + " ".join(joins)
+
+
+OOF_FEATURES = {"n_name": "n_name", "c_mktsegment": "c_mktsegment", "priority_m": "priority_m"}
+
+
+@query("beta_encode_oof", sql=_oof_beta_sql(OOF_FEATURES))
+def q_beta_oof(spark, d):
+    from foldwise.plans.q_split import folds
+
+    e = entity(spark, d).join(folds(spark, d).select("ID", "kfold"), "ID")
+    st = E.fit_beta_by_fold(e, "target", OOF_FEATURES, "kfold", sample_size=0.8)
+    out = E.beta_transform_by_fold(e, st)
+    return round_doubles(out.select("ID", "kfold", *[f"{n}__M" for n in OOF_FEATURES]))
