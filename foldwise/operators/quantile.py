@@ -110,36 +110,39 @@ def fit_quantiles(df: DataFrame, cols: list[str], n_quantiles: int = 1000) -> tu
     for r in rows:
         qs[r["column"]][idx[r["prob"]]] = r["quantile"]
     for c in cols:
-        qs[c] = list(np.maximum.accumulate(np.array(qs[c], dtype=float)))  # monotone, as the reference enforces
+        qs[c] = [float(v) for v in np.maximum.accumulate(np.array(qs[c], dtype=float))]  # monotone, as the reference enforces
     spark = df.sparkSession
     flat = [(c, i, refs[i], float(qs[c][i])) for c in cols for i in range(nq)]
     fitted = spark.createDataFrame(flat, "column string, idx int, reference double, quantile double")
     return QuantileState(refs, qs), fitted
 
 
-def _arr(values):
-    return F.array(*[F.lit(float(v)) for v in values])
-
-
 def quantile_transform(df: DataFrame, st: QuantileState, cols: list[str], output: str = "normal", suffix: str = "") -> DataFrame:
-    out = df
+    spark = df.sparkSession
+    distinct = {c: st.distinct(c) for c in cols}
+    # one multi-column Bucketizer: m = index of the largest distinct quantile <= x, plus one
+    bucketizer = Bucketizer(
+        splitsArray=[[-float("inf"), *distinct[c][0], float("inf")] for c in cols],
+        inputCols=[f"_x_{c}" for c in cols], outputCols=[f"_b_{c}" for c in cols], handleInvalid="keep",
+    )
+    out = bucketizer.transform(df.withColumns({f"_x_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols}))
     for c in cols:
-        d, rlo, rhi = st.distinct(c)
-        q0, qn = d[0], d[-1]
-        bucket = f"_b_{c}"
-        splits = [-float("inf"), *d, float("inf")]
-        out = Bucketizer(splits=splits, inputCol=f"_x_{c}", outputCol=bucket, handleInvalid="keep").transform(
-            out.withColumn(f"_x_{c}", F.coalesce(F.col(c).cast("double"), F.lit(0.0)))
-        )
+        d, rlo, rhi = distinct[c]
+        n = len(d)
+        # neighbours of each distinct quantile: at most n_quantiles rows, broadcast on m
+        rows = [(m, d[m - 1], rlo[m - 1], rhi[m - 1], d[min(m, n - 1)], rlo[min(m, n - 1)]) for m in range(1, n + 1)]
+        lut = spark.createDataFrame(rows, f"_m_{c} int, _d_{c} double, _lo_{c} double, _hi_{c} double, _dn_{c} double, _lon_{c} double")
+        out = out.join(F.broadcast(lut), F.col(f"_b_{c}").cast("int") == F.col(f"_m_{c}"), "left")
+    u_cols = {}
+    for c in cols:
+        d = distinct[c][0]
+        q0, qn, n = d[0], d[-1], len(d)
         x = F.col(c).cast("double")
-        m = F.col(bucket).cast("int")  # m = index of the largest distinct quantile <= x, plus one
-        D, LO, HI = _arr(d), _arr(rlo), _arr(rhi)
-        dm, dn = F.element_at(D, F.greatest(m, F.lit(1))), F.element_at(D, F.least(m + 1, F.lit(len(d))))
-        lom, him = F.element_at(LO, F.greatest(m, F.lit(1))), F.element_at(HI, F.greatest(m, F.lit(1)))
-        lon = F.element_at(LO, F.least(m + 1, F.lit(len(d))))
+        m = F.col(f"_b_{c}").cast("int")
+        dm, dn, lom, him, lon = (F.col(f"_{k}_{c}") for k in ("d", "dn", "lo", "hi", "lon"))
         interp = (
             F.when(m <= 0, F.lit(0.0))
-            .when(m >= len(d), F.when(x == dm, (lom + him) / 2).otherwise(F.lit(1.0)))
+            .when(m >= n, F.when(x == dm, (lom + him) / 2).otherwise(F.lit(1.0)))
             .when(x == dm, (lom + him) / 2)
             .otherwise(him + (x - dm) * (lon - him) / (dn - dm))
         )
@@ -147,8 +150,11 @@ def quantile_transform(df: DataFrame, st: QuantileState, cols: list[str], output
             lower, upper = (x - F.lit(BOUNDS_THRESHOLD)) < F.lit(q0), (x + F.lit(BOUNDS_THRESHOLD)) > F.lit(qn)
         else:
             lower, upper = x == F.lit(q0), x == F.lit(qn)
-        # materialise u: the inverse-normal polynomial references it many times
-        out = out.withColumn(f"_u_{c}", F.when(lower, F.lit(0.0)).when(upper, F.lit(1.0)).otherwise(interp))
+        u_cols[f"_u_{c}"] = F.when(lower, F.lit(0.0)).when(upper, F.lit(1.0)).otherwise(interp)
+    # materialise u: the inverse-normal polynomial references it many times
+    out = out.withColumns(u_cols)
+    z_cols = {}
+    for c in cols:
         u = F.col(f"_u_{c}")
         if output == "normal":
             z = F.when(u <= 0.0, F.lit(CLIP_MIN)).when(u >= 1.0, F.lit(CLIP_MAX)).otherwise(
@@ -156,8 +162,9 @@ def quantile_transform(df: DataFrame, st: QuantileState, cols: list[str], output
             )
         else:
             z = u
-        out = out.withColumn(c + suffix, F.when(x.isNull(), F.lit(None).cast("double")).otherwise(z)).drop(bucket, f"_x_{c}", f"_u_{c}")
-    return out
+        z_cols[c + suffix] = F.when(F.col(c).isNull(), F.lit(None).cast("double")).otherwise(z)
+    helper = [f"_{k}_{c}" for c in cols for k in ("b", "x", "u", "m", "d", "lo", "hi", "dn", "lon")]
+    return out.withColumns(z_cols).drop(*helper)
 
 
 def quantile_inverse(df: DataFrame, st: QuantileState, cols: list[str], output: str = "normal", suffix: str = "",
@@ -165,25 +172,33 @@ def quantile_inverse(df: DataFrame, st: QuantileState, cols: list[str], output:
     """Back from the output distribution to the data scale (linear interpolation on the quantiles).
 
     ``fitted`` maps a column to the fitted column whose quantiles it uses (default: same name).
+    The reference grid is uniform, so the segment index is floor(u / step); the segment's end
+    points come from a broadcast lookup of at most n_quantiles rows.
     """
-    out = df
+    spark = df.sparkSession
     n = len(st.refs)
     step = 1.0 / (n - 1) if n > 1 else 1.0
-    R = _arr(st.refs)
+    out = df.withColumns({f"_u_{c}": norm_cdf(F.col(c).cast("double")) if output == "normal" else F.col(c).cast("double")
+                          for c in cols})
+    for c in cols:
+        qs = st.quantiles[(fitted or {}).get(c, c)]
+        j = F.least(F.greatest(F.floor(F.col(f"_u_{c}") / F.lit(step)).cast("int"), F.lit(0)), F.lit(max(n - 2, 0)))
+        out = out.withColumn(f"_j_{c}", j)
+        rows = [(i, st.refs[i], st.refs[min(i + 1, n - 1)], float(qs[i]), float(qs[min(i + 1, n - 1)])) for i in range(max(n - 1, 1))]
+        lut = spark.createDataFrame(rows, f"_i_{c} int, _rj_{c} double, _rk_{c} double, _qj_{c} double, _qk_{c} double")
+        out = out.join(F.broadcast(lut), F.col(f"_j_{c}") == F.col(f"_i_{c}"), "left")
+    res_cols = {}
     for c in cols:
         qs = st.quantiles[(fitted or {}).get(c, c)]
-        Q = _arr(qs)
         z = F.col(c).cast("double")
-        out = out.withColumn(f"_u_{c}", norm_cdf(z) if output == "normal" else z)
         u = F.col(f"_u_{c}")
         if output == "normal":
             lower, upper = (u - F.lit(BOUNDS_THRESHOLD)) < F.lit(0.0), (u + F.lit(BOUNDS_THRESHOLD)) > F.lit(1.0)
         else:
             lower, upper = u == F.lit(0.0), u == F.lit(1.0)
-        j = F.least(F.greatest(F.floor(u / F.lit(step)).cast("int"), F.lit(0)), F.lit(max(n - 2, 0)))
-        rj, rk = F.element_at(R, j + 1), F.element_at(R, F.least(j + 2, F.lit(n)))
-        qj, qk = F.element_at(Q, j + 1), F.element_at(Q, F.least(j + 2, F.lit(n)))
+        rj, rk, qj, qk = (F.col(f"_{k}_{c}") for k in ("rj", "rk", "qj", "qk"))
         val = F.when(rk == rj, qj).otherwise(qj + (u - rj) * (qk - qj) / (rk - rj))
         res = F.when(lower, F.lit(qs[0])).when(upper, F.lit(qs[-1])).otherwise(val)
-        out = out.withColumn(c + suffix, F.when(z.isNull(), F.lit(None).cast("double")).otherwise(res)).drop(f"_u_{c}")
-    return out
+        res_cols[c + suffix] = F.when(z.isNull(), F.lit(None).cast("double")).otherwise(res)
+    helper = [f"_{k}_{c}" for c in cols for k in ("u", "j", "i", "rj", "rk", "qj", "qk")]
+    return out.withColumns(res_cols).drop(*helper)
