@@ -88,7 +88,7 @@ def train_ovr_gbt_oof(df: DataFrame, id_col: str, features: list[str], label: st
             m = estimator("gbt", "_yc", params).fit(tr)
             s = m.transform(scored).withColumn(f"_p{c}", vector_to_array(F.col("probability"))[1])
             scored = s.drop("rawPrediction", "probability", "prediction")
-        probs = B.normalise(F.array(*[F.col(f"_p{c}") for c in range(n_classes)]))
+        probs = B.normalise(F.array(*[F.col(f"_p{c}") for c in range(n_classes)]), n_classes)
         parts.append(scored.select(id_col, fold_col, label, probs.alias("probs")))
     out = parts[0]
     for p in parts[1:]:

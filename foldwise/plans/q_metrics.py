@@ -24,7 +24,7 @@ def toy(spark, d):
     p1 = ((F.lit(2002) - y) * 12 - m + 12).cast("double") / F.lit(100.0)
     w = F.array(*[c.cast("double") for c in (F.lit(2002) - y, y - F.lit(1994), F.lit(3) + m % 4)])
     code = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
-    out = e.select("ID", "target", code.alias("y"), p1.alias("p1"), B.normalise(w).alias("probs"))
+    out = e.select("ID", "target", code.alias("y"), p1.alias("p1"), B.normalise(w, 3).alias("probs"))
     return out.withColumn("pred1", (F.col("p1") >= 0.5).cast("int")).withColumn("pred", B.argmax(F.col("probs")))
 
 

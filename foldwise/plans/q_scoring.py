@@ -28,7 +28,7 @@ def _w_cols():
 
 def fold_model_probs(f: int):
     w = [(c + F.lit((f + k) % 3)).cast("double") for k, c in enumerate(_w_cols())]
-    return B.normalise(F.array(*w))
+    return B.normalise(F.array(*w), 3)
 
 
 def _fold_probs_sql(f: int) -> list[str]:
@@ -54,7 +54,7 @@ _FA = _fold_avg_sql()
 def _fold_avg(spark, d):
     e = entity(spark, d).select("ID", "o_orderdate")
     e = e.withColumns({f"fold{f}": fold_model_probs(f) for f in range(K)})
-    return B.fold_average(e, [f"fold{f}" for f in range(K)])
+    return B.fold_average(e, [f"fold{f}" for f in range(K)], n_classes=3)
 
 
 @query(
@@ -73,7 +73,7 @@ _MB = [f"(({a} + {b}) / 2.0)" for a, b in zip(_A, _B0)]
 
 def _two_models(spark, d):
     e = entity(spark, d).select("ID", "o_orderdate")
-    return e.withColumns({"A": B.normalise(F.array(*[c.cast("double") for c in _w_cols()])), "B": fold_model_probs(0)})
+    return e.withColumns({"A": B.normalise(F.array(*[c.cast("double") for c in _w_cols()]), 3), "B": fold_model_probs(0)})
 
 
 @query(
@@ -81,7 +81,7 @@ def _two_models(spark, d):
     sql=f"SELECT ID, {', '.join(f'round({p}, 6) AS p{k}' for k, p in enumerate(_MB))}, {_argmax_sql(_MB)} AS pred FROM {ENTITY_SQL}",
 )
 def q_mean_blend(spark, d):
-    out = B.mean_blend(_two_models(spark, d), ["A", "B"])
+    out = B.mean_blend(_two_models(spark, d), ["A", "B"], n_classes=3)
     return round_doubles(out.select("ID", *[F.col("probs")[k].alias(f"p{k}") for k in range(3)], "pred"))
 
 

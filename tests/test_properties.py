@@ -102,3 +102,19 @@ def test_normal_ppf_cdf_roundtrip(p):
     x = norm_ppf_py(p)
     assert 0.5 * math.erfc(-x / math.sqrt(2)) == pytest.approx(p, rel=1e-8)
     assert norm_cdf_py(x) == pytest.approx(0.5 * math.erfc(-x / math.sqrt(2)), rel=1e-8, abs=1e-15)
+
+
+def test_blend_explicit_and_generic_paths_agree(spark):
+    from foldwise.operators import blend as B
+
+    df = spark.range(0, 200).select(
+        "id",
+        F.array(*[((F.col("id") * (k + 3)) % 7 + 1).cast("double") for k in range(4)]).alias("a"),
+        F.array(*[((F.col("id") * (k + 5)) % 5 + 1).cast("double") for k in range(4)]).alias("b"),
+    )
+    x = B.fold_average(df, ["a", "b"], n_classes=4).select("id", "probs", "pred").orderBy("id").collect()
+    y = B.fold_average(df, ["a", "b"]).select("id", "probs", "pred").orderBy("id").collect()
+    assert [tuple(r) for r in x] == [tuple(r) for r in y]
+    m1 = B.mean_blend(df, ["a", "b"], n_classes=4).select("probs").orderBy("id").collect()
+    m2 = B.mean_blend(df, ["a", "b"]).select("probs").orderBy("id").collect()
+    assert m1 == m2
