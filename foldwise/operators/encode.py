@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from foldwise.functions.hashing import poisson_weight, uniform
 from foldwise.operators.features import combine_key
-from foldwise.operators.lookup import Lookup, collect_levels
+from foldwise.operators.lookup import MAX_LEVELS, Lookup, collect_levels
 from foldwise.operators.ordering import with_global_rank
 
 
@@ -207,7 +207,9 @@ class DirichletState:
 
 def fit_dirichlet(df: DataFrame, target: str, features: dict[str, object], id_col: str,
                   n_samples: int = 50, sample_size: float = 0.8, seed: int = 42, mode: str = "expected") -> DirichletState:
-    counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per class
+    counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).limit(MAX_LEVELS + 1).collect()  # one row per class
+    if len(counts) > MAX_LEVELS:
+        raise ValueError(f"target {target} has more than {MAX_LEVELS} classes")
     n = sum(r["n"] for r in counts)
     classes = sorted(r[target] for r in counts if r[target] is not None)
     prior = {r[target]: r["n"] / n for r in counts if r[target] is not None}
@@ -265,7 +267,9 @@ def fit_beta_by_fold(df: DataFrame, target: str, features: dict[str, object], fo
     One aggregation by (feature, level, fold); out-of-fold counts are level totals minus the
     fold's own counts, so the k fits cost a single pass.
     """
-    per_fold = df.groupBy(fold_col).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(target)).alias("p")).collect()
+    per_fold = df.groupBy(fold_col).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(target)).alias("p")).limit(MAX_LEVELS + 1).collect()
+    if len(per_fold) > MAX_LEVELS:
+        raise ValueError(f"{fold_col} has more than {MAX_LEVELS} folds")
     n_all = sum(r["n"] for r in per_fold)
     p_all = sum(r["p"] or 0 for r in per_fold)
     priors, scales = {}, {}

@@ -28,8 +28,8 @@ CLIP_MAX = norm_ppf_py(1 - (BOUNDS_THRESHOLD - _EPS))
 
 # ---- outliers ----------------------------------------------------------------------------------
 
-def fit_outlier_bounds(df: DataFrame, cols: list[str], whisker: float = 1.5) -> dict[str, tuple[float, float]]:
-    q = column_quantiles(df, cols, [0.25, 0.75]).collect()  # 2 rows per column
+def fit_outlier_bounds(df: DataFrame, cols: list[str], whisker: float = 1.5, exact: bool = True) -> dict[str, tuple[float, float]]:
+    q = column_quantiles(df, cols, [0.25, 0.75], exact=exact).collect()  # 2 rows per column
     by = {}
     for r in q:
         by.setdefault(r["column"], {})[r["prob"]] = r["quantile"]
@@ -99,11 +99,11 @@ class QuantileState:
         return d, lo, hi
 
 
-def fit_quantiles(df: DataFrame, cols: list[str], n_quantiles: int = 1000) -> tuple[QuantileState, DataFrame]:
+def fit_quantiles(df: DataFrame, cols: list[str], n_quantiles: int = 1000, exact: bool = True) -> tuple[QuantileState, DataFrame]:
     n = df.count()
     nq = max(1, min(n_quantiles, n))
     refs = references(nq)
-    table = column_quantiles(df, cols, refs)
+    table = column_quantiles(df, cols, refs, exact=exact)
     rows = table.collect()  # len(cols) x n_quantiles values: bounded by the parameters
     qs = {c: [None] * nq for c in cols}
     idx = {p: i for i, p in enumerate(refs)}

@@ -118,3 +118,16 @@ def test_blend_explicit_and_generic_paths_agree(spark):
     m1 = B.mean_blend(df, ["a", "b"], n_classes=4).select("probs").orderBy("id").collect()
     m2 = B.mean_blend(df, ["a", "b"]).select("probs").orderBy("id").collect()
     assert m1 == m2
+
+
+def test_approximate_quantiles_close_to_exact(spark):
+    from foldwise.operators.stats import column_quantiles
+
+    e = entity(spark, MEDIUM).select("o_totalprice", "c_acctbal")
+    probs = [0.1, 0.25, 0.5, 0.75, 0.9]
+    ex = {(r["column"], r["prob"]): r["quantile"] for r in column_quantiles(e, ["o_totalprice", "c_acctbal"], probs).collect()}
+    ap = {(r["column"], r["prob"]): r["quantile"] for r in column_quantiles(e, ["o_totalprice", "c_acctbal"], probs, exact=False).collect()}
+    assert set(ex) == set(ap)
+    span = {"o_totalprice": 500000.0, "c_acctbal": 11000.0}
+    for k in ex:
+        assert abs(ex[k] - ap[k]) <= 0.002 * span[k[0]]
