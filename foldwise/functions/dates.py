@@ -18,11 +18,18 @@ def date_parts(c: Column, prefix: str) -> dict[str, Column]:
     }
 
 
+def micros_between(later: Column, earlier: Column) -> Column:
+    """Wall-clock microseconds from ``earlier`` to ``later``.
+
+    Both sides are read as ``timestamp_ntz``, so the result does not depend on the session
+    time zone (a cast to ``timestamp`` would shift across daylight-saving changes).
+    """
+    return F.timestamp_diff("MICROSECOND", earlier.cast("timestamp_ntz"), later.cast("timestamp_ntz"))
+
+
 def months_30d(later: Column, earlier: Column) -> Column:
     """(later - earlier) / 30 days, as a double."""
-    return (F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))) / F.lit(
-        MICROS_PER_30_DAYS
-    )
+    return micros_between(later, earlier) / F.lit(MICROS_PER_30_DAYS)
 
 
 def months_30d_or_zero(later: Column, earlier: Column) -> Column:

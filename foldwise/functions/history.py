@@ -36,17 +36,20 @@ def history_date_gap(reported: Column, c: Column, fmt: str = "yyyyMMdd") -> Colu
     then folds (sum, count, bad) and its finish step returns the value, so no array
     expression is evaluated twice.
     """
-    rep = F.unix_micros(reported.cast("timestamp"))
+    rep = reported.cast("timestamp_ntz")
+    # each 8-character item -> wall-clock micros before `reported` (time-zone independent);
+    # an unparseable item -> sentinel
     micros = F.transform(
         F.split(c, ","),
-        lambda x: F.when(F.length(x) == 8, F.coalesce(F.unix_micros(F.try_to_timestamp(x, F.lit(fmt))), F.lit(_BAD))),
+        lambda x: F.when(F.length(x) == 8, F.coalesce(
+            F.timestamp_diff("MICROSECOND", F.try_to_timestamp(x, F.lit(fmt)).cast("timestamp_ntz"), rep), F.lit(_BAD))),
     )
     zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"), F.lit(False).alias("bad"))
 
     def step(acc, m):
         ok = m.isNotNull() & (m != F.lit(_BAD))
         return F.struct(
-            (acc["s"] + F.when(ok, (rep - m) / F.lit(MICROS_PER_30_DAYS)).otherwise(F.lit(0.0))).alias("s"),
+            (acc["s"] + F.when(ok, m / F.lit(MICROS_PER_30_DAYS)).otherwise(F.lit(0.0))).alias("s"),
             (acc["n"] + F.when(m.isNotNull(), F.lit(1)).otherwise(F.lit(0))).alias("n"),
             (acc["bad"] | F.coalesce(m == F.lit(_BAD), F.lit(False))).alias("bad"),
         )

@@ -35,3 +35,14 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "ID" in df.columns
+
+
+@pytest.mark.parametrize("name", ["months_between_30d", "history_date_gap", "impute_date", "date_parts"])
+def test_date_queries_do_not_depend_on_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        sdf = entry.queries()[name](spark, SMALL).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert frame_hash(sdf) == frame_hash(duck.execute(SQL[name]).df())
