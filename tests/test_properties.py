@@ -131,3 +131,28 @@ def test_approximate_quantiles_close_to_exact(spark):
     span = {"o_totalprice": 500000.0, "c_acctbal": 11000.0}
     for k in ex:
         assert abs(ex[k] - ap[k]) <= 0.002 * span[k[0]]
+
+
+def test_lookup_over_the_bound_is_checkpointed_and_shuffle_joined(spark):
+    from foldwise.operators.lookup import Lookup
+
+    base = spark.range(0, 500).withColumn("k", F.col("id") % 50)
+    lut = base.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    small, big = Lookup.fit(lut), Lookup.fit(lut, max_local_rows=10)
+    assert small.broadcastable and not big.broadcastable
+    a = sorted(small.join(base, "k").select("id", "n").collect())
+    b_df = big.join(base, "k").select("id", "n")
+    assert "BroadcastExchange" not in b_df._jdf.queryExecution().sparkPlan().toString()
+    assert a == sorted(b_df.collect())
+
+
+def test_hot_label_is_split_across_range_partitions(spark):
+    # one label holds a third of the rows: ranking by (label, u, id) must still spread it
+    from foldwise.functions.hashing import uniform
+
+    n = 30000
+    df = spark.range(0, n).withColumn("label", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97 + 1))
+    df = df.withColumn("_u", uniform(F.col("id"), seed=1))
+    ranked = with_global_rank(df, ["label", "_u", "id"], name="r", partitions=12)
+    sizes = [r["c"] for r in ranked.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("c")).collect()]
+    assert max(sizes) < 2.0 * n / 12
