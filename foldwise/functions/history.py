@@ -25,36 +25,30 @@ def history_sum(c: Column) -> Column:
     )
 
 
-_BAD = -(2**62)  # sentinel for an unparseable 8-character item
+_ITEM8 = r"(?:^|,)[^,]{8}(?=,|$)"  # an item of exactly 8 characters
 
 
 def history_date_gap(reported: Column, c: Column, fmt: str = "yyyyMMdd") -> Column:
     """Mean gap, in 30-day months, between ``reported`` and each 8-character date item.
 
     NULL inputs or an unparseable 8-character item give 0; no 8-character item gives NULL.
-    Each item is parsed once (to epoch micros, a sentinel when unparseable); one aggregate
-    then folds (sum, count, bad) and its finish step returns the value, so no array
-    expression is evaluated twice.
+    One pass over the items with a double accumulator: each 8-character item adds its
+    wall-clock gap (``timestamp_diff`` on ``timestamp_ntz``, so the session time zone does not
+    matter), an unparseable one adds NaN, which then marks the whole row. The number of
+    8-character items comes from one regex count, and the division happens in the finish step.
     """
-    rep = reported.cast("timestamp_ntz")
-    # each 8-character item -> wall-clock micros before `reported` (time-zone independent);
-    # an unparseable item -> sentinel
-    micros = F.transform(
-        F.split(c, ","),
-        lambda x: F.when(F.length(x) == 8, F.coalesce(
-            F.timestamp_diff("MICROSECOND", F.try_to_timestamp(x, F.lit(fmt)).cast("timestamp_ntz"), rep), F.lit(_BAD))),
+    # wall-clock micros since the epoch, once per row (time-zone free); items are whole days
+    rep = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), reported.cast("timestamp_ntz"))
+    n_items = F.regexp_count(c, F.lit(_ITEM8))
+
+    def step(acc, x):
+        day = F.unix_date(F.try_to_date(x, fmt)).cast("long")
+        gap = (rep - day * F.lit(86_400_000_000)) / F.lit(MICROS_PER_30_DAYS)
+        return acc + F.when(F.length(x) == 8, F.coalesce(gap, F.lit(float("nan")))).otherwise(F.lit(0.0))
+
+    mean = F.aggregate(F.split(c, ","), F.lit(0.0), step, lambda acc: F.when(F.isnan(acc), F.lit(0.0)).otherwise(acc / n_items))
+    return (
+        F.when(reported.isNull() | c.isNull(), F.lit(0.0))
+        .when(n_items == 0, F.lit(None).cast("double"))
+        .otherwise(mean)
     )
-    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"), F.lit(False).alias("bad"))
-
-    def step(acc, m):
-        ok = m.isNotNull() & (m != F.lit(_BAD))
-        return F.struct(
-            (acc["s"] + F.when(ok, m / F.lit(MICROS_PER_30_DAYS)).otherwise(F.lit(0.0))).alias("s"),
-            (acc["n"] + F.when(m.isNotNull(), F.lit(1)).otherwise(F.lit(0))).alias("n"),
-            (acc["bad"] | F.coalesce(m == F.lit(_BAD), F.lit(False))).alias("bad"),
-        )
-
-    def finish(acc):
-        return F.when(acc["bad"], F.lit(0.0)).when(acc["n"] == 0, F.lit(None).cast("double")).otherwise(acc["s"] / acc["n"])
-
-    return F.when(reported.isNull() | c.isNull(), F.lit(0.0)).otherwise(F.aggregate(micros, zero, step, finish))

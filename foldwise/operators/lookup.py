@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,12 +28,17 @@ class Lookup:
     @classmethod
     def fit(cls, lut: DataFrame, max_local_rows: int = DEFAULT_MAX_LOCAL_ROWS) -> "Lookup":
         spark = lut.sparkSession
-        head = lut.limit(max_local_rows + 1).toPandas()
-        if len(head) <= max_local_rows:
-            if len(head) == 0:
-                return cls(spark.createDataFrame([], lut.schema), True)
-            return cls(spark.createDataFrame(head, schema=lut.schema), True)
-        return cls(cut_lineage(lut), False)
+        # computed once: the bounded head and (if over the bound) the checkpoint read the cache
+        cached = lut.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            head = cached.limit(max_local_rows + 1).toPandas()
+            if len(head) <= max_local_rows:
+                if len(head) == 0:
+                    return cls(spark.createDataFrame([], lut.schema), True)
+                return cls(spark.createDataFrame(head, schema=lut.schema), True)
+            return cls(cut_lineage(cached), False)
+        finally:
+            cached.unpersist()
 
     def join(self, df: DataFrame, on, how: str = "left") -> DataFrame:
         right = F.broadcast(self.df) if self.broadcastable else self.df
