@@ -187,14 +187,14 @@ def q_target_unseen(spark, d):
                  train_filter=F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp"), keep=("ID", "o_custkey"))
 
 
-def dirichlet_sql(features, moments, mode="expected", n_samples=50, f=0.8, n_classes=5):
+def dirichlet_sql(features, moments, mode="expected", n_samples=50, f=0.8, n_classes=5, target="o_orderpriority"):
     w = _weight_sql(mode, n_samples, f)
     sc = _scale_sql(mode, n_samples, f)
     ctes = [
         f"e0 AS (SELECT * FROM {ENTITY_SQL})",
-        "codes AS (SELECT o_orderpriority AS lvl, CAST(row_number() OVER (ORDER BY o_orderpriority) - 1 AS INTEGER) AS y "
-        "FROM (SELECT DISTINCT o_orderpriority FROM e0))",
-        f"e AS (SELECT e0.*, codes.y, {w} AS w FROM e0 JOIN codes ON e0.o_orderpriority = codes.lvl)",
+        f"codes AS (SELECT {target} AS lvl, CAST(row_number() OVER (ORDER BY {target}) - 1 AS INTEGER) AS y "
+        f"FROM (SELECT DISTINCT {target} FROM e0))",
+        f"e AS (SELECT e0.*, codes.y, {w} AS w FROM e0 JOIN codes ON e0.{target} = codes.lvl)",
         "s AS (SELECT count(*) AS n FROM e)",
         "pr AS (SELECT y, count(*) / max(s.n) AS prior FROM e, s GROUP BY y)",
     ]
