@@ -1,6 +1,6 @@
 """Fold assignment, splits and bootstrap draws (D1-D7), all deterministic and distributed.
 
-Rows are "shuffled" by a hash uniform u = uniform(id, seed). Fold ids come from a global
+Rows are "shuffled" by a hash uniform u = uniform(id, seed); ``id_col`` must be a unique row key. Fold ids come from a global
 rank in (stratum, u, id) order computed with a range shuffle (``with_global_rank``), so
 each class is spread evenly over the folds (class counts per fold differ by at most one)
 without a single-partition window and without placing a whole class in one task.
@@ -16,17 +16,35 @@ from foldwise.operators.lookup import Lookup
 from foldwise.operators.ordering import with_global_rank
 
 
+def _rank_narrow(df: DataFrame, strata: list[str], id_col: str, seed: int) -> tuple[DataFrame, bool]:
+    """Rank only (strata, hash, id); the caller joins the result back by the unique id when the
+    input carries other columns, so a wide feature table is never range-shuffled or written."""
+    narrow = df.select(*strata, id_col)
+    ranked = with_global_rank(narrow.withColumn("_u", uniform(F.col(id_col), seed=seed)), [*strata, "_u", id_col], name="_r")
+    return ranked.drop("_u"), set(df.columns) <= {*strata, id_col}
+
+
+def _attach(df: DataFrame, ranked: DataFrame, id_col: str, cols: list[str], is_narrow: bool) -> DataFrame:
+    """Join the assigned columns back by the row key (unique per row; NULL-safe, so no row is lost)."""
+    if is_narrow:
+        return ranked
+    r = ranked.select(F.col(id_col).alias("_rid"), *cols)
+    return df.join(r, df[id_col].eqNullSafe(r["_rid"]), "left").drop("_rid")
+
+
 def stratified_kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int = 42, fold_col: str = "kfold") -> DataFrame:
-    ranked = with_global_rank(df.withColumn("_u", uniform(F.col(id_col), seed=seed)), [label, "_u", id_col], name="_r")
-    return ranked.withColumn(fold_col, ((F.col("_r") - 1) % k).cast("int")).drop("_u", "_r")
+    ranked, is_narrow = _rank_narrow(df, [label], id_col, seed)
+    ranked = ranked.withColumn(fold_col, ((F.col("_r") - 1) % k).cast("int")).drop("_r")
+    return _attach(df, ranked, id_col, [fold_col], is_narrow)
 
 
 def kfold(df: DataFrame, id_col: str, k: int = 5, seed: int = 42, fold_col: str = "kfold", exact: bool = True) -> DataFrame:
     """Plain k-fold. exact: equal parts (rank in hash order mod k); else pmod(xxhash64) with no shuffle."""
     if not exact:
         return df.withColumn(fold_col, F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(k)).cast("int"))
-    ranked = with_global_rank(df.withColumn("_u", uniform(F.col(id_col), seed=seed)), ["_u", id_col], name="_r")
-    return ranked.withColumn(fold_col, ((F.col("_r") - 1) % k).cast("int")).drop("_u", "_r")
+    ranked, is_narrow = _rank_narrow(df, [], id_col, seed)
+    ranked = ranked.withColumn(fold_col, ((F.col("_r") - 1) % k).cast("int")).drop("_r")
+    return _attach(df, ranked, id_col, [fold_col], is_narrow)
 
 
 def equal_width_bins(df: DataFrame, col: str, k: int) -> tuple[list[float], object]:
@@ -62,17 +80,15 @@ def fold_split(df: DataFrame, fold: int, fold_col: str = "kfold") -> tuple[DataF
 def train_test_split(df: DataFrame, id_col: str, test_size: float = 0.25, seed: int = 42,
                      stratify: str | None = None, flag_col: str = "is_test") -> DataFrame:
     """Hash-ordered hold-out. Stratified: per class, the first ceil(test_size * n_class) rows in hash order."""
-    strata = [stratify] if stratify else []
-    base = df.withColumn("_u", uniform(F.col(id_col), seed=seed))
-    if not strata:
-        base = base.withColumn("_s", F.lit(0))
-        strata = ["_s"]
-    ranked = with_global_rank(base, [*strata, "_u", id_col], name="_r")
+    base = df if stratify else df.withColumn("_s", F.lit(0))
+    strata = [stratify] if stratify else ["_s"]
+    ranked, is_narrow = _rank_narrow(base, strata, id_col, seed)
     sizes = ranked.groupBy(*strata).agg(F.min("_r").alias("_start"), F.count(F.lit(1)).alias("_n"))
     j = Lookup.fit(sizes).join(ranked, strata, "inner")
     n_test = F.ceil(F.col("_n") * F.lit(test_size))
-    out = j.withColumn(flag_col, ((F.col("_r") - F.col("_start") + 1) <= n_test).cast("int"))
-    return out.drop("_u", "_r", "_start", "_n", "_s")
+    flags = j.withColumn(flag_col, ((F.col("_r") - F.col("_start") + 1) <= n_test).cast("int"))
+    flags = flags.drop("_r", "_start", "_n", "_s")
+    return _attach(df, flags, id_col, [flag_col], is_narrow)
 
 
 def bootstrap_weights(df: DataFrame, id_col: str, n_samples: int, frac: float, seed: int = 42) -> DataFrame:

@@ -27,6 +27,7 @@ from foldwise.plans import q_child, q_encode, q_quantile
 from foldwise.plans.bindings import ENTITY_SQL, entity, round_doubles
 from foldwise.plans.q_split import FOLDS_SQL
 from foldwise.plans.registry import query
+from foldwise.session import cut_lineage
 
 BIN_CATS = ["o_orderpriority", "c_mktsegment", "n_name", "priority_m"]
 BETA = {"n_name": "n_name", "c_mktsegment": "c_mktsegment", "o_orderpriority": "o_orderpriority"}
@@ -46,6 +47,7 @@ def binary_features(spark, d):
     st = E.fit_beta(e, "target", BETA, "ID", n_samples=50, sample_size=0.8, seed=42, mode="expected")
     e = E.beta_transform(e, st, ("mean",))
     e = E.one_hot(e, E.collect_levels(e, ONE_HOT))
+    e = cut_lineage(e)  # the encoded table is written once; the quantile fit jobs read it
     qst, _ = Q.fit_quantiles(e, QCOLS, q_quantile.NQ)
     e = Q.quantile_transform(e, qst, QCOLS, "normal")
     e = SP.stratified_kfold(e, "target", "ID", 5, 42)
@@ -103,6 +105,7 @@ def multiclass_features(spark, d):
     st = E.fit_dirichlet(e, "y", DIR, "ID", n_samples=50, sample_size=0.8, seed=42, mode="expected")
     e = E.dirichlet_transform(e, st, ("mean",))
     e = E.one_hot(e, E.collect_levels(e, ["c_mktsegment", "o_orderpriority"]))
+    e = cut_lineage(e)  # the encoded table is written once; the quantile fit jobs read it
     qst, _ = Q.fit_quantiles(e, QCOLS, q_quantile.NQ)
     e = Q.quantile_transform(e, qst, QCOLS, "normal")
     e = SP.stratified_kfold(e, "y", "ID", 3, 42)
