@@ -133,8 +133,8 @@ def q_clean_numeric(spark, d):
 @query(
     "feature_union",
     sql="""SELECT o_orderkey, round(ln(1 + o_totalprice), 6) AS price_log1p,
-  dayofmonth(o_orderdate) AS od_day, isodow(o_orderdate) - 1 AS od_weekday, month(o_orderdate) AS od_month,
-  year(o_orderdate) AS od_year, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_final FROM orders""",
+  CAST(dayofmonth(o_orderdate) AS INTEGER) AS od_day, CAST(isodow(o_orderdate) - 1 AS INTEGER) AS od_weekday, CAST(month(o_orderdate) AS INTEGER) AS od_month,
+  CAST(year(o_orderdate) AS INTEGER) AS od_year, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_final FROM orders""",
 )
 def q_feature_union(spark, d):
     o = table(spark, d, "orders")

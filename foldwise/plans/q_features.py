@@ -94,8 +94,8 @@ def q_bins(spark, d):
 
 @query(
     "date_parts",
-    sql="SELECT o_orderkey, dayofmonth(o_orderdate) AS o_orderdate_day, isodow(o_orderdate) - 1 AS o_orderdate_weekday, "
-    "month(o_orderdate) AS o_orderdate_month, year(o_orderdate) AS o_orderdate_year FROM orders",
+    sql="SELECT o_orderkey, CAST(dayofmonth(o_orderdate) AS INTEGER) AS o_orderdate_day, CAST(isodow(o_orderdate) - 1 AS INTEGER) AS o_orderdate_weekday, "
+    "CAST(month(o_orderdate) AS INTEGER) AS o_orderdate_month, CAST(year(o_orderdate) AS INTEGER) AS o_orderdate_year FROM orders",
 )
 def q_date_parts(spark, d):
     o = table(spark, d, "orders")

@@ -117,8 +117,8 @@ _RECODE_SQL = "CASE o_orderpriority " + " ".join(f"WHEN '{k}' THEN '{v}'" for k,
 _MC_LEVELS = ["3-MEDIUM", "5-LOW", "HIGH", "UNKNOWN"]
 _MC_SQL = f"""WITH base AS (SELECT ID, o_orderstatus, c_mktsegment, {_RECODE_SQL} AS o_orderpriority, o_orderdate, o_totalprice, c_acctbal FROM {ENTITY_SQL}),
   cs AS ({q_child.SUMMARY_SQL}),
-  fl AS (SELECT ID, dayofmonth(o_orderdate) AS o_orderdate_day, isodow(o_orderdate) - 1 AS o_orderdate_weekday,
-    month(o_orderdate) AS o_orderdate_month, year(o_orderdate) AS o_orderdate_year,
+  fl AS (SELECT ID, CAST(dayofmonth(o_orderdate) AS INTEGER) AS o_orderdate_day, CAST(isodow(o_orderdate) - 1 AS INTEGER) AS o_orderdate_weekday,
+    CAST(month(o_orderdate) AS INTEGER) AS o_orderdate_month, CAST(year(o_orderdate) AS INTEGER) AS o_orderdate_year,
     {", ".join(f"CAST(coalesce({c} < {lo} OR {c} > {hi}, false) AS INTEGER) AS {c}_outlier" for c, (lo, hi) in _OUT.items())},
     {q_encode._onehot_sql('c_mktsegment', q_encode.SEGMENT_LEVELS)}, {q_encode._onehot_sql('o_orderpriority', _MC_LEVELS)} FROM base),
   di AS ({q_encode.dirichlet_sql(DIR, ("mean",), n_classes=3, target="o_orderstatus")}),

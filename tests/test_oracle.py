@@ -12,9 +12,17 @@ SQL = entry.oracle_sql()
 TIE_SENSITIVE = {"group_stats_b"}
 
 
+SAME_TYPE = {("bigint", "BIGINT"), ("int", "INTEGER"), ("double", "DOUBLE"), ("string", "VARCHAR"),
+             ("timestamp_ntz", "TIMESTAMP"), ("boolean", "BOOLEAN")}
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_oracle(spark, duck, name):
-    sdf = entry.queries()[name](spark, SMALL).toPandas()
+    df = entry.queries()[name](spark, SMALL)
+    oracle_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {SQL[name]}").fetchall()}
+    for f in df.schema.fields:
+        assert (f.dataType.simpleString(), oracle_types.get(f.name)) in SAME_TYPE, (f.name, f.dataType, oracle_types.get(f.name))
+    sdf = df.toPandas()
     odf = duck.execute(SQL[name]).df()
     assert sorted(sdf.columns) == sorted(odf.columns)
     assert len(sdf) == len(odf)
