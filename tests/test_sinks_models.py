@@ -68,3 +68,16 @@ def test_missforest_fills_everything_and_transforms_new_batches(spark):
     assert filled.count() == df.count()
     again = I.transform_missforest(df, st, MF_CATS, MF_NUMS)
     assert again.where(F.col("priority_m").isNull() | F.col("acctbal_m").isNull()).count() == 0
+
+
+def test_csv_scan_with_schema_and_row_cap(spark):
+    from foldwise.sources.tables import read_csv, table
+
+    orders = table(spark, SMALL, "orders")
+    path = os.path.join(_scratch(), "orders_csv")
+    sinks.write_table(orders, path, fmt="csv")
+    back = read_csv(spark, path, orders.schema)
+    assert back.schema == orders.schema
+    assert sorted(back.collect()) == sorted(orders.collect())
+    capped = read_csv(spark, path, orders.schema, limit=25)
+    assert capped.count() == 25
