@@ -106,7 +106,8 @@ def confusion_matrix(df: DataFrame, label: str, pred: str, classes: list) -> Dat
 
 
 def classification_report(cm: DataFrame, label: str, pred: str) -> DataFrame:
-    """precision / recall / f1 / support per class, plus macro and weighted averages (0/0 -> 0)."""
+    """precision / recall / f1 / support per class, an accuracy row (value in f1, as in the usual
+    report layout), and macro and weighted averages (0/0 -> 0)."""
     cm = Lookup.fit(cm).df  # classes x classes rows: materialise once, read three times
     tp = cm.where(F.col(label) == F.col(pred)).select(F.col(label).alias("cls"), F.col("count").alias("tp"))
     pred_tot = cm.groupBy(F.col(pred).alias("cls")).agg(F.sum("count").alias("pred_n"))
@@ -127,7 +128,12 @@ def classification_report(cm: DataFrame, label: str, pred: str) -> DataFrame:
         (F.sum(F.col("recall") * F.col("support")) / tot).alias("recall"), tot.alias("support"),
         (F.sum(F.col("f1") * F.col("support")) / tot).alias("f1"),
     )
-    return per.unionByName(macro).unionByName(weighted)
+    acc = per.agg(
+        F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
+        F.lit(None).cast("double").alias("recall"), tot.alias("support"),
+        (F.sum(F.col("recall") * F.col("support")) / tot).alias("f1"),  # sum of true positives / n
+    )
+    return per.unionByName(acc).unionByName(macro).unionByName(weighted)
 
 
 def macro_f1(cm: DataFrame, label: str, pred: str) -> DataFrame:

@@ -121,6 +121,7 @@ _PER_CLASS = f"""(SELECT CAST(t.y AS VARCHAR) AS label,
   JOIN (SELECT y, sum(count) AS n FROM {_CM_SQL} GROUP BY y) s ON s.y = t.y)"""
 _PER_F1 = f"(SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM {_PER_CLASS})"
 _REPORT_SQL = f"""SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, support, round(f1, 6) AS f1 FROM {_PER_F1}
+  UNION ALL SELECT 'accuracy', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(sum(support) AS BIGINT), round(sum(recall * support) / sum(support), 6) FROM {_PER_F1}
   UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), CAST(sum(support) AS BIGINT), round(avg(f1), 6) FROM {_PER_F1}
   UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
     CAST(sum(support) AS BIGINT), round(sum(f1 * support) / sum(support), 6) FROM {_PER_F1}"""
