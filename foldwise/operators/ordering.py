@@ -17,7 +17,7 @@ checkpoint also makes the result survive executor loss without recomputing the s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

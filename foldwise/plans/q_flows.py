@@ -22,7 +22,6 @@ from foldwise.operators import models as ML
 from foldwise.operators import quantile as Q
 from foldwise.operators import split as SP
 from foldwise.operators.child import attach
-from foldwise.operators.features import combine_key
 from foldwise.plans import q_child, q_encode, q_quantile
 from foldwise.plans.bindings import ENTITY_SQL, entity, round_doubles
 from foldwise.plans.q_split import FOLDS_SQL

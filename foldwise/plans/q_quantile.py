@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from foldwise.functions.normal import norm_cdf_sql, norm_ppf_sql
 from foldwise.operators import quantile as Q

@@ -13,7 +13,7 @@ from foldwise.operators import encode as E
 from foldwise.operators import metrics as M
 from foldwise.operators.clean import mode_value
 from foldwise.plans.bindings import ENTITY_SQL, entity, round_doubles
-from foldwise.plans.q_metrics import STATUS_CLASSES, TOY_SQL, _auc_sql, _clip, toy
+from foldwise.plans.q_metrics import TOY_SQL, _auc_sql, _clip, toy
 from foldwise.plans.q_split import FOLDS_SQL, K, folds
 from foldwise.plans.registry import query
 
