@@ -77,7 +77,7 @@ def frequency_encode(df: DataFrame, col: str, enc: Lookup, out: str, unseen: flo
     return j.withColumn(out, val).drop("_lvl", "_freq")
 
 
-def fit_combine_frequency(df: DataFrame, cols: list[str]) -> tuple[list[tuple[str, str]], Lookup]:
+def fit_combine_frequency(df: DataFrame, cols: list[str]) -> tuple[list[tuple[str, str]], dict]:
     """Frequencies of all 2-column combination keys in ONE exploded aggregation."""
     pairs = list(combinations(cols, 2))
     stacked = df.select(
@@ -88,15 +88,19 @@ def fit_combine_frequency(df: DataFrame, cols: list[str]) -> tuple[list[tuple[st
     n = df.count()
     counts = stacked.groupBy("_pair", "_key").agg(F.count(F.lit(1)).alias("_n"))
     lut = counts.select("_pair", "_key", (F.col("_n") / F.lit(float(max(n, 1)))).alias("_freq"))
-    return pairs, Lookup.fit(lut)
+    return pairs, Lookup.fit_split(lut, "_pair")  # one size check per pair
 
 
-def combine_frequency(df: DataFrame, pairs, enc: Lookup, unseen: float = 0.0) -> DataFrame:
+def combine_frequency(df: DataFrame, pairs, enc: dict, unseen: float = 0.0) -> DataFrame:
     out = df
     for a, b in pairs:
         name = f"{a}_{b}"
-        lut = enc.df.where(F.col("_pair") == name).select(F.col("_key").alias(f"_k_{name}"), F.col("_freq").alias(f"_f_{name}"))
-        right = F.broadcast(lut) if enc.broadcastable else lut
+        lk = enc.get(name)
+        if lk is None:  # empty fit: every key is unseen
+            out = out.withColumn(name, F.lit(unseen))
+            continue
+        lut = lk.df.select(F.col("_key").alias(f"_k_{name}"), F.col("_freq").alias(f"_f_{name}"))
+        right = F.broadcast(lut) if lk.broadcastable else lut
         out = out.join(right, combine_key([a, b]) == F.col(f"_k_{name}"), "left")
         out = out.withColumn(name, F.coalesce(F.col(f"_f_{name}"), F.lit(unseen))).drop(f"_k_{name}", f"_f_{name}")
     return out
@@ -143,15 +147,17 @@ def fit_stacked(df: DataFrame, features: dict[str, list[str]], carry: list[str],
         for name, keys in features.items()
     ]
     long = df.select(*carry, F.explode(F.array(*structs)).alias("_s")).select(*carry, "_s._f", "_s._k")
-    stats = Lookup.fit(long.where(F.col("_k").isNotNull()).groupBy("_f", "_k").agg(*aggs))
-    value_cols = [c for c in stats.df.columns if c not in ("_f", "_k")]
+    stats = long.where(F.col("_k").isNotNull()).groupBy("_f", "_k").agg(*aggs)
+    per_feature = Lookup.fit_split(stats, "_f")  # each feature's lookup gets its own size check
+    value_cols = [c for c in stats.columns if c not in ("_f", "_k")]
     out = {}
     for name, keys in features.items():
-        sub = stats.df.where(F.col("_f") == name).select(
+        lk = per_feature.get(name) or Lookup(df.sparkSession.createDataFrame([], stats.schema), True)
+        sub = lk.df.select(
             *[F.element_at("_k", i + 1).cast(df.schema[k].dataType).alias(k) for i, k in enumerate(keys)],
             *[F.col(c).alias(f"{c}_{name}") for c in value_cols],
         )
-        out[name] = Lookup(sub, stats.broadcastable)
+        out[name] = Lookup(sub, lk.broadcastable)
     return out
 
 

@@ -18,6 +18,14 @@ from foldwise.session import cut_lineage
 
 DEFAULT_MAX_LOCAL_ROWS = 200_000
 MAX_LEVELS = 5_000
+BOUND_CONF = "foldwise.lookup.maxLocalRows"  # optional session setting overriding the bound
+
+
+def _bound(spark, given: int | None) -> int:
+    if given:
+        return given
+    conf = spark.conf.get(BOUND_CONF, None)
+    return int(conf) if conf else DEFAULT_MAX_LOCAL_ROWS
 
 
 @dataclass
@@ -26,8 +34,9 @@ class Lookup:
     broadcastable: bool
 
     @classmethod
-    def fit(cls, lut: DataFrame, max_local_rows: int = DEFAULT_MAX_LOCAL_ROWS) -> "Lookup":
+    def fit(cls, lut: DataFrame, max_local_rows: int | None = None) -> "Lookup":
         spark = lut.sparkSession
+        max_local_rows = _bound(spark, max_local_rows)
         # computed once: the bounded head and (if over the bound) the checkpoint read the cache
         cached = lut.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -40,6 +49,32 @@ class Lookup:
         finally:
             cached.unpersist()
 
+    @classmethod
+    def fit_split(cls, lut: DataFrame, by: str, max_local_rows: int | None = None) -> dict:
+        """One lookup per value of ``by`` (e.g. per encoded feature), each with its own size check:
+        a feature with millions of levels is shuffle-joined without costing the small ones their
+        broadcast. The table is computed once (cached); all small parts come back in one job."""
+        spark = lut.sparkSession
+        max_local_rows = _bound(spark, max_local_rows)
+        cached = lut.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            sizes = {r[by]: r["_rows"] for r in cached.groupBy(by).agg(F.count(F.lit(1)).alias("_rows")).collect()}
+            small = [k for k, n in sizes.items() if n <= max_local_rows]
+            out = {}
+            if small and sum(sizes[k] for k in small) <= max_local_rows * 4:
+                pdf = cached.where(F.col(by).isin(small)).toPandas()
+                for k in small:
+                    out[k] = cls(spark.createDataFrame(pdf[pdf[by] == k], schema=lut.schema), True)
+            else:
+                for k in small:
+                    out[k] = cls(spark.createDataFrame(cached.where(F.col(by) == F.lit(k)).toPandas(), schema=lut.schema), True)
+            for k in sizes:
+                if k not in out:
+                    out[k] = cls(cut_lineage(cached.where(F.col(by) == F.lit(k))), False)
+            return out
+        finally:
+            cached.unpersist()
+
     def join(self, df: DataFrame, on, how: str = "left") -> DataFrame:
         right = F.broadcast(self.df) if self.broadcastable else self.df
         return df.join(right, on, how)

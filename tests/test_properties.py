@@ -156,3 +156,20 @@ def test_hot_label_is_split_across_range_partitions(spark):
     ranked = with_global_rank(df, ["label", "_u", "id"], name="r", partitions=12)
     sizes = [r["c"] for r in ranked.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("c")).collect()]
     assert max(sizes) < 2.0 * n / 12
+
+
+def test_stacked_fit_decides_broadcast_per_feature(spark):
+    df = spark.range(0, 3000).select(
+        F.col("id").alias("ID"), (F.col("id") % 2).cast("int").alias("y"),
+        (F.col("id") % 1500).cast("string").alias("wide"), (F.col("id") % 3).cast("string").alias("narrow"))
+    spark.conf.set("foldwise.lookup.maxLocalRows", "100")
+    try:
+        st = E.fit_beta(df, "y", {"wide": "wide", "narrow": "narrow"}, "ID", mode="expected", sample_size=1.0)
+    finally:
+        spark.conf.unset("foldwise.lookup.maxLocalRows")
+    assert not st.lookups["wide"].broadcastable and st.lookups["narrow"].broadcastable
+    got = {r["ID"]: (r["wide__M"], r["narrow__M"]) for r in E.beta_transform(df, st).collect()}
+    # wide level = id % 1500 holds ids {i, i+1500}: same parity -> both positives or both negatives
+    assert got[0][0] == pytest.approx((0.5 + 0) / (0.5 + 0 + 0.5 + 2))
+    assert got[1][0] == pytest.approx((0.5 + 2) / (0.5 + 2 + 0.5 + 0))
+    assert got[0][1] == pytest.approx((0.5 + 500) / (0.5 + 500 + 0.5 + 500))
