@@ -96,3 +96,27 @@ def test_unseen_pair_key_frequency_zero(spark):
     test = spark.createDataFrame([("x", "y"), ("q", "q"), ("x", None)], "a string, b string")
     got = [r["a_b"] for r in E.combine_frequency(test, pairs, enc).collect()]
     assert sorted(got) == sorted([2 / 3, 0.0, 1 / 3])
+
+
+def test_hot_key_child_summary_matches_brute_force(spark):
+    """A third of the child rows belong to one entity: the one-pass summary still matches pandas,
+    and the hot key reaches the reducer as pre-aggregated rows (one per map partition)."""
+    from foldwise.plans.bindings import child
+    from tests.conftest import SMALL
+
+    ch = child(spark, SMALL).select("ID", "l_returnflag", "l_quantity", "l_extendedprice")
+    ch = ch.withColumn("ID", F.when(F.col("l_extendedprice") < F.lit(30000.0), F.lit(0)).otherwise(F.col("ID")))
+    levels = CH.fit_child_levels(ch, ["l_returnflag"])
+    out = CH.child_summary(ch, "ID", levels=levels, num_cols=["l_quantity"]).toPandas().set_index("ID").sort_index()
+    pdf = ch.toPandas()
+    assert (pdf["ID"] == 0).mean() > 0.25
+    g = pdf.groupby("ID")
+    exp_mean = g["l_quantity"].mean()
+    exp_std = g["l_quantity"].std().fillna(0.0)
+    assert (abs(out["l_quantity__mean"] - exp_mean) < 1e-9).all()
+    assert (abs(out["l_quantity__std"] - exp_std) < 1e-9).all()
+    for lv in levels["l_returnflag"]:
+        exp = pdf.assign(h=(pdf["l_returnflag"] == lv).astype(int)).groupby("ID")["h"].sum()
+        assert (out[f"l_returnflag__{lv}"] == exp).all()
+    plan = CH.child_summary(ch, "ID", levels=levels, num_cols=["l_quantity"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_" in plan  # map-side combine before the shuffle
