@@ -12,6 +12,8 @@ checked on its own elsewhere, keyed by ID.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,25 +34,56 @@ BIN_CATS = ["o_orderpriority", "c_mktsegment", "n_name", "priority_m"]
 BETA = {"n_name": "n_name", "c_mktsegment": "c_mktsegment", "o_orderpriority": "o_orderpriority"}
 ONE_HOT = ["o_orderpriority", "c_mktsegment"]
 QCOLS = ["o_totalprice", "c_acctbal"]
+FILLS = {"priority_m": "no_policy", "acctbal_m": 0.0}
 
 
 def _drop_text(df, keep=("ID",)):
     return df.select(*[f.name for f in df.schema.fields if f.name in keep or not isinstance(f.dataType, T.StringType)])
 
 
+@dataclass
+class BinaryFlowState:
+    """Everything the binary flow learned at fit time (small, bounded tables and lists)."""
+
+    pairs: list
+    freq: dict
+    beta: E.BetaState
+    levels: dict
+    quantiles: Q.QuantileState
+
+
+def fit_binary_flow(train):
+    """Fit on training rows (ID, target, categories, acctbal_m, numerics)."""
+    x = C.fill(train, FILLS)
+    pairs, freq = E.fit_combine_frequency(x, BIN_CATS)
+    beta = E.fit_beta(x, "target", BETA, "ID", n_samples=50, sample_size=0.8, seed=42, mode="expected")
+    levels = E.collect_levels(x, ONE_HOT)
+    qst, _ = Q.fit_quantiles(x, QCOLS, q_quantile.NQ)
+    return BinaryFlowState(pairs, freq, beta, levels, qst)
+
+
+def apply_binary_flow(df, st: BinaryFlowState):
+    """Stateless per row given the fitted state: valid on a new batch or on a stream."""
+    x = C.fill(df, FILLS)
+    x = E.combine_frequency(x, st.pairs, st.freq)
+    x = E.beta_transform(x, st.beta, ("mean",))
+    x = E.one_hot(x, st.levels)
+    return Q.quantile_transform(x, st.quantiles, QCOLS, "normal")
+
+
 def binary_features(spark, d):
     e = entity(spark, d).select("ID", "target", *BIN_CATS, "acctbal_m", *QCOLS)
-    e = C.fill(e, {"priority_m": "no_policy", "acctbal_m": 0.0})
-    pairs, freq = E.fit_combine_frequency(e, BIN_CATS)
-    e = E.combine_frequency(e, pairs, freq)
-    st = E.fit_beta(e, "target", BETA, "ID", n_samples=50, sample_size=0.8, seed=42, mode="expected")
-    e = E.beta_transform(e, st, ("mean",))
-    e = E.one_hot(e, E.collect_levels(e, ONE_HOT))
-    e = cut_lineage(e)  # the encoded table is written once; the quantile fit jobs read it
-    qst, _ = Q.fit_quantiles(e, QCOLS, q_quantile.NQ)
-    e = Q.quantile_transform(e, qst, QCOLS, "normal")
-    e = SP.stratified_kfold(e, "target", "ID", 5, 42)
-    return _drop_text(e)
+    x = C.fill(e, FILLS)
+    pairs, freq = E.fit_combine_frequency(x, BIN_CATS)
+    x = E.combine_frequency(x, pairs, freq)
+    st = E.fit_beta(x, "target", BETA, "ID", n_samples=50, sample_size=0.8, seed=42, mode="expected")
+    x = E.beta_transform(x, st, ("mean",))
+    x = E.one_hot(x, E.collect_levels(x, ONE_HOT))
+    x = cut_lineage(x)  # the encoded table is written once; the quantile fit jobs read it
+    qst, _ = Q.fit_quantiles(x, QCOLS, q_quantile.NQ)
+    x = Q.quantile_transform(x, qst, QCOLS, "normal")
+    x = SP.stratified_kfold(x, "target", "ID", 5, 42)
+    return _drop_text(x)
 
 
 def _pair_sql():
@@ -87,6 +120,51 @@ def q_binary_oof(spark, d):
     return oof.select("ID", "kfold", F.col("target").cast("int").alias("target"), F.col("probs")[1].alias("target_pred1"))
 
 
+_CUT = "o_orderdate < TIMESTAMP '1997-01-01'"
+_TRAIN_SRC = f"(SELECT * FROM {ENTITY_SQL} WHERE {_CUT})"
+
+
+def _unseen_pair_sql():
+    ctes, sel, joins = [], [], []
+    for i, a in enumerate(BIN_CATS):
+        for b in BIN_CATS[i + 1:]:
+            key = lambda t: (f"concat_ws('_', coalesce(CAST({t}.{a} AS VARCHAR), 'nan'), "
+                             f"coalesce(CAST({t}.{b} AS VARCHAR), 'nan'))")
+            ctes.append(f"p_{a}_{b} AS (SELECT {key('tr')} AS k, count(*) / (SELECT count(*) FROM tr) AS f FROM tr GROUP BY 1)")
+            joins.append(f"LEFT JOIN p_{a}_{b} ON {key('t')} = p_{a}_{b}.k")
+            sel.append(f"round(coalesce(p_{a}_{b}.f, 0.0), 6) AS {a}_{b}")
+    return ctes, sel, joins
+
+
+def _unseen_sql():
+    fill = "coalesce(priority_m, 'no_policy') AS priority_m, round(coalesce(acctbal_m, 0.0), 6) AS acctbal_m"
+    pc, ps, pj = _unseen_pair_sql()
+    beta = q_encode.beta_sql(BETA, ("mean",), train_where=_CUT, keep=("ID",))
+    ctes = [
+        f"tr AS (SELECT ID, o_orderpriority, c_mktsegment, n_name, coalesce(priority_m, 'no_policy') AS priority_m FROM {ENTITY_SQL} WHERE {_CUT})",
+        f"t AS (SELECT ID, o_orderpriority, c_mktsegment, n_name, {fill} FROM {ENTITY_SQL} WHERE NOT ({_CUT}))",
+        *pc,
+        f"cf AS (SELECT t.ID, t.acctbal_m, {', '.join(ps)} FROM t {' '.join(pj)})",
+        f"be AS ({beta})",
+        f"oh AS (SELECT ID, {q_encode._onehot_sql('o_orderpriority', q_encode.PRIORITY_LEVELS)}, "
+        f"{q_encode._onehot_sql('c_mktsegment', q_encode.SEGMENT_LEVELS)} FROM {ENTITY_SQL})",
+        f"qn AS ({q_quantile._transform_sql('normal', fit_src=_TRAIN_SRC)})",
+    ]
+    return ("WITH " + ",\n".join(ctes) + "\nSELECT cf.*, be.* EXCLUDE (ID), oh.* EXCLUDE (ID), qn.* EXCLUDE (ID) "
+            "FROM cf JOIN be ON cf.ID = be.ID JOIN oh ON cf.ID = oh.ID JOIN qn ON cf.ID = qn.ID")
+
+
+@query("binary_flow_unseen", sql=_unseen_sql())
+def q_binary_flow_unseen(spark, d):
+    """Fit the binary flow on training rows, then transform an unseen batch with the saved state
+    (the reference's predict path). The unseen rows carry no target."""
+    e = entity(spark, d).select("ID", "target", *BIN_CATS, "acctbal_m", *QCOLS, "o_orderdate")
+    cut = F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp")
+    st = fit_binary_flow(e.where(cut).drop("o_orderdate"))
+    unseen = e.where(~cut).drop("o_orderdate", "target")
+    return round_doubles(_drop_text(apply_binary_flow(unseen, st)))
+
+
 # ---- multi-class flow -------------------------------------------------------------------------
 
 RECODE = {"1-URGENT": "HIGH", "2-HIGH": "HIGH", "4-NOT SPECIFIED": "UNKNOWN"}

@@ -70,15 +70,22 @@ def q_standard(spark, d):
     return round_doubles(Q.standard_scale(e, Q.fit_standard(e, QCOLS)))
 
 
-def _refs_sql(nq):
+def _refs_sql(nq, src=None):
+    """linspace(0, 1, n) with n = min(nq, rows of src) (the transformer's n_quantiles rule)."""
+    if src is None:
+        return (
+            f"(SELECT i AS idx, CASE WHEN i = {nq - 1} THEN 1.0 ELSE i * (1.0::DOUBLE / {nq - 1}) END AS prob "
+            f"FROM (SELECT unnest(range({nq})) AS i))"
+        )
+    n = f"(SELECT least({nq}, count(*)) FROM {src})"
     return (
-        f"(SELECT i AS idx, CASE WHEN i = {nq - 1} THEN 1.0 ELSE i * (1.0::DOUBLE / {nq - 1}) END AS prob "
-        f"FROM (SELECT unnest(range({nq})) AS i))"
+        f"(SELECT i AS idx, CASE WHEN i = {n} - 1 THEN 1.0 ELSE i * (1.0::DOUBLE / ({n} - 1)) END AS prob "
+        f"FROM (SELECT unnest(range({nq})) AS i) WHERE i < {n})"
     )
 
 
-def _fitted_sql(col, nq=NQ):
-    raw = _quantiles_sql(ENTITY_SQL, col, _refs_sql(nq))
+def _fitted_sql(col, nq=NQ, src=None):
+    raw = _quantiles_sql(src or ENTITY_SQL, col, _refs_sql(nq, src))
     return f"(SELECT idx, prob AS reference, max(quantile) OVER (ORDER BY idx ROWS UNBOUNDED PRECEDING) AS quantile FROM {raw})"
 
 
@@ -94,8 +101,8 @@ def q_quantile_fit(spark, d):
     return round_doubles(fitted)
 
 
-def _forward_sql(c, output):
-    f = _fitted_sql(c)
+def _forward_sql(c, output, src=None):
+    f = _fitted_sql(c, src=src)
     dq = f"(SELECT quantile AS d, min(reference) AS rlo, max(reference) AS rhi FROM {f} GROUP BY quantile)"
     dq2 = f"(SELECT d, rlo, rhi, lead(d) OVER (ORDER BY d) AS dn, lead(rlo) OVER (ORDER BY d) AS lon FROM {dq})"
     q0 = f"(SELECT min(quantile) FROM {f})"
@@ -121,10 +128,10 @@ def _forward_sql(c, output):
     return dq2, f"CASE WHEN {x} IS NULL THEN NULL ELSE {z} END"
 
 
-def _transform_sql(output, rounded=True):
+def _transform_sql(output, rounded=True, fit_src=None):
     joins, sel = [], ["e.ID"]
     for c in QCOLS:
-        dq2, expr = _forward_sql(c, output)
+        dq2, expr = _forward_sql(c, output, fit_src)
         joins.append(f"ASOF LEFT JOIN {dq2} g_{c} ON e.{c} >= g_{c}.d")
         sel.append(f"round({expr}, 6) AS {c}" if rounded else f"{expr} AS {c}")
     return f"SELECT {', '.join(sel)} FROM {ENTITY_SQL} e " + " ".join(joins)

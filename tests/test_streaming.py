@@ -26,3 +26,24 @@ def test_stream_scores_equal_batch_scores(spark):
     streamed = spark.read.parquet(os.path.join(scratch, "out", "*")).orderBy("ID").collect()
     batch = score_batch(new, st).orderBy("ID").collect()
     assert [tuple(r) for r in streamed] == [tuple(r) for r in batch]
+
+
+def test_fitted_binary_flow_runs_on_a_stream(spark):
+    from foldwise.plans.q_flows import BIN_CATS, QCOLS, apply_binary_flow, fit_binary_flow
+
+    e = entity(spark, SMALL).select("ID", "target", *BIN_CATS, "acctbal_m", *QCOLS, "o_orderdate")
+    cut = F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp")
+    st = fit_binary_flow(e.where(cut).drop("o_orderdate"))
+    new = e.where(~cut).drop("o_orderdate", "target")
+    scratch = tempfile.mkdtemp(prefix="fw-flow-", dir="/tmp")
+    src = os.path.join(scratch, "in")
+    new.write.parquet(src)
+    q = score_stream(read_stream(spark, src, new.schema), lambda b: apply_binary_flow(b, st),
+                     os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"))
+    q.processAllAvailable()
+    q.stop()
+    streamed = spark.read.parquet(os.path.join(scratch, "out", "*"))
+    batch = apply_binary_flow(new, st)
+    cols = sorted(batch.columns)
+    assert sorted(streamed.columns) == cols
+    assert sorted(map(tuple, streamed.select(cols).collect())) == sorted(map(tuple, batch.select(cols).collect()))
