@@ -187,7 +187,8 @@ def q_target_unseen(spark, d):
                  train_filter=F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp"), keep=("ID", "o_custkey"))
 
 
-def dirichlet_sql(features, moments, mode="expected", n_samples=50, f=0.8, n_classes=5, target="o_orderpriority"):
+def dirichlet_sql(features, moments, mode="expected", n_samples=50, f=0.8, n_classes=5, target="o_orderpriority",
+                  train_where="TRUE"):
     w = _weight_sql(mode, n_samples, f)
     sc = _scale_sql(mode, n_samples, f)
     ctes = [
@@ -195,8 +196,9 @@ def dirichlet_sql(features, moments, mode="expected", n_samples=50, f=0.8, n_cla
         f"codes AS (SELECT {target} AS lvl, CAST(row_number() OVER (ORDER BY {target}) - 1 AS INTEGER) AS y "
         f"FROM (SELECT DISTINCT {target} FROM e0))",
         f"e AS (SELECT e0.*, codes.y, {w} AS w FROM e0 JOIN codes ON e0.{target} = codes.lvl)",
-        "s AS (SELECT count(*) AS n FROM e)",
-        "pr AS (SELECT y, count(*) / max(s.n) AS prior FROM e, s GROUP BY y)",
+        f"et AS (SELECT * FROM e WHERE {train_where})",
+        "s AS (SELECT count(*) AS n FROM et)",
+        "pr AS (SELECT y, count(*) / max(s.n) AS prior FROM et, s GROUP BY y)",
     ]
     sel = ["e.ID"]
     joins = []
@@ -208,7 +210,7 @@ def dirichlet_sql(features, moments, mode="expected", n_samples=50, f=0.8, n_cla
         aggs = ", ".join(
             f"(SELECT prior FROM pr WHERE y = {k}) + max({sc}) * sum(CASE WHEN y = {k} THEN w ELSE 0 END) AS a{k}" for k in ks
         )
-        ctes.append(f"l_{name} AS (SELECT {kl}, {aggs} FROM e, s WHERE {nn} GROUP BY {kl})")
+        ctes.append(f"l_{name} AS (SELECT {kl}, {aggs} FROM et, s WHERE {nn} GROUP BY {kl})")
         on = " AND ".join(f"e.{k} = l_{name}.{k}" for k in keys)
         joins.append(f"LEFT JOIN l_{name} ON {on}")
         al = {k: f"coalesce(l_{name}.a{k}, (SELECT prior FROM pr WHERE y = {k}))" for k in ks}

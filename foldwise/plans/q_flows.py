@@ -23,9 +23,10 @@ from foldwise.operators import encode as E
 from foldwise.operators import models as ML
 from foldwise.operators import quantile as Q
 from foldwise.operators import split as SP
-from foldwise.operators.child import attach
+from foldwise.functions.history import history_sum
+from foldwise.operators.child import attach, child_summary, fit_child_levels
 from foldwise.plans import q_child, q_encode, q_quantile
-from foldwise.plans.bindings import ENTITY_SQL, entity, round_doubles
+from foldwise.plans.bindings import ENTITY_SQL, child, entity, round_doubles
 from foldwise.plans.q_split import FOLDS_SQL
 from foldwise.plans.registry import query
 from foldwise.session import cut_lineage
@@ -206,6 +207,82 @@ SELECT fl.*, cs.* EXCLUDE (ID), di.* EXCLUDE (ID), qn.* EXCLUDE (ID), fo.y, fo.k
 FROM fl LEFT JOIN cs ON fl.ID = cs.ID JOIN di ON fl.ID = di.ID JOIN qn ON fl.ID = qn.ID JOIN fo ON fl.ID = fo.ID"""
 
 
+@dataclass
+class MultiFlowState:
+    child_levels: dict
+    bounds: dict
+    target_codes: object
+    dirichlet: E.DirichletState
+    levels: dict
+    quantiles: Q.QuantileState
+
+
+def _mc_base(x, child_summary_df):
+    x = attach(x, child_summary_df, "ID")
+    x = x.withColumn("o_orderpriority", C.recode(F.col("o_orderpriority"), RECODE))
+    return x.withColumns(date_parts(F.col("o_orderdate"), "o_orderdate"))
+
+
+def fit_multiclass_flow(train, train_child):
+    """Fit on training entities and their child rows (entity columns as in the flow)."""
+    levels = fit_child_levels(train_child, q_child.CHILD_CATS)
+    x = _mc_base(train, _child_summary(train_child, levels))
+    bounds = Q.fit_outlier_bounds(x, QCOLS)
+    codes = E.fit_label_encoder(x, "o_orderstatus")
+    x = E.label_encode(x, "o_orderstatus", codes, out="y")
+    dst = E.fit_dirichlet(x, "y", DIR, "ID", n_samples=50, sample_size=0.8, seed=42, mode="expected")
+    oh = E.collect_levels(x, ["c_mktsegment", "o_orderpriority"])
+    qst, _ = Q.fit_quantiles(x, QCOLS, q_quantile.NQ)
+    return MultiFlowState(levels, bounds, codes, dst, oh, qst)
+
+
+def apply_multiclass_flow(batch, batch_child, st: MultiFlowState):
+    """Stateless given the fitted state: the new batch's own child rows are summarised with the
+    fitted level list, then every fitted lookup / bound / quantile is applied."""
+    x = _mc_base(batch, _child_summary(batch_child, st.child_levels))
+    x = Q.outlier_flag(x, st.bounds)
+    x = E.dirichlet_transform(x, st.dirichlet, ("mean",))
+    x = E.one_hot(x, st.levels)
+    return Q.quantile_transform(x, st.quantiles, QCOLS, "normal")
+
+
+def _child_summary(ch, levels):
+    ch = ch.withColumn("amt_hist_sum", history_sum(F.col("amt_hist")))
+    return child_summary(ch, "ID", sum_cols=["self_indicator"], levels=levels, num_cols=q_child.SUMMARY_NUMS)
+
+
+_MC_BASE_SQL = f"""(SELECT e.ID, e.c_mktsegment, {_RECODE_SQL.replace('o_orderpriority', 'e.o_orderpriority')} AS o_orderpriority,
+  e.o_orderdate, e.o_totalprice, e.c_acctbal FROM {ENTITY_SQL} e WHERE NOT ({_CUT}))"""
+
+
+def _mc_unseen_sql():
+    out = {c: (q_quantile._bound(c, "lo", _TRAIN_SRC), q_quantile._bound(c, "hi", _TRAIN_SRC)) for c in QCOLS}
+    di = q_encode.dirichlet_sql(DIR, ("mean",), n_classes=3, target="o_orderstatus", train_where=_CUT)
+    return f"""WITH base AS {_MC_BASE_SQL},
+  cs AS ({q_child.SUMMARY_SQL}),
+  fl AS (SELECT ID, CAST(dayofmonth(o_orderdate) AS INTEGER) AS o_orderdate_day, CAST(isodow(o_orderdate) - 1 AS INTEGER) AS o_orderdate_weekday,
+    CAST(month(o_orderdate) AS INTEGER) AS o_orderdate_month, CAST(year(o_orderdate) AS INTEGER) AS o_orderdate_year,
+    {", ".join(f"CAST(coalesce({c} < {lo} OR {c} > {hi}, false) AS INTEGER) AS {c}_outlier" for c, (lo, hi) in out.items())},
+    {q_encode._onehot_sql('c_mktsegment', q_encode.SEGMENT_LEVELS)}, {q_encode._onehot_sql('o_orderpriority', _MC_LEVELS)} FROM base),
+  di AS ({di}),
+  qn AS ({q_quantile._transform_sql('normal', fit_src=_TRAIN_SRC)})
+SELECT fl.*, cs.* EXCLUDE (ID), di.* EXCLUDE (ID), qn.* EXCLUDE (ID)
+FROM fl LEFT JOIN cs ON fl.ID = cs.ID JOIN di ON fl.ID = di.ID JOIN qn ON fl.ID = qn.ID"""
+
+
+@query("multiclass_flow_unseen", sql=_mc_unseen_sql())
+def q_multiclass_flow_unseen(spark, d):
+    """Fit the multi-class flow on training entities (and their child rows), then transform an
+    unseen batch of entities with their own child rows."""
+    e = entity(spark, d).select("ID", "o_orderstatus", "o_orderpriority", "c_mktsegment", "n_name", "o_orderdate", *QCOLS)
+    ch = child(spark, d)
+    cut = F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp")
+    train, unseen = e.where(cut), e.where(~cut)
+    st = fit_multiclass_flow(train, ch.join(train.select("ID"), "ID", "left_semi"))
+    out = apply_multiclass_flow(unseen.drop("o_orderstatus"), ch.join(unseen.select("ID"), "ID", "left_semi"), st)
+    return round_doubles(_drop_text(out.drop("o_orderdate")))
+
+
 @query("multiclass_feature_table", sql=_MC_SQL)
 def q_multiclass_features(spark, d):
     return round_doubles(multiclass_features(spark, d))

@@ -27,8 +27,8 @@ _BOUNDS_SQL = {
 }
 
 
-def _bound(c, which):
-    q = _BOUNDS_SQL[c]
+def _bound(c, which, src=None):
+    q = _BOUNDS_SQL[c] if src is None else _quantiles_sql(src, c, "(SELECT unnest([0.25, 0.75]) AS prob)")
     q1 = f"(SELECT quantile FROM {q} WHERE prob = 0.25)"
     q3 = f"(SELECT quantile FROM {q} WHERE prob = 0.75)"
     return f"({q1} - 1.5 * ({q3} - {q1}))" if which == "lo" else f"({q3} + 1.5 * ({q3} - {q1}))"
