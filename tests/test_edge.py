@@ -120,3 +120,11 @@ def test_hot_key_child_summary_matches_brute_force(spark):
         assert (out[f"l_returnflag__{lv}"] == exp).all()
     plan = CH.child_summary(ch, "ID", levels=levels, num_cols=["l_quantity"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_" in plan  # map-side combine before the shuffle
+
+
+def test_reference_fixed_values(spark):
+    df = spark.createDataFrame([("Cheque",), ("ECS Reject",), ("Escrow",), ("Billed",), (None,)], "m string")
+    got = [r[0] for r in df.select(C.recode(F.col("m"), C.PAYMENT_MODE_MAP)).collect()]
+    assert got == ["PDC", "Reject", "Direct Debit", "Billed", None]
+    dur = spark.createDataFrame([("14+",), ("3",), (None,), ("x",)], "d string")
+    assert [r[0] for r in dur.select(C.recode_censored(F.col("d"))).collect()] == [15.0, 3.0, 0.0, 0.0]
