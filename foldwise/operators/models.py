@@ -74,9 +74,10 @@ def train_oof(df: DataFrame, id_col: str, features: list[str], label: str, fold_
 
 
 def train_ovr_gbt_oof(df: DataFrame, id_col: str, features: list[str], label: str, n_classes: int,
-                      fold_col: str, k: int, params: dict | None = None) -> DataFrame:
+                      fold_col: str, k: int, params: dict | None = None, early_stop: bool = False) -> DataFrame:
     """Multi-class boosting from binary GBTs: one model per (fold, class), class-1 probabilities
-    stacked in class order and renormalised per row (Spark's GBT is binary only)."""
+    stacked in class order and renormalised per row (Spark's GBT is binary only). With
+    ``early_stop`` each per-class model stops on the fold's validation rows, as in the binary case."""
     data = assemble(df, features).select(id_col, fold_col, F.col(label).cast("int").alias(label), "features")
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     parts = []
@@ -85,7 +86,12 @@ def train_ovr_gbt_oof(df: DataFrame, id_col: str, features: list[str], label: st
         scored = valid
         for c in range(n_classes):
             tr = train.withColumn("_yc", (F.col(label) == c).cast("double"))
-            m = estimator("gbt", "_yc", params).fit(tr)
+            if early_stop:
+                va = valid.withColumn("_yc", (F.col(label) == c).cast("double"))
+                both = tr.withColumn("_is_valid", F.lit(False)).unionByName(va.withColumn("_is_valid", F.lit(True)))
+                m = estimator("gbt", "_yc", {**(params or {}), "validationIndicatorCol": "_is_valid"}).fit(both)
+            else:
+                m = estimator("gbt", "_yc", params).fit(tr)
             s = m.transform(scored).withColumn(f"_p{c}", vector_to_array(F.col("probability"))[1])
             scored = s.drop("rawPrediction", "probability", "prediction")
         probs = B.normalise(F.array(*[F.col(f"_p{c}") for c in range(n_classes)]), n_classes)

@@ -46,7 +46,7 @@ def q_gbt_oof(spark, d):
 @query("train_multiclass_oof")
 def q_multi_oof(spark, d):
     mf = model_frame(spark, d, k=3, stratify="y")
-    oof = ML.train_ovr_gbt_oof(mf, "ID", FEATURES, "y", 3, "kfold", 3, {"maxIter": 10, "maxDepth": 4})
+    oof = ML.train_ovr_gbt_oof(mf, "ID", FEATURES, "y", 3, "kfold", 3, {"maxIter": 10, "maxDepth": 4}, early_stop=True)
     return oof.select("ID", "kfold", "y", *[F.col("probs")[c].alias(f"y_pred{c}") for c in range(3)])
 
 
