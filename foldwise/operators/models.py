@@ -158,3 +158,19 @@ def permute_column(df: DataFrame, id_col: str, col: str, seed: int = 7) -> DataF
     n = ranked.count()
     donor = ranked.select((F.col("_r") % F.lit(n) + 1).alias("_r"), F.col(col).alias("_donor"))
     return ranked.join(donor, "_r").withColumn(col, F.col("_donor")).drop("_donor", "_r", "_u")
+
+
+def score_with_folds(df: DataFrame, fold_models: list, features: list[str], n_classes: int,
+                     out: str = "probs") -> DataFrame:
+    """Score a batch with every fold model in ONE scan: the k ``transform`` calls are chained
+    (each writes its own output columns), then the probability vectors are averaged and
+    renormalised per row and the argmax class is added. No per-fold scan, no join."""
+    x = assemble(df, features)
+    cols = []
+    for i, m in enumerate(fold_models):
+        m = m.copy()
+        m.setProbabilityCol(f"_prob{i}").setRawPredictionCol(f"_raw{i}").setPredictionCol(f"_pred{i}")
+        x = m.transform(x).withColumn(f"_p{i}", vector_to_array(F.col(f"_prob{i}")))
+        x = x.drop(f"_prob{i}", f"_raw{i}", f"_pred{i}")
+        cols.append(f"_p{i}")
+    return B.fold_average(x, cols, out=out, n_classes=n_classes).drop(*cols, "features")

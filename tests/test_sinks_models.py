@@ -81,3 +81,18 @@ def test_csv_scan_with_schema_and_row_cap(spark):
     assert sorted(back.collect()) == sorted(orders.collect())
     capped = read_csv(spark, path, orders.schema, limit=25)
     assert capped.count() == 25
+
+
+def test_score_with_folds_one_scan(spark):
+    from foldwise.operators import models as ML
+    from foldwise.plans.q_models import FEATURES, model_frame
+
+    mf = model_frame(spark, SMALL)
+    _, fold_models = ML.train_oof(mf, "ID", FEATURES, "target", "kfold", 2, "logreg", {"maxIter": 10})
+    scored = ML.score_with_folds(mf.drop("kfold"), fold_models, FEATURES, n_classes=2)
+    assert scored.count() == mf.count()
+    pdf = scored.select("probs", "pred").toPandas()
+    assert all(abs(sum(p) - 1) < 1e-9 for p in pdf["probs"])
+    base = mf.drop("kfold")._jdf.queryExecution().optimizedPlan().toString()
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == base.count("Join")  # scoring adds no join and no extra scan
