@@ -286,3 +286,21 @@ def q_multiclass_flow_unseen(spark, d):
 @query("multiclass_feature_table", sql=_MC_SQL)
 def q_multiclass_features(spark, d):
     return round_doubles(multiclass_features(spark, d))
+
+
+@query("binary_flow_submission")
+def q_binary_flow_submission(spark, d):
+    """The full predict path: fit the flow on training rows, train one GBT per fold on the
+    training features, transform the unseen batch with the saved flow state and score it with
+    all fold models in one scan; output (ID, P(target = 1))."""
+    e = entity(spark, d).select("ID", "target", *BIN_CATS, "acctbal_m", *QCOLS, "o_orderdate")
+    cut = F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp")
+    train = e.where(cut).drop("o_orderdate")
+    st = fit_binary_flow(train)
+    feats = _drop_text(SP.stratified_kfold(apply_binary_flow(train, st), "target", "ID", 5, 42))
+    cols = [c for c in feats.columns if c not in ("ID", "target", "kfold")]
+    _, fold_models = ML.train_oof(feats, "ID", cols, "target", "kfold", 5, "gbt",
+                                  {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8}, early_stop=True)
+    unseen = _drop_text(apply_binary_flow(e.where(~cut).drop("o_orderdate", "target"), st))
+    scored = ML.score_with_folds(unseen, fold_models, cols, n_classes=2)
+    return scored.select("ID", F.col("probs")[1].alias("target"))
