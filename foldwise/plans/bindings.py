@@ -33,20 +33,40 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
     return df.select(*out)
 
 
-def entity(spark: SparkSession, d: str) -> DataFrame:
+ORDERS_COLS = {"ID", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+               BINARY_TARGET, "priority_m"}
+CUSTOMER_COLS = {"c_acctbal", "c_mktsegment", "acctbal_m"}
+NATION_COLS = {"n_name"}
+
+
+def entity(spark: SparkSession, d: str, cols: list[str] | None = None) -> DataFrame:
+    """The entity table; with ``cols`` only the joins those columns need are planned.
+
+    customer and nation keys are unique, so a LEFT JOIN never changes the row set: when no
+    customer / nation column is requested the join is skipped (Catalyst cannot drop it by
+    itself without a uniqueness constraint, and at scale it is a sort-merge join of the two
+    largest entity tables).
+    """
+    wanted = set(cols) if cols is not None else ORDERS_COLS | CUSTOMER_COLS | NATION_COLS
     o = table(spark, d, "orders")
-    c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    # nation has 25 rows by definition of the schema: a proven broadcast bound
-    n = F.broadcast(table(spark, d, "nation").select("n_nationkey", "n_name"))
-    e = o.join(c, o.o_custkey == c.c_custkey, "left").join(n, c.c_nationkey == n.n_nationkey, "left")
-    return e.select(
-        F.col("o_orderkey").alias("ID"),
-        "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
-        "c_acctbal", "c_mktsegment", "n_name",
-        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias(BINARY_TARGET),
-        F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("priority_m"),
-        F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(F.col("c_acctbal")).alias("acctbal_m"),
-    )
+    e = o
+    if wanted & (CUSTOMER_COLS | NATION_COLS):
+        c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+        e = e.join(c, o.o_custkey == c.c_custkey, "left")
+        if wanted & NATION_COLS:
+            # nation has 25 rows by definition of the schema: a proven broadcast bound
+            n = F.broadcast(table(spark, d, "nation").select("n_nationkey", "n_name"))
+            e = e.join(n, F.col("c_nationkey") == n.n_nationkey, "left")
+    exprs = {
+        "ID": F.col("o_orderkey").alias("ID"),
+        BINARY_TARGET: F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias(BINARY_TARGET),
+        "priority_m": F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("priority_m"),
+        "acctbal_m": F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(F.col("c_acctbal")).alias("acctbal_m"),
+    }
+    order = ["ID", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+             "c_acctbal", "c_mktsegment", "n_name", BINARY_TARGET, "priority_m", "acctbal_m"]
+    names = order if cols is None else list(cols)
+    return e.select(*[exprs.get(c, F.col(c)) for c in names])
 
 
 ENTITY_SQL = """(SELECT o.o_orderkey AS ID, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate,

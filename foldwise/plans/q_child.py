@@ -88,7 +88,7 @@ def q_child_summary(spark, d):
     f"LEFT JOIN ({SUMMARY_SQL}) s ON e.ID = s.ID",
 )
 def q_entity_child_join(spark, d):
-    e = entity(spark, d).select("ID", "o_orderstatus", "o_totalprice")
+    e = entity(spark, d, ["ID", "o_orderstatus", "o_totalprice"])
     return round_doubles(attach(e, summary(spark, d), "ID"))
 
 

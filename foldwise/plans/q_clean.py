@@ -153,7 +153,7 @@ _MODE_SQL = f"""(SELECT priority_m FROM {ENTITY_SQL} WHERE priority_m IS NOT NUL
 
 @query("impute_mode", sql=f"SELECT ID, priority_m, coalesce(priority_m, {_MODE_SQL}) AS priority_filled FROM {ENTITY_SQL}")
 def q_impute_mode(spark, d):
-    e = entity(spark, d).select("ID", "priority_m")
+    e = entity(spark, d, ["ID", "priority_m"])
     mode = C.mode_value(e, "priority_m")
     return e.withColumn("priority_filled", F.coalesce(F.col("priority_m"), F.lit(mode)))
 
@@ -163,7 +163,7 @@ def q_impute_mode(spark, d):
     sql=f"SELECT ID, coalesce(priority_m, 'no_policy') AS priority_m, round(coalesce(acctbal_m, 0.0), 6) AS acctbal_m FROM {ENTITY_SQL}",
 )
 def q_impute_constant(spark, d):
-    e = entity(spark, d).select("ID", "priority_m", "acctbal_m")
+    e = entity(spark, d, ["ID", "priority_m", "acctbal_m"])
     return round_doubles(C.fill(e, {"priority_m": "no_policy", "acctbal_m": 0.0}))
 
 
@@ -172,7 +172,7 @@ def q_impute_constant(spark, d):
     sql=f"SELECT ID, round(coalesce(acctbal_m, (SELECT avg(acctbal_m) FROM {ENTITY_SQL})), 6) AS acctbal_m FROM {ENTITY_SQL}",
 )
 def q_impute_mean(spark, d):
-    e = entity(spark, d).select("ID", "acctbal_m")
+    e = entity(spark, d, ["ID", "acctbal_m"])
     return round_doubles(C.fill(e, C.fit_means(e, ["acctbal_m"])))
 
 

@@ -29,7 +29,7 @@ def _onehot_sql(col, levels):
     f"{_onehot_sql('c_mktsegment', SEGMENT_LEVELS)} FROM {ENTITY_SQL}",
 )
 def q_one_hot(spark, d):
-    e = entity(spark, d).select("ID", "o_orderpriority", "c_mktsegment")
+    e = entity(spark, d, ["ID", "o_orderpriority", "c_mktsegment"])
     levels = E.collect_levels(e, ["o_orderpriority", "c_mktsegment"])
     return E.one_hot(e, levels)
 
@@ -48,7 +48,7 @@ def _codes_sql(col):
   LEFT JOIN {_codes_sql('c_mktsegment')} b ON e.c_mktsegment = b.lvl_c_mktsegment""",
 )
 def q_label_encode(spark, d):
-    e = entity(spark, d).select("ID", "n_name", "c_mktsegment")
+    e = entity(spark, d, ["ID", "n_name", "c_mktsegment"])
     for c in ["n_name", "c_mktsegment"]:
         e = E.label_encode(e, c, E.fit_label_encoder(e, c))
     return e
@@ -60,7 +60,7 @@ def q_label_encode(spark, d):
   FROM {ENTITY_SQL} e LEFT JOIN {_codes_sql('o_orderpriority')} a ON e.o_orderpriority = a.lvl_o_orderpriority""",
 )
 def q_label_decode(spark, d):
-    e = entity(spark, d).select("ID", "o_orderpriority")
+    e = entity(spark, d, ["ID", "o_orderpriority"])
     enc = E.fit_label_encoder(e, "o_orderpriority")
     coded = E.label_encode(e, "o_orderpriority", enc, out="priority_code")
     return E.label_decode(coded, "priority_code", enc, "o_orderpriority", "priority_decoded")
@@ -74,7 +74,7 @@ def q_label_decode(spark, d):
   FROM {ENTITY_SQL}""",
 )
 def q_frequency(spark, d):
-    e = entity(spark, d).select("ID", "n_name", "priority_m")
+    e = entity(spark, d, ["ID", "n_name", "priority_m"])
     for c in ["n_name", "priority_m"]:
         e = E.frequency_encode(e, c, E.fit_frequency(e, c), f"{c}_freq")
     return round_doubles(e)
@@ -97,7 +97,7 @@ def _key_sql(a, b):
     + f" FROM {ENTITY_SQL}",
 )
 def q_combine(spark, d):
-    e = entity(spark, d).select("ID", *COMBINE_COLS)
+    e = entity(spark, d, ["ID", *COMBINE_COLS])
     pairs, enc = E.fit_combine_frequency(e, COMBINE_COLS)
     return round_doubles(E.combine_frequency(e, pairs, enc).drop(*COMBINE_COLS))
 

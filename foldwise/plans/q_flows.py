@@ -73,7 +73,7 @@ def apply_binary_flow(df, st: BinaryFlowState):
 
 
 def binary_features(spark, d):
-    e = entity(spark, d).select("ID", "target", *BIN_CATS, "acctbal_m", *QCOLS)
+    e = entity(spark, d, ["ID", "target", *BIN_CATS, "acctbal_m", *QCOLS])
     x = C.fill(e, FILLS)
     pairs, freq = E.fit_combine_frequency(x, BIN_CATS)
     x = E.combine_frequency(x, pairs, freq)
@@ -159,7 +159,7 @@ def _unseen_sql():
 def q_binary_flow_unseen(spark, d):
     """Fit the binary flow on training rows, then transform an unseen batch with the saved state
     (the reference's predict path). The unseen rows carry no target."""
-    e = entity(spark, d).select("ID", "target", *BIN_CATS, "acctbal_m", *QCOLS, "o_orderdate")
+    e = entity(spark, d, ["ID", "target", *BIN_CATS, "acctbal_m", *QCOLS, "o_orderdate"])
     cut = F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp")
     st = fit_binary_flow(e.where(cut).drop("o_orderdate"))
     unseen = e.where(~cut).drop("o_orderdate", "target")
@@ -173,7 +173,7 @@ DIR = {"n_name": "n_name", "Place": ["n_name", "c_mktsegment"]}
 
 
 def multiclass_features(spark, d):
-    e = entity(spark, d).select("ID", "o_orderstatus", "o_orderpriority", "c_mktsegment", "n_name", "o_orderdate", *QCOLS)
+    e = entity(spark, d, ["ID", "o_orderstatus", "o_orderpriority", "c_mktsegment", "n_name", "o_orderdate", *QCOLS])
     e = attach(e, q_child.summary(spark, d), "ID")
     e = e.withColumn("o_orderpriority", C.recode(F.col("o_orderpriority"), RECODE))
     e = e.withColumns(date_parts(F.col("o_orderdate"), "o_orderdate"))
@@ -274,7 +274,7 @@ FROM fl LEFT JOIN cs ON fl.ID = cs.ID JOIN di ON fl.ID = di.ID JOIN qn ON fl.ID
 def q_multiclass_flow_unseen(spark, d):
     """Fit the multi-class flow on training entities (and their child rows), then transform an
     unseen batch of entities with their own child rows."""
-    e = entity(spark, d).select("ID", "o_orderstatus", "o_orderpriority", "c_mktsegment", "n_name", "o_orderdate", *QCOLS)
+    e = entity(spark, d, ["ID", "o_orderstatus", "o_orderpriority", "c_mktsegment", "n_name", "o_orderdate", *QCOLS])
     ch = child(spark, d)
     cut = F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp")
     train, unseen = e.where(cut), e.where(~cut)
@@ -293,7 +293,7 @@ def q_binary_flow_submission(spark, d):
     """The full predict path: fit the flow on training rows, train one GBT per fold on the
     training features, transform the unseen batch with the saved flow state and score it with
     all fold models in one scan; output (ID, P(target = 1))."""
-    e = entity(spark, d).select("ID", "target", *BIN_CATS, "acctbal_m", *QCOLS, "o_orderdate")
+    e = entity(spark, d, ["ID", "target", *BIN_CATS, "acctbal_m", *QCOLS, "o_orderdate"])
     cut = F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp")
     train = e.where(cut).drop("o_orderdate")
     st = fit_binary_flow(train)

@@ -19,7 +19,7 @@ STATUS_CLASSES = ["F", "O", "P"]  # label-encoded 0, 1, 2 (sorted levels)
 
 
 def toy(spark, d):
-    e = entity(spark, d).select("ID", "target", "o_orderstatus", "o_orderdate")
+    e = entity(spark, d, ["ID", "target", "o_orderstatus", "o_orderdate"])
     y, m = F.year("o_orderdate"), F.month("o_orderdate")
     p1 = ((F.lit(2002) - y) * 12 - m + 12).cast("double") / F.lit(100.0)
     w = F.array(*[c.cast("double") for c in (F.lit(2002) - y, y - F.lit(1994), F.lit(3) + m % 4)])

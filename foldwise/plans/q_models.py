@@ -132,7 +132,7 @@ _TRAIN = "o_orderdate < TIMESTAMP '1997-01-01' AND c_acctbal >= 0"
   FROM {ENTITY_SQL} WHERE NOT (o_orderdate < TIMESTAMP '1997-01-01')""",
 )
 def q_missforest_fallback(spark, d):
-    e = entity(spark, d).select("ID", "acctbal_m", "o_totalprice", "o_orderdate", "c_acctbal")
+    e = entity(spark, d, ["ID", "acctbal_m", "o_totalprice", "o_orderdate", "c_acctbal"])
     cut = F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp")
     train = e.where(cut & (F.col("c_acctbal") >= 0)).select("ID", "acctbal_m", "o_totalprice")
     _, st = I.fit_transform_missforest(train, [], MF_NUMS, extra=["o_totalprice"])  # nothing missing: no model

@@ -41,7 +41,7 @@ def _bound(c, which, src=None):
     + f" FROM {ENTITY_SQL}",
 )
 def q_outlier_flag(spark, d):
-    e = entity(spark, d).select("ID", *QCOLS)
+    e = entity(spark, d, ["ID", *QCOLS])
     return round_doubles(Q.outlier_flag(e, Q.fit_outlier_bounds(e, QCOLS)))
 
 
@@ -52,7 +52,7 @@ def q_outlier_flag(spark, d):
     + f" FROM {ENTITY_SQL}",
 )
 def q_outlier_null(spark, d):
-    e = entity(spark, d).select("ID", *QCOLS)
+    e = entity(spark, d, ["ID", *QCOLS])
     return round_doubles(Q.outlier_null(e, Q.fit_outlier_bounds(e, QCOLS)))
 
 
@@ -66,7 +66,7 @@ def q_outlier_null(spark, d):
     + f" FROM {ENTITY_SQL}",
 )
 def q_standard(spark, d):
-    e = entity(spark, d).select("ID", *QCOLS)
+    e = entity(spark, d, ["ID", *QCOLS])
     return round_doubles(Q.standard_scale(e, Q.fit_standard(e, QCOLS)))
 
 
@@ -139,14 +139,14 @@ def _transform_sql(output, rounded=True, fit_src=None):
 
 @query("quantile_uniform", sql=_transform_sql("uniform"))
 def q_quantile_uniform(spark, d):
-    e = entity(spark, d).select("ID", *QCOLS)
+    e = entity(spark, d, ["ID", *QCOLS])
     st, _ = Q.fit_quantiles(e, QCOLS, NQ)
     return round_doubles(Q.quantile_transform(e, st, QCOLS, "uniform"))
 
 
 @query("quantile_normal", sql=_transform_sql("normal"))
 def q_quantile_normal(spark, d):
-    e = entity(spark, d).select("ID", *QCOLS)
+    e = entity(spark, d, ["ID", *QCOLS])
     st, _ = Q.fit_quantiles(e, QCOLS, NQ)
     return round_doubles(Q.quantile_transform(e, st, QCOLS, "normal"))
 
@@ -169,7 +169,7 @@ def _inverse_sql():
 
 @query("quantile_inverse", sql=_inverse_sql())
 def q_quantile_inverse(spark, d):
-    e = entity(spark, d).select("ID", *QCOLS)
+    e = entity(spark, d, ["ID", *QCOLS])
     st, _ = Q.fit_quantiles(e, QCOLS, NQ)
     z = Q.quantile_transform(e, st, QCOLS, "normal")
     return round_doubles(Q.quantile_inverse(z, st, QCOLS, "normal"))

@@ -52,7 +52,7 @@ _FA = _fold_avg_sql()
 
 
 def _fold_avg(spark, d):
-    e = entity(spark, d).select("ID", "o_orderdate")
+    e = entity(spark, d, ["ID", "o_orderdate"])
     e = e.withColumns({f"fold{f}": fold_model_probs(f) for f in range(K)})
     return B.fold_average(e, [f"fold{f}" for f in range(K)], n_classes=3)
 
@@ -72,7 +72,7 @@ _MB = [f"(({a} + {b}) / 2.0)" for a, b in zip(_A, _B0)]
 
 
 def _two_models(spark, d):
-    e = entity(spark, d).select("ID", "o_orderdate")
+    e = entity(spark, d, ["ID", "o_orderdate"])
     return e.withColumns({"A": B.normalise(F.array(*[c.cast("double") for c in _w_cols()]), 3), "B": fold_model_probs(0)})
 
 
@@ -107,7 +107,7 @@ def _oof(spark, d):
     """Each row is scored by the model of its own fold. The toy fold models are expressions of
     the fold id, so all folds are scored in ONE pass (no per-fold scan + union); trained models
     use the per-fold union in ``models.train_oof`` over one cached frame."""
-    fo = folds(spark, d).join(entity(spark, d).select("ID", "o_orderdate"), "ID")
+    fo = folds(spark, d).join(entity(spark, d, ["ID", "o_orderdate"]), "ID")
     p1 = _p1_fold(F.col("kfold"))
     return fo.select("ID", "kfold", "target", (1 - p1).alias("target_pred0"), p1.alias("target_pred1"))
 
@@ -136,7 +136,7 @@ _MB_P = "CAST(month(o_orderdate) AS DOUBLE) / 13.0::DOUBLE"
 def q_stacking(spark, d):
     fo = folds(spark, d)
     gbt = _oof(spark, d).select("ID", "kfold", "target_pred1")
-    lr = fo.join(entity(spark, d).select("ID", "o_orderdate"), "ID").select(
+    lr = fo.join(entity(spark, d, ["ID", "o_orderdate"]), "ID").select(
         "ID", "kfold", (F.month("o_orderdate").cast("double") / F.lit(13.0)).alias("target_pred1"))
     return round_doubles(B.stacking_join(fo, {"gbt": gbt, "lr": lr}))
 

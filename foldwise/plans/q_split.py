@@ -19,7 +19,7 @@ FOLDS_SQL = (
 
 
 def folds(spark, d):
-    e = entity(spark, d).select("ID", "target")
+    e = entity(spark, d, ["ID", "target"])
     return SP.stratified_kfold(e, "target", "ID", K, SEED)
 
 
@@ -52,7 +52,7 @@ def q_skfold_reg(spark, d):
     sql=f"SELECT ID, CAST((row_number() OVER (ORDER BY u, ID) - 1) % {K} AS INTEGER) AS kfold FROM (SELECT ID, {_U} AS u FROM {ENTITY_SQL})",
 )
 def q_kfold(spark, d):
-    return SP.kfold(entity(spark, d).select("ID"), "ID", K, SEED)
+    return SP.kfold(entity(spark, d, ["ID"]), "ID", K, SEED)
 
 
 @query("fold_split", sql=f"SELECT ID, kfold, CASE WHEN kfold = 0 THEN 'valid' ELSE 'train' END AS split FROM {FOLDS_SQL}")
@@ -73,7 +73,7 @@ def q_filter_fold(spark, d):
   FROM (SELECT ID, target, {_U} AS u FROM {ENTITY_SQL})""",
 )
 def q_tts(spark, d):
-    return SP.train_test_split(entity(spark, d).select("ID", "target"), "ID", 0.25, SEED, stratify="target")
+    return SP.train_test_split(entity(spark, d, ["ID", "target"]), "ID", 0.25, SEED, stratify="target")
 
 
 NB, FRAC = 10, 0.8
@@ -87,7 +87,7 @@ NB, FRAC = 10, 0.8
   FROM w GROUP BY replicate""",
 )
 def q_bootstrap(spark, d):
-    w = SP.bootstrap_weights(entity(spark, d).select("ID"), "ID", NB, FRAC, SEED)
+    w = SP.bootstrap_weights(entity(spark, d, ["ID"]), "ID", NB, FRAC, SEED)
     return w.groupBy("replicate").agg(
         F.sum("weight").cast("bigint").alias("n_drawn"), F.count_if(F.col("weight") > 0).alias("n_distinct")
     )
@@ -99,7 +99,7 @@ def q_bootstrap(spark, d):
   CASE WHEN o_orderdate < TIMESTAMP '1997-01-01' THEN 'train' ELSE 'test' END AS part FROM {ENTITY_SQL}""",
 )
 def q_union_split(spark, d):
-    e = entity(spark, d).select("ID", "target", "o_orderdate")
+    e = entity(spark, d, ["ID", "target", "o_orderdate"])
     cut = F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp")
     train = e.where(cut).select("ID", "target")
     test = e.where(~cut).select("ID")
