@@ -30,9 +30,14 @@ CLIP_MAX = norm_ppf_py(1 - (BOUNDS_THRESHOLD - _EPS))
 
 def fit_outlier_bounds(df: DataFrame, cols: list[str], whisker: float = 1.5, exact: bool = True) -> dict[str, tuple[float, float]]:
     q = column_quantiles(df, cols, [0.25, 0.75], exact=exact).collect()  # 2 rows per column
+    return outlier_bounds_from({(r["column"], r["prob"]): r["quantile"] for r in q}, cols, whisker)
+
+
+def outlier_bounds_from(quartiles: dict, cols: list[str], whisker: float = 1.5) -> dict[str, tuple[float, float]]:
+    """Bounds from {(column, 0.25): q1, (column, 0.75): q3} (e.g. taken from a quantile fit)."""
     by = {}
-    for r in q:
-        by.setdefault(r["column"], {})[r["prob"]] = r["quantile"]
+    for (c, p), v in quartiles.items():
+        by.setdefault(c, {})[p] = v
     out = {}
     for c in cols:
         q1, q3 = by.get(c, {}).get(0.25), by.get(c, {}).get(0.75)
@@ -99,16 +104,24 @@ class QuantileState:
         return d, lo, hi
 
 
-def fit_quantiles(df: DataFrame, cols: list[str], n_quantiles: int = 1000, exact: bool = True) -> tuple[QuantileState, DataFrame]:
+def fit_quantiles(df: DataFrame, cols: list[str], n_quantiles: int = 1000, exact: bool = True,
+                  extra: dict | None = None) -> tuple[QuantileState, DataFrame]:
+    """Fit the transformer's quantiles. ``extra`` (a dict) receives {(column, prob): value} for
+    the probabilities it lists under the key "probs", computed in the same sort (e.g. the
+    quartiles for outlier bounds)."""
     n = df.count()
     nq = max(1, min(n_quantiles, n))
     refs = references(nq)
-    table = column_quantiles(df, cols, refs, exact=exact)
-    rows = table.collect()  # len(cols) x n_quantiles values: bounded by the parameters
+    extra_probs = [p for p in (extra or {}).get("probs", []) if p not in set(refs)]
+    table = column_quantiles(df, cols, refs + extra_probs, exact=exact)
+    rows = table.collect()  # len(cols) x (n_quantiles + extras) values: bounded by the parameters
     qs = {c: [None] * nq for c in cols}
     idx = {p: i for i, p in enumerate(refs)}
     for r in rows:
-        qs[r["column"]][idx[r["prob"]]] = r["quantile"]
+        if extra is not None and r["prob"] in set((extra or {}).get("probs", [])):
+            extra[(r["column"], r["prob"])] = r["quantile"]
+        if r["prob"] in idx:
+            qs[r["column"]][idx[r["prob"]]] = r["quantile"]
     for c in cols:
         qs[c] = [float(v) for v in np.maximum.accumulate(np.array(qs[c], dtype=float))]  # monotone, as the reference enforces
     spark = df.sparkSession

@@ -176,15 +176,16 @@ def multiclass_features(spark, d):
     e = entity(spark, d, ["ID", "o_orderstatus", "o_orderpriority", "c_mktsegment", "n_name", "o_orderdate", *QCOLS])
     e = attach(e, q_child.summary(spark, d), "ID")
     e = e.withColumn("o_orderpriority", C.recode(F.col("o_orderpriority"), RECODE))
-    e = e.withColumns(date_parts(F.col("o_orderdate"), "o_orderdate"))
-    e = Q.outlier_flag(e, Q.fit_outlier_bounds(e, QCOLS))
+    e = cut_lineage(e.withColumns(date_parts(F.col("o_orderdate"), "o_orderdate")))
+    # one exact-quantile sort gives both the transformer's quantiles and the outlier quartiles
+    quartiles = {"probs": [0.25, 0.75]}
+    qst, _ = Q.fit_quantiles(e, QCOLS, q_quantile.NQ, extra=quartiles)
+    e = Q.outlier_flag(e, Q.outlier_bounds_from({k: v for k, v in quartiles.items() if k != "probs"}, QCOLS))
     enc = E.fit_label_encoder(e, "o_orderstatus")
     e = E.label_encode(e, "o_orderstatus", enc, out="y")
     st = E.fit_dirichlet(e, "y", DIR, "ID", n_samples=50, sample_size=0.8, seed=42, mode="expected")
     e = E.dirichlet_transform(e, st, ("mean",))
     e = E.one_hot(e, E.collect_levels(e, ["c_mktsegment", "o_orderpriority"]))
-    e = cut_lineage(e)  # the encoded table is written once; the quantile fit jobs read it
-    qst, _ = Q.fit_quantiles(e, QCOLS, q_quantile.NQ)
     e = Q.quantile_transform(e, qst, QCOLS, "normal")
     e = SP.stratified_kfold(e, "y", "ID", 3, 42)
     return _drop_text(e.drop("o_orderdate"))
@@ -226,13 +227,14 @@ def _mc_base(x, child_summary_df):
 def fit_multiclass_flow(train, train_child):
     """Fit on training entities and their child rows (entity columns as in the flow)."""
     levels = fit_child_levels(train_child, q_child.CHILD_CATS)
-    x = _mc_base(train, _child_summary(train_child, levels))
-    bounds = Q.fit_outlier_bounds(x, QCOLS)
+    x = cut_lineage(_mc_base(train, _child_summary(train_child, levels)))
+    quartiles = {"probs": [0.25, 0.75]}  # taken from the same sort as the transformer's quantiles
+    qst, _ = Q.fit_quantiles(x, QCOLS, q_quantile.NQ, extra=quartiles)
+    bounds = Q.outlier_bounds_from({k: v for k, v in quartiles.items() if k != "probs"}, QCOLS)
     codes = E.fit_label_encoder(x, "o_orderstatus")
     x = E.label_encode(x, "o_orderstatus", codes, out="y")
     dst = E.fit_dirichlet(x, "y", DIR, "ID", n_samples=50, sample_size=0.8, seed=42, mode="expected")
     oh = E.collect_levels(x, ["c_mktsegment", "o_orderpriority"])
-    qst, _ = Q.fit_quantiles(x, QCOLS, q_quantile.NQ)
     return MultiFlowState(levels, bounds, codes, dst, oh, qst)
 
 
