@@ -328,3 +328,82 @@ def beta_transform_by_fold(df: DataFrame, st: BetaFoldState, moments=("mean",))
             exprs[f"{name}__V"] = (a * b) / ((a + b) * (a + b) * (a + b + 1))
         out = out.withColumns(exprs).drop(f"_a_{name}", f"_b_{name}")
     return out
+
+
+@dataclass
+class DirichletFoldState:
+    fold_col: str
+    classes: list
+    priors: dict  # fold -> {class: prior of the rows outside the fold}
+    lookups: dict[str, Lookup] = field(default_factory=dict)
+    keys: dict[str, list[str]] = field(default_factory=dict)
+
+
+def fit_dirichlet_by_fold(df: DataFrame, target: str, features: dict[str, object], fold_col: str,
+                          sample_size: float = 0.8) -> DirichletFoldState:
+    """Rows of fold f are encoded from the rows outside fold f (expected-bootstrap posterior):
+    one aggregation by (feature, level, fold); out-of-fold class counts = totals - fold counts."""
+    cc = df.groupBy(fold_col, target).agg(F.count(F.lit(1)).alias("n")).limit(MAX_LEVELS * 10 + 1).collect()
+    classes = sorted({r[target] for r in cc if r[target] is not None})
+    if len(classes) > MAX_LEVELS:
+        raise ValueError(f"target {target} has more than {MAX_LEVELS} classes")
+    folds = sorted({r[fold_col] for r in cc})
+    tot = {k: sum(r["n"] for r in cc if r[target] == k) for k in classes}
+    n_all = sum(r["n"] for r in cc)
+    priors, scales = {}, {}
+    for f in folds:
+        n_f = sum(r["n"] for r in cc if r[fold_col] == f)
+        n_out = n_all - n_f
+        priors[f] = {k: (tot[k] - sum(r["n"] for r in cc if r[fold_col] == f and r[target] == k)) / n_out if n_out else 0.0
+                     for k in classes}
+        scales[f] = int(n_out * sample_size) / n_out if n_out else 0.0
+    keys = _keys(features)
+    key_cols = sorted({k for ks in keys.values() for k in ks})
+    data = df.select(*key_cols, F.col(fold_col).alias("_fold"), F.col(target).alias("_y"))
+    structs = [
+        F.struct(F.lit(name).alias("_f"),
+                 F.when(all_not_null(ks), F.array(*[F.col(k).cast("string") for k in ks])).alias("_k"))
+        for name, ks in keys.items()
+    ]
+    long = data.select("_fold", "_y", F.explode(F.array(*structs)).alias("_s")).select("_fold", "_y", "_s._f", "_s._k")
+    cnt = long.where(F.col("_k").isNotNull()).groupBy("_f", "_k", "_fold").agg(
+        *[F.count_if(F.col("_y") == F.lit(k)).alias(f"_c{i}") for i, k in enumerate(classes)])
+    stats = Lookup.fit(cnt)
+    totals = stats.df.groupBy("_f", "_k").agg(*[F.sum(f"_c{i}").alias(f"_t{i}") for i in range(len(classes))])
+    j = stats.df.join(totals, ["_f", "_k"])
+
+    def fold_map(values: dict):
+        return F.create_map(*[x for f, v in values.items() for x in (F.lit(f), F.lit(v))])
+
+    sc = F.element_at(fold_map(scales), F.col("_fold"))
+    alphas = [
+        (F.element_at(fold_map({f: priors[f][k] for f in folds}), F.col("_fold")) + sc * (F.col(f"_t{i}") - F.col(f"_c{i}")))
+        .alias(f"_a{i}")
+        for i, k in enumerate(classes)
+    ]
+    fitted = Lookup.fit(j.select("_f", "_k", "_fold", *alphas))
+    st = DirichletFoldState(fold_col, classes, priors, {}, keys)
+    for name, ks in keys.items():
+        sub = fitted.df.where(F.col("_f") == name).select(
+            *[F.element_at("_k", i + 1).cast(df.schema[k].dataType).alias(k) for i, k in enumerate(ks)],
+            F.col("_fold").alias(fold_col), *[F.col(f"_a{i}").alias(f"_a{i}_{name}") for i in range(len(classes))])
+        st.lookups[name] = Lookup(sub, fitted.broadcastable)
+    return st
+
+
+def dirichlet_transform_by_fold(df: DataFrame, st: DirichletFoldState, drop_last: bool = True) -> DataFrame:
+    out = df
+    for name, lk in st.lookups.items():
+        out = lk.join(out, st.keys[name] + [st.fold_col], "left")
+        alphas = []
+        for i, k in enumerate(st.classes):
+            prior = F.element_at(F.create_map(*[x for f, p in st.priors.items() for x in (F.lit(f), F.lit(p[k]))]),
+                                 F.col(st.fold_col))
+            alphas.append(F.coalesce(F.col(f"_a{i}_{name}"), prior))
+        a0 = alphas[0]
+        for a in alphas[1:]:
+            a0 = a0 + a
+        keep = st.classes[:-1] if drop_last else st.classes
+        out = out.withColumns({f"{name}_M_{k}": alphas[i] / a0 for i, k in enumerate(st.classes) if k in keep})
+        out = out.drop(*[f"_a{i}_{name}" for i in range(len(st.classes))])
+    return out

@@ -296,3 +296,46 @@ def q_beta_oof(spark, d):
     st = E.fit_beta_by_fold(e, "target", OOF_FEATURES, "kfold", sample_size=0.8)
     out = E.beta_transform_by_fold(e, st)
     return round_doubles(out.select("ID", "kfold", *[f"{n}__M" for n in OOF_FEATURES]))
+
+
+def _oof_dirichlet_sql(features, n_classes=5, f=0.8):
+    from foldwise.plans.q_split import FOLDS_SQL
+
+    ks = range(n_classes)
+    ctes = [
+        f"e AS (SELECT x.*, k.kfold, CAST(dense_rank() OVER (ORDER BY x.o_orderpriority) - 1 AS INTEGER) AS y "
+        f"FROM {ENTITY_SQL} x JOIN {FOLDS_SQL} k ON x.ID = k.ID)",
+        "pf AS (SELECT kfold, count(*) AS n FROM e GROUP BY kfold)",
+        "tt AS (SELECT sum(n) AS n FROM pf)",
+        "pc AS (SELECT kfold, y, count(*) AS n FROM e GROUP BY kfold, y)",
+        "pr AS (SELECT pf.kfold, " + ", ".join(
+            f"((SELECT count(*) FROM e WHERE y = {k}) - coalesce((SELECT n FROM pc WHERE pc.kfold = pf.kfold AND pc.y = {k}), 0)) "
+            f"/ (tt.n - pf.n) AS p{k}" for k in ks)
+        + f", floor((tt.n - pf.n) * CAST({f!r} AS DOUBLE)) / (tt.n - pf.n) AS sc FROM pf, tt)",
+    ]
+    sel, joins = ["e.ID", "e.kfold"], []
+    for name, col in features.items():
+        cnts = ", ".join(f"count(*) FILTER (WHERE y = {k}) AS c{k}" for k in ks)
+        ctes.append(f"c_{name} AS (SELECT {col}, kfold, {cnts} FROM e WHERE {col} IS NOT NULL GROUP BY {col}, kfold)")
+        al = ", ".join(f"pr.p{k} + pr.sc * (sum(c.c{k}) OVER w - c.c{k}) AS a{k}" for k in ks)
+        ctes.append(f"l_{name} AS (SELECT c.{col}, c.kfold, {al} FROM c_{name} c JOIN pr ON c.kfold = pr.kfold "
+                    f"WINDOW w AS (PARTITION BY c.{col}))")
+        joins.append(f"LEFT JOIN l_{name} ON e.{col} = l_{name}.{col} AND e.kfold = l_{name}.kfold")
+        a = {k: f"coalesce(l_{name}.a{k}, (SELECT p{k} FROM pr WHERE pr.kfold = e.kfold))" for k in ks}
+        a0 = "(" + " + ".join(a[k] for k in ks) + ")"
+        for k in list(ks)[:-1]:
+            sel.append(f"round({a[k]} / {a0}, 6) AS {name}_M_{k}")
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT {', '.join(sel)} FROM e " + " ".join(joins)
+
+
+@query("dirichlet_encode_oof", sql=_oof_dirichlet_sql({"n_name": "n_name", "c_mktsegment": "c_mktsegment"}))
+def q_dirichlet_oof(spark, d):
+    from foldwise.plans.q_split import folds
+
+    e = entity(spark, d).join(folds(spark, d).select("ID", "kfold"), "ID")
+    enc = E.fit_label_encoder(e, "o_orderpriority")
+    e = E.label_encode(e, "o_orderpriority", enc, out="y")
+    feats = {"n_name": "n_name", "c_mktsegment": "c_mktsegment"}
+    st = E.fit_dirichlet_by_fold(e, "y", feats, "kfold", sample_size=0.8)
+    out = E.dirichlet_transform_by_fold(e, st)
+    return round_doubles(out.select("ID", "kfold", *[f"{n}_M_{k}" for n in feats for k in st.classes[:-1]]))
