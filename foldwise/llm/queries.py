@@ -8,8 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import neardup, packing, pieces
-from foldwise.llm.common import table
+from foldwise.llm import chat, langid, neardup, packing, pieces, quality, topk, vptree
+from foldwise.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -52,3 +52,34 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.tokenise(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), with_ids=False)
     return packing.pack(found)
+
+
+@query("op3_exact_topk")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+@query("op5_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels").filter(fold("doc_id", 4) != 2).select("doc_id", "quality"))
+    return quality.scored(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+@query("op7_chat")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    return chat.digests(turns.unionByName(spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)))
+
+
+@query("op9_vptree")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
+@query("op10_language")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = langid.identify(docs, fold("doc_id", 3) != 1)
+    return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
