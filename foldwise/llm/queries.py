@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import chat, langid, neardup, packing, pieces, quality, topk, vptree
+from foldwise.llm import chat, langid, lm, neardup, packing, pages, pieces, quality, topk, vptree
 from foldwise.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     out = langid.identify(docs, fold("doc_id", 3) != 1)
     return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op4_html")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pages.extract(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query("op6_language_model")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = fold("doc_id", 7)
+    out = lm.score(table(spark, sf_dir, "documents"), train=part != 2, deleted=part == 3)
+    return out.select(F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
