@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from foldwise.plans import ORACLE, QUERIES
 from tests.conftest import SMALL
 from tools.oracle_check import frame_hash
 
-SQL = entry.oracle_sql()
+entry.queries()  # registers all
+SQL = ORACLE
 # a mean that lands exactly on a rounding tie (2-decimal money over 2^k rows) can round
 # either way depending on summation order; see README "Known differences"
 TIE_SENSITIVE = {"group_stats_b"}
@@ -31,7 +33,7 @@ def test_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_sql_or_is_model_product():
-    rows_only = set(entry.queries()) - set(SQL)
+    rows_only = set(QUERIES) - set(SQL)
     allowed = {
         "train_gbt_oof", "train_multiclass_oof", "train_rf", "train_logreg", "train_oof_metrics",
         "random_search", "feature_importance", "permutation_importance", "impute_missforest", "binary_oof_scores",
