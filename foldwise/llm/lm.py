@@ -10,6 +10,8 @@ block's distinct n-grams (64-bit hashes, sorted, with the counts of the block) a
 range. Each part adds up its share of all blocks, so an n-gram is one entry for each block however often
 it occurs, and sends each block the totals in the block's own order. A block then holds the counts of
 exactly its own n-grams. Parts and blocks are of bounded size, and their number grows with the corpus.
+Words keep their whole hash. Of a pair's hash a cell carries the 40 bits after those that name the part;
+more text has more parts and so a longer hash. Two pairs that collide share their counts.
 
 The fit goes to the driver as a histogram over (bucket, pair estimate, word estimate) on a fixed
 logarithmic grid, which does not grow with the corpus.
@@ -32,7 +34,8 @@ from foldwise.llm.common import kept, slices
 from foldwise.llm.words import U, mix, text_bytes, word_hashes
 
 END, BEGIN = U(0x1B873593CC9E2D51), U(0x85EBCA6BE6546B64)
-BLOCK_BYTES, PART_KEYS = 4 << 20, 1_500_000
+BLOCK_BYTES, PART_TOKENS = 2 << 20, 1_000_000
+WIDTH = (8, 5)  # bytes of a key in a cell, for words and for pairs
 GRID, BUCKETS, ROUNDS = 4.0, 33, 60
 FLOOR = 1e-6
 
@@ -56,6 +59,26 @@ def packed(docs: DataFrame, train: Column, deleted: Column, id_col: str, text_co
     return docs.select(F.col(id_col).cast("long").alias("id"), text_col, *flags).mapInArrow(run, schema)
 
 
+def small(x: np.ndarray) -> bytes:
+    """Counts as bytes, each as wide as the largest needs."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0)))).tobytes()
+
+
+def wide(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, dtype=f"<u{len(raw) // max(n, 1) or 1}").astype(np.uint64)
+
+
+def cut_keys(keys: np.ndarray, kind: int, bits: int) -> bytes:
+    rest = keys if WIDTH[kind] == 8 else (keys << U(bits)) >> U(64 - 8 * WIDTH[kind])
+    return rest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : WIDTH[kind]].tobytes()
+
+
+def whole_keys(raw: bytes, kind: int) -> np.ndarray:
+    out = np.zeros((len(raw) // WIDTH[kind], 8), np.uint8)
+    out[:, : WIDTH[kind]] = np.frombuffer(raw, np.uint8).reshape(-1, WIDTH[kind])
+    return out.reshape(-1).view("<u8")
+
+
 class Block:
     """Tokens of a block's texts, and its distinct words and pairs."""
 
@@ -84,24 +107,25 @@ class Block:
         return np.bincount(self.at[kind][which[self.doc]], minlength=len(self.keys[kind])).astype(np.uint32)
 
 
-def cells(blocks: DataFrame, parts: int) -> DataFrame:
-    """For each block, kind (0: words, 1: pairs) and part: keys, counts in training and in the deleted part."""
-    schema = "block long, kind int, part int, keys binary, total binary, deleted binary"
-    borders = (np.arange(1, parts, dtype=object) * (1 << 64) // parts).astype(np.uint64)
+def cells(blocks: DataFrame, bits: int) -> DataFrame:
+    """For each block, kind (0: words, 1: pairs) and part (the first ``bits`` of the hash): keys, and their
+    counts in training and in the deleted part."""
+    schema = "block long, kind int, part int, keys binary, n int, total binary, deleted binary"
+    borders = np.arange(1, 1 << bits, dtype=np.uint64) << U(64 - bits)
 
     def run(batches):
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
                 own, out = Block(row), []
                 for kind in (0, 1):
                     keys = own.keys[kind]
                     total, deleted = own.counts(kind, own.train), own.counts(kind, own.deleted)
                     cuts = [0, *np.searchsorted(keys, borders).tolist(), len(keys)]
-                    out += [(row["block"], kind, p, keys[a:b].tobytes(), total[a:b].tobytes(), deleted[a:b].tobytes()) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-                columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)] if out else None
-                if columns:
-                    yield pa.RecordBatch.from_arrays(columns, names=["block", "kind", "part", "keys", "total", "deleted"])
+                    out += [(row["block"], kind, p, cut_keys(keys[a:b], kind, bits), b - a, small(total[a:b]), small(deleted[a:b])) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["block", "kind", "part", "keys", "n", "total", "deleted"])
 
     return blocks.select("block", "ends", "texts", "train", "deleted").mapInArrow(run, schema)
 
@@ -109,18 +133,17 @@ def cells(blocks: DataFrame, parts: int) -> DataFrame:
 def totals(cut: DataFrame) -> DataFrame:
     """The same cells with the counts of all blocks; ``types``: distinct keys of the part seen in training."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = {c: [np.frombuffer(x, dtype=np.uint64 if c == "keys" else np.uint32) for x in pdf[c]] for c in ("keys", "total", "deleted")}
-        ends = np.cumsum([len(x) for x in rows["keys"]])[:-1]
-        keys, at = np.unique(np.concatenate(rows["keys"]), return_inverse=True)
+        ends = np.cumsum(pdf["n"].to_numpy())[:-1]
+        keys, at = np.unique(np.concatenate([whole_keys(x, pdf["kind"].iloc[0]) for x in pdf["keys"]]), return_inverse=True)
         out = {}
         for c in ("total", "deleted"):
-            sums = np.bincount(at, weights=np.concatenate(rows[c]), minlength=len(keys)).astype(np.uint64)
-            out[c] = [x.tobytes() for x in np.split(sums[at], ends)]
+            sums = np.bincount(at, weights=np.concatenate([wide(x, n) for x, n in zip(pdf[c], pdf["n"], strict=True)]), minlength=len(keys)).astype(np.uint64)
+            out[c] = [small(x) for x in np.split(sums[at], ends)]
             if c == "total":
                 types = int((sums > 0).sum())
-        return pd.DataFrame({"block": pdf["block"], "kind": pdf["kind"], "part": pdf["part"], "total": out["total"], "deleted": out["deleted"], "types": types})
+        return pd.DataFrame({"block": pdf["block"], "kind": pdf["kind"], "part": pdf["part"], "n": pdf["n"], "total": out["total"], "deleted": out["deleted"], "types": types})
 
-    return cut.groupBy("kind", "part").applyInPandas(run, "block long, kind int, part int, total binary, deleted binary, types long")
+    return cut.groupBy("kind", "part").applyInPandas(run, "block long, kind int, part int, n int, total binary, deleted binary, types long")
 
 
 class Counted(Block):
@@ -131,8 +154,8 @@ class Counted(Block):
         self.c = {}
         for name in ("total", "deleted"):
             for kind in (0, 1):
-                some = cells[cells["kind"] == kind].sort_values("part")[name]
-                counts = np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in some]) if len(some) else np.zeros(0, np.uint64)
+                some = cells[cells["kind"] == kind].sort_values("part")
+                counts = np.concatenate([np.zeros(0, np.uint64), *(wide(x, n) for x, n in zip(some[name], some["n"], strict=True))])
                 self.c[name, kind] = counts[self.at[kind]].astype(np.float64)
 
     def estimates(self, facts: dict, kept_only: bool):
@@ -189,12 +212,12 @@ def score(docs: DataFrame, train: Column, deleted: Column, id_col: str = "doc_id
     """``id``, ``train``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` (log10)."""
     blocks = kept(packed(docs, train, deleted, id_col, text_col), "blocks")
     sums = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "trained", "n_train", "n_deleted", "t_deleted")]).first()
-    parts = int(max(16, -(-sums["tokens"] // PART_KEYS)))
-    answers = kept(totals(cells(blocks, parts)), "answers")
+    bits = max(4, int(np.ceil(np.log2(max(1, sums["tokens"] / PART_TOKENS)))))
+    answers = kept(totals(cells(blocks, bits)), "answers")
     types = answers.filter("kind = 0").groupBy("part").agg(F.max("types").alias("types")).agg(F.coalesce(F.sum("types"), F.lit(0))).first()[0]
     facts = {"tokens": sums["trained"], "texts": sums["n_train"], "deleted_tokens": sums["t_deleted"], "deleted_texts": sums["n_deleted"], "types": types}
     left = blocks.select("block", "ids", "train", "deleted", "ends", "texts")
-    right = answers.select(F.col("block").alias("block"), "kind", "part", F.col("total").alias("total"), F.col("deleted").alias("deleted"))
+    right = answers.select(F.col("block").alias("block"), "kind", "part", "n", F.col("total").alias("total"), F.col("deleted").alias("deleted"))
     mixture = weights(kept(events((left, right), facts), "events").toPandas())
     n, v = facts["tokens"], types
 

@@ -75,7 +75,7 @@ def described(docs: DataFrame, text_col: str = "text") -> DataFrame:
     schema = T.StructType([docs.schema[c] for c in rest] + [T.StructField("x", T.ArrayType(T.DoubleType()))])
 
     def run(batches):
-        for batch in slices(batches, text_col):
+        for batch in slices(batches, text_col, 2 << 20):
             x = features(batch.column(text_col))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * N_FEATURES, pa.int32()), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), lists], names=schema.names)
@@ -118,7 +118,7 @@ def scored(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     schema = T.StructType([docs.schema[c] for c in rest] + [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches):
-        for batch in slices(batches, text_col):
+        for batch in slices(batches, text_col, 2 << 20):
             strength = (features(batch.column(text_col)) * w).sum(1)
             score = 1 / (1 + np.exp(-np.clip((strength - model["threshold"]) / model["spread"] + shift, -500, 500)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score), pa.array((score >= CUT).astype(np.int32))], names=schema.names)
