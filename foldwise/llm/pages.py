@@ -1,8 +1,8 @@
 """Operator 4: main text of web pages, with site templates removed.
 
 A page is read into a tree of elements. Every element's subtree gets a hash of its name, its texts and
-its children. Spark counts on how many pages of a host each hash occurs (once a page). A subtree outside
-the article that recurs on at least ``least`` pages and at least ``share`` of the host's pages belongs to
+its children. Spark counts on how many pages of a host each hash occurs (once a page). The subtree of a
+block-level element outside the article that recurs on at least ``least`` pages and at least ``share`` of the host's pages belongs to
 the site's template and is deleted, as are elements that are no text by their name, role or class (menus,
 headers, footers, sidebars, forms, scripts, adverts, notices, reader comments). If the page marks its
 article (``article`` or ``main``), the text is what is left of that; else of the whole body. In a marked
@@ -138,7 +138,7 @@ def hashed(node: Node, out: set[int], in_article: bool = False) -> int:
                 h.update(t.encode("utf-8", "surrogatepass"))
                 some = True
         own.key = int.from_bytes(h.digest(), "little", signed=True) if some else 0
-        if some and own.name and not own.content and own.name not in ("html", "body") and (not inner or own.name in HOLDERS):
+        if some and own.name in BLOCK and not own.content and own.name != "body" and (not inner or own.name in HOLDERS):
             out.add(own.key)
     return node.key
 
@@ -171,7 +171,7 @@ def blocks(root: Node, template: dict[int, float], share: float, inner_share: fl
             if item.name in BLOCK:
                 flush(inner)
         else:
-            found = template.get(item.key, 0.0) if item.key and not item.content else 0.0
+            found = template.get(item.key, 0.0) if item.key and item.name in BLOCK and not item.content and item.name != "body" else 0.0
             if found >= (inner_share if inner else share) and found > 0 and (not inner or item.name in HOLDERS):
                 flush(inner)
                 continue
@@ -209,7 +209,7 @@ def templates(pages: DataFrame, least: int, share: float, html_col: str, url_col
     return kept(often.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("key", "part"))).alias("template")), "templates")
 
 
-def extract(pages: DataFrame, least: int = 5, share: float = 0.2, inner_share: float = 0.6, broadcast_entries: int = 50_000, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
+def extract(pages: DataFrame, least: int = 5, share: float = 0.5, inner_share: float = 0.6, broadcast_entries: int = 50_000, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
     """``page_id``, ``url``, ``text``."""
     found = templates(pages, least, share, html_col, url_col)
     entries = found.agg(F.sum(F.size("template"))).first()[0] or 0

@@ -15,6 +15,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+CHAT_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), w AS (
+  SELECT *, sum(20 + length(regexp_replace(role || text, '([<\\[\\\\])', 'xx', 'g'))) OVER (PARTITION BY conv_id ORDER BY turn) AS upto,
+    turn = max(turn) OVER (PARTITION BY conv_id) AS final
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  length(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(upto) FILTER (role = 'assistant' OR final) AS BIGINT) AS formatted_chars
+FROM w GROUP BY conv_id
+"""
+
+
 def on_workers(spark: SparkSession) -> SparkSession:
     """Python workers import this package from where the driver does, unless the cluster says otherwise."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
@@ -54,7 +83,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(found)
 
 
-@query("op3_exact_topk")
+@query("op3_exact_topk", TOPK_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
 
@@ -66,7 +95,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
-@query("op7_chat")
+@query("op7_chat", CHAT_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
