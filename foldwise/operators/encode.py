@@ -216,7 +216,7 @@ def fit_dirichlet(df: DataFrame, target: str, features: dict[str, object], id_co
     counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).limit(MAX_LEVELS + 1).collect()  # one row per class
     if len(counts) > MAX_LEVELS:
         raise ValueError(f"target {target} has more than {MAX_LEVELS} classes")
-    n = sum(r["n"] for r in counts)
+    n = sum(r["n"] for r in counts if r[target] is not None)
     classes = sorted(r[target] for r in counts if r[target] is not None)
     prior = {r[target]: r["n"] / n for r in counts if r[target] is not None}
     w, scale = sample_weight(F.col(id_col), n_samples, sample_size, seed, mode, n)
@@ -343,19 +343,23 @@ def fit_dirichlet_by_fold(df: DataFrame, target: str, features: dict[str, object
                           sample_size: float = 0.8) -> DirichletFoldState:
     """Rows of fold f are encoded from the rows outside fold f (expected-bootstrap posterior):
     one aggregation by (feature, level, fold); out-of-fold class counts = totals - fold counts."""
-    cc = df.groupBy(fold_col, target).agg(F.count(F.lit(1)).alias("n")).limit(MAX_LEVELS * 10 + 1).collect()
-    classes = sorted({r[target] for r in cc if r[target] is not None})
-    if len(classes) > MAX_LEVELS:
-        raise ValueError(f"target {target} has more than {MAX_LEVELS} classes")
-    folds = sorted({r[fold_col] for r in cc})
-    tot = {k: sum(r["n"] for r in cc if r[target] == k) for k in classes}
-    n_all = sum(r["n"] for r in cc)
+    known = df.where(F.col(target).isNotNull())
+    for c in (target, fold_col):
+        if known.select(c).distinct().limit(MAX_LEVELS + 1).count() > MAX_LEVELS:
+            raise ValueError(f"{c} has more than {MAX_LEVELS} levels")
+    counts: dict = {}
+    for r in known.groupBy(fold_col, target).agg(F.count(F.lit(1)).alias("n")).collect():
+        counts.setdefault(r[fold_col], {})[r[target]] = r["n"]
+    tot: dict = {}
+    for own in counts.values():
+        for k, n in own.items():
+            tot[k] = tot.get(k, 0) + n
+    classes, folds = sorted(tot), sorted(counts)
+    n_all = sum(tot.values())
     priors, scales = {}, {}
     for f in folds:
-        n_f = sum(r["n"] for r in cc if r[fold_col] == f)
-        n_out = n_all - n_f
-        priors[f] = {k: (tot[k] - sum(r["n"] for r in cc if r[fold_col] == f and r[target] == k)) / n_out if n_out else 0.0
-                     for k in classes}
+        n_out = n_all - sum(counts[f].values())
+        priors[f] = {k: (tot[k] - counts[f].get(k, 0)) / n_out if n_out else 0.0 for k in classes}
         scales[f] = int(n_out * sample_size) / n_out if n_out else 0.0
     keys = _keys(features)
     key_cols = sorted({k for ks in keys.values() for k in ks})

@@ -1,9 +1,10 @@
 """Fitted lookup tables and size-checked broadcast joins.
 
 A fit produces a small table keyed by category level(s). ``Lookup.fit`` pulls at most
-``max_local_rows + 1`` rows: if the table fits, it becomes a local relation that is
-broadcast (its size is proven); if not, it is checkpointed to the shared checkpoint folder
-and joined with a shuffle instead. Nothing of data size ever reaches the driver.
+``max_local_rows + 1`` rows, and fewer of a wide table: if the table fits, it becomes a local
+relation that is broadcast (its size is proven); if not, it is checkpointed to the shared
+checkpoint folder and joined with a shuffle instead. Rows are carried as Spark rows, so NULL,
+NaN and large integers are the same on either way. Nothing of data size ever reaches the driver.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from foldwise.session import cut_lineage
 
 DEFAULT_MAX_LOCAL_ROWS = 200_000
 MAX_LEVELS = 5_000
+CELLS_PER_ROW = 10  # a table of more columns than this may have fewer rows
 BOUND_CONF = "foldwise.lookup.maxLocalRows"  # optional session setting overriding the bound
 
 
@@ -28,6 +30,10 @@ def _bound(spark, given: int | None) -> int:
     return int(conf) if conf else DEFAULT_MAX_LOCAL_ROWS
 
 
+def _local(spark, rows: list, schema) -> DataFrame:
+    return spark.createDataFrame(rows, schema=schema, verifySchema=False)
+
+
 @dataclass
 class Lookup:
     df: DataFrame
@@ -36,38 +42,38 @@ class Lookup:
     @classmethod
     def fit(cls, lut: DataFrame, max_local_rows: int | None = None) -> "Lookup":
         spark = lut.sparkSession
-        max_local_rows = _bound(spark, max_local_rows)
+        max_local_rows = max(1, _bound(spark, max_local_rows) * CELLS_PER_ROW // max(CELLS_PER_ROW, len(lut.columns)))
         # computed once: the bounded head and (if over the bound) the checkpoint read the cache
         cached = lut.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            head = cached.limit(max_local_rows + 1).toPandas()
+            head = cached.limit(max_local_rows + 1).collect()
             if len(head) <= max_local_rows:
-                if len(head) == 0:
-                    return cls(spark.createDataFrame([], lut.schema), True)
-                return cls(spark.createDataFrame(head, schema=lut.schema), True)
+                return cls(_local(spark, head, lut.schema), True)
             return cls(cut_lineage(cached), False)
         finally:
             cached.unpersist()
 
     @classmethod
     def fit_split(cls, lut: DataFrame, by: str, max_local_rows: int | None = None) -> dict:
-        """One lookup per value of ``by`` (e.g. per encoded feature), each with its own size check:
-        a feature with millions of levels is shuffle-joined without costing the small ones their
-        broadcast. The table is computed once (cached); all small parts come back in one job."""
+        """One lookup per value of ``by`` (e.g. per encoded feature): a feature with millions of levels
+        is shuffle-joined without costing the small ones their broadcast. All local parts together
+        stay under the bound. The table is computed once (cached); they come back in one job."""
         spark = lut.sparkSession
         max_local_rows = _bound(spark, max_local_rows)
         cached = lut.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             sizes = {r[by]: r["_rows"] for r in cached.groupBy(by).agg(F.count(F.lit(1)).alias("_rows")).collect()}
-            small = [k for k, n in sizes.items() if n <= max_local_rows]
-            out = {}
-            if small and sum(sizes[k] for k in small) <= max_local_rows * 4:
-                pdf = cached.where(F.col(by).isin(small)).toPandas()
-                for k in small:
-                    out[k] = cls(spark.createDataFrame(pdf[pdf[by] == k], schema=lut.schema), True)
-            else:
-                for k in small:
-                    out[k] = cls(spark.createDataFrame(cached.where(F.col(by) == F.lit(k)).toPandas(), schema=lut.schema), True)
+            # the smallest first, up to the bound in all: the rest is joined with a shuffle
+            small, total = [], 0
+            for k in sorted(sizes, key=lambda k: (sizes[k], str(k))):
+                total += sizes[k]
+                if total > max_local_rows:
+                    break
+                small.append(k)
+            parts: dict = {k: [] for k in small}
+            for row in cached.where(F.col(by).isin(small)).collect() if small else ():
+                parts[row[by]].append(row)
+            out = {k: cls(_local(spark, rows, lut.schema), True) for k, rows in parts.items()}
             for k in sizes:
                 if k not in out:
                     out[k] = cls(cut_lineage(cached.where(F.col(by) == F.lit(k))), False)

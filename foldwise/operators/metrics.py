@@ -18,7 +18,9 @@ LOG_LOSS_EPS = 1e-15
 
 
 def accuracy(df: DataFrame, label: str, pred: str, groups: list[str] = ()) -> DataFrame:
-    acc = F.avg((F.col(label) == F.col(pred)).cast("double"))
+    # a missing prediction is a wrong one; rows without a label are not judged
+    hit = F.when(F.col(label).isNotNull(), F.coalesce(F.col(label) == F.col(pred), F.lit(False)))
+    acc = F.avg(hit.cast("double"))
     out = df.groupBy(*groups).agg(acc.alias("accuracy"))
     return out.withColumn("accuracy_pct", F.round(F.col("accuracy") * 100, 2))
 
@@ -70,7 +72,7 @@ def auc_binary(df: DataFrame, score: str, label: str) -> DataFrame:
     cum = with_global_cumsum(agg, [score], ["neg"])
     contrib = F.col("pos") * (F.col("neg_cum") - F.col("neg") + 0.5 * F.col("neg"))
     res = cum.agg(F.sum(contrib).alias("_s"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    return res.select((F.col("_s") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"), "n_pos", "n_neg")
+    return res.select(F.try_divide(F.col("_s"), F.col("n_pos") * F.col("n_neg")).alias("auc"), "n_pos", "n_neg")
 
 
 def auc_ovr(df: DataFrame, label: str, probs: str, n_classes: int, groups: list[str] = ()) -> DataFrame:
@@ -88,21 +90,25 @@ def roc_curve(df: DataFrame, score: str, label: str) -> DataFrame:
     )
     cum = with_global_cumsum(agg, [score], ["pos", "neg"])
     tot = agg.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
-    P, N = tot["P"], tot["N"]
+    P, N = tot["P"] or 0, tot["N"] or 0
     tps = F.lit(P) - (F.col("pos_cum") - F.col("pos"))
     fps = F.lit(N) - (F.col("neg_cum") - F.col("neg"))
     return cum.select(
         F.col(score).alias("threshold"), tps.cast("long").alias("tps"), fps.cast("long").alias("fps"),
-        (tps / F.lit(float(P))).alias("tpr"), (fps / F.lit(float(N))).alias("fpr"),
+        F.try_divide(tps, F.lit(float(P))).alias("tpr"), F.try_divide(fps, F.lit(float(N))).alias("fpr"),
     )
 
 
 def confusion_matrix(df: DataFrame, label: str, pred: str, classes: list) -> DataFrame:
-    """counts for every (label, pred) pair of the fitted classes, zeros included."""
+    """counts for every (label, pred) pair that occurs, missing values included, and zeros for the
+    other pairs of ``classes`` and for the diagonal of any other class."""
     spark = df.sparkSession
-    grid = spark.createDataFrame([(a, b) for a in classes for b in classes], [label, pred])
     counts = df.groupBy(label, pred).agg(F.count(F.lit(1)).alias("count"))
-    return F.broadcast(grid).join(counts, [label, pred], "left").na.fill(0, ["count"])
+    seen = counts.select(F.explode(F.array(label, pred)).alias(label)).where(F.col(label).isNotNull()).distinct()
+    diagonal = seen.select(label, F.col(label).alias(pred), F.lit(0).cast("long").alias("count"))
+    grid = spark.createDataFrame([(a, b) for a in classes for b in classes], df.select(label, pred).schema, verifySchema=False)
+    zeros = grid.select(label, pred, F.lit(0).cast("long").alias("count")).unionByName(diagonal)
+    return counts.unionByName(zeros).groupBy(label, pred).agg(F.sum("count").alias("count"))
 
 
 def classification_report(cm: DataFrame, label: str, pred: str) -> DataFrame:
@@ -152,5 +158,5 @@ def binary_prf(df: DataFrame, label: str, pred: str) -> DataFrame:
         "tn", "fp", "fn", "tp",
         F.when(tp + fp > 0, tp / (tp + fp)).otherwise(F.lit(0.0)).alias("precision"),
         F.when(tp + fn > 0, tp / (tp + fn)).otherwise(F.lit(0.0)).alias("recall"),
-        ((tp + tn) / (tp + tn + fp + fn)).alias("accuracy"),
+        F.try_divide(tp + tn, tp + tn + fp + fn).alias("accuracy"),
     )

@@ -2,8 +2,8 @@
 
 Library code never creates its own session; it receives one. ``local_session``
 exists for tests and the bench. ``checkpoint_dir`` reads the cluster's shared
-``spark.checkpoint.dir`` and only sets one (under a fresh scratch folder) when
-the session has none, as in local tests.
+``spark.checkpoint.dir``; without it a ``local[...]`` master, where driver and tasks
+are one process, gets a fresh scratch folder, and any other master is refused.
 """
 
 from __future__ import annotations
@@ -44,6 +44,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     base = os.environ.get(SCRATCH_ENV) or tempfile.mkdtemp(prefix="foldwise-ckpt-", dir="/tmp")
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir()

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from foldwise.plans import ORACLE
 from tests.conftest import SMALL
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas")
@@ -14,10 +15,12 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+entry.queries()  # registers all
+
 CROSS_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_no_python_and_no_cross_join_in_plan(spark, name):
     plan = _plan(entry.queries()[name](spark, SMALL))
     if name not in ALLOWED_PY:
