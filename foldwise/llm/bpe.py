@@ -119,6 +119,11 @@ class Memo(dict):
         unseen = list(new.difference(again))
         self.update(zip(unseen, self.make(unseen), strict=True))
 
+    def forget(self) -> None:
+        """A worker outlives its task: what the next one does there needs the memory."""
+        self.clear()
+        self.old = {}
+
 
 def merged_words(flat: np.ndarray, lengths: np.ndarray, pairs: Pairs, finish: Callable[[np.ndarray], list]) -> list:
     """Merge words given as symbols in a row; ``finish`` turns equally long rows of ids into values."""

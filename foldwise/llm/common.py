@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20  # texts become lists of words some ten times their size
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwise.llm.common import slices, texts
+from foldwise.llm.common import kept, slices, texts
 
 WORD = re.compile(r"[^\W\d_]+")
 ORDERS = (5, 4, 3, 2, 1)
@@ -67,10 +67,10 @@ def fit(labelled: DataFrame, per_language: int = 1500, words: int = 60_000, gram
     there = labelled.filter("lang is not null and text is not null")
     sizes = there.groupBy("lang").count().orderBy("lang").collect()
     if not sizes:
-        return {"langs": [], "rows": {}, "table": np.zeros((0, 0), np.float32)}
+        return {"langs": [], "grams": [([], np.zeros(0, int))] * (max(ORDERS) + 1), "table": np.zeros((0, 0), np.float32)}
     share = F.create_map(*chain.from_iterable((F.lit(r["lang"]), F.lit(min(1.0, per_language / r["count"]))) for r in sizes))
     part = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)
-    counts = counted(there.filter(part))
+    counts = kept(counted(there.filter(part)), "grams")  # of the sample, so bounded; read three times
     langs = [r["lang"] for r in sizes]
     per = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"l{i}") for i, lang in enumerate(langs)]
     wide = counts.groupBy("kind", "gram").agg(F.sum("n").alias("n"), *per)
@@ -84,17 +84,16 @@ def fit(labelled: DataFrame, per_language: int = 1500, words: int = 60_000, gram
     for i in range(len(langs)):
         top = np.array([float(totals[k][f"l{i}"] + ALPHA * totals[k]["size"]) if k in totals else 1.0 for k in range(max(ORDERS) + 1)])
         table[:, i] = np.log((found[f"l{i}"].to_numpy() + ALPHA) / top[kinds])
-    return {"langs": langs, "rows": {(int(k), g): i for i, (k, g) in enumerate(zip(kinds, found["gram"], strict=True))}, "table": table}
+    grams = [found["gram"].where(kinds == k).dropna() for k in range(max(ORDERS) + 1)]
+    return {"langs": langs, "grams": [(g.tolist(), g.index.to_numpy()) for g in grams], "table": table}
 
 
 class Scorer:
     """Scores of words by language, kept for up to ``limit`` words at a time."""
 
-    def __init__(self, model: dict, limit: int = 300_000):
+    def __init__(self, model: dict, limit: int = 100_000):
         self.langs, self.base, self.limit = model["langs"], model["table"], limit
-        self.by_kind: list[dict] = [{} for _ in range(max(ORDERS) + 1)]
-        for (kind, gram), i in model["rows"].items():
-            self.by_kind[kind][gram] = i
+        self.by_kind = [dict(zip(grams, rows.tolist(), strict=True)) for grams, rows in model["grams"]]
         self.clear()
 
     def clear(self) -> None:

@@ -120,6 +120,8 @@ def tokenise(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: i
                     total.append(len(body) // 4)
             columns = [batch.column(id_col).take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(total, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.binary())] * with_ids, names=[f.name for f in fields])
+        own.memo.forget()
+        own.odd.forget()
 
     return docs.select(id_col, text_col).mapInArrow(run, T.StructType(fields))
 
