@@ -15,17 +15,18 @@ from foldwise.llm.common import fold, kept, table
 from foldwise.llm.queries import on_workers, vocabulary
 
 MIN_LANGUAGE_SCORE = 0.5
+OWN = {c: f"documents_{c}" for c in ("lang_pred", "score", "predicted")}
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    named = docs.withColumnRenamed("score", "own_score") if "score" in docs.columns else docs
+    named = docs.withColumnsRenamed(OWN)  # the operator adds columns of these names
     out = langid.identify(named, fold("doc_id", 3) != 1).filter(f"lang_pred <> 'und' and score >= {MIN_LANGUAGE_SCORE}")
     return out.select(*named.columns).toDF(*docs.columns)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").filter(fold("doc_id", 4) != 2).select("doc_id", "quality")
-    named = docs.withColumnRenamed("score", "own_score") if "score" in docs.columns else docs
+    named = docs.withColumnsRenamed(OWN)  # the operator adds columns of these names
     out = quality.scored(named, quality.fit(docs, labels)).filter("predicted = 1")
     return out.select(*named.columns).toDF(*docs.columns)
 
