@@ -392,6 +392,14 @@ def test_pipeline_stages(llm):
         now = llm.createDataFrame(rows, docs.schema)
 
 
+def test_filtering_stages_keep_clashing_columns(llm):
+    docs = llm.read.parquet(f"{SMALL}/documents.parquet").withColumns({c: F.lit("own") for c in ("lang_pred", "score", "predicted")})
+    for _, stage in corpus_pipeline.STAGES[:2]:
+        out = stage(llm, docs, SMALL)
+        assert out.columns == docs.columns
+        assert [tuple(r) for r in out.select("lang_pred", "score", "predicted").distinct().collect()] == [("own",) * 3]
+
+
 def test_shared_folder_is_asked_for_on_a_cluster(llm, monkeypatch):
     from foldwise.llm import common
 
