@@ -7,7 +7,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.operators.lookup import collect_levels
+from foldwise.operators.lookup import Lookup
 
 # ---- fixed values: the reference's payment-mode recoding (7 entries) ------------------
 PAYMENT_MODE_MAP = {
@@ -44,25 +44,33 @@ def recode_censored(c: Column, text: str = CENSORED_TEXT, value: float = CENSORE
     return F.coalesce(out, F.lit(null_value)) if null_value is not None else out
 
 
-def fit_levels(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
-    """Category level lists fixed at fit time (transform schema does not depend on data)."""
-    return collect_levels(df, cols)
+def fit_levels(df: DataFrame, cols: list[str]) -> dict[str, Lookup]:
+    """One table of the levels seen at fit time for each category column, however many there are: one
+    aggregation of all columns, size-checked broadcast or shuffle join per column. A column without a
+    non-null level has no entry."""
+    stacked = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("level")) for c in cols])))
+    found = Lookup.fit_split(stacked.where(F.col("level").isNotNull()).distinct(), "k")
+    return {c: Lookup(lk.df.select(F.col("level").alias("_level")), lk.broadcastable) for c, lk in found.items()}
 
 
-def to_category(c: Column, levels: list[str]) -> Column:
+def to_category(df: DataFrame, c: str, levels: Lookup | None) -> DataFrame:
     """Keep fitted levels, unseen -> NULL."""
-    s = c.cast("string")
-    return F.when(s.isin(levels), s) if levels else F.lit(None).cast("string")
+    if levels is None:
+        return df.withColumn(c, F.lit(None).cast("string"))
+    joined = levels.join(df.withColumn(c, F.col(c).cast("string")), F.col(c) == F.col("_level"))
+    return joined.withColumn(c, F.col("_level")).drop("_level")
 
 
 def type_conversion(
     df: DataFrame,
-    levels: dict[str, list[str]],
+    levels: dict[str, Lookup],
     double_cols: list[str] = (),
     int_cols: list[str] = (),
     timestamp_cols: list[str] = (),
     string_cols: list[str] = (),
+    category_cols: list[str] | None = None,
 ) -> DataFrame:
+    """``category_cols``: the columns to hold against ``levels`` (default: all that have some)."""
     exprs = {}
     for c in double_cols:
         exprs[c] = F.col(c).cast("double")
@@ -72,9 +80,10 @@ def type_conversion(
         exprs[c] = F.col(c).cast("timestamp")
     for c in string_cols:
         exprs[c] = F.col(c).cast("string")
-    for c, lv in levels.items():
-        exprs[c] = to_category(F.col(c), lv)
-    return df.withColumns(exprs)
+    df = df.withColumns(exprs) if exprs else df
+    for c in category_cols if category_cols is not None else levels:
+        df = to_category(df, c, levels.get(c))
+    return df
 
 
 def feature_union(df: DataFrame, parts: list[dict[str, Column]]) -> DataFrame:
@@ -112,8 +121,10 @@ def fill(df: DataFrame, values: dict) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType)) for c, v in values.items()})
 
 
-def fill_dates(df: DataFrame, cols: list[str], date: str = REFERENCE_DATE) -> DataFrame:
-    """Missing dates -> a fixed reference date (never 'today': results must be reproducible)."""
+def fill_dates(df: DataFrame, cols: list[str] | dict[str, str], date: str = REFERENCE_DATE) -> DataFrame:
+    """Missing dates -> a fixed reference date (never 'today': results must be reproducible), or with a
+    dict of column -> date each column's own."""
+    dates = cols if isinstance(cols, dict) else dict.fromkeys(cols, date)
     return df.withColumns(
-        {c: F.coalesce(F.col(c), F.to_timestamp(F.lit(date)).cast(df.schema[c].dataType)) for c in cols}
+        {c: F.coalesce(F.col(c), F.to_timestamp(F.lit(v)).cast(df.schema[c].dataType)) for c, v in dates.items()}
     )

@@ -85,6 +85,12 @@ class Lookup:
         right = F.broadcast(self.df) if self.broadcastable else self.df
         return df.join(right, on, how)
 
+    def join_null_safe(self, df: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+        """Like ``join`` on ``keys``, but a NULL key matches the lookup's NULL row."""
+        right = self.df.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+        return df.join(F.broadcast(right) if self.broadcastable else right, same, how).drop(*[f"_key_{k}" for k in keys])
+
 
 def collect_levels(df: DataFrame, cols: list[str], max_levels: int = MAX_LEVELS) -> dict[str, list]:
     """Sorted non-null distinct levels of several columns in ONE aggregation pass.

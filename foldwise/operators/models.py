@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from foldwise.operators import blend as B
 from foldwise.operators import metrics as M
-from foldwise.operators.ordering import with_global_rank
-from foldwise.functions.hashing import uniform
+from foldwise.operators.lookup import Lookup
+from foldwise.operators.split import ranked
 
 
 def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataFrame:
@@ -58,9 +58,28 @@ def fit_predict(train: DataFrame, valid: DataFrame, kind: str, label: str, param
 
 def train_oof(df: DataFrame, id_col: str, features: list[str], label: str, fold_col: str, k: int,
               kind: str = "gbt", params: dict | None = None, early_stop: bool = False) -> tuple[DataFrame, list]:
-    """Out-of-fold probabilities (id, fold, label, probs) and the k fold models."""
-    data = assemble(df, features).select(id_col, fold_col, F.col(label).cast("double").alias(label), "features")
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    """Out-of-fold probabilities (id, fold, label, probs) and the k fold models. ``params`` may name a
+    ``weightCol`` of the input, as ``balanced_weights`` adds."""
+    data = _training_frame(df, id_col, features, label, fold_col, params).persist(StorageLevel.MEMORY_AND_DISK)
+    return _oof_of(data, id_col, label, fold_col, k, kind, params, early_stop)
+
+
+def _training_frame(df: DataFrame, id_col: str, features: list[str], label: str, fold_col: str, params: dict | None) -> DataFrame:
+    weights = [params["weightCol"]] if params and "weightCol" in params else []
+    return assemble(df, features).select(id_col, fold_col, F.col(label).cast("double").alias(label), *weights, "features")
+
+
+def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
+    """Adds n / (classes * rows of the row's class): every class weighs the same in all. Rows with a NULL
+    label count for nothing and get a NULL weight. One aggregation; classes come as a size-checked lookup."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.sum("_rows"), F.count(F.lit(1))).first()
+    weight = F.lit(float(total[0] or 0)) / (F.lit(total[1]) * F.col("_rows"))
+    return Lookup.fit(counts.select(label, weight.alias(out))).join(df, label).select(*[c for c in df.columns if c != out], out)
+
+
+def _oof_of(data: DataFrame, id_col: str, label: str, fold_col: str, k: int, kind: str, params: dict | None,
+            early_stop: bool = False) -> tuple[DataFrame, list]:
     parts, models = [], []
     for f in range(k):
         model, pred = fit_predict(data.where(F.col(fold_col) != f), data.where(F.col(fold_col) == f), kind, label,
@@ -131,17 +150,20 @@ def sample_params(space: list[Space], trial: int, seed: int = 42) -> dict:
 
 def random_search(df: DataFrame, id_col: str, features: list[str], label: str, fold_col: str, k: int,
                   kind: str, space: list[Space], n_trials: int = 10, seed: int = 42, fixed: dict | None = None) -> DataFrame:
-    """Trial table: params, AUC per fold and mean AUC (the reference minimises -mean score)."""
+    """Trial table: params, AUC per fold and mean AUC (the reference minimises -mean score). All trials
+    train on one cached frame, which is released at the end."""
     spark = df.sparkSession
     rows = []
+    data = _training_frame(df, id_col, features, label, fold_col, fixed).persist(StorageLevel.MEMORY_AND_DISK)
     for t in range(n_trials):
         params = {**(fixed or {}), **sample_params(space, t, seed)}
-        oof, _ = train_oof(df, id_col, features, label, fold_col, k, kind, params)
+        oof, _ = _oof_of(data, id_col, label, fold_col, k, kind, params)
         scored = oof.withColumn("p1", F.col("probs")[1])
         per = M.grouped_auc(scored, [fold_col], "p1", label).select(fold_col, "auc").collect()  # k rows
         aucs = {r[fold_col]: r["auc"] for r in per}
         mean = sum(aucs.values()) / len(aucs)
         rows.append((t, str(params), *[float(aucs.get(f, float("nan"))) for f in range(k)], mean, -mean))
+    data.unpersist()
     cols = ["trial", "params", *[f"auc_fold{f}" for f in range(k)], "auc_mean", "objective"]
     return spark.createDataFrame(rows, cols)
 
@@ -153,11 +175,12 @@ def feature_importance(model, features: list[str]) -> list[tuple[str, float]]:
 
 def permute_column(df: DataFrame, id_col: str, col: str, seed: int = 7) -> DataFrame:
     """Replace ``col`` by the value of another row: rows ranked by a hash, value taken from the
-    next rank (cyclic). An equi-join on rank; no row is dropped or duplicated."""
-    ranked = with_global_rank(df.withColumn("_u", uniform(F.col(id_col), F.lit(col), seed=seed)), ["_u", id_col], name="_r")
-    n = ranked.count()
-    donor = ranked.select((F.col("_r") % F.lit(n) + 1).alias("_r"), F.col(col).alias("_donor"))
-    return ranked.join(donor, "_r").withColumn(col, F.col("_donor")).drop("_donor", "_r", "_u")
+    next rank (cyclic). An equi-join on rank; no row is dropped or duplicated, and nothing is written:
+    the donor side ranks only the id and the column."""
+    rows = ranked(df, [], id_col, F.lit(col), seed=seed).drop("_in", "_n")
+    donor = ranked(df.select(*{id_col: 0, col: 0}), [], id_col, F.lit(col), seed=seed)
+    donor = donor.select((F.col("_r") % F.col("_n") + 1).alias("_r"), F.col(col).alias("_donor"))
+    return rows.join(donor, "_r").withColumn(col, F.col("_donor")).drop("_donor", "_r")
 
 
 def score_with_folds(df: DataFrame, fold_models: list, features: list[str], n_classes: int,

@@ -1,50 +1,69 @@
 """Fold assignment, splits and bootstrap draws (D1-D7), all deterministic and distributed.
 
-Rows are "shuffled" by a hash uniform u = uniform(id, seed); ``id_col`` must be a unique row key. Fold ids come from a global
-rank in (stratum, u, id) order computed with a range shuffle (``with_global_rank``), so
-each class is spread evenly over the folds (class counts per fold differ by at most one)
-without a single-partition window and without placing a whole class in one task.
+Rows are "shuffled" by a hash uniform u = uniform(id, seed) and numbered in (stratum, u, id) order, so each
+class is spread evenly over the folds (class counts per fold differ by at most one). The numbering uses fixed
+buckets of u (``ranked``): rows per (stratum, bucket) are counted, a prefix sum of those counts says where each
+bucket starts, and a window numbers the rows inside it. u is uniform, so a class that holds most rows is still
+dealt evenly over its buckets. That is one hash shuffle of the rows: nothing is written, and no row is joined
+back by its id, so repeated and NULL ids keep their rows (full copies may swap places, which changes nothing).
+The numbers do not depend on how many buckets there are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwise.functions.hashing import poisson_weight, uniform
 from foldwise.operators.lookup import Lookup
-from foldwise.operators.ordering import with_global_rank
 
+BUCKETS_PER_PARTITION = 16
+
+
+def ranked(df: DataFrame, strata: list[str], id_col: str, *extra_key, seed: int, buckets: int | None = None) -> DataFrame:
+    """Adds ``_r`` (1-based place in (strata, u, id) order), ``_in`` (place inside the stratum) and ``_n``
+    (rows of the stratum). The driver gets nothing but a size-checked lookup of strata x buckets rows."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or BUCKETS_PER_PARTITION * parts
+    u = uniform(F.col(id_col), *extra_key, seed=seed)
+    bucket = F.floor(u * buckets).cast("int")
+
+    counts = df.select(*strata, bucket.alias("_b")).groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    stratum = Window.partitionBy(*strata)
+    earlier = stratum.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumns({"_before": F.coalesce(F.sum("_c").over(earlier), F.lit(0)), "_n": F.sum("_c").over(stratum)}).drop("_c")
+    if strata:  # one row per stratum: the rows of the strata before it
+        before = Window.orderBy(*strata).rowsBetween(Window.unboundedPreceding, -1)
+        sizes = counts.groupBy(*strata).agg(F.sum("_c").alias("_m"))
+        sizes = sizes.withColumn("_start", F.coalesce(F.sum("_m").over(before), F.lit(0))).drop("_m")
+        starts = Lookup.fit(sizes).join_null_safe(starts, strata)
+    else:
+        starts = starts.withColumn("_start", F.lit(0))
 
-def _rank_narrow(df: DataFrame, strata: list[str], id_col: str, seed: int) -> tuple[DataFrame, bool]:
-    """Rank only (strata, hash, id); the caller joins the result back by the unique id when the
-    input carries other columns, so a wide feature table is never range-shuffled or written."""
-    narrow = df.select(*strata, id_col)
-    ranked = with_global_rank(narrow.withColumn("_u", uniform(F.col(id_col), seed=seed)), [*strata, "_u", id_col], name="_r")
-    return ranked.drop("_u"), set(df.columns) <= {*strata, id_col}
+    hashable = [f.name for f in df.schema.fields if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    inside = Window.partitionBy(*strata, "_b").orderBy("_u", id_col, "_h")
+    rows = df.withColumns({"_u": u, "_b": bucket, "_h": F.xxhash64(*[F.col(f"`{c}`") for c in hashable])})
+    rows = rows.withColumn("_i", F.row_number().over(inside)).drop("_u", "_h")
+    rows = Lookup.fit(starts).join_null_safe(rows, [*strata, "_b"])
+    place = F.col("_before") + F.col("_i")
+    return rows.withColumns({"_r": F.col("_start") + place, "_in": place}).drop("_b", "_i", "_before", "_start")
 
 
-def _attach(df: DataFrame, ranked: DataFrame, id_col: str, cols: list[str], is_narrow: bool) -> DataFrame:
-    """Join the assigned columns back by the row key (unique per row; NULL-safe, so no row is lost)."""
-    if is_narrow:
-        return ranked
-    r = ranked.select(F.col(id_col).alias("_rid"), *cols)
-    return df.join(r, df[id_col].eqNullSafe(r["_rid"]), "left").drop("_rid")
+def _with_fold(df: DataFrame, strata: list[str], id_col: str, k: int, seed: int, fold_col: str) -> DataFrame:
+    out = ranked(df.drop(fold_col), strata, id_col, seed=seed)
+    return out.withColumn(fold_col, ((F.col("_r") - 1) % k).cast("int")).drop("_r", "_in", "_n")
 
 
 def stratified_kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int = 42, fold_col: str = "kfold") -> DataFrame:
-    ranked, is_narrow = _rank_narrow(df, [label], id_col, seed)
-    ranked = ranked.withColumn(fold_col, ((F.col("_r") - 1) % k).cast("int")).drop("_r")
-    return _attach(df, ranked, id_col, [fold_col], is_narrow)
+    """Rows with a NULL label are a class of their own."""
+    return _with_fold(df, [label], id_col, k, seed, fold_col)
 
 
 def kfold(df: DataFrame, id_col: str, k: int = 5, seed: int = 42, fold_col: str = "kfold", exact: bool = True) -> DataFrame:
     """Plain k-fold. exact: equal parts (rank in hash order mod k); else pmod(xxhash64) with no shuffle."""
     if not exact:
         return df.withColumn(fold_col, F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(k)).cast("int"))
-    ranked, is_narrow = _rank_narrow(df, [], id_col, seed)
-    ranked = ranked.withColumn(fold_col, ((F.col("_r") - 1) % k).cast("int")).drop("_r")
-    return _attach(df, ranked, id_col, [fold_col], is_narrow)
+    return _with_fold(df, [], id_col, k, seed, fold_col)
 
 
 def equal_width_bins(df: DataFrame, col: str, k: int) -> tuple[list[float], object]:
@@ -79,16 +98,10 @@ def fold_split(df: DataFrame, fold: int, fold_col: str = "kfold") -> tuple[DataF
 
 def train_test_split(df: DataFrame, id_col: str, test_size: float = 0.25, seed: int = 42,
                      stratify: str | None = None, flag_col: str = "is_test") -> DataFrame:
-    """Hash-ordered hold-out. Stratified: per class, the first ceil(test_size * n_class) rows in hash order."""
-    base = df if stratify else df.withColumn("_s", F.lit(0))
-    strata = [stratify] if stratify else ["_s"]
-    ranked, is_narrow = _rank_narrow(base, strata, id_col, seed)
-    sizes = ranked.groupBy(*strata).agg(F.min("_r").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    j = Lookup.fit(sizes).join(ranked, strata, "inner")
-    n_test = F.ceil(F.col("_n") * F.lit(test_size))
-    flags = j.withColumn(flag_col, ((F.col("_r") - F.col("_start") + 1) <= n_test).cast("int"))
-    flags = flags.drop("_r", "_start", "_n", "_s")
-    return _attach(df, flags, id_col, [flag_col], is_narrow)
+    """Hash-ordered hold-out. Stratified: per class (NULL is one), the first ceil(test_size * n_class) rows in hash order."""
+    out = ranked(df.drop(flag_col), [stratify] if stratify else [], id_col, seed=seed)
+    is_test = F.col("_in") <= F.ceil(F.col("_n") * F.lit(test_size))
+    return out.withColumn(flag_col, is_test.cast("int")).drop("_r", "_in", "_n")
 
 
 def bootstrap_weights(df: DataFrame, id_col: str, n_samples: int, frac: float, seed: int = 42) -> DataFrame:

@@ -12,13 +12,14 @@ from foldwise.operators import models as ML
 from foldwise.operators import split as SP
 from foldwise.plans.bindings import ENTITY_SQL, entity, round_doubles
 from foldwise.plans.registry import query
+from foldwise.sources.tables import table
 
 FEATURES = ["o_totalprice", "c_acctbal", "od_year", "od_month", "od_dow", "seg_code", "prio_code"]
 GBT_PARAMS = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8}
 
 
 def model_frame(spark, d, k=5, stratify="target"):
-    e = entity(spark, d)
+    e = entity(spark, d, ["ID", "target", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "c_acctbal", "c_mktsegment"])
     code = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
     e = e.withColumns({
         "od_year": F.year("o_orderdate"), "od_month": F.month("o_orderdate"), "od_dow": F.weekday("o_orderdate"),
@@ -81,14 +82,13 @@ def q_oof_metrics(spark, d):
 def q_random_search(spark, d):
     mf = model_frame(spark, d, k=3)
     space = [ML.Space("regParam", 1e-4, 1.0, log=True), ML.Space("elasticNetParam", 0.0, 1.0)]
-    return ML.random_search(mf, "ID", FEATURES, "target", "kfold", 3, "logreg", space, n_trials=4, fixed={"maxIter": 30})
+    return ML.random_search(mf, "ID", FEATURES, "target", "kfold", 3, "logreg", space, n_trials=10, fixed={"maxIter": 30})
 
 
 @query("feature_importance")
 def q_importance(spark, d):
     mf = model_frame(spark, d)
-    model, _ = ML.fit_predict(ML.assemble(mf, FEATURES).where("kfold != 0"), ML.assemble(mf, FEATURES).where("kfold == 0"),
-                              "gbt", "target", GBT_PARAMS)
+    model = ML.estimator("gbt", "target", GBT_PARAMS).fit(ML.assemble(mf, FEATURES))
     rows = ML.feature_importance(model, FEATURES)
     return spark.createDataFrame([(f, v, i + 1) for i, (f, v) in enumerate(rows)], "feature string, importance double, rank int")
 
@@ -112,7 +112,7 @@ MF_CATS, MF_NUMS = ["priority_m"], ["acctbal_m"]
 
 
 def _mf_frame(spark, d):
-    e = entity(spark, d)
+    e = entity(spark, d, ["ID", "priority_m", "acctbal_m", "o_totalprice", "o_orderdate"])
     return e.select("ID", "priority_m", "acctbal_m", "o_totalprice", F.year("o_orderdate").alias("od_year"))
 
 
@@ -123,18 +123,51 @@ def q_missforest(spark, d):
     return filled.select("ID", "priority_m", "acctbal_m")
 
 
-_TRAIN = "o_orderdate < TIMESTAMP '1997-01-01' AND c_acctbal >= 0"
+@query(
+    "impute_missforest_wide",
+    sql=f"SELECT ID, priority_m AS priority_observed, round(acctbal_m, 6) AS acctbal_observed, 2 AS n_present FROM {ENTITY_SQL}",
+)
+def q_missforest_wide(spark, d):
+    """Predictors with 25 and 40 levels; of the result, what does not hang on the forests: the rows, the
+    observed values (as they were) and that nothing is left NULL."""
+    e = entity(spark, d, ["ID", "priority_m", "acctbal_m", "o_totalprice", "n_name", "o_custkey"])
+    e = e.withColumns({"was_priority": F.col("priority_m").isNotNull(), "was_acctbal": F.col("acctbal_m").isNotNull(),
+                       "cust_group": F.concat(F.lit("g"), (F.col("o_custkey") % 40).cast("string"))}).drop("o_custkey")
+    out, _ = I.fit_transform_missforest(e, [*MF_CATS, "n_name", "cust_group"], MF_NUMS, extra=["o_totalprice"],
+                                        num_trees=10, max_depth=5)
+    return round_doubles(out.select(
+        "ID", F.when(F.col("was_priority"), F.col("priority_m")).alias("priority_observed"),
+        F.when(F.col("was_acctbal"), F.col("acctbal_m")).alias("acctbal_observed"),
+        (F.col("priority_m").isNotNull().cast("int") + F.col("acctbal_m").isNotNull().cast("int")).alias("n_present"),
+    ))
+
+
+@query(
+    "class_weights",
+    sql="""SELECT o_orderkey, o_orderstatus,
+  round(count(*) OVER () * 1.0 / ((SELECT count(DISTINCT o_orderstatus) FROM orders) * count(*) OVER (PARTITION BY o_orderstatus)), 6) AS weight
+  FROM orders""",
+)
+def q_class_weights(spark, d):
+    return round_doubles(ML.balanced_weights(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), "o_orderstatus"))
+
+
+_TRAIN = "o_orderdate < TIMESTAMP '1997-01-01' AND c_acctbal >= 0 AND priority_m IS NOT NULL"
 
 
 @query(
     "impute_missforest_fallback",
-    sql=f"""SELECT ID, round(coalesce(acctbal_m, (SELECT avg(acctbal_m) FROM {ENTITY_SQL} WHERE {_TRAIN})), 6) AS acctbal_m
+    sql=f"""SELECT ID, round(coalesce(acctbal_m, (SELECT avg(acctbal_m) FROM {ENTITY_SQL} WHERE {_TRAIN})), 6) AS acctbal_m,
+  coalesce(priority_m, (SELECT priority_m FROM {ENTITY_SQL} WHERE {_TRAIN}
+    GROUP BY priority_m ORDER BY count(*) DESC, priority_m LIMIT 1)) AS priority_m
   FROM {ENTITY_SQL} WHERE NOT (o_orderdate < TIMESTAMP '1997-01-01')""",
 )
 def q_missforest_fallback(spark, d):
-    e = entity(spark, d, ["ID", "acctbal_m", "o_totalprice", "o_orderdate", "c_acctbal"])
+    """Nothing was missing at fit, so there is no forest: a new batch gets the fitted mean and mode."""
+    e = entity(spark, d, ["ID", "acctbal_m", "priority_m", "o_totalprice", "o_orderdate", "c_acctbal"])
     cut = F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp")
-    train = e.where(cut & (F.col("c_acctbal") >= 0)).select("ID", "acctbal_m", "o_totalprice")
-    _, st = I.fit_transform_missforest(train, [], MF_NUMS, extra=["o_totalprice"])  # nothing missing: no model
-    test = e.where(~cut).select("ID", "acctbal_m")
-    return round_doubles(I.transform_fallback(test, st, [], MF_NUMS))
+    train = e.where(cut & (F.col("c_acctbal") >= 0) & F.col("priority_m").isNotNull())
+    train = train.select("ID", "acctbal_m", "priority_m", "o_totalprice")
+    _, st = I.fit_transform_missforest(train, MF_CATS, MF_NUMS, extra=["o_totalprice"])
+    test = e.where(~cut).select("ID", "acctbal_m", "priority_m")
+    return round_doubles(I.transform_fallback(test, st, MF_CATS, MF_NUMS))
