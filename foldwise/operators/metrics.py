@@ -29,18 +29,25 @@ def clip_p(p: Column, eps: float = LOG_LOSS_EPS) -> Column:
     return F.least(F.greatest(p, F.lit(eps)), F.lit(1 - eps))
 
 
-def log_loss_binary(df: DataFrame, label: str, p1: str, groups: list[str] = ()) -> DataFrame:
+def binary_loss(label: str, p1: str) -> Column:
+    """Log loss of a row from the probability of class 1."""
     p = clip_p(F.col(p1))
-    term = F.when(F.col(label) == 1, -F.log(p)).otherwise(-F.log(1 - p))
-    return df.groupBy(*groups).agg(F.avg(term).alias("log_loss"))
+    return F.when(F.col(label) == 1, -F.log(p)).otherwise(-F.log(1 - p))
 
 
-def log_loss_multi(df: DataFrame, label: str, probs: str, groups: list[str] = ()) -> DataFrame:
-    """probs: array<double> in class-index order; rows are renormalised after clipping."""
+def multi_loss(label: str, probs: str) -> Column:
+    """Log loss of a row; probs: array<double> in class-index order, renormalised after clipping."""
     clipped = F.transform(F.col(probs), lambda x: clip_p(x))
     total = F.aggregate(clipped, F.lit(0.0), lambda a, x: a + x)
-    p = F.element_at(clipped, F.col(label) + 1) / total
-    return df.groupBy(*groups).agg(F.avg(-F.log(p)).alias("log_loss"))
+    return -F.log(F.element_at(clipped, F.col(label) + 1) / total)
+
+
+def log_loss_binary(df: DataFrame, label: str, p1: str, groups: list[str] = ()) -> DataFrame:
+    return df.groupBy(*groups).agg(F.avg(binary_loss(label, p1)).alias("log_loss"))
+
+
+def log_loss_multi(df: DataFrame, label: str, probs: str, groups: list[str] = ()) -> DataFrame:
+    return df.groupBy(*groups).agg(F.avg(multi_loss(label, probs)).alias("log_loss"))
 
 
 def grouped_auc(df: DataFrame, groups: list[str], score: str, label: str) -> DataFrame:

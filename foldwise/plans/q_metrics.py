@@ -64,13 +64,9 @@ _MULTI_P = (
 )
 def q_log_loss(spark, d):
     t = toy(spark, d)
-    pb = M.clip_p(F.col("p1"))
-    clipped = F.transform(F.col("probs"), lambda x: M.clip_p(x))
-    total = F.aggregate(clipped, F.lit(0.0), lambda a, x: a + x)
-    pm = F.element_at(clipped, F.col("y") + 1) / total
     return round_doubles(t.agg(
-        F.avg(F.when(F.col("target") == 1, -F.log(pb)).otherwise(-F.log(1 - pb))).alias("log_loss_binary"),
-        F.avg(-F.log(pm)).alias("log_loss_multi"),
+        F.avg(M.binary_loss("target", "p1")).alias("log_loss_binary"),
+        F.avg(M.multi_loss("y", "probs")).alias("log_loss_multi"),
     ))
 
 
