@@ -1,17 +1,21 @@
 """Operator 4: main text of web pages, with site templates removed.
 
 A page is read into a tree of elements. Every element's subtree gets a hash of its name, its texts and
-its children. Spark counts on how many pages of a host each hash occurs (once a page). The subtree of a
-block-level element outside the article that recurs on at least ``least`` pages and at least ``share`` of the host's pages belongs to
-the site's template and is deleted, as are elements that are no text by their name, role or class (menus,
-headers, footers, sidebars, forms, scripts, adverts, notices, reader comments). If the page marks its
-article (``article`` or ``main``), the text is what is left of that; else of the whole body. In a marked
-article only elements that hold no running text themselves (``div``, ``section``, lists, tables) are
+its children. Elements that are no text by their name, role or class (menus, headers, footers, sidebars,
+forms, scripts, adverts, notices, reader comments) are deleted and play no part in the hashes. Spark counts
+on how many distinct pages of a host each hash occurs (once a page; pages whose whole trees have one hash are
+one page, however many rows repeat it). The subtree of a block-level element outside the article that recurs
+on at least ``least`` distinct pages and at least ``share`` of those of the host belongs to the site's
+template and is deleted as well, but never ``html``, ``body`` or an element around an article. If the page
+marks its article (``article`` or ``main``), the text is what is left of that; else of the whole body. In a
+marked article only elements that hold no running text themselves (``div``, ``section``, lists, tables) are
 deleted as template, and only at a share of ``inner_share``: a paragraph that many articles quote stays.
+Near copies (trees that differ) are pages each: where they make up ``share`` of a host and mark no article,
+the blocks they share count as template.
 
 A block is the text between two block-level tags; white space in it becomes one space. Nulls and pages
 without text give the empty text. A null or odd url is a host of its own kind (the empty name), whose
-template is counted alike. Repeated rows are pages each. Columns beside those asked for play no part. A
+template is counted alike. Repeated rows give their texts each. Columns beside those asked for play no part. A
 host has at most 1 / share times the subtrees of a page in its template, so the templates of all hosts
 stay small; they are joined by host, broadcast only if their measured size allows it, and otherwise in
 a join that splits hosts with many pages.
@@ -48,10 +52,10 @@ GAPS = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "parts", "drop", "key", "content")
+    __slots__ = ("name", "parts", "drop", "key", "content", "holds")
 
     def __init__(self, name: str, drop: bool = False, content: bool = False):
-        self.name, self.drop, self.content, self.parts, self.key = name, drop, content, [], 0
+        self.name, self.drop, self.content, self.parts, self.key, self.holds = name, drop, content, [], 0, content
 
 
 def unwanted(name: str, attributes: str, in_article: bool) -> bool:
@@ -119,26 +123,33 @@ def close(stack: list[Node], names: set[str], scope) -> None:
             return
 
 
+def deletable(node: Node, in_article: bool) -> bool:
+    """Whether the element can be template: not the page, nor what an article stands in (known once hashed)."""
+    return node.key != 0 and node.name in BLOCK and not node.holds and node.name not in ("html", "body") and (not in_article or node.name in HOLDERS)
+
+
 def hashed(node: Node, out: set[int], in_article: bool = False) -> int:
-    """Give every subtree its key; gather those that may be template. Deep trees are walked without recursion."""
+    """Give every subtree that stays its key; gather those that may be template. Deep trees are walked without recursion."""
     order, todo = [], [(node, in_article)]
     while todo:
         own, inner = todo.pop()
         order.append((own, inner))
         inner = inner or own.content
-        todo += [(p, inner) for p in own.parts if isinstance(p, Node)]
+        todo += [(p, inner) for p in own.parts if isinstance(p, Node) and not p.drop]
     for own, inner in reversed(order):
         h = blake2b(own.name.encode(), digest_size=8)
         some = False
         for p in own.parts:
             if isinstance(p, Node):
-                h.update(b"<%d>" % p.key)
-                some = some or p.key != 0
+                if not p.drop:
+                    h.update(b"<%d>" % p.key)
+                    some = some or p.key != 0
+                    own.holds = own.holds or p.holds
             elif t := GAPS.sub(" ", p).strip():
                 h.update(t.encode("utf-8", "surrogatepass"))
                 some = True
         own.key = int.from_bytes(h.digest(), "little", signed=True) if some else 0
-        if some and own.name in BLOCK and not own.content and own.name != "body" and (not inner or own.name in HOLDERS):
+        if deletable(own, inner):
             out.add(own.key)
     return node.key
 
@@ -171,8 +182,8 @@ def blocks(root: Node, template: dict[int, float], share: float, inner_share: fl
             if item.name in BLOCK:
                 flush(inner)
         else:
-            found = template.get(item.key, 0.0) if item.key and item.name in BLOCK and not item.content and item.name != "body" else 0.0
-            if found >= (inner_share if inner else share) and found > 0 and (not inner or item.name in HOLDERS):
+            found = template.get(item.key, 0.0) if deletable(item, inner) else 0.0
+            if found >= (inner_share if inner else share) and found > 0:
                 flush(inner)
                 continue
             has_article = has_article or item.content
@@ -191,18 +202,19 @@ def host_of(url_col: str):
 
 
 def templates(pages: DataFrame, least: int, share: float, html_col: str, url_col: str) -> DataFrame:
-    """``host``, ``template``: a map from subtree hash to the share of the host's pages that have it."""
+    """``host``, ``template``: a map from subtree hash to the share of the host's distinct pages that have it."""
     def run(batches):
         for batch in slices(batches, html_col):
-            host, key = [], []
-            for name, page in zip(batch.column("host").to_pylist(), texts(batch, html_col), strict=True):
+            page, keys = [], []
+            for html in texts(batch, html_col):
                 out: set[int] = {0}  # 0 counts the page itself
-                hashed(tree(page), out)
-                host += [name] * len(out)
-                key += out
-            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(key, pa.int64())], names=["host", "key"])
+                page.append(hashed(tree(html), out))
+                keys.append(sorted(out))
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(page, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["host", "page", "keys"])
 
-    counts = pages.select(host_of(url_col).alias("host"), html_col).mapInArrow(run, "host string, key long").groupBy("host", "key").count()
+    each = pages.select(host_of(url_col).alias("host"), html_col).mapInArrow(run, "host string, page long, keys array<long>")
+    distinct = each.groupBy("host", "page").agg(F.first("keys").alias("keys"))  # one tree, one list
+    counts = distinct.select("host", F.explode("keys").alias("key")).groupBy("host", "key").count()
     counts = kept(counts.filter((F.col("count") >= least) | (F.col("key") == 0)), "subtrees")
     total = counts.filter("key = 0").select("host", F.col("count").alias("pages"))
     often = counts.filter("key <> 0").join(total, "host").withColumn("part", F.col("count") / F.col("pages")).filter(F.col("part") >= share)

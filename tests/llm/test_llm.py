@@ -269,6 +269,19 @@ def test_page_text_without_templates(llm):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_are_no_template(llm):
+    menu = "<div><ul><li>Home</li></ul></div>"
+    rows = [(i, "http://copies.example/", f"<html><body><div>{menu}<article><p>one</p></article></div><p>out</p>") for i in range(6)]
+    rows += [(10 + i, f"http://plain.example/{i}", f"<html><body><div><p>a page<p>served again</div><script>var n={i}</script>") for i in range(6)]
+    rows += [(20 + i, "http://mixed.example/", f"<html><body>{menu}<div><p>text {min(i, 4)}</p></div>") for i in range(30)]
+    rows += [(60 + i, f"http://near.example/{i}", f"<html><body><p>at {i}</p><div><article><p>all have it</p></article></div>") for i in range(6)]
+    got = {r["page_id"]: r["text"] for r in pages.extract(frame(llm, [dict(zip(("page_id", "url", "html"), r, strict=True)) for r in rows], "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows)
+    assert {got[i] for i in range(6)} == {"one"} and {got[10 + i] for i in range(6)} == {"a page\nserved again"}
+    assert [got[20 + i] for i in range(30)] == [f"text {min(i, 4)}" for i in range(30)]
+    assert {got[60 + i] for i in range(6)} == {"all have it"}
+
+
 def test_pages_of_the_table(llm):
     def article(html):
         import html as entities
