@@ -1,12 +1,13 @@
 """Operator 9: approximate nearest neighbours by vantage-point trees, one for each shard.
 
-The measure is the largest inner product. Each vector gets one more component, sqrt(M**2 - |x|**2) with M
-the largest norm, so that all have one length and the order by inner product is the order by Euclidean
-distance, which a vantage-point tree can prune by the triangle inequality. A node holds a vantage point
-and the median distance to it; a query first goes to its own side, with the far side left out if
-``factor`` times its distance from the border exceeds the query's k-th best distance. A factor of 1
-leaves out only what cannot hold a nearer vector, which is exact; a larger one prunes more. Every row is
-indexed; nothing is sampled. Leaves are compared by matrix products; scores are then taken anew on the
+The measure is the largest inner product. A shard is scaled to a largest norm of 1, each of its vectors gets
+one more component, sqrt(1 - |x|**2), and queries are scaled to a norm of 1, so that all have one length and
+the order by inner product is the order by Euclidean distance, which a vantage-point tree can prune by the
+triangle inequality. A node holds a vantage point and the median distance to it; a query first goes to its
+own side, with the far side left out if ``factor`` times its distance from the border exceeds the query's
+k-th best distance. A factor of 1, which is used, leaves out only what cannot hold a nearer vector, which is
+exact; a larger one prunes more, and loses most neighbours where norms are uneven: one long vector moves all
+others to nearly one place. Every row is indexed; nothing is sampled. Leaves are compared by matrix products; scores are then taken anew on the
 original vectors in double precision, each in one fixed order of summation.
 
 Vectors that are null, zero, or hold null or non-finite components take no part; of repeated ids the
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from foldwise.llm.topk import BLOCK_ROWS, best, fresh, matrix, merged, usable
 
 SHARD_ROWS, LEAF, CELLS = 8192, 256, 2_000_000
+SLACK = 1e-9  # of squared distances between vectors of length 1, far above their rounding
 
 
 class Tree:
@@ -95,24 +97,31 @@ class Tree:
             q = self.queries[who]
             d = (q**2).sum(1)[:, None] + self.squares[part] - 2 * (q @ self.points[part].T)
             d[self.own[who][:, None] == part] = np.inf
-            for w, row, some in zip(who, d, best(-d, self.k, 1e-9), strict=True):
+            for w, row, some in zip(who, d, best(-d, self.k, SLACK), strict=True):
                 some = some[np.isfinite(row[some])]
-                self.found[w].append(part[some[row[some] <= self.limit[w] ** 2 + 1e-9]])
+                self.found[w].append(part[some[row[some] <= self.limit[w] ** 2]])
             nearest = np.partition(np.hstack([self.near[who], d]), self.k - 1, axis=1)[:, : self.k]
             self.near[who] = nearest
-            self.limit[who] = np.sqrt(np.maximum(nearest.max(1), 0)) + 1e-9
+            self.limit[who] = np.sqrt(np.maximum(nearest.max(1), 0) + SLACK)
 
 
-def longer(v: np.ndarray, most: float) -> np.ndarray:
-    return np.hstack([v, np.sqrt(np.maximum(most**2 - (v**2).sum(1), 0))[:, None]])
+def scaled(v: np.ndarray, by_row: bool) -> np.ndarray:
+    """Divided by the norm of each row, or by the largest; neither overflows nor vanishes on the way."""
+    v = v / np.abs(v).max(axis=1 if by_row else None, keepdims=True)
+    norm = np.sqrt((v**2).sum(1))
+    return v / (norm[:, None] if by_row else norm.max())
 
 
-def tile(queries: pd.DataFrame, shard: pd.DataFrame, most: float, k: int, factor: float) -> pd.DataFrame:
+def longer(v: np.ndarray) -> np.ndarray:
+    return np.hstack([v, np.sqrt(np.maximum(1 - (v**2).sum(1), 0))[:, None]])
+
+
+def tile(queries: pd.DataFrame, shard: pd.DataFrame, k: int, factor: float) -> pd.DataFrame:
     queries, shard = queries.sort_values("id"), shard.sort_values("id")
     ids, base, asked, q = shard["id"].to_numpy(), matrix(shard["v"]), queries["id"].to_numpy(), matrix(queries["v"])
     place = np.searchsorted(ids, asked)
     own = np.where((place < len(ids)) & (ids[np.minimum(place, len(ids) - 1)] == asked), place, -1)
-    found = Tree(longer(base, most)).search(np.hstack([q, np.zeros((len(q), 1))]), own, k, factor)
+    found = Tree(longer(scaled(base, False))).search(np.hstack([scaled(q, True), np.zeros((len(q), 1))]), own, k, factor)
     out = []
     for i, some in enumerate(found):
         some = np.sort(some)
@@ -123,13 +132,11 @@ def tile(queries: pd.DataFrame, shard: pd.DataFrame, most: float, k: int, factor
     return pd.DataFrame({"query_id": query_id, "vec_id": vec_id, "score": score})
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 20, factor: float = 1.5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, k: int = 20, factor: float = 1.0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``; ``is_query`` speaks of the column ``id``."""
     whole = usable(vectors, id_col, vector_col).filter(F.exists("v", lambda x: x != 0))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    facts = whole.agg(F.count("*").alias("n"), F.max(norm).alias("most"), F.count_if(is_query).alias("asked")).first()
+    facts = whole.agg(F.count("*").alias("n"), F.count_if(is_query).alias("asked")).first()
     shards, blocks = max(1, -(-facts["n"] // SHARD_ROWS)), max(1, -(-facts["asked"] // BLOCK_ROWS))
-    most = float(facts["most"] or 0.0)
     spread = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = whole.filter(is_query).withColumn("block", spread(blocks, 1)).withColumn("shard", each(shards))
@@ -138,7 +145,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, factor: float = 1.
     def run(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "shard": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64", "shard": "int64"})
-        return tile(a, b, most, k, factor).assign(shard=key[1])
+        return tile(a, b, k, factor).assign(shard=key[1])
 
     tiles = fresh(left).groupBy("block", "shard").cogroup(fresh(right).groupBy("block", "shard")).applyInPandas(run, "query_id long, vec_id long, score double, shard long")
     return merged(tiles, k, shards).select("query_id", "rank", "vec_id", "score")

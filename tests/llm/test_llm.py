@@ -239,6 +239,23 @@ def test_vantage_point_trees(llm, monkeypatch, factor):
     assert vptree.search(df.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("most", [4.0, 1e5])
+def test_uneven_norms_lose_no_neighbours(llm, most):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(1500, 16))
+    x *= rng.uniform(0.1, 1, len(x))[:, None] / np.sqrt((x * x).sum(1))[:, None]
+    x[700] *= most / np.sqrt((x[700] ** 2).sum())
+    x = x.astype(np.float32)
+    df = frame(llm, [{"vec_id": i, "embedding": v.tolist()} for i, v in enumerate(x)], VECTORS)
+    got = {}
+    for r in vptree.search(df, F.col("id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    x = x.astype(np.float64)
+    for q in range(0, len(x), 20):
+        s = (x * x[q]).sum(1)
+        assert got[q] == [int(i) for i in np.lexsort((np.arange(len(x)), -s)) if i != q][:20]
+
+
 def test_recall_on_the_embeddings(llm):
     got = {(r["query_id"], r["vec_id"]) for r in queries.QUERIES["op9_vptree"](llm, SMALL).collect()}
     rows = llm.read.parquet(f"{SMALL}/embeddings.parquet").orderBy("vec_id").collect()
