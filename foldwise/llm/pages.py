@@ -4,21 +4,25 @@ A page is read into a tree of elements. Every element's subtree gets a hash of i
 its children. Elements that are no text by their name, role or class (menus, headers, footers, sidebars,
 forms, scripts, adverts, notices, reader comments) are deleted and play no part in the hashes. Spark counts
 on how many distinct pages of a host each hash occurs (once a page; pages whose whole trees have one hash are
-one page, however many rows repeat it). The subtree of a block-level element outside the article that recurs
-on at least ``least`` distinct pages and at least ``share`` of those of the host belongs to the site's
-template and is deleted as well, but never ``html``, ``body`` or an element around an article. If the page
-marks its article (``article`` or ``main``), the text is what is left of that; else of the whole body. In a
-marked article only elements that hold no running text themselves (``div``, ``section``, lists, tables) are
-deleted as template, and only at a share of ``inner_share``: a paragraph that many articles quote stays.
-Near copies (trees that differ) are pages each: where they make up ``share`` of a host and mark no article,
-the blocks they share count as template.
+one page, however many rows repeat it). Of a host's n distinct pages, the subtree of a block-level element
+outside the article belongs to the site's template and is deleted as well if it recurs on at least ``least``
+and at least ``share`` of them, or on ``many`` and ``low_share`` (menus of a section, adverts in turn); with
+n below ``least``, if it is on all of two or more. ``html``, ``body`` and elements around an article stay.
+If the page marks its article (``article`` or ``main``), the text is what is left of that; else of the whole
+body. In a marked article only elements that hold no running text themselves (``div``, ``section``, lists,
+tables) are deleted as template, and only on ``least`` pages at a share of ``inner_share``: a paragraph that
+many articles quote stays.
+
+Near copies share their text, not only a template. So recurrence is judged twice: what recurs among all
+distinct pages is taken off, and only pages with ``own_share`` of their text left are counted the second
+time. A site none of whose pages has that much text of its own keeps all.
 
 A block is the text between two block-level tags; white space in it becomes one space. Nulls and pages
-without text give the empty text. A null or odd url is a host of its own kind (the empty name), whose
-template is counted alike. Repeated rows give their texts each. Columns beside those asked for play no part. A
-host has at most 1 / share times the subtrees of a page in its template, so the templates of all hosts
-stay small; they are joined by host, broadcast only if their measured size allows it, and otherwise in
-a join that splits hosts with many pages.
+without text give the empty text. A url without a scheme has its host in front; null urls and those that
+begin with a path share the empty host, whose template is counted alike. Repeated rows give their texts
+each. Columns beside those asked for play no part. A host has at most 1 / low_share times the subtrees of a
+page in its template, so the templates of all hosts stay small; they are joined by host, broadcast only if
+their measured size allows it, and otherwise in a join that splits hosts with many pages.
 """
 
 from __future__ import annotations
@@ -52,10 +56,10 @@ GAPS = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "parts", "drop", "key", "content", "holds")
+    __slots__ = ("name", "parts", "drop", "key", "content", "holds", "size")
 
     def __init__(self, name: str, drop: bool = False, content: bool = False):
-        self.name, self.drop, self.content, self.parts, self.key, self.holds = name, drop, content, [], 0, content
+        self.name, self.drop, self.content, self.parts, self.key, self.holds, self.size = name, drop, content, [], 0, content, 0
 
 
 def unwanted(name: str, attributes: str, in_article: bool) -> bool:
@@ -128,15 +132,17 @@ def deletable(node: Node, in_article: bool) -> bool:
     return node.key != 0 and node.name in BLOCK and not node.holds and node.name not in ("html", "body") and (not in_article or node.name in HOLDERS)
 
 
-def hashed(node: Node, out: set[int], in_article: bool = False) -> int:
-    """Give every subtree that stays its key; gather those that may be template. Deep trees are walked without recursion."""
-    order, todo = [], [(node, in_article)]
+def hashed(root: Node) -> list[tuple[Node, bool, int]]:
+    """Give every subtree that stays its key. All nodes, each before those it holds, with whether it is in
+    the article and the place of its parent. Deep trees are walked without recursion."""
+    order, todo = [], [(root, False, -1)]
     while todo:
-        own, inner = todo.pop()
-        order.append((own, inner))
+        own, inner, up = todo.pop()
+        at = len(order)
+        order.append((own, inner, up))
         inner = inner or own.content
-        todo += [(p, inner) for p in own.parts if isinstance(p, Node) and not p.drop]
-    for own, inner in reversed(order):
+        todo += [(p, inner, at) for p in own.parts if isinstance(p, Node) and not p.drop]
+    for own, _, _ in reversed(order):
         h = blake2b(own.name.encode(), digest_size=8)
         some = False
         for p in own.parts:
@@ -145,17 +151,43 @@ def hashed(node: Node, out: set[int], in_article: bool = False) -> int:
                     h.update(b"<%d>" % p.key)
                     some = some or p.key != 0
                     own.holds = own.holds or p.holds
+                    own.size += p.size
             elif t := GAPS.sub(" ", p).strip():
                 h.update(t.encode("utf-8", "surrogatepass"))
                 some = True
+                own.size += len(t)
         own.key = int.from_bytes(h.digest(), "little", signed=True) if some else 0
+    return order
+
+
+def candidates(order: list[tuple[Node, bool, int]]) -> tuple[list[int], list[int], list[int]]:
+    """Key and text size of the subtrees that may be template, and the place of the next one around each."""
+    keys, sizes, ups, at = [], [], [], []
+    for own, inner, up in order:
+        around = at[up] if up >= 0 else -1
         if deletable(own, inner):
-            out.add(own.key)
-    return node.key
+            at.append(len(keys))
+            keys.append(own.key)
+            sizes.append(own.size)
+            ups.append(around)
+        else:
+            at.append(around)
+    return keys, sizes, ups
+
 
+def left(total: int, subtrees, often: set[int]) -> int:
+    """How much of a page's text stands in none of the subtrees that occur often."""
+    gone: list[bool] = []
+    for key, size, up in zip(*subtrees, strict=True):
+        inside = up >= 0 and gone[up]
+        gone.append(inside or key in often)
+        total -= size if gone[-1] and not inside else 0
+    return total
 
-def blocks(root: Node, template: dict[int, float], share: float, inner_share: float) -> list[str]:
-    """Texts of the blocks that stay, in page order; of the marked article if there is one."""
+
+def blocks(root: Node, template: dict[int, bool]) -> list[str]:
+    """Texts of the blocks that stay, in page order; of the marked article if there is one. ``template`` says
+    whether a subtree goes in an article too."""
     marked, every = [], []
     now: list[str] = []
     has_article = False
@@ -182,8 +214,7 @@ def blocks(root: Node, template: dict[int, float], share: float, inner_share: fl
             if item.name in BLOCK:
                 flush(inner)
         else:
-            found = template.get(item.key, 0.0) if deletable(item, inner) else 0.0
-            if found >= (inner_share if inner else share) and found > 0:
+            if item.key in template and deletable(item, inner) and (not inner or template[item.key]):
                 flush(inner)
                 continue
             has_article = has_article or item.content
@@ -198,35 +229,64 @@ def blocks(root: Node, template: dict[int, float], share: float, inner_share: fl
 
 
 def host_of(url_col: str):
-    return F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
+    return F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^\s*(?:(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//)?(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def templates(pages: DataFrame, least: int, share: float, html_col: str, url_col: str) -> DataFrame:
-    """``host``, ``template``: a map from subtree hash to the share of the host's distinct pages that have it."""
-    def run(batches):
-        for batch in slices(batches, html_col):
-            page, keys = [], []
-            for html in texts(batch, html_col):
-                out: set[int] = {0}  # 0 counts the page itself
-                page.append(hashed(tree(html), out))
-                keys.append(sorted(out))
-            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(page, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["host", "page", "keys"])
-
-    each = pages.select(host_of(url_col).alias("host"), html_col).mapInArrow(run, "host string, page long, keys array<long>")
-    distinct = each.groupBy("host", "page").agg(F.first("keys").alias("keys"))  # one tree, one list
-    counts = distinct.select("host", F.explode("keys").alias("key")).groupBy("host", "key").count()
-    counts = kept(counts.filter((F.col("count") >= least) | (F.col("key") == 0)), "subtrees")
+def recurring(keys: DataFrame, least: int, share: float, many: int, low_share: float, inner_share: float, tag: str) -> DataFrame:
+    """``host``, ``template``: a map from the keys that recur on the host's pages to whether they do so in
+    an article. ``keys``: ``host`` and the distinct ``keys`` of a page, with 0 for the page itself."""
+    counts = keys.select("host", F.explode("keys").alias("key")).groupBy("host", "key").count()
+    counts = kept(counts.filter((F.col("count") >= min(2, least)) | (F.col("key") == 0)), tag)
     total = counts.filter("key = 0").select("host", F.col("count").alias("pages"))
-    often = counts.filter("key <> 0").join(total, "host").withColumn("part", F.col("count") / F.col("pages")).filter(F.col("part") >= share)
-    return kept(often.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("key", "part"))).alias("template")), "templates")
+    n, count = F.col("pages"), F.col("count")
+    enough = F.when(n < least, (count >= n) & (n > 1)).otherwise((count >= least) & (count >= share * n) | (count >= many) & (count >= low_share * n))
+    often = counts.filter("key <> 0").join(total, "host").filter(enough)
+    entry = F.struct("key", ((count >= least) & (count >= inner_share * n)).alias("inner"))
+    return kept(often.groupBy("host").agg(F.map_from_entries(F.collect_list(entry)).alias("template")), f"{tag}-often")
 
 
-def extract(pages: DataFrame, least: int = 5, share: float = 0.5, inner_share: float = 0.6, broadcast_entries: int = 50_000, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
-    """``page_id``, ``url``, ``text``."""
-    found = templates(pages, least, share, html_col, url_col)
+def with_templates(rows: DataFrame, found: DataFrame, broadcast_entries: int) -> DataFrame:
     entries = found.agg(F.sum(F.size("template"))).first()[0] or 0
+    return rows.join(F.broadcast(found) if entries <= broadcast_entries else found, "host", "left")
+
+
+def templates(pages: DataFrame, own_share: float, broadcast_entries: int, html_col: str, url_col: str, **limits) -> DataFrame:
+    """``host``, ``template``: see ``recurring``."""
+    lists = "keys array<long>, sizes array<int>, ups array<int>"
+    kinds = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
+
+    def run(batches):
+        for batch in slices(batches, html_col):
+            page, total, subtrees = [], [], []
+            for html in texts(batch, html_col):
+                order = hashed(tree(html))
+                page.append(order[0][0].key)
+                total.append(order[0][0].size)
+                subtrees.append(candidates(order))
+            columns = [pa.array([s[k] for s in subtrees], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(page, pa.int64()), pa.array(total, pa.int64()), *columns], names=["host", "page", "total", "keys", "sizes", "ups"])
+
+    def different(batches):
+        for batch in batches:
+            keep = []
+            for total, often, *subtrees in zip(*(batch.column(c).to_pylist() for c in ("total", "template", "keys", "sizes", "ups")), strict=True):
+                keep.append(total > 0 and left(total, subtrees, {k for k, _ in often or ()}) >= own_share * total)
+            yield batch.select(["host", "keys"]).filter(pa.array(keep, pa.bool_()))
+
+    each = pages.select(host_of(url_col).alias("host"), html_col).mapInArrow(run, f"host string, page long, total long, {lists}")
+    first = F.first(F.struct("total", "keys", "sizes", "ups")).alias("p")  # one tree, one list
+    distinct = kept(each.groupBy("host", "page").agg(first).select("host", "p.*"), "distinct")
+    keys = lambda df: df.select("host", F.array_union(F.array(F.lit(0).cast("long")), "keys").alias("keys"))
+    every = recurring(keys(distinct), tag="subtrees", **limits)
+    apart = with_templates(distinct, every, broadcast_entries).select("host", "total", "keys", "sizes", "ups", "template").mapInArrow(different, "host string, keys array<long>")
+    return recurring(keys(apart), tag="templates", **limits)
+
+
+def extract(pages: DataFrame, least: int = 5, share: float = 0.5, inner_share: float = 0.6, broadcast_entries: int = 50_000, id_col: str = "page_id", html_col: str = "html", url_col: str = "url", many: int = 20, low_share: float = 0.05, own_share: float = 0.1) -> DataFrame:
+    """``page_id``, ``url``, ``text``."""
+    found = templates(pages, own_share, broadcast_entries, html_col, url_col, least=least, share=share, many=many, low_share=low_share, inner_share=inner_share)
     own = pages.select(id_col, url_col, html_col, host_of(url_col).alias("host"))
-    joined = own.join(F.broadcast(found) if entries <= broadcast_entries else found, "host", "left").select(id_col, url_col, html_col, "template")
+    joined = with_templates(own, found, broadcast_entries).select(id_col, url_col, html_col, "template")
     schema = f"{id_col} {dict(pages.dtypes)[id_col]}, {url_col} string, text string"
 
     def run(batches):
@@ -234,8 +294,8 @@ def extract(pages: DataFrame, least: int = 5, share: float = 0.5, inner_share: f
             out = []
             for page, template in zip(texts(batch, html_col), batch.column("template").to_pylist(), strict=True):
                 root = tree(page)
-                hashed(root, set())
-                out.append("\n".join(blocks(root, dict(template or ()), share, inner_share)))
+                hashed(root)
+                out.append("\n".join(blocks(root, dict(template or ()))))
             yield pa.RecordBatch.from_arrays([batch.column(id_col), batch.column(url_col), pa.array(out, pa.string())], names=[id_col, url_col, "text"])
 
     return joined.mapInArrow(run, schema)

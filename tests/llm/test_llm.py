@@ -299,6 +299,27 @@ def test_copies_of_a_page_are_no_template(llm):
     assert {got[60 + i] for i in range(6)} == {"all have it"}
 
 
+def test_templates_of_small_and_of_varied_hosts(llm):
+    menu = "<div><ul><li>Home</li></ul></div>"
+    rows = [(i, f"http://two.example/{i}", f"<body>{menu}<p>text {i} of a page") for i in range(2)]
+    rows += [(10 + i, f"bare{i % 3}.example/{i}", f"<body><div><ul><li>Home {i % 3}</li></ul></div><p>text {i} of a page") for i in range(15)]
+    rows += [(100 + i, f"http://large.example/{i}", f"<body>{menu}<div><p>section {i % 6}</div><p>text {i} of a page that is a little longer") for i in range(180)]
+    rows += [(300 + i, f"http://near.example/{i}", f"<body><p>{'all the same text ' * 20}</p><p>at {i}") for i in range(8)]
+    rows += [(320 + i, f"http://both.example/{i}", f"<body>{menu}<p>{'all the same text ' * 20}</p><p>at {i}") for i in range(8)]
+    rows += [(330 + i, f"http://both.example/{i}", f"<body>{menu}<p>text {i} of a page") for i in range(5)]
+    got = {r["page_id"]: r["text"] for r in pages.extract(frame(llm, [dict(zip(("page_id", "url", "html"), r, strict=True)) for r in rows], "page_id long, url string, html string")).collect()}
+    same = ("all the same text " * 20).strip()
+    for i in range(2):
+        assert got[i] == f"text {i} of a page"
+    for i in range(15):
+        assert got[10 + i] == f"text {i} of a page"
+    for i in range(180):
+        assert got[100 + i] == f"text {i} of a page that is a little longer"
+    for i in range(8):
+        assert got[300 + i] == got[320 + i] == f"{same}\nat {i}"
+    assert [got[330 + i] for i in range(5)] == [f"text {i} of a page" for i in range(5)]
+
+
 def test_pages_of_the_table(llm):
     def article(html):
         import html as entities
