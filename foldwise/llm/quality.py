@@ -5,8 +5,9 @@ A document is described by shares of its bytes, words and lines. Pairs of one la
 and w.x is a document's strength. The threshold is the quantile of the strengths of the labelled rows at
 the share of the label 0; strengths are moved so that it lies at a score of 0.7.
 
-Learned from a sample of at most about ``bound`` labelled rows (those with the smallest hash of the id)
-and about ``per_document`` pairs for each preferred one. Null and empty texts have the features of an empty text and a
+The weights are learned from a sample of at most about ``bound`` labelled rows (those with the smallest hash
+of the id) and about ``per_document`` pairs for each preferred one. Threshold, spread and the share of the
+label 0 are those of all labelled rows, by exact quantiles of a range sort. Null and empty texts have the features of an empty text and a
 score like all others. Labels other than 0 and 1 are ignored; if one of the two is missing every score is
 0.7. Repeated rows are scored each; other columns pass through, but for ``score`` and ``predicted``.
 """
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 
 from foldwise.llm.common import kept, slices
 from foldwise.llm.words import BYTES, text_bytes, word_hashes
+from foldwise.operators.stats import column_quantiles
 
 CUT = 0.7
 KINDS = {
@@ -86,7 +88,8 @@ def described(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, bound: int = 20_000, per_document: int = 4) -> dict:
     """``docs``: ``doc_id``, ``text``; ``labels``: ``doc_id``, ``quality``. Weights, threshold and spread."""
     known = labels.filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    share = min(1.0, bound / max(1, known.count()))
+    n = known.count()
+    share = min(1.0, bound / max(1, n))
     chosen = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < share * (1 << 20))  # bounded, so broadcast
     rows = kept(described(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")).dropDuplicates(["doc_id"]), "labelled")
     sizes = {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}
@@ -101,12 +104,24 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = 20_000, per_document: i
         return {"w": [0.0] * N_FEATURES, "threshold": 0.0, "spread": 1.0}
     ready = pairs.select(array_to_vector("d").alias("features"), "label")
     w = LogisticRegression(fitIntercept=False, regParam=1e-4, maxIter=60).fit(ready).coefficients.toArray().tolist()
+    strengths = rows.select("quality", strength_of(w).alias("s")) if share == 1 else kept(all_strengths(docs, known, n, w), "strengths")
+    sizes = {r["quality"]: r["count"] for r in strengths.groupBy("quality").count().collect()}
     q = sizes[0] / (sizes[0] + sizes[1])
-    strength = rows.select(strength_of(w).alias("s"))
-    low, threshold, high = strength.agg(F.percentile("s", F.array(F.lit(q / 2), F.lit(q), F.lit((1 + q) / 2))).alias("p")).first()["p"]
+    probs = [q / 2, q, (1 + q) / 2]
+    found = {r["prob"]: r["quantile"] for r in column_quantiles(strengths, ["s"], probs).collect()}
+    low, threshold, high = (found[p] for p in probs)
     return {"w": w, "threshold": threshold, "spread": max((high - low) / 6, 1e-6)}
 
 
+def all_strengths(docs: DataFrame, known: DataFrame, n: int, w: list[float], broadcast_rows: int = 1_000_000) -> DataFrame:
+    """``doc_id``, ``quality``, ``s`` of every labelled row; texts are not shuffled."""
+    some = docs.select("doc_id", "text")
+    if n <= broadcast_rows:
+        some = some.join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")
+    own = described(some).groupBy("doc_id").agg(F.min(strength_of(w)).alias("s"))
+    return own.join(known, "doc_id")
+
+
 def strength_of(w: list[float]):
     return F.aggregate(F.zip_with("x", F.array(*map(F.lit, w)), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
 

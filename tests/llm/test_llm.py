@@ -351,6 +351,18 @@ def test_quality_odd_rows(llm):
     assert quality.scored(docs.limit(0), one).count() == 0
 
 
+def test_quality_threshold_is_that_of_all_labelled_rows(llm):
+    docs = llm.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = llm.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "quality")
+    model = quality.fit(docs, labels, bound=60)
+    rows = quality.described(docs.join(labels, "doc_id")).select("quality", quality.strength_of(model["w"]).alias("s")).toPandas()
+    q = float((rows["quality"] == 0).mean())
+    low, threshold, high = np.quantile(rows["s"], [q / 2, q, (1 + q) / 2])
+    assert len(rows) > 120 and model["threshold"] == pytest.approx(threshold) and model["spread"] == pytest.approx((high - low) / 6)
+    labelled = {r["doc_id"]: r["s"] for r in quality.all_strengths(docs, labels, len(rows), model["w"], broadcast_rows=0).collect()}
+    assert sorted(labelled.values()) == sorted(rows["s"])
+
+
 def test_language_on_held_out_rows(llm):
     truth = {r["doc_id"]: r["lang"] for r in llm.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang").collect()}
     rows = queries.QUERIES["op10_language"](llm, "/root/testdata/sf0.01").collect()
