@@ -6,8 +6,9 @@ mean log frequency of those known at the first order that knows any. A text's sc
 its words and turned into probabilities; the score is that of the language predicted.
 
 The model is fitted on a sample of labelled rows: about ``per_language`` texts of each language, those
-with the smallest hash of their id; the ``words`` most frequent words and ``grams`` most frequent n-grams
-are kept. Words are runs of letters, lower-cased. Languages are few (tens): their list goes to the driver.
+with the smallest hash of their id. The ``words`` most frequent words and of each order the ``grams``
+most frequent n-grams are kept, by the largest of their shares of one language's words or n-grams: languages
+with few or short texts keep theirs beside the large ones. Words are runs of letters, lower-cased. Languages are few (tens): their list goes to the driver.
 
 A text that is null or without letters has the prediction ``und`` and the score 0, as has every text if
 nothing can be learned. Repeated rows are predicted each, and other columns pass through, but for
@@ -21,6 +22,7 @@ from collections import Counter
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,15 +72,17 @@ def fit(labelled: DataFrame, per_language: int = 1500, words: int = 60_000, gram
         return {"langs": [], "grams": [([], np.zeros(0, int))] * (max(ORDERS) + 1), "table": np.zeros((0, 0), np.float32)}
     share = F.create_map(*chain.from_iterable((F.lit(r["lang"]), F.lit(min(1.0, per_language / r["count"]))) for r in sizes))
     part = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)
-    counts = kept(counted(there.filter(part)), "grams")  # of the sample, so bounded; read three times
+    counts = kept(counted(there.filter(part)), "grams")  # of the sample, so bounded
     langs = [r["lang"] for r in sizes]
     per = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"l{i}") for i, lang in enumerate(langs)]
-    wide = counts.groupBy("kind", "gram").agg(F.sum("n").alias("n"), *per)
+    wide = kept(counts.groupBy("kind", "gram").agg(*per), "wide")  # read for each order
     totals = {r["kind"]: r for r in wide.groupBy("kind").agg(F.count("*").alias("size"), *[F.sum(f"l{i}").alias(f"l{i}") for i in range(len(langs))]).collect()}
-    wide = wide.filter((F.col("n") > 1) | (F.col("kind") == 1))
-    order = [F.col("n").desc(), F.col("kind"), F.col("gram")]
-    best = [wide.filter(c).orderBy(*order).limit(k) for c, k in ((F.col("kind") == 0, words), (F.col("kind") > 0, grams))]
-    found = best[0].unionByName(best[1]).toPandas()
+    best = []
+    for kind, total in sorted(totals.items()):
+        shares = [F.col(f"l{i}") / F.lit(float(max(total[f"l{i}"], 1))) for i in range(len(langs))]
+        top = F.array_max(F.array(*shares)).desc()
+        best.append(wide.filter(F.col("kind") == kind).orderBy(top, "gram").limit(words if kind == 0 else grams).toPandas())
+    found = pd.concat(best, ignore_index=True) if best else wide.toPandas()
     table = np.zeros((len(found), len(langs)), np.float32)
     kinds = found["kind"].to_numpy()
     for i in range(len(langs)):

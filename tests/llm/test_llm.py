@@ -370,6 +370,17 @@ def test_language_on_held_out_rows(llm):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
 
 
+def test_small_languages_keep_their_words(llm):
+    rng = np.random.default_rng(11)
+    large = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(40)]
+    small = ["pqrs", "tuvw", "rstu", "wvpq", "uqtp", "vwrs"]
+    rows = [{"doc_id": i, "lang": f"l{i % 3}", "text": " ".join(rng.choice(large, 30))} for i in range(120)]
+    rows += [{"doc_id": 200, "lang": "small", "text": " ".join(small)}]
+    rows += [{"doc_id": 300 + i, "text": w} for i, w in enumerate([*small, "sp", "tuvwx"])]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(frame(llm, rows), F.col("doc_id") < 300, words=20, grams=20).collect()}
+    assert [got[300 + i] for i in range(8)] == ["small"] * 8
+
+
 def test_language_odd_rows(llm):
     rows = {r["doc_id"]: r for r in langid.identify(odd_docs(llm), F.lit(True)).collect()}
     assert [rows[i]["lang_pred"] for i in (0, 1, 2)] == ["und"] * 3 and rows[3]["lang_pred"] == "en" and rows[0]["score"] == 0
