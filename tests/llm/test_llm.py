@@ -124,6 +124,19 @@ def test_sentencepiece_matches_library(llm):
     assert pieces.encode_decode(df.limit(0), path).count() == 0
 
 
+def test_every_text_is_held_against_the_library():
+    with open(queries.vocabulary("piece_bpe_32k.model"), "rb") as f:
+        own = pieces.Codec(f.read())
+    some = ["the first", "the second", "a third"]
+    ids = own.encode(some)
+    decoded = [own.decode(i) for i in ids]
+    own.check(some, ids, decoded)
+    with pytest.raises(ValueError, match="the second"):
+        own.check(some, [ids[0], ids[0], ids[2]], decoded)
+    with pytest.raises(ValueError, match="a third"):
+        own.check(some, ids, [*decoded[:2], ""])
+
+
 def test_both_agendas_agree():
     import public_tokenizers
 
