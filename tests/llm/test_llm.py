@@ -83,6 +83,15 @@ def test_near_duplicates_match_all_pairs(llm, n, percent):
     assert got == brute_classes(docs, n, percent)
 
 
+def test_short_sets_are_compared_whatever_their_sketches(llm):
+    vocabulary = [f"w{i}" for i in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(vocabulary)], names=["text"])
+    by_hash = [w for _, w in sorted((int(own[0]), w) for own, w in zip(neardup.shingle_sets(batch, "text", 1), vocabulary, strict=True))]
+    low, common = by_hash[:42], by_hash[-171:]  # 171 of 213 shared, but 54 of the 96 smallest
+    df = frame(llm, [{"doc_id": 0, "text": " ".join(low[::2] + common)}, {"doc_id": 1, "text": " ".join(low[1::2] + common)}])
+    assert sorted((r["id"], r["n"], r["root"]) for r in neardup.near_duplicates(df, 1, 80).collect()) == [(0, 192, 0), (1, 192, 0)]
+
+
 def test_near_duplicates_odd_rows(llm):
     df = odd_docs(llm).unionByName(frame(llm, [{"doc_id": 3, "text": "one"}, {"doc_id": 20, "text": "ONE\n"}, {"text": "one"}]))
     got = {r["id"]: (r["n"], r["root"]) for r in neardup.near_duplicates(df, 3, 85).collect()}
