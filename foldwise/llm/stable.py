@@ -72,7 +72,8 @@ def bucketed(distinct: DataFrame, width: float, hashes: int, tables: int, seed:
                 keys[at] = out
             yield rows[["id", "copies", "v"]].assign(keys=list(keys.view(np.int64)))
 
-    return distinct.mapInPandas(run, "id long, copies long, v array<double>, keys array<long>")
+    vector = distinct.schema["v"].dataType.simpleString()
+    return distinct.mapInPandas(run, f"id long, copies long, v {vector}, keys array<long>")
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -126,7 +127,8 @@ def compared(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.98, miss: float = 1e-4, seed: int = 13, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """``id``, ``n_links``, ``root``, ``kept`` for each vector."""
-    v = F.col(vector_col).cast("array<double>")
+    floats = vectors.schema[vector_col].dataType.simpleString() == "array<float>"  # half the bytes to move
+    v = F.col(vector_col) if floats else F.col(vector_col).cast("array<double>")
     sound = ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
     one = vectors.select(F.col(id_col).alias("id"), F.struct(F.col(label_col).alias("label"), F.when(sound, v).alias("v")).alias("x"))
     whole = kept(one.filter("id is not null").groupBy("id").agg(F.min("x").alias("x")).select("id", "x.label", "x.v"), "vectors")
@@ -135,15 +137,15 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98, miss: float = 1e-4
     most = distinct.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     width, hashes, tables = plan(cosine, most, miss)
     keyed = kept(bucketed(distinct.withColumn("label_key", F.xxhash64("label")), width, hashes, tables, seed), "keyed")
-    each = keyed.select("*", F.posexplode("keys").alias("table", "bucket"))
-    sizes = kept(each.groupBy("table", "bucket").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
+    slim = keyed.select("id", F.posexplode("keys").alias("table", "bucket"))
+    sizes = kept(slim.groupBy("table", "bucket").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
     shards = max(1, math.ceil((sizes.agg(F.sum("n")).first()[0] or 0) / SHARD_ROWS))
-    met = each.join(sizes, ["table", "bucket"]).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    met = slim.join(sizes, ["table", "bucket"]).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    met = kept(met.withColumn("own", F.pmod(F.xxhash64("id", F.lit(seed)), F.col("blocks")).cast("int")), "met").join(keyed, "id")
     small = met.filter("blocks = 1").select("*", F.pmod(F.xxhash64("table", "bucket"), F.lit(shards)).alias("shard"), F.lit(0).alias("side"))
-    own = met.filter("blocks > 1").withColumn("own", F.pmod(F.xxhash64("id", F.lit(seed)), F.col("blocks")).cast("int"))
-    tiles = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = met.filter("blocks > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tile = F.xxhash64("table", "bucket", F.least("own", "other"), F.greatest("own", "other"))
-    large = tiles.select(*met.columns, tile.alias("shard"), F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"))
+    large = tiles.select("*", tile.alias("shard"), F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"))
     wanted = ["id", "copies", "v", "keys", "table", "bucket", "side", "shard"]
     shape = "id long, links long, near long"
     found = small.select(*wanted).groupBy("shard").applyInPandas(lambda rows: compared(rows, cosine), shape)
