@@ -1,37 +1,63 @@
 """Fitted lookup tables and size-checked broadcast joins.
 
-A fit produces a small table keyed by category level(s). ``Lookup.fit`` pulls at most
-``max_local_rows + 1`` rows, and fewer of a wide table: if the table fits, it becomes a local
-relation that is broadcast (its size is proven); if not, it is checkpointed to the shared
-checkpoint folder and joined with a shuffle instead. Rows are carried as Spark rows, so NULL,
-NaN and large integers are the same on either way. Nothing of data size ever reaches the driver.
+A fit produces a small table keyed by category level(s). ``Lookup.fit`` counts its rows and bytes where they
+are; if both are within their bounds the table is pulled as an Arrow table and becomes a local relation, which
+is broadcast (its size is proven); if not, it is checkpointed to the shared checkpoint folder and joined
+with a shuffle instead. Arrow keeps NULL, NaN and large integers apart on either way. Nothing of data size ever
+reaches the driver.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from foldwise.session import cut_lineage
 
 DEFAULT_MAX_LOCAL_ROWS = 200_000
+DEFAULT_MAX_LOCAL_BYTES = 64 << 20
 MAX_LEVELS = 5_000
-CELLS_PER_ROW = 10  # a table of more columns than this may have fewer rows
-BOUND_CONF = "foldwise.lookup.maxLocalRows"  # optional session setting overriding the bound
+BOUND_CONF = "foldwise.lookup.maxLocalRows"  # optional session settings overriding the bounds
+BYTES_CONF = "foldwise.lookup.maxLocalBytes"
 
 
-def _bound(spark, given: int | None) -> int:
+def _bound(spark, given: int | None, conf: str = BOUND_CONF, default: int = DEFAULT_MAX_LOCAL_ROWS) -> int:
     if given:
         return given
-    conf = spark.conf.get(BOUND_CONF, None)
-    return int(conf) if conf else DEFAULT_MAX_LOCAL_ROWS
+    found = spark.conf.get(conf, None)
+    return int(found) if found else default
 
 
-def _local(spark, rows: list, schema) -> DataFrame:
-    return spark.createDataFrame(rows, schema=schema, verifySchema=False)
+def _cell_bytes(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+    if isinstance(kind, T.ArrayType):
+        inside = F.aggregate(c, F.lit(8).cast("long"), lambda total, x: total + _cell_bytes(x, kind.elementType))
+        return F.coalesce(inside, F.lit(8))
+    if isinstance(kind, T.StructType):
+        return sum((_cell_bytes(c[f.name], f.dataType) for f in kind.fields), F.lit(8))
+    return F.lit(8)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row as Arrow keeps it."""
+    return sum((_cell_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(0)).cast("long")
+
+
+def local_table(spark, rows, schema: T.StructType | str) -> DataFrame:
+    """Driver-side rows (a list of tuples or an Arrow table) as a local relation, whose size the planner knows."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if not isinstance(rows, pa.Table):
+        columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+        rows = pa.table([pa.array(c, f.type) for c, f in zip(columns, to_arrow_schema(schema), strict=True)], names=schema.names)
+    return spark.createDataFrame(rows, schema=schema)
 
 
 @dataclass
@@ -42,13 +68,13 @@ class Lookup:
     @classmethod
     def fit(cls, lut: DataFrame, max_local_rows: int | None = None) -> "Lookup":
         spark = lut.sparkSession
-        max_local_rows = max(1, _bound(spark, max_local_rows) * CELLS_PER_ROW // max(CELLS_PER_ROW, len(lut.columns)))
-        # computed once: the bounded head and (if over the bound) the checkpoint read the cache
+        max_rows, max_bytes = _bound(spark, max_local_rows), _bound(spark, None, BYTES_CONF, DEFAULT_MAX_LOCAL_BYTES)
+        # computed once: the sizes, the pull and (over a bound) the checkpoint read the cache
         cached = lut.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            head = cached.limit(max_local_rows + 1).collect()
-            if len(head) <= max_local_rows:
-                return cls(_local(spark, head, lut.schema), True)
+            rows, size = cached.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(lut)), F.lit(0))).first()
+            if rows <= max_rows and size <= max_bytes:
+                return cls(local_table(spark, cached.toArrow(), lut.schema), True)
             return cls(cut_lineage(cached), False)
         finally:
             cached.unpersist()
@@ -57,23 +83,22 @@ class Lookup:
     def fit_split(cls, lut: DataFrame, by: str, max_local_rows: int | None = None) -> dict:
         """One lookup per value of ``by`` (e.g. per encoded feature): a feature with millions of levels
         is shuffle-joined without costing the small ones their broadcast. All local parts together
-        stay under the bound. The table is computed once (cached); they come back in one job."""
+        stay under the bounds. The table is computed once (cached); they come back in one job."""
         spark = lut.sparkSession
-        max_local_rows = _bound(spark, max_local_rows)
+        max_rows, max_bytes = _bound(spark, max_local_rows), _bound(spark, None, BYTES_CONF, DEFAULT_MAX_LOCAL_BYTES)
         cached = lut.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            sizes = {r[by]: r["_rows"] for r in cached.groupBy(by).agg(F.count(F.lit(1)).alias("_rows")).collect()}
-            # the smallest first, up to the bound in all: the rest is joined with a shuffle
-            small, total = [], 0
+            counted = cached.groupBy(by).agg(F.count(F.lit(1)).alias("_rows"), F.sum(row_bytes(lut)).alias("_bytes")).collect()
+            sizes = {r[by]: (r["_rows"], r["_bytes"]) for r in counted}
+            # the smallest first, up to the bounds in all: the rest is joined with a shuffle
+            small, rows, size = [], 0, 0
             for k in sorted(sizes, key=lambda k: (sizes[k], str(k))):
-                total += sizes[k]
-                if total > max_local_rows:
+                rows, size = rows + sizes[k][0], size + sizes[k][1]
+                if rows > max_rows or size > max_bytes:
                     break
                 small.append(k)
-            parts: dict = {k: [] for k in small}
-            for row in cached.where(F.col(by).isin(small)).collect() if small else ():
-                parts[row[by]].append(row)
-            out = {k: cls(_local(spark, rows, lut.schema), True) for k, rows in parts.items()}
+            pulled = cached.where(F.col(by).isin(small)).toArrow() if small else None
+            out = {k: cls(local_table(spark, pulled.filter(pc.equal(pulled[by], pa.scalar(k, pulled[by].type))), lut.schema), True) for k in small}
             for k in sizes:
                 if k not in out:
                     out[k] = cls(cut_lineage(cached.where(F.col(by) == F.lit(k))), False)
@@ -81,6 +106,9 @@ class Lookup:
         finally:
             cached.unpersist()
 
+    def select_keys(self, keys: list[str]) -> "Lookup":
+        return Lookup(self.df.select(*keys).distinct(), self.broadcastable)
+
     def join(self, df: DataFrame, on, how: str = "left") -> DataFrame:
         right = F.broadcast(self.df) if self.broadcastable else self.df
         return df.join(right, on, how)

@@ -1,6 +1,7 @@
 """Outlier bounds (P13), standard scaling (P14) and the quantile transformer.
 
-Quantiles are exact (``column_quantiles``: one range shuffle for all columns). The transform
+Quantiles are exact (``column_quantiles``: brackets, counted and refined). NaN counts as missing, and a missing value
+stays missing; a column that had no value at the fit is passed through as it is. The transform
 locates each value among the distinct fitted quantiles with ``Bucketizer`` (binary search in
 the JVM), then reads neighbours from small array literals, interpolates linearly (averaging
 the forward and backward interpolation at repeated quantiles), applies the bound rules and,
@@ -17,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.functions.normal import norm_cdf, norm_ppf, norm_ppf_py
-from foldwise.operators.stats import column_quantiles
+from foldwise.operators.lookup import local_table
+from foldwise.operators.stats import column_quantiles, number
 
 # ---- fixed values: bound threshold of the reference's quantile transformer ----------------
 BOUNDS_THRESHOLD = 1e-7
@@ -50,16 +52,16 @@ def outlier_bounds_from(quartiles: dict, cols: list[str], whisker: float = 1.5)
 
 
 def outlier_flag(df: DataFrame, bounds: dict, suffix: str = "_outlier") -> DataFrame:
-    """0/1 flag; NULL values are never outliers."""
+    """0/1 flag; NULL and NaN are never outliers."""
     return df.withColumns({
-        f"{c}{suffix}": F.coalesce((F.col(c) < F.lit(lo)) | (F.col(c) > F.lit(hi)), F.lit(False)).cast("int")
+        f"{c}{suffix}": F.coalesce((number(c) < F.lit(lo)) | (number(c) > F.lit(hi)), F.lit(False)).cast("int")
         for c, (lo, hi) in bounds.items()
     })
 
 
 def outlier_null(df: DataFrame, bounds: dict) -> DataFrame:
     return df.withColumns({
-        c: F.when((F.col(c) < F.lit(lo)) | (F.col(c) > F.lit(hi)), F.lit(None)).otherwise(F.col(c))
+        c: F.when((number(c) < F.lit(lo)) | (number(c) > F.lit(hi)), F.lit(None)).otherwise(F.col(c))
         for c, (lo, hi) in bounds.items()
     })
 
@@ -67,7 +69,7 @@ def outlier_null(df: DataFrame, bounds: dict) -> DataFrame:
 # ---- standard scaler ----------------------------------------------------------------------------
 
 def fit_standard(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
-    row = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
+    row = df.agg(*[F.avg(number(c)).alias(f"m_{c}") for c in cols], *[F.stddev_pop(number(c)).alias(f"s_{c}") for c in cols]).first()
     out = {}
     for c in cols:
         s = row[f"s_{c}"]
@@ -122,29 +124,32 @@ def fit_quantiles(df: DataFrame, cols: list[str], n_quantiles: int = 1000, exact
             extra[(r["column"], r["prob"])] = r["quantile"]
         if r["prob"] in idx:
             qs[r["column"]][idx[r["prob"]]] = r["quantile"]
-    for c in cols:
-        qs[c] = [float(v) for v in np.maximum.accumulate(np.array(qs[c], dtype=float))]  # monotone, as the reference enforces
-    spark = df.sparkSession
-    flat = [(c, i, refs[i], float(qs[c][i])) for c in cols for i in range(nq)]
-    fitted = spark.createDataFrame(flat, "column string, idx int, reference double, quantile double")
+    for c in cols:  # a column without a value has no quantiles
+        known = [] if None in qs[c] else qs[c]
+        qs[c] = [float(v) for v in np.maximum.accumulate(np.array(known, dtype=float))]  # monotone, as the reference enforces
+    flat = [(c, i, refs[i], q) for c in cols for i, q in enumerate(qs[c])]
+    fitted = local_table(df.sparkSession, flat, "column string, idx int, reference double, quantile double")
     return QuantileState(refs, qs), fitted
 
 
 def quantile_transform(df: DataFrame, st: QuantileState, cols: list[str], output: str = "normal", suffix: str = "") -> DataFrame:
     spark = df.sparkSession
+    asked, cols = cols, [c for c in cols if st.quantiles[c]]
+    if not cols:
+        return df.withColumns({c + suffix: F.col(c).cast("double") for c in asked})
     distinct = {c: st.distinct(c) for c in cols}
     # one multi-column Bucketizer: m = index of the largest distinct quantile <= x, plus one
     bucketizer = Bucketizer(
         splitsArray=[[-float("inf"), *distinct[c][0], float("inf")] for c in cols],
         inputCols=[f"_x_{c}" for c in cols], outputCols=[f"_b_{c}" for c in cols], handleInvalid="keep",
     )
-    out = bucketizer.transform(df.withColumns({f"_x_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols}))
+    out = bucketizer.transform(df.withColumns({f"_x_{c}": F.coalesce(number(c), F.lit(0.0)) for c in cols}))
     for c in cols:
         d, rlo, rhi = distinct[c]
         n = len(d)
         # neighbours of each distinct quantile: at most n_quantiles rows, broadcast on m
         rows = [(m, d[m - 1], rlo[m - 1], rhi[m - 1], d[min(m, n - 1)], rlo[min(m, n - 1)]) for m in range(1, n + 1)]
-        lut = spark.createDataFrame(rows, f"_m_{c} int, _d_{c} double, _lo_{c} double, _hi_{c} double, _dn_{c} double, _lon_{c} double")
+        lut = local_table(spark, rows, f"_m_{c} int, _d_{c} double, _lo_{c} double, _hi_{c} double, _dn_{c} double, _lon_{c} double")
         out = out.join(F.broadcast(lut), F.col(f"_b_{c}").cast("int") == F.col(f"_m_{c}"), "left")
     u_cols = {}
     for c in cols:
@@ -175,7 +180,8 @@ def quantile_transform(df: DataFrame, st: QuantileState, cols: list[str], output
             )
         else:
             z = u
-        z_cols[c + suffix] = F.when(F.col(c).isNull(), F.lit(None).cast("double")).otherwise(z)
+        z_cols[c + suffix] = F.when(number(c).isNull(), F.lit(None).cast("double")).otherwise(z)
+    z_cols |= {c + suffix: F.col(c).cast("double") for c in asked if c not in cols}
     helper = [f"_{k}_{c}" for c in cols for k in ("b", "x", "u", "m", "d", "lo", "hi", "dn", "lon")]
     return out.withColumns(z_cols).drop(*helper)
 
@@ -189,21 +195,22 @@ def quantile_inverse(df: DataFrame, st: QuantileState, cols: list[str], output:
     points come from a broadcast lookup of at most n_quantiles rows.
     """
     spark = df.sparkSession
+    asked, cols = cols, [c for c in cols if st.quantiles[(fitted or {}).get(c, c)]]
     n = len(st.refs)
     step = 1.0 / (n - 1) if n > 1 else 1.0
-    out = df.withColumns({f"_u_{c}": norm_cdf(F.col(c).cast("double")) if output == "normal" else F.col(c).cast("double")
+    out = df.withColumns({f"_u_{c}": norm_cdf(number(c)) if output == "normal" else number(c)
                           for c in cols})
     for c in cols:
         qs = st.quantiles[(fitted or {}).get(c, c)]
         j = F.least(F.greatest(F.floor(F.col(f"_u_{c}") / F.lit(step)).cast("int"), F.lit(0)), F.lit(max(n - 2, 0)))
         out = out.withColumn(f"_j_{c}", j)
         rows = [(i, st.refs[i], st.refs[min(i + 1, n - 1)], float(qs[i]), float(qs[min(i + 1, n - 1)])) for i in range(max(n - 1, 1))]
-        lut = spark.createDataFrame(rows, f"_i_{c} int, _rj_{c} double, _rk_{c} double, _qj_{c} double, _qk_{c} double")
+        lut = local_table(spark, rows, f"_i_{c} int, _rj_{c} double, _rk_{c} double, _qj_{c} double, _qk_{c} double")
         out = out.join(F.broadcast(lut), F.col(f"_j_{c}") == F.col(f"_i_{c}"), "left")
     res_cols = {}
     for c in cols:
         qs = st.quantiles[(fitted or {}).get(c, c)]
-        z = F.col(c).cast("double")
+        z = number(c)
         u = F.col(f"_u_{c}")
         if output == "normal":
             lower, upper = (u - F.lit(BOUNDS_THRESHOLD)) < F.lit(0.0), (u + F.lit(BOUNDS_THRESHOLD)) > F.lit(1.0)
@@ -213,5 +220,6 @@ def quantile_inverse(df: DataFrame, st: QuantileState, cols: list[str], output:
         val = F.when(rk == rj, qj).otherwise(qj + (u - rj) * (qk - qj) / (rk - rj))
         res = F.when(lower, F.lit(qs[0])).when(upper, F.lit(qs[-1])).otherwise(val)
         res_cols[c + suffix] = F.when(z.isNull(), F.lit(None).cast("double")).otherwise(res)
+    res_cols |= {c + suffix: F.col(c).cast("double") for c in asked if c not in cols}
     helper = [f"_{k}_{c}" for c in cols for k in ("u", "j", "i", "rj", "rk", "qj", "qk")]
     return out.withColumns(res_cols).drop(*helper)
