@@ -143,7 +143,7 @@ def quantile_transform(df: DataFrame, st: QuantileState, cols: list[str], output
         splitsArray=[[-float("inf"), *distinct[c][0], float("inf")] for c in cols],
         inputCols=[f"_x_{c}" for c in cols], outputCols=[f"_b_{c}" for c in cols], handleInvalid="keep",
     )
-    out = bucketizer.transform(df.withColumns({f"_x_{c}": F.coalesce(number(c), F.lit(0.0)) for c in cols}))
+    out = bucketizer.transform(df.withColumns({f"_n_{c}": number(c) for c in cols}).withColumns({f"_x_{c}": F.coalesce(f"_n_{c}", F.lit(0.0)) for c in cols}))
     for c in cols:
         d, rlo, rhi = distinct[c]
         n = len(d)
@@ -155,7 +155,7 @@ def quantile_transform(df: DataFrame, st: QuantileState, cols: list[str], output
     for c in cols:
         d = distinct[c][0]
         q0, qn, n = d[0], d[-1], len(d)
-        x = F.col(c).cast("double")
+        x = F.col(f"_n_{c}")
         m = F.col(f"_b_{c}").cast("int")
         dm, dn, lom, him, lon = (F.col(f"_{k}_{c}") for k in ("d", "dn", "lo", "hi", "lon"))
         interp = (
@@ -180,9 +180,9 @@ def quantile_transform(df: DataFrame, st: QuantileState, cols: list[str], output
             )
         else:
             z = u
-        z_cols[c + suffix] = F.when(number(c).isNull(), F.lit(None).cast("double")).otherwise(z)
+        z_cols[c + suffix] = F.when(F.col(f"_n_{c}").isNotNull(), z)
     z_cols |= {c + suffix: F.col(c).cast("double") for c in asked if c not in cols}
-    helper = [f"_{k}_{c}" for c in cols for k in ("b", "x", "u", "m", "d", "lo", "hi", "dn", "lon")]
+    helper = [f"_{k}_{c}" for c in cols for k in ("b", "n", "x", "u", "m", "d", "lo", "hi", "dn", "lon")]
     return out.withColumns(z_cols).drop(*helper)
 
 
