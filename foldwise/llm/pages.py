@@ -2,14 +2,18 @@
 
 A page is read into a tree of elements. Every element's subtree gets a hash of its name, its texts and
 its children. Elements that are no text by their name, role or class (menus, headers, footers, sidebars,
-forms, scripts, adverts, notices, reader comments) are deleted and play no part in the hashes. Spark counts
+forms, scripts, adverts, notices, reader comments) are deleted and play no part in the hashes; but nothing that
+holds the article is, whatever its name or class. Inside the article only names count, and classes all of whose
+words say so; a class that speaks of the layout (``with-sidebar``) says nothing. On a page without a marked article, classes
+and forms are not believed if no text would be left, nor a class of the layout on an element with most of the text. Spark counts
 on how many distinct pages of a host each hash occurs (once a page; pages whose whole trees have one hash are
 one page, however many rows repeat it). Of a host's n distinct pages, the subtree of a block-level element
 outside the article belongs to the site's template and is deleted as well if it recurs on at least ``least``
 and at least ``share`` of them, or on ``many`` and ``low_share`` (menus of a section, adverts in turn); with
 n below ``least``, if it is on all of two or more. ``html``, ``body`` and elements around an article stay.
-If the page marks its article (``article`` or ``main``), the text is what is left of that; else of the whole
-body. In a marked article only elements that hold no running text themselves (``div``, ``section``, lists,
+If the page marks its article, the text is what is left of that; else of the whole body. ``main`` (or its role) is the
+article, or without it every ``article`` (or its role); one inside a menu, sidebar, footer or element deleted by its class
+counts only if there is no other. In a marked article only elements that hold no running text themselves (``div``, ``section``, lists,
 tables) are deleted as template, and only on ``least`` pages at a share of ``inner_share``: a paragraph that
 many articles quote stays.
 
@@ -44,11 +48,18 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
 ENDS_P = BLOCK - frozenset("body dd dt head html legend li option optgroup tbody td tfoot th thead tr".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "option": {"select"}}
-NO_TEXT = frozenset("nav footer aside form script style noscript template iframe svg math canvas object button select textarea input dialog menu head title audio video map xmp noembed noframes".split())
+NO_TEXT = frozenset("nav footer aside header form script style noscript template iframe svg canvas object button select textarea input dialog menu head title audio video map xmp noembed noframes".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-HINT = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|login|sidebar|side-bar|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|site-header|page-header|comments?|commentlist|disqus|replies|respond|social|share|sharing|related|recommended|widget|toolbar|skip-link)(?=$|[\s_-])", re.I)
+LAYOUT_WORDS = "banner sidebar side-bar menu nav navbar navigation masthead site-header page-header widget toolbar".split()
+OTHER_WORDS = "ad ads advert adverts advertisement advertising sponsor sponsored promo cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login breadcrumb breadcrumbs footer comment comments commentlist disqus replies respond social share sharing related recommended skip-link".split()
+SAYS_LAYOUT = ("with-", "without-", "has-", "no-", "is-", "hide-", "show-")
 CONTENT = frozenset(("article", "main"))
 HOLDERS = frozenset("div section ul ol dl table figure".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Why an element goes: its name or role; it is a form; each word of its class says so (some of the layout), or only one does.
+KEEP, NAMED, FORM, SAID, SAID_LAID, HINTED, LAID = range(7)
+DOUBTED = (FORM, SAID, SAID_LAID, HINTED, LAID)
+WORDS = {kind: re.compile(rf"(?:^|[_-])(?:{'|'.join(words)})(?=$|[_-])") for kind, words in ((HINTED, OTHER_WORDS), (LAID, LAYOUT_WORDS))}
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -58,20 +69,87 @@ GAPS = re.compile(r"\s+")
 class Node:
     __slots__ = ("name", "parts", "drop", "key", "content", "holds", "size")
 
-    def __init__(self, name: str, drop: bool = False, content: bool = False):
-        self.name, self.drop, self.content, self.parts, self.key, self.holds, self.size = name, drop, content, [], 0, content, 0
+    def __init__(self, name: str, drop: int = KEEP, content: str = ""):
+        self.name, self.drop, self.content, self.parts, self.key, self.holds, self.size = name, drop, content, [], 0, False, 0
 
 
-def unwanted(name: str, attributes: str, in_article: bool) -> bool:
-    if name in NO_TEXT or name == "header" and not in_article:
-        return True
-    if not attributes or name in ("html", "body") or name in CONTENT:
-        return False
+def word_kind(word: str) -> int:
+    """What one word of a class or id says."""
+    if word.startswith(SAYS_LAYOUT):
+        return KEEP
+    return next((kind for kind, words in WORDS.items() if words.search(word)), KEEP)
+
+
+def read_attributes(name: str, attributes: str) -> tuple[int, str]:
+    """Why the element goes, if it does, and which article it marks: "main", "article" or none."""
+    drop, content = KEEP, name if name in CONTENT else ""
+    if name in NO_TEXT:
+        drop = FORM if name == "form" else NAMED
+    if not attributes or name in ("html", "body"):
+        return drop, content
     for kind, *values in ATTRIBUTE.findall(attributes):
-        value = next((v for v in values if v), "")
-        if kind.lower() == "role" and value.lower() in ROLES or kind.lower() != "role" and HINT.search(value):
-            return True
-    return False
+        value = next((v for v in values if v), "").lower()
+        if kind.lower() == "role":
+            if value in CONTENT:
+                content = value
+            elif value in ROLES:
+                drop = drop or (FORM if value == "form" else NAMED)
+        elif not drop and not content and name not in HEADINGS and value:
+            said = [word_kind(w) for w in value.split()]
+            if any(said):
+                drop = (SAID_LAID if LAID in said else SAID) if all(said) else HINTED if HINTED in said else LAID
+    return (KEEP if content else drop), content
+
+
+def settle(root: Node) -> None:
+    """Decides which marked article counts, and keeps what it stands in and what it holds."""
+    found: list[tuple[Node, list[Node], int]] = []  # an article, what it stands in, the strongest reason to drop that
+    todo: list[tuple[Node, list[Node]]] = [(root, [])]
+    suspects = []
+    while todo:
+        own, above = todo.pop()
+        if own.content:
+            reasons = {n.drop for n in above}
+            found.append((own, above, 2 if NAMED in reasons else 1 if reasons & {SAID, SAID_LAID, HINTED} else 0))
+        if own.drop in DOUBTED:
+            suspects.append(own)
+        if own.name not in RAW:
+            inside = [*above, own] if own.drop or own.content else above
+            todo += [(p, inside) for p in own.parts if isinstance(p, Node)]
+    ranks = [[x for x in found if (x[0].content, x[2]) in kinds] for kinds in ((("main", 0), ("main", 1)), (("article", 0),), (("article", 1),), (("main", 2),), (("article", 2),))]
+    chosen = next((some for some in ranks if any(amount(x[0]) for x in some)), [])
+    for own, _, _ in found:
+        own.content = ""
+    for own, above, _ in chosen:
+        own.content, own.holds = "main", True
+        for n in above:
+            n.drop = KEEP
+    if chosen:
+        inner = [x[0] for x in chosen]
+        while inner:
+            own = inner.pop()
+            own.drop = KEEP if own.drop in (HINTED, LAID) or own.name == "header" else own.drop
+            inner += [p for p in own.parts if isinstance(p, Node) and p.name not in RAW]
+    elif suspects:
+        whole = amount(root, {KEEP, *DOUBTED})
+        for own in suspects:
+            if own.drop in (SAID_LAID, LAID) and 2 * amount(own, {KEEP, *DOUBTED}) > whole:
+                own.drop = KEEP
+        if whole and not amount(root):
+            for own in suspects:
+                own.drop = KEEP
+
+
+def amount(root: Node, kept_kinds: frozenset | set = frozenset({KEEP})) -> int:
+    """Characters of text under an element, whatever it says of itself, in what is kept for one of the reasons."""
+    total, todo = 0, list(root.parts)
+    while todo:
+        p = todo.pop()
+        if isinstance(p, str):
+            total += len(p.strip())
+        elif p.drop in kept_kinds and p.name not in RAW:
+            todo += p.parts
+    return total
 
 
 def tree(page: str) -> Node:
@@ -106,7 +184,7 @@ def tree(page: str) -> Node:
             close(stack, {"p"}, ())
         if name in CLOSES:
             close(stack, CLOSES[name], SCOPE.get(name, ()))
-        node = Node(name, unwanted(name, m[3], any(n.content for n in stack)), name in CONTENT)
+        node = Node(name, *read_attributes(name, m[3]))
         stack[-1].parts.append(node)
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(page, at)
@@ -114,6 +192,7 @@ def tree(page: str) -> Node:
             at = end.end() if end else len(page)
         elif name not in VOID and not m[3].endswith("/"):
             stack.append(node)
+    settle(root)
     return root
 
 
@@ -140,7 +219,7 @@ def hashed(root: Node) -> list[tuple[Node, bool, int]]:
         own, inner, up = todo.pop()
         at = len(order)
         order.append((own, inner, up))
-        inner = inner or own.content
+        inner = inner or bool(own.content)
         todo += [(p, inner, at) for p in own.parts if isinstance(p, Node) and not p.drop]
     for own, _, _ in reversed(order):
         h = blake2b(own.name.encode(), digest_size=8)
@@ -217,8 +296,8 @@ def blocks(root: Node, template: dict[int, bool]) -> list[str]:
             if item.key in template and deletable(item, inner) and (not inner or template[item.key]):
                 flush(inner)
                 continue
-            has_article = has_article or item.content
-            below = inner or item.content
+            has_article = has_article or bool(item.content)
+            below = inner or bool(item.content)
             ends = item.name in BLOCK
             if ends:
                 flush(inner)

@@ -519,3 +519,59 @@ def test_queries_match_their_sql(llm, duck, name):
     from tools.oracle_check import frame_hash
 
     assert frame_hash(queries.QUERIES[name](llm, SMALL).toPandas()) == frame_hash(duck.execute(queries.SQL[name]).df())
+
+
+KEPT_WHOLE = [
+    '<div class="page with-sidebar"><article><p>own text</p></article></div>',
+    '<div id="content" class="no-sidebar"><p>own text</p></div>',
+    '<div class="layout has-menu"><article>own text</article></div>',
+    '<form id="aspnetForm"><nav>n</nav><article>own text</article></form>',
+    '<form id="aspnetForm"><p>own text</p></form>',
+    '<div class="sidebar-layout"><div class="menu">m</div><main>own text</main></div>',
+    '<article><p class="share price">own</p> <div class="alert alert-info">text</div></article>',
+    '<article><h1 class="banner">own</h1><section class="related work">text</section></article>',
+    '<article>own <math><mi>text</mi></math></article>',
+    '<div role="main">own text</div><p>outside</p>',
+    '<main>own text</main><article>a teaser</article><div class="related"><article>another</article></div>',
+    '<div class="related"><article>a teaser</article></div><article>own text</article>',
+    '<aside><article>a teaser</article></aside><div class="widget"><article>own text</article></div>',
+    '<article><header>own</header>text<footer>f</footer><div class="share-buttons">s</div><form>f</form></article>',
+    '<nav>n</nav><div class="comments">c</div><p>own text</p><div class="cookie-banner">ok</div>',
+    '<aside><article>own text</article></aside>',
+    '<article>own <div class="sidebar">s</div><div class="nav menu">m</div>text</article>',
+    '<article></article><p>own text</p>',
+    '<body class="has-sidebar"><div class="sidebar">s</div><p>own text of some length</p></body>',
+]
+
+
+def test_no_article_is_lost_to_names_and_classes(llm):
+    rows = [{"page_id": i, "url": f"http://h{i}.example/", "html": h} for i, h in enumerate(KEPT_WHOLE)]
+    got = {r["page_id"]: r["text"] for r in pages.extract(frame(llm, rows, "page_id long, url string, html string")).collect()}
+    for i, h in enumerate(KEPT_WHOLE):
+        assert " ".join(got[i].split()) in ("own text", "own text of some length"), (h, got[i])
+
+
+def test_template_counts_equal_a_recount(llm):
+    """The subtrees counted in Spark against a plain count over each host's distinct pages."""
+    from urllib.parse import urlsplit
+
+    table = llm.read.parquet(f"{SMALL}/pages.parquet")
+    limits = {"least": 5, "share": 0.5, "many": 20, "low_share": 0.05, "inner_share": 0.6}
+    found = {r["host"]: dict(r["template"]) for r in pages.templates(table, 0.1, 50_000, "html", "url", **limits).collect()}
+    hosts = {}
+    for r in table.collect():
+        order = pages.hashed(pages.tree(r["html"] or ""))
+        hosts.setdefault((urlsplit(r["url"] or "").hostname or "").lower(), {})[order[0][0].key] = (order[0][0].size, pages.candidates(order))
+
+    def often(trees):
+        n, count = len(trees), Counter(k for _, c in trees for k in set(c[0]))
+        keep = lambda c: c >= n and n > 1 if n < 5 else c >= 5 and c >= 0.5 * n or c >= 20 and c >= 0.05 * n
+        return {k: c >= 5 and c >= 0.6 * n for k, c in count.items() if keep(c)}
+
+    want = {}
+    for host, trees in hosts.items():
+        first = set(often(list(trees.values())))
+        apart = [t for t in trees.values() if t[0] > 0 and pages.left(t[0], t[1], first) >= 0.1 * t[0]]
+        if second := often(apart):
+            want[host] = second
+    assert found == want
