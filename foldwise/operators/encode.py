@@ -78,15 +78,17 @@ def frequency_encode(df: DataFrame, col: str, enc: Lookup, out: str, unseen: flo
 
 
 def fit_combine_frequency(df: DataFrame, cols: list[str]) -> tuple[list[tuple[str, str]], dict]:
-    """Frequencies of all 2-column combination keys in ONE exploded aggregation."""
+    """Frequencies of all 2-column combination keys. Rows are counted by their whole tuple first (combined map-side), so that
+    only distinct tuples are exploded, once for each pair."""
     pairs = list(combinations(cols, 2))
-    stacked = df.select(
+    tuples = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_rows"))
+    stacked = tuples.select("_rows",
         F.explode(
             F.array(*[F.struct(F.lit(f"{a}_{b}").alias("_pair"), combine_key([a, b]).alias("_key")) for a, b in pairs])
         ).alias("s")
-    ).select("s._pair", "s._key")
+    ).select("s._pair", "s._key", "_rows")
     n = df.count()
-    counts = stacked.groupBy("_pair", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    counts = stacked.groupBy("_pair", "_key").agg(F.sum("_rows").alias("_n"))
     lut = counts.select("_pair", "_key", (F.col("_n") / F.lit(float(max(n, 1)))).alias("_freq"))
     return pairs, Lookup.fit_split(lut, "_pair")  # one size check per pair
 

@@ -98,12 +98,13 @@ def transform_fallback(df: DataFrame, st: MissForestState, cat_cols: list[str],
 
 
 def transform_missforest(df: DataFrame, st: MissForestState, cat_cols: list[str], num_cols: list[str]) -> DataFrame:
-    """Apply the fitted per-column forests to a new batch in the fitted order; columns without
-    a model use the mean / mode fallback. Stateless per row, so valid on a stream too."""
+    """Apply the fitted per-column forests to a new batch in the fitted order; a forest scores only the rows that
+    miss its column. Columns without a model use the mean / mode fallback. Stateless per row, so valid on a stream too."""
     current = df
     for target in st.order:
         prep, model, decoder = st.models[target]
-        feats, _, _ = _features(current, cat_cols, num_cols, target, st.means, st.modes, [])
-        fill = _predicted(prep.transform(feats), model, decoder)
-        current = fill.withColumn(target, F.coalesce(F.col(target), F.col("_fill"))).select(*df.columns)
+        lacking = current.where(F.col(target).isNull())
+        feats, _, _ = _features(lacking, cat_cols, num_cols, target, st.means, st.modes, [])
+        fill = _predicted(prep.transform(feats), model, decoder).withColumn(target, F.col("_fill")).select(*df.columns)
+        current = current.where(F.col(target).isNotNull()).unionByName(fill)
     return transform_fallback(current, st, cat_cols, num_cols)

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from foldwise.operators.lookup import Lookup
+from foldwise.operators.lookup import Lookup, local_table
 from foldwise.operators.ordering import with_global_cumsum
 
 LOG_LOSS_EPS = 1e-15
@@ -109,11 +110,13 @@ def roc_curve(df: DataFrame, score: str, label: str) -> DataFrame:
 def confusion_matrix(df: DataFrame, label: str, pred: str, classes: list) -> DataFrame:
     """counts for every (label, pred) pair that occurs, missing values included, and zeros for the
     other pairs of ``classes`` and for the diagonal of any other class."""
-    spark = df.sparkSession
     counts = df.groupBy(label, pred).agg(F.count(F.lit(1)).alias("count"))
     seen = counts.select(F.explode(F.array(label, pred)).alias(label)).where(F.col(label).isNotNull()).distinct()
     diagonal = seen.select(label, F.col(label).alias(pred), F.lit(0).cast("long").alias("count"))
-    grid = spark.createDataFrame([(a, b) for a in classes for b in classes], df.select(label, pred).schema, verifySchema=False)
+    kinds = df.select(label, pred).schema
+    rows = local_table(df.sparkSession, [(c,) for c in classes], T.StructType([T.StructField(label, kinds[label].dataType)]))
+    named = F.array(*[F.lit(c).cast(kinds[pred].dataType) for c in classes]) if classes else F.array().cast(T.ArrayType(kinds[pred].dataType))
+    grid = rows.withColumn(pred, F.explode(named))  # made where it is counted
     zeros = grid.select(label, pred, F.lit(0).cast("long").alias("count")).unionByName(diagonal)
     return counts.unionByName(zeros).groupBy(label, pred).agg(F.sum("count").alias("count"))
 

@@ -21,6 +21,7 @@ from foldwise.operators import blend as B
 from foldwise.operators import metrics as M
 from foldwise.operators.lookup import Lookup
 from foldwise.operators.split import ranked
+from foldwise.session import cut_lineage
 
 
 def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataFrame:
@@ -61,7 +62,16 @@ def train_oof(df: DataFrame, id_col: str, features: list[str], label: str, fold_
     """Out-of-fold probabilities (id, fold, label, probs) and the k fold models. ``params`` may name a
     ``weightCol`` of the input, as ``balanced_weights`` adds."""
     data = _training_frame(df, id_col, features, label, fold_col, params).persist(StorageLevel.MEMORY_AND_DISK)
-    return _oof_of(data, id_col, label, fold_col, k, kind, params, early_stop)
+    oof, models = _oof_of(data, id_col, label, fold_col, k, kind, params, early_stop)
+    return _released(oof, data), models
+
+
+def _released(oof: DataFrame, data: DataFrame) -> DataFrame:
+    """The table written to the shared folder (an id, a fold, a label and the probabilities a row), the frame it came
+    from dropped from the cache."""
+    oof = cut_lineage(oof)
+    data.unpersist()
+    return oof
 
 
 def _training_frame(df: DataFrame, id_col: str, features: list[str], label: str, fold_col: str, params: dict | None) -> DataFrame:
@@ -118,7 +128,7 @@ def train_ovr_gbt_oof(df: DataFrame, id_col: str, features: list[str], label: st
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return _released(out, data)
 
 
 # ---- random search -----------------------------------------------------------------------------

@@ -170,9 +170,9 @@ def q_beta_var(spark, d):
     return _beta(spark, d, BETA_FEATURES, ("mean", "variance"))
 
 
-@query("beta_encode_bootstrap", sql=beta_sql(BETA_FEATURES, ("mean",), mode="bootstrap", n_samples=10, f=0.8))
+@query("beta_encode_bootstrap", sql=beta_sql(BETA_FEATURES, ("mean",), mode="bootstrap", n_samples=50, f=0.8))
 def q_beta_bootstrap(spark, d):
-    return _beta(spark, d, BETA_FEATURES, ("mean",), mode="bootstrap", n_samples=10, f=0.8)
+    return _beta(spark, d, BETA_FEATURES, ("mean",), mode="bootstrap", n_samples=50, f=0.8)
 
 
 _TRAIN = "o_orderdate < TIMESTAMP '1997-01-01'"

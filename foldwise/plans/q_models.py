@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from foldwise.functions.hashing import uniform_sql
+from foldwise.operators import boost as BO
 from foldwise.operators import encode as E
 from foldwise.operators import impute as I
 from foldwise.operators import metrics as M
@@ -51,6 +53,25 @@ def q_multi_oof(spark, d):
     return oof.select("ID", "kfold", "y", *[F.col("probs")[c].alias(f"y_pred{c}") for c in range(3)])
 
 
+@query(
+    "train_joint_oof",
+    sql=f"""SELECT ID, CAST((row_number() OVER (ORDER BY y, u, ID) - 1) % 3 AS INTEGER) AS kfold, y, 1.0::DOUBLE AS prob_sum, true AS known
+  FROM (SELECT ID, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS y, {uniform_sql('ID', seed=42)} AS u FROM {ENTITY_SQL})""",
+)
+def q_joint_oof(spark, d):
+    """All classes boosted together in each fold, stopped on the fold's macro F1; of the result, what does not hang on
+    the trees."""
+    mf = model_frame(spark, d, k=3, stratify="y").persist()
+    parts = []
+    for fold in range(3):
+        train, valid = SP.fold_split(mf, fold)
+        state, _ = BO.fit_joint(train, valid, FEATURES, "y", 3, max_rounds=4, patience=2, depth=3)
+        parts.append(BO.joint_probs(valid, state))
+    total = F.round(F.col("probs")[0] + F.col("probs")[1] + F.col("probs")[2], 6)
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.select("ID", "kfold", "y", total.alias("prob_sum"), F.col("pred").between(0, 2).alias("known"))
+
+
 @query("train_rf")
 def q_rf(spark, d):
     mf = model_frame(spark, d, k=3, stratify="y")

@@ -76,7 +76,7 @@ def q_tts(spark, d):
     return SP.train_test_split(entity(spark, d, ["ID", "target"]), "ID", 0.25, SEED, stratify="target")
 
 
-NB, FRAC = 10, 0.8
+NB, FRAC = 50, 0.8
 
 
 @query(

@@ -24,7 +24,7 @@ def append_log(df: DataFrame, path: str) -> None:
 
 
 def save_lookup(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path)
 
 
 def load_lookup(spark: SparkSession, path: str) -> DataFrame:
