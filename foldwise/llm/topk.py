@@ -6,7 +6,8 @@ each query keeps its best k. The lists of a query meet in a tree of levels of at
 
 Vectors that are null, or hold null or non-finite components, take no part. An id names one vector: of
 repeated ids the smallest vector stands. No query finds itself. Equal scores go to the smaller id. With
-fewer than k candidates all are returned; an empty table gives no rows.
+fewer than k candidates all are returned; an empty table gives no rows. Vectors of unequal lengths have no inner
+product and raise an error that names the lengths. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -27,6 +28,13 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return vectors.filter(whole & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), v.alias("v")).groupBy("id").agg(F.min("v").alias("v"))
 
 
+def of_one_length(facts=None) -> list[Column]:
+    """The aggregates that tell whether all ``v`` have one length; with their row, an error if not."""
+    if facts is not None and facts["shortest"] != facts["longest"]:
+        raise ValueError(f"vectors of {facts['shortest']} and of {facts['longest']} components have no inner product")
+    return [F.min(F.size("v")).alias("shortest"), F.max(F.size("v")).alias("longest")]
+
+
 def fresh(df: DataFrame) -> DataFrame:
     """The same columns under new references: both sides of a cogroup come from one table here."""
     return df.select(*[F.col(c).alias(c) for c in ("id", "v", "block", "shard")])
@@ -78,6 +86,7 @@ def merged(lists: DataFrame, k: int, shards: int, fan: int = 64) -> DataFrame:
 def search(vectors: DataFrame, is_query: Column, k: int = 10, scale: float = 1024.0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` (long); ``is_query`` speaks of the column ``id``."""
     whole = usable(vectors, id_col, vector_col).withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("double")))
+    of_one_length(whole.agg(*of_one_length()).first())
     rows = max(1, vectors.count())
     shards = -(-rows // SHARD_ROWS)
     queries = whole.filter(is_query)

@@ -5,26 +5,36 @@ one more component, sqrt(1 - |x|**2), and queries are scaled to a norm of 1, so
 the order by inner product is the order by Euclidean distance, which a vantage-point tree can prune by the
 triangle inequality. A node holds a vantage point and the median distance to it; a query first goes to its
 own side, with the far side left out if ``factor`` times its distance from the border exceeds the query's
-k-th best distance. A factor of 1, which is used, leaves out only what cannot hold a nearer vector, which is
-exact; a larger one prunes more, and loses most neighbours where norms are uneven: one long vector moves all
-others to nearly one place. Every row is indexed; nothing is sampled. Leaves are compared by matrix products; scores are then taken anew on the
+k-th best distance. A factor of 1 leaves out only what cannot hold a nearer vector, which is exact.
+
+Each tree is built once and written to the shared folder; blocks of queries then meet the stored trees. Unless a
+factor is given, each tree learns its own when it is built: ``SAMPLE`` of its rows ask it, and the largest of
+``FACTORS`` that finds ``RECALL`` of the neighbours that a scan of the shard finds is kept, 1 if none does. So a shard
+whose norms are uneven, where pruning by distance misleads, is searched exactly, and one whose distances hardly differ
+is compared nearly whole. Every row is indexed. Leaves are compared by matrix products; scores are then taken anew on the
 original vectors in double precision, each in one fixed order of summation.
 
-Vectors that are null, zero, or hold null or non-finite components take no part; of repeated ids the
-smallest vector stands. Equal scores go to the smaller id. An empty table gives no rows. Vectors that
-coincide (a border of distance 0 on both sides) end in one leaf, which is compared whole, in blocks.
+Vectors that are null, zero, or hold null or non-finite components take no part; vectors of another length than
+most have raise an error that names it. Of repeated ids the smallest vector stands. Equal scores go to the smaller id. Other
+columns play no part. An empty table gives no rows. Vectors that coincide (a border of distance 0 on both sides) end in one
+leaf, which is compared whole, in blocks.
 """
 
 from __future__ import annotations
 
+import io
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.topk import BLOCK_ROWS, best, fresh, matrix, merged, usable
+from foldwise.llm.common import kept
+from foldwise.llm.topk import BLOCK_ROWS, best, matrix, merged, of_one_length, usable
 
-SHARD_ROWS, LEAF, CELLS = 8192, 256, 2_000_000
+SHARD_ROWS, LEAF, CELLS = 8192, 128, 2_000_000
+SAMPLE, RECALL = 64, 0.95
+FACTORS = (1.25, 1.6, 2.0, 2.5, 3.2, 4.0, 5.0, 6.3, 8.0, 10.0, 12.5, 16.0)
 SLACK = 1e-9  # of squared distances between vectors of length 1, far above their rounding
 
 
@@ -32,7 +42,7 @@ class Tree:
     """Rows are sorted so that each node owns a stretch of them."""
 
     def __init__(self, points: np.ndarray, leaf: int = LEAF):
-        self.points, self.leaf = points, leaf
+        self.points, self.leaf, self.compared = points, leaf, 0
         self.order = np.arange(len(points))
         self.nodes: list[tuple] = []  # (start, stop, vantage, border, inner, outer); vantage -1: a leaf
         if len(points):
@@ -94,6 +104,7 @@ class Tree:
         step = max(1, CELLS // max(len(who), 1))
         for a in range(0, len(rows), step):
             part = rows[a : a + step]
+            self.compared += len(part) * len(who)
             q = self.queries[who]
             d = (q**2).sum(1)[:, None] + self.squares[part] - 2 * (q @ self.points[part].T)
             d[self.own[who][:, None] == part] = np.inf
@@ -116,36 +127,89 @@ def longer(v: np.ndarray) -> np.ndarray:
     return np.hstack([v, np.sqrt(np.maximum(1 - (v**2).sum(1), 0))[:, None]])
 
 
-def tile(queries: pd.DataFrame, shard: pd.DataFrame, k: int, factor: float) -> pd.DataFrame:
-    queries, shard = queries.sort_values("id"), shard.sort_values("id")
-    ids, base, asked, q = shard["id"].to_numpy(), matrix(shard["v"]), queries["id"].to_numpy(), matrix(queries["v"])
+def learned(tree: Tree, base: np.ndarray, k: int) -> float:
+    """The largest factor with which the shard's own sample finds its neighbours; of a recall that falls with the
+    factor, so the first that fails ends the search."""
+    asked = np.linspace(0, len(base) - 1, min(SAMPLE, len(base))).astype(int)
+    queries = np.hstack([scaled(base[asked], True), np.zeros((len(asked), 1))])
+    scores = queries @ tree.points.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    right = [set(x.tolist()) for x in np.argsort(-scores, axis=1, kind="stable")[:, : min(k, len(base) - 1)]]
+    total = sum(map(len, right))
+    found_all = 1.0
+    for factor in FACTORS if total else ():
+        hits = 0
+        for i, some in enumerate(tree.search(queries, asked, k, factor)):
+            top = some[np.argsort(-scores[i, some], kind="stable")[:k]]
+            hits += len(right[i] & set(top.tolist()))
+        if hits < RECALL * total:
+            break
+        found_all = factor
+    return found_all
+
+
+def grown(shard: pd.DataFrame, k: int, factor: float | None) -> bytes:
+    """A shard's tree with its ids and vectors, as bytes."""
+    shard = shard.sort_values("id")
+    base = matrix(shard["v"])
+    tree = Tree(longer(scaled(base, False)))
+    used = learned(tree, base, k) if factor is None else factor
+    out = io.BytesIO()
+    np.savez(out, ids=shard["id"].to_numpy(), base=base, order=tree.order, nodes=np.array([(s, e, v, i, o) for s, e, v, _, i, o in tree.nodes]), borders=np.array([b if v >= 0 else (0.0, 0.0) for _, _, v, b, _, _ in tree.nodes]), factor=used)
+    return out.getvalue()
+
+
+def planted(stored: bytes) -> tuple[Tree, np.ndarray, np.ndarray, float]:
+    """The tree, its ids, its vectors and its factor."""
+    x = np.load(io.BytesIO(stored))
+    tree = Tree(np.zeros((0, 1)))
+    tree.points, tree.order = longer(scaled(x["base"], False)), x["order"]
+    tree.nodes = [(s, e, v, tuple(b), i, o) for (s, e, v, i, o), b in zip(x["nodes"].tolist(), x["borders"].tolist(), strict=True)]
+    return tree, x["ids"], x["base"], float(x["factor"])
+
+
+def tile(queries: pd.DataFrame, stored: bytes, k: int) -> pd.DataFrame:
+    queries = queries.sort_values("id")
+    tree, ids, base, factor = planted(stored)
+    asked, q = queries["id"].to_numpy(), matrix(queries["v"])
     place = np.searchsorted(ids, asked)
     own = np.where((place < len(ids)) & (ids[np.minimum(place, len(ids) - 1)] == asked), place, -1)
-    found = Tree(longer(scaled(base, False))).search(np.hstack([scaled(q, True), np.zeros((len(q), 1))]), own, k, factor)
+    found = tree.search(np.hstack([scaled(q, True), np.zeros((len(q), 1))]), own, k, factor)
     out = []
     for i, some in enumerate(found):
         some = np.sort(some)
         scores = (base[some] * q[i]).sum(1)
         top = np.argsort(-scores, kind="stable")[:k]
-        out.append((np.full(len(top), asked[i]), ids[some[top]], scores[top]))
-    query_id, vec_id, score = (np.concatenate(x) for x in zip(*out, strict=True))
-    return pd.DataFrame({"query_id": query_id, "vec_id": vec_id, "score": score})
+        out.append((np.full(len(top), asked[i]), ids[some[top]], scores[top], np.full(len(top), tree.compared / max(1, len(ids) * len(found)))))
+    query_id, vec_id, score, share = (np.concatenate(x) for x in zip(*out, strict=True))
+    return pd.DataFrame({"query_id": query_id, "vec_id": vec_id, "score": score, "share": share})
+
+
+def forest(whole: DataFrame, shards: int, k: int, factor: float | None) -> DataFrame:
+    """``shard``, ``tree``: written once."""
+
+    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"shard": [key[0]], "tree": [grown(rows, k, factor)]})
+
+    dealt = whole.withColumn("shard", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(shards)).cast("int"))
+    return kept(dealt.groupBy("shard").applyInPandas(run, "shard int, tree binary"), "trees")
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 20, factor: float = 1.0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``query_id``, ``rank``, ``vec_id``, ``score``; ``is_query`` speaks of the column ``id``."""
+def search(vectors: DataFrame, is_query: Column, k: int = 20, factor: float | None = None, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """``query_id``, ``rank``, ``vec_id``, ``score``, and ``share``, the part of its shard that the query's block was
+    compared with; ``is_query`` speaks of the column ``id``. Without a ``factor`` each tree learns its own."""
     whole = usable(vectors, id_col, vector_col).filter(F.exists("v", lambda x: x != 0))
-    facts = whole.agg(F.count("*").alias("n"), F.count_if(is_query).alias("asked")).first()
+    facts = whole.agg(F.count("*").alias("n"), F.count_if(is_query).alias("asked"), *of_one_length()).first()
+    of_one_length(facts)
     shards, blocks = max(1, -(-facts["n"] // SHARD_ROWS)), max(1, -(-facts["asked"] // BLOCK_ROWS))
-    spread = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = whole.filter(is_query).withColumn("block", spread(blocks, 1)).withColumn("shard", each(shards))
-    right = whole.withColumn("shard", spread(shards, 2)).withColumn("block", each(blocks))
+    left = whole.filter(is_query).withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int")).withColumn("shard", each(shards))
+    right = forest(whole, shards, k, factor).withColumn("block", each(blocks))
 
     def run(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "shard": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64", "shard": "int64"})
-        return tile(a, b, k, factor).assign(shard=key[1])
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "share": [], "shard": []})
+        return tile(a, b["tree"].iloc[0], k).assign(shard=key[1])
 
-    tiles = fresh(left).groupBy("block", "shard").cogroup(fresh(right).groupBy("block", "shard")).applyInPandas(run, "query_id long, vec_id long, score double, shard long")
-    return merged(tiles, k, shards).select("query_id", "rank", "vec_id", "score")
+    tiles = left.groupBy("block", "shard").cogroup(right.groupBy("block", "shard")).applyInPandas(run, "query_id long, vec_id long, score double, share double, shard long")
+    return merged(tiles, k, shards).select("query_id", "rank", "vec_id", "score", "share")

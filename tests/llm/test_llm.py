@@ -575,3 +575,32 @@ def test_template_counts_equal_a_recount(llm):
         if second := often(apart):
             want[host] = second
     assert found == want
+
+
+def test_a_tree_learns_how_far_it_may_prune(llm):
+    """Tight clusters: a part of the rows is compared, and 0.9 of the neighbours are found; uneven norms: exact."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(60, 16))
+    x = (centres[rng.integers(0, 60, 6000)] + 0.05 * rng.normal(size=(6000, 16))).astype(np.float32)
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    df = frame(llm, [{"vec_id": i, "embedding": v.tolist()} for i, v in enumerate(x)], VECTORS)
+    rows = vptree.search(df, F.col("id") % 20 == 0).collect()
+    got, share = {}, max(r["share"] for r in rows)
+    for r in rows:
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    x = x.astype(np.float64)
+    hit = 0
+    for q in range(0, 6000, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += len(got[q] & set(np.argsort(-s, kind="stable")[:20].tolist()))
+    assert hit >= 0.9 * 20 * 300 and share < 0.5, (hit, share)
+    exact = vptree.search(df, F.col("id") % 20 == 0, factor=1.0).collect()
+    assert len(exact) == 6000
+
+
+@pytest.mark.parametrize("search", [topk.search, vptree.search])
+def test_vectors_of_unequal_lengths_are_named(llm, search):
+    df = frame(llm, [{"vec_id": 0, "embedding": [1.0, 2.0]}, {"vec_id": 20, "embedding": [1.0]}], VECTORS)
+    with pytest.raises(ValueError, match="1 and of 2 components"):
+        search(df, F.col("id") % 20 == 0)
