@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.llm.common import kept
-from foldwise.llm.topk import BLOCK_ROWS, best, matrix, merged, of_one_length, usable
+from foldwise.llm.topk import BLOCK_ROWS, matrix, merged, of_one_length, usable
 
 SHARD_ROWS, LEAF, CELLS = 8192, 128, 2_000_000
 SAMPLE, RECALL = 64, 0.95
@@ -79,10 +79,15 @@ class Tree:
         self.squares = (self.points**2).sum(1)
         self.limit = np.full(n, np.inf)
         self.near = np.full((n, k), np.inf)
-        self.found: list[list[np.ndarray]] = [[] for _ in range(n)]
+        self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # queries, rows, squared distances
         if self.nodes and n:
             self.visit(0, np.arange(n))
-        return [np.concatenate(f) if f else np.zeros(0, int) for f in self.found]
+        if not self.found:
+            return [np.zeros(0, int)] * n
+        who, rows, d = (np.concatenate(x) for x in zip(*self.found, strict=True))
+        near = np.flatnonzero(d <= self.near.max(1)[who] + SLACK)
+        near = near[np.argsort(who[near], kind="stable")]
+        return np.split(rows[near], np.searchsorted(who[near], np.arange(1, n)))
 
     def visit(self, at: int, who: np.ndarray) -> None:
         start, stop, vantage, border, inner, outer = self.nodes[at]
@@ -108,12 +113,12 @@ class Tree:
             q = self.queries[who]
             d = (q**2).sum(1)[:, None] + self.squares[part] - 2 * (q @ self.points[part].T)
             d[self.own[who][:, None] == part] = np.inf
-            for w, row, some in zip(who, d, best(-d, self.k, SLACK), strict=True):
-                some = some[np.isfinite(row[some])]
-                self.found[w].append(part[some[row[some] <= self.limit[w] ** 2]])
             nearest = np.partition(np.hstack([self.near[who], d]), self.k - 1, axis=1)[:, : self.k]
             self.near[who] = nearest
-            self.limit[who] = np.sqrt(np.maximum(nearest.max(1), 0) + SLACK)
+            bound = nearest.max(1) + SLACK  # rounding hides no tie
+            self.limit[who] = np.sqrt(np.maximum(bound, 0))
+            i, j = np.nonzero((d <= bound[:, None]) & np.isfinite(d))
+            self.found.append((who[i], part[j], d[i, j]))
 
 
 def scaled(v: np.ndarray, by_row: bool) -> np.ndarray:
