@@ -13,6 +13,8 @@ columns pass through unchanged, but for columns named ``ids`` or ``decoded``, wh
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from functools import lru_cache
 from itertools import chain
 
@@ -52,7 +54,7 @@ class Codec:
         for c, i in self.id_of.items():
             if len(c) == 1:
                 self.first[ord(c)] = i
-        self.memo = Memo(self.parts)
+        self.memo, self.words = Memo(self.parts), Memo(self.spaced, limit=500_000)
         self.shown = [b"" if lib.is_control(i) else b" \xe2\x81\x87 " if lib.is_unknown(i) else bytes([int(lib.id_to_piece(i)[1:-1], 16)]) if lib.is_byte(i) else lib.id_to_piece(i).replace(SPACE, " ").encode() for i in range(self.size)]
         self.bos, self.eos = (np.array([i], dtype="<u4").tobytes() for i in (lib.bos_id(), lib.eos_id()))
         self.control = {i for i in range(self.size) if lib.is_control(i)}
@@ -66,6 +68,13 @@ class Codec:
         flat = np.frombuffer("".join(some).replace(" ", SPACE).encode("utf-32-le"), dtype="<u4")
         return merged_words(self.first[flat], np.fromiter(map(len, some), np.int64, len(some)), self.pairs, self.finish)
 
+    def spaced(self, some: list[str]) -> list[bytes]:
+        """Of words between single spaces: each stands for itself with a space in front, or for a line feed and what
+        follows it."""
+        line = self.parts(["\n"])[0]
+        own = iter(self.parts([w[1:] if w[:1] == "\n" else " " + w for w in some if w != "\n"]))
+        return [line if w == "\n" else line + next(own) if w[:1] == "\n" else next(own) for w in some]
+
     def finish(self, rows: np.ndarray) -> list[bytes]:
         if rows.max(initial=0) < self.size:
             step, raw = 4 * rows.shape[1], rows.astype("<u4").tobytes()
@@ -77,12 +86,23 @@ class Codec:
         return out
 
     def encode(self, some: list[str]) -> list[bytes]:
-        cut = [PART.findall(" " + t.replace(SPACE, " ")) if t else [] for t in some]
-        self.memo.learn(chain.from_iterable(cut))
-        return [self.bos + b"".join(map(self.memo.__getitem__, parts)) + self.eos for parts in cut]
+        """Parts hold no merge across them: a line feed, and a word with the spaces before it. Where all spaces are single
+        the text is cut at them, else by a pattern."""
+        some = [t.replace(SPACE, " ") for t in some]
+        plain = [not ("  " in t or t.startswith(" ")) for t in some]
+        cut = [(t.replace("\n", " \n").split(" ") if p else PART.findall(" " + t)) if t else [] for t, p in zip(some, plain, strict=True)]
+        self.words.learn(chain.from_iterable(c for c, p in zip(cut, plain, strict=True) if p))
+        self.memo.learn(chain.from_iterable(c for c, p in zip(cut, plain, strict=True) if not p))
+        return [self.bos + b"".join(map((self.words if p else self.memo).__getitem__, parts)) + self.eos for parts, p in zip(cut, plain, strict=True)]
+
+    def forget(self) -> None:
+        self.memo.forget()
+        self.words.forget()
 
     def decode(self, ids: bytes) -> str:
-        numbers = np.frombuffer(ids, dtype="<u4").tolist()
+        return self.decoded(np.frombuffer(ids, dtype="<u4").tolist())
+
+    def decoded(self, numbers: list[int]) -> str:
         out = b"".join(map(self.shown.__getitem__, numbers))
         first = next((i for i in numbers if i not in self.control), None)
         if first is not None and not self.library.is_byte(first) and out[:1] == b" " and not self.library.is_unknown(first):
@@ -92,11 +112,24 @@ class Codec:
         except UnicodeDecodeError:  # byte tokens that are no UTF-8: as the library repairs them
             return self.library.decode(numbers)
 
-    def check(self, some: list[str], ids: list[bytes], decoded: list[str]) -> None:
+    def checked(self, some: list[str], ids: list[bytes]) -> list[str]:
+        """The decoded texts, once ids and texts are found to be the library's. Its ids are read once for both."""
         right = self.library.encode(some, add_bos=True, add_eos=True, num_threads=1)
-        for text, want, own, shown in zip(some, right, ids, decoded, strict=True):
-            if np.array(want, dtype="<u4").tobytes() != own or self.library.decode(want) != shown:
+        out = []
+        for text, want, own in zip(some, right, ids, strict=True):
+            shown = self.decoded(want)
+            if packed(want) != own or self.library.decode(want) != shown:
                 raise ValueError(f"differs from the sentencepiece library: {text[:80]!r}")
+            out.append(shown)
+        return out
+
+
+def packed(ids: list[int]) -> bytes:
+    """As little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -116,8 +149,7 @@ def encode_decode(docs: DataFrame, model_path: str, text_col: str = "text") -> D
         for batch in slices(batches, text_col):
             some = texts(batch, text_col)
             ids = own.encode(some)
-            decoded = [own.decode(i) for i in ids]
-            own.check(some, ids, decoded)
+            decoded = own.checked(some, ids)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], names=[*rest, "ids", "decoded"])
 
     return docs.select(*rest).mapInArrow(run, schema)

@@ -96,8 +96,9 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = 20_000, per_document: i
     if len(sizes) < 2:
         return {"w": [0.0] * N_FEATURES, "threshold": 0.0, "spread": 1.0}
     buckets = max(1, sizes[0] // per_document)
-    better, worse = (rows.filter(F.col("quality") == q).select(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(buckets)).alias("bucket"), F.col("x").alias(x)) for q, x in ((1, "x"), (0, "y")))
-    sign = F.when(F.rand(3) < 0.5, 1.0).otherwise(-1.0)  # the preferred one first or last: both labels occur
+    better, worse = (rows.filter(F.col("quality") == q).select(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(buckets)).alias("bucket"), F.col("x").alias(x), F.col("doc_id").alias(f"{x}_id")) for q, x in ((1, "x"), (0, "y")))
+    # the preferred one first or last, by a hash of the two: both labels occur, however rows are partitioned
+    sign = F.when(F.pmod(F.xxhash64("x_id", "y_id"), F.lit(2)) == 0, 1.0).otherwise(-1.0)
     pairs = better.join(worse, "bucket").withColumn("sign", sign)
     pairs = kept(pairs.select(F.transform(F.arrays_zip("x", "y"), lambda p: (p["x"] - p["y"]) * F.col("sign")).alias("d"), F.when(F.col("sign") > 0, 1.0).otherwise(0.0).alias("label")), "preferences")
     if pairs.select("label").distinct().count() < 2:

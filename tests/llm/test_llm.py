@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from foldwise.llm import chat, components, langid, lm, neardup, packing, pages, pieces, quality, queries, topk, vptree, words
-from foldwise.llm.bpe import merge, merged_words
+from foldwise.llm.bpe import Memo, merge, merged_words
 from tests.conftest import SMALL
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, ids string"
@@ -138,12 +138,52 @@ def test_every_text_is_held_against_the_library():
         own = pieces.Codec(f.read())
     some = ["the first", "the second", "a third"]
     ids = own.encode(some)
-    decoded = [own.decode(i) for i in ids]
-    own.check(some, ids, decoded)
+    assert own.checked(some, ids) == [own.decode(i) for i in ids] == some
     with pytest.raises(ValueError, match="the second"):
-        own.check(some, [ids[0], ids[0], ids[2]], decoded)
+        own.checked(some, [ids[0], ids[0], ids[2]])
+    own.shown[np.frombuffer(ids[2], "<u4")[1]] = b"?"  # decodes otherwise
     with pytest.raises(ValueError, match="a third"):
-        own.check(some, ids, [*decoded[:2], ""])
+        own.checked(some, ids)
+
+
+def test_texts_cut_at_spaces_encode_like_the_library():
+    with open(queries.vocabulary("piece_bpe_32k.model"), "rb") as f:
+        own = pieces.Codec(f.read())
+    rng = np.random.default_rng(6)
+    parts = ["a", "the", "Straße", "日本", "\u2581", " ", "  ", "\n", "\n\n", "\t", "x" * 40, ".", "\r\n"]
+    some = ["".join(rng.choice(parts, rng.integers(0, 9))) for _ in range(3000)] + [" ".join(rng.choice(parts, 6)) for _ in range(500)]
+    assert len(own.checked(some, own.encode(some))) == 3500
+    own.forget()
+    assert not own.words and not own.memo and own.words.held == 0
+
+
+def test_memos_are_bounded_by_characters():
+    own = Memo(lambda some: [w.upper() for w in some], limit=1000, size=5000)
+    for k in range(200):
+        words = [f"{k}-{i}-" + "z" * 400 for i in range(5)]
+        own.learn(words)
+        assert all(own[w] == w.upper() for w in words)
+        assert sum(map(len, own)) <= 5000 and sum(map(len, own.old)) <= 5000
+
+
+def test_a_null_id_has_no_class_even_beside_a_copy(llm):
+    df = frame(llm, [{"doc_id": 5, "text": "one two three four"}, {"text": "one two three four"}, {"doc_id": 9, "text": "one two three four"}])
+    assert sorted(((r["id"] or 0), r["root"]) for r in neardup.near_duplicates(df, 3, 85).collect()) == [(0, None), (5, 5), (9, 5)]
+
+
+def test_quality_weights_do_not_hang_on_partitions(llm):
+    docs = llm.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    labels = llm.read.parquet(f"{SMALL}/labels.parquet").select("doc_id", "quality")
+    one, other = quality.fit(docs.coalesce(1), labels.coalesce(1)), quality.fit(docs.repartition(7), labels.repartition(5))
+    assert one["w"] == pytest.approx(other["w"], rel=1e-6) and one["threshold"] == pytest.approx(other["threshold"], rel=1e-6)
+
+
+def test_pipeline_stages_of_an_empty_table(llm):
+    docs = llm.read.parquet(f"{SMALL}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(llm, docs, SMALL)
+        assert docs.count() == 0, name
+    assert corpus_pipeline.STAGES[3][1](llm, docs, SMALL).count() == 0
 
 
 def test_both_agendas_agree():
