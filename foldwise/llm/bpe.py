@@ -99,24 +99,21 @@ def merge_many(symbols: np.ndarray, pairs: Pairs) -> list[tuple[np.ndarray, np.n
 
 
 class Memo(dict):
-    """What ``make`` gives for words, a list at a time. Kept for up to ``limit`` words and ``size`` characters of the
-    present and of the last generation, so that a worker's memory is bounded, however long the words are, and frequent
-    words stay."""
+    """What ``make`` gives for words, a list at a time. Kept for up to ``limit`` words of the present and of
+    the last generation, so that a worker's memory is bounded and frequent words stay."""
 
-    def __init__(self, make: Callable[[list], list], limit: int = 200_000, size: int = 8_000_000):
+    def __init__(self, make: Callable[[list], list], limit: int = 200_000):
         super().__init__()
-        self.make, self.limit, self.size, self.held, self.old = make, limit, size, 0, {}
+        self.make, self.limit, self.old = make, limit, {}
 
     def learn(self, words: Iterable) -> None:
         """Afterwards all of ``words`` are there."""
         asked = set(words)
         new = asked.difference(self)
-        fresh = sum(map(len, new))
-        if len(self) + len(new) > self.limit or self.held + fresh > self.size:
+        if len(self) + len(new) > self.limit:
             self.old = dict(self)
             self.clear()
-            new, self.held, fresh = asked, 0, sum(map(len, asked))
-        self.held += fresh
+            new = asked
         again = [w for w in new if w in self.old]
         self.update((w, self.old[w]) for w in again)
         unseen = list(new.difference(again))
@@ -125,7 +122,7 @@ class Memo(dict):
     def forget(self) -> None:
         """A worker outlives its task: what the next one does there needs the memory."""
         self.clear()
-        self.old, self.held = {}, 0
+        self.old = {}
 
 
 def merged_words(flat: np.ndarray, lengths: np.ndarray, pairs: Pairs, finish: Callable[[np.ndarray], list]) -> list:

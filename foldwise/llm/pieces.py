@@ -54,7 +54,7 @@ class Codec:
         for c, i in self.id_of.items():
             if len(c) == 1:
                 self.first[ord(c)] = i
-        self.memo, self.words = Memo(self.parts), Memo(self.spaced, limit=500_000)
+        self.memo, self.words = Memo(self.parts), Memo(self.spaced)
         self.shown = [b"" if lib.is_control(i) else b" \xe2\x81\x87 " if lib.is_unknown(i) else bytes([int(lib.id_to_piece(i)[1:-1], 16)]) if lib.is_byte(i) else lib.id_to_piece(i).replace(SPACE, " ").encode() for i in range(self.size)]
         self.bos, self.eos = (np.array([i], dtype="<u4").tobytes() for i in (lib.bos_id(), lib.eos_id()))
         self.control = {i for i in range(self.size) if lib.is_control(i)}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from foldwise.llm import chat, components, langid, lm, neardup, packing, pages, pieces, quality, queries, topk, vptree, words
-from foldwise.llm.bpe import Memo, merge, merged_words
+from foldwise.llm.bpe import merge, merged_words
 from tests.conftest import SMALL
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, ids string"
@@ -154,16 +154,7 @@ def test_texts_cut_at_spaces_encode_like_the_library():
     some = ["".join(rng.choice(parts, rng.integers(0, 9))) for _ in range(3000)] + [" ".join(rng.choice(parts, 6)) for _ in range(500)]
     assert len(own.checked(some, own.encode(some))) == 3500
     own.forget()
-    assert not own.words and not own.memo and own.words.held == 0
-
-
-def test_memos_are_bounded_by_characters():
-    own = Memo(lambda some: [w.upper() for w in some], limit=1000, size=5000)
-    for k in range(200):
-        words = [f"{k}-{i}-" + "z" * 400 for i in range(5)]
-        own.learn(words)
-        assert all(own[w] == w.upper() for w in words)
-        assert sum(map(len, own)) <= 5000 and sum(map(len, own.old)) <= 5000
+    assert not own.words and not own.memo
 
 
 def test_a_null_id_has_no_class_even_beside_a_copy(llm):
