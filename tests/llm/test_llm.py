@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -462,23 +463,101 @@ def test_language_model_counts_and_gain(llm):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def test_language_model_mixture_is_a_distribution(llm):
+class BruteMixture:
+    """Deleted interpolation by dictionaries of word tuples; weights from the same fit, events counted anew."""
+
+    def __init__(self, texts, train, deleted):
+        self.texts = {i: ["<", "<", *(t or "").lower().split(), ">"] for i, t in texts.items()}
+        train, deleted = {i for i in texts if train(i)}, {i for i in texts if train(i) and deleted(i)}
+        self.whole, self.rest = self.counts(train), self.counts(train - deleted)
+        self.vocabulary = {g[0] for g in self.whole if len(g) == 1} - {"<"}
+        seen = Counter()
+        for i in deleted:
+            for k in range(2, len(self.texts[i])):
+                bucket, *ps, p0 = self.estimates(self.rest, self.texts[i][k - 2 : k + 1])
+                seen[bucket, *(round(lm.GRID * math.log(p / p0)) + 500 if p else -1 for p in ps)] += 1
+        self.weights = lm.weights(pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["bucket", "triple", "pair", "word", "n"]))
+
+    def counts(self, ids):
+        out = Counter()
+        for i in ids:
+            t = self.texts[i]
+            out["<",], out["<", "<"] = out["<",] + 1, out["<", "<"] + 1
+            for k in range(2, len(t)):
+                out.update([tuple(t[k - 2 : k + 1]), ("pair", *t[k - 1 : k + 1]), tuple(t[k : k + 1])])
+        return Counter({(g[1:] if g[0] == "pair" and len(g) == 3 else g): n for g, n in out.items()})
+
+    def estimates(self, c, gram):
+        a, b, w = gram
+        n = sum(v for g, v in c.items() if len(g) == 1 and g != ("<",))
+        two, one = c[a, b], c[b,]
+        exact = lambda x: x if x <= 8 else min(63, 9 + math.floor(2 * math.log2(x / 9)))
+        return 64 + exact(two) if two else exact(one), c[a, b, w] / two if two else 0, c[b, w] / one if one else 0, c[w,] / max(n, 1), 1 / (len(self.vocabulary) + 1)
+
+    def p(self, gram):
+        bucket, *ps = self.estimates(self.whole, gram)
+        return float(np.dot(self.weights[bucket], ps))
+
+
+def lm_texts():
+    rng = np.random.default_rng(17)
+    words = [f"w{k}" for k in range(14)]
+    texts = {i: " ".join(rng.choice(words, rng.integers(0, 15))) for i in range(40)}
+    return texts | {50: None, 51: "", 52: "W1 w2 w3 " * 12, 53: "w1 w2 w3 " * 12, 54: "new words w1 only", 60: texts[3], 61: texts[3]}
+
+
+def test_language_model_score_is_the_brute_force_mixture(llm):
+    texts = lm_texts()
+    brute = BruteMixture(texts, lambda i: i % 5 != 0, lambda i: i % 5 == 1)
+    got = {r["id"]: r["score"] for r in lm.score(frame(llm, [{"doc_id": i, "text": t} for i, t in texts.items()]), F.col("doc_id") % 5 != 0, F.col("doc_id") % 5 == 1).collect()}
+    assert set(got) == set(texts)
+    for i, t in brute.texts.items():
+        assert got[i] == pytest.approx(sum(math.log10(brute.p(t[k - 2 : k + 1])) for k in range(2, len(t))), abs=1e-6)
+    for a, b in [("<", "<"), ("<", "w1"), ("w1", "w2"), ("w3", "nowhere"), ("nowhere", "w3"), ("w9", "w9"), ("new", "words")]:
+        assert sum(brute.p((a, b, w)) for w in [*brute.vocabulary, "unseen word"]) == pytest.approx(1)
+
+
+def test_language_model_exchange_by_levels(llm, monkeypatch):
+    def scored(df):
+        return sorted((r["id"], r["n_known"], round(r["score"], 9)) for r in lm.score(df, F.col("doc_id") % 5 != 0, F.col("doc_id") % 5 == 1).collect())
+
+    docs = frame(llm, [{"doc_id": i, "text": t} for i, t in lm_texts().items()]).repartition(6)
+    plain = scored(docs)
+    cells, keep = [], lm.kept
+
+    def counted(df, tag):
+        out = keep(df, tag)
+        cells.append((tag, out.count()))
+        return out
+
+    monkeypatch.setattr(lm, "FAN", 2)
+    monkeypatch.setattr(lm, "PART_TOKENS", 16)
+    monkeypatch.setattr(lm, "kept", counted)
+    assert scored(docs) == plain and [t for t, _ in cells].count("cells") >= 2
+
+    for bits, texts in ((5, 48), (6, 96)):  # twice the texts, blocks and parts: twice the bound, which no level passes
+        cells.clear()
+        df = frame(llm, [{"doc_id": i, "text": " ".join(f"x{i}y{k}" for k in range(20))} for i in range(texts)]).repartition(texts // 4)
+        blocks = lm.packed(df, F.lit(True), F.lit(False), "doc_id", "text")
+        _, types = lm.exchanged(lm.cells(blocks, 2, bits - 2), bits, 2)
+        assert types == 20 * texts + 1 and len(cells) == 2 * -(-bits // 2) - 1
+        assert max(n for _, n in cells) <= lm.KINDS << (bits + 2)
+
+
+def test_language_model_odd_texts(llm):
     texts = ["a b a c", "b a", "c", None, "a b"]
-    every = sorted({w for t in texts for w in (t or "").split()})
-    # one-word texts: begin -> w, w -> end; the shares of all words, the end and one unseen word make 1
-    probes = frame(llm, [{"doc_id": i, "text": t} for i, t in enumerate(texts)] + [{"doc_id": 100 + i, "text": f"a {w}"} for i, w in enumerate([*every, "unseen"])])
+    probes = frame(llm, [{"doc_id": i, "text": t} for i, t in enumerate(texts)] + [{"doc_id": 100 + i, "text": f"a {w}"} for i, w in enumerate(["a", "b", "c", "unseen"])])
     rows = {r["id"]: r for r in lm.score(probes, F.col("doc_id") < 100, F.col("doc_id") == 4).collect()}
     assert rows[3]["n_tokens"] == 1 and all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows.values())
     assert lm.score(probes.limit(0), F.lit(True), F.lit(False)).count() == 0
     none = lm.score(probes, F.lit(False), F.lit(False)).collect()
-    assert len(none) == len(rows) and {r["train_tokens"] for r in none} == {0}
+    assert len(none) == len(rows) and {(r["train_tokens"], r["score"]) for r in none} == {(0, 0.0)}
 
 
 def test_mixture_weights_are_those_of_the_events():
-    import pandas as pd
-
-    w = lm.weights(pd.DataFrame({"bucket": [3, 3], "pair": [540, -1], "word": [500, 500], "n": [90, 10]}))
-    assert np.allclose(w.sum(1), 1) and w[3, 0] > 0.85 and (w > 0).all()
+    w = lm.weights(pd.DataFrame({"bucket": [70, 70, 3], "triple": [540, -1, -1], "pair": [500, 500, 510], "word": [500, 500, 500], "n": [90, 10, 5]}))
+    assert np.allclose(w.sum(1), 1) and w[70, 0] > 0.85 and (w[64:] > 0).all()
+    assert (w[:64, 0] == 0).all() and (w[0, :2] == 0).all() and (w[1:64, 1:] > 0).all()
 
 
 def test_chat_round_trip(llm):
