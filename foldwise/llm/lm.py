@@ -19,8 +19,9 @@ each level a group of askers that share a hash range is merged into one, whose n
 bits; the answers come back the same way. Groups are as many as parts at every level, so the cells grow
 with the corpus and not with blocks times parts. Up to about 2**FAN million tokens there is one level.
 
-Words keep their whole hash. Of a pair's or triple's hash at least 40 bits are carried beside those that
-name the part; more text has more parts and so a longer hash. Two that collide share their counts.
+Of a word's hash at least 48 bits are carried beside those that name the part, of a pair's or triple's 40;
+more text has more parts and so a longer hash. Two that collide share their counts: V words of T tokens hold
+about V * V / (2**29 * T) such pairs, which is far below one for a corpus of any language.
 
 The fit goes to the driver as a histogram over (bucket, triple, pair and word estimate) on a fixed
 logarithmic grid, which is what bounds it.
@@ -46,7 +47,7 @@ from foldwise.llm.words import U, mix, text_bytes, word_hashes
 END, BEGIN = U(0x1B873593CC9E2D51), U(0x85EBCA6BE6546B64)
 BLOCK_BYTES, PART_TOKENS = 2 << 20, 1_000_000
 KINDS, FAN = 3, 10  # words, pairs, triples; bits by which one cut splits a hash range
-GRID, ROUNDS, PRIOR = 3.0, 60, 20.0
+GRID, ROUNDS, PRIOR = 2.0, 60, 20.0
 EXACT, SIDE = 8, 64  # counts with a bucket of their own; buckets of one kind of context
 ORDERS = ("triple", "pair", "word")
 FLOOR = 1e-6
@@ -66,7 +67,7 @@ def packed(docs: DataFrame, train: Column, deleted: Column, id_col: str, text_co
             n = np.diff(words) + 1
             t, d = (batch.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("train", "deleted"))
             name = int(np.random.default_rng().integers(1 << 62))
-            row = [name, batch.column("id").to_pylist(), t.tobytes(), d.tobytes(), ends.tobytes(), zstandard.compress(buf.tobytes(), 1), n.sum(), n[t].sum(), t.sum(), d.sum(), n[d].sum()]
+            row = [name, batch.column("id").to_pylist(), t.tobytes(), d.tobytes(), ends.tobytes(), zstandard.compress(buf.tobytes(), 3), n.sum(), n[t].sum(), t.sum(), d.sum(), n[d].sum()]
             kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4, *[pa.int64()] * 5]
             yield pa.RecordBatch.from_arrays([pa.array([v if isinstance(v, (list, bytes)) else int(v)], k) for v, k in zip(row, kinds, strict=True)], names=[x.split()[0] for x in schema.split(", ")])
 
@@ -75,18 +76,20 @@ def packed(docs: DataFrame, train: Column, deleted: Column, id_col: str, text_co
 
 
 def small(x: np.ndarray) -> bytes:
-    """Counts as compressed bytes, each as wide as the largest needs."""
-    return SQUEEZE.compress(x.astype(np.min_scalar_type(int(x.max(initial=0)))).tobytes())
+    """Counts as compressed bytes, each as wide as the largest needs: all low bytes, then all next ones, since
+    the high bytes of counts are mostly 0."""
+    x = x.astype(np.min_scalar_type(int(x.max(initial=0))))
+    return SQUEEZE.compress(x.view(np.uint8).reshape(len(x), -1).T.tobytes())
 
 
 def wide(raw: bytes, n: int) -> np.ndarray:
-    raw = EXPAND.decompress(raw)
-    return np.frombuffer(raw, dtype=f"<u{len(raw) // max(n, 1) or 1}").astype(np.uint64)
+    cut = np.frombuffer(EXPAND.decompress(raw), np.uint8).reshape(-1, n).T
+    return np.ascontiguousarray(cut).view(f"<u{cut.shape[1]}").reshape(-1).astype(np.uint64)
 
 
 def width(kind: int, left: int) -> int:
     """Bytes of a key in a cell whose range will be cut by ``left`` more bits."""
-    return 8 if kind == 0 else min(8, 5 + -(-left // 8))
+    return min(8, (6 if kind == 0 else 5) + -(-left // 8))
 
 
 def cut_keys(keys: np.ndarray, size: int) -> bytes:
