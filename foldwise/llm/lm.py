@@ -34,6 +34,8 @@ token is the unseen word with probability 1.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -119,7 +121,7 @@ def split(kind: int, owner: int, part: int, keys: np.ndarray, counts: tuple, ste
 class Block:
     """Tokens of a block's texts, and its distinct words, pairs and triples."""
 
-    def __init__(self, row: dict):
+    def __init__(self, row: dict, kinds: tuple = tuple(range(KINDS))):
         ends = np.frombuffer(row["ends"], dtype=np.int64)
         raw = zstandard.decompress(row["texts"], max_output_size=max(1, int(ends[-1])))
         texts = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(raw))
@@ -139,16 +141,18 @@ class Block:
         earlier[1:] = before[:-1]
         earlier[self.starts] = BEGIN
         self.doc = np.repeat(np.arange(len(self.n)), self.n)
-        grams = (tokens, mix(before * U(3) + tokens), mix(mix(earlier * U(3) + before) * U(5) + tokens))
-        self.keys, self.at = zip(*(np.unique(x, return_inverse=True) for x in grams), strict=True)
+        self.keys, self.at = {}, {}
+        for kind in kinds:
+            grams = (tokens, before * U(3) + tokens, mix(earlier * U(3) + before) * U(5) + tokens)[kind]
+            self.keys[kind], self.at[kind] = np.unique(mix(grams) if kind else grams, return_inverse=True)
 
     def counts(self, kind: int, which: np.ndarray) -> np.ndarray:
         return np.bincount(self.at[kind][which[self.doc]], minlength=len(self.keys[kind])).astype(np.uint32)
 
 
-def cells(blocks: DataFrame, step: int, left: int) -> DataFrame:
-    """For each block, kind (0: words, 1: pairs, 2: triples) and part (the first ``step`` bits of the
-    hash): keys, and their counts in training and in the deleted part."""
+def cells(blocks: DataFrame, kind: int, step: int, left: int) -> DataFrame:
+    """For each block and part (the first ``step`` bits of the hash): keys of a kind (0: words, 1: pairs,
+    2: triples), and their counts in training and in the deleted part."""
     kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
     names = [x.split()[0] for x in CELL.split(", ")]
 
@@ -156,11 +160,10 @@ def cells(blocks: DataFrame, step: int, left: int) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                own = Block(row)
-                for kind in range(KINDS):
-                    counts = own.counts(kind, own.train), own.counts(kind, own.deleted)
-                    if out := split(kind, row["block"], 0, own.keys[kind], counts, step, left):
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+                own = Block(row, (kind,))
+                counts = own.counts(kind, own.train), own.counts(kind, own.deleted)
+                if out := split(kind, row["block"], 0, own.keys[kind], counts, step, left):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
     return blocks.select("block", "ends", "texts", "train", "deleted").mapInArrow(run, CELL)
 
@@ -302,7 +305,9 @@ def score(docs: DataFrame, train: Column, deleted: Column, id_col: str = "doc_id
     sums = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "trained", "n_train", "n_deleted", "t_deleted")]).first()
     bits = max(4, int(np.ceil(np.log2(max(1, sums["tokens"] / PART_TOKENS)))))
     step = min(FAN, bits)
-    answers, types = exchanged(cells(blocks, step, bits - step), bits, step)
+    # one kind after the other: the shuffle files of one are gone before the next writes its own
+    (words, types), *longer = (exchanged(cells(blocks, kind, step, bits - step), bits, step) for kind in range(KINDS))
+    answers = reduce(DataFrame.unionByName, [found for found, _ in longer], words)
     facts = {"tokens": sums["trained"], "texts": sums["n_train"], "deleted_tokens": sums["t_deleted"], "deleted_texts": sums["n_deleted"], "types": types}
     left = blocks.select("block", "ids", "train", "deleted", "ends", "texts")
     right = answers.select(F.col("owner").alias("block"), "kind", "part", "n", "total", "deleted")

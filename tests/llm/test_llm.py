@@ -521,7 +521,7 @@ def test_language_model_exchange_by_levels(llm, monkeypatch):
     def scored(df):
         return sorted((r["id"], r["n_known"], round(r["score"], 9)) for r in lm.score(df, F.col("doc_id") % 5 != 0, F.col("doc_id") % 5 == 1).collect())
 
-    docs = frame(llm, [{"doc_id": i, "text": t} for i, t in lm_texts().items()]).repartition(6)
+    docs = frame(llm, [{"doc_id": i, "text": t} for i, t in lm_texts().items()]).repartition(3)
     plain = scored(docs)
     cells, keep = [], lm.kept
 
@@ -539,9 +539,9 @@ def test_language_model_exchange_by_levels(llm, monkeypatch):
         cells.clear()
         df = frame(llm, [{"doc_id": i, "text": " ".join(f"x{i}y{k}" for k in range(20))} for i in range(texts)]).repartition(texts // 4)
         blocks = lm.packed(df, F.lit(True), F.lit(False), "doc_id", "text")
-        _, types = lm.exchanged(lm.cells(blocks, 2, bits - 2), bits, 2)
+        _, types = lm.exchanged(lm.cells(blocks, 0, 2, bits - 2), bits, 2)
         assert types == 20 * texts + 1 and len(cells) == 2 * -(-bits // 2) - 1
-        assert max(n for _, n in cells) <= lm.KINDS << (bits + 2)
+        assert max(n for _, n in cells) <= 1 << (bits + 2)
 
 
 def test_language_model_odd_texts(llm):
