@@ -13,7 +13,7 @@ ROWS_ONLY: set[str] = set()
 
 MODULES = (
     "q_child", "q_clean", "q_encode", "q_features", "q_stats", "q_split",
-    "q_quantile", "q_metrics", "q_scoring", "q_models", "q_flows", "q_knn", "q_pipelines",
+    "q_quantile", "q_metrics", "q_scoring", "q_models", "q_flows", "q_knn", "q_pipelines", "q_sparse",
 )
 
 
