@@ -6,6 +6,9 @@ is observed and predicts the rows where it is missing; later columns see the ear
 The driver loops over columns only; each step is a Spark ML job and its output is written to
 the shared checkpoint folder to cut lineage. Columns without a model (nothing missing, or nothing
 observed, at fit) fall back to the fitted mean / mode at transform.
+
+With ``oob_key`` the forests are bagged by a hash of that key (``forest.py``), and the state holds each column's
+out-of-bag score: the accuracy of a category, 1 - squared error / variance of a number.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foldwise.operators import forest as FO
 from foldwise.operators.clean import fit_means, mode_value
 from foldwise.session import cut_lineage
 
@@ -29,6 +33,7 @@ class MissForestState:
     means: dict
     modes: dict
     models: dict = field(default_factory=dict)  # column -> (predictor pipeline, model, decoder)
+    oob: dict = field(default_factory=dict)  # column -> out-of-bag score, with bagged forests only
 
 
 def _features(df, cat_cols, num_cols, target, means, modes, extra):
@@ -41,7 +46,7 @@ def _features(df, cat_cols, num_cols, target, means, modes, extra):
 
 
 def fit_transform_missforest(df: DataFrame, cat_cols: list[str], num_cols: list[str], extra: list[str] = (),
-                             num_trees: int = 20, max_depth: int = 8, seed: int = 42) -> tuple[DataFrame, MissForestState]:
+                             num_trees: int = 20, max_depth: int = 8, seed: int = 42, oob_key: str | None = None) -> tuple[DataFrame, MissForestState]:
     extra = list(extra)
     counts = df.agg(F.count(F.lit(1)).alias("_all"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cat_cols + num_cols]).first()
     order = sorted([c for c in cat_cols + num_cols if 0 < counts[c] < counts["_all"]], key=lambda c: (counts[c], c))
@@ -57,13 +62,20 @@ def fit_transform_missforest(df: DataFrame, cat_cols: list[str], num_cols: list[
         observed = feats.where(F.col(target).isNotNull())
         if target in cat_cols:
             label_ix = StringIndexer(inputCol=target, outputCol="_y", handleInvalid="skip").fit(observed)
-            model = RandomForestClassifier(featuresCol="_x", labelCol="_y", numTrees=num_trees, maxDepth=max_depth,
-                                           seed=seed, predictionCol="_pred").fit(label_ix.transform(observed))
             decoder = IndexToString(inputCol="_pred", outputCol="_fill", labels=label_ix.labels)
-        else:
+            observed = label_ix.transform(observed)
+            if not oob_key:
+                model = RandomForestClassifier(featuresCol="_x", labelCol="_y", numTrees=num_trees, maxDepth=max_depth,
+                                               seed=seed, predictionCol="_pred").fit(observed)
+        elif not oob_key:
             model = RandomForestRegressor(featuresCol="_x", labelCol=target, numTrees=num_trees, maxDepth=max_depth,
                                           seed=seed, predictionCol="_pred").fit(observed)
+        if target in num_cols:
             decoder = None
+        if oob_key:
+            y, n = ("_y", len(label_ix.labels)) if target in cat_cols else (target, 0)
+            model = FO.fit_bagged(observed, oob_key, "_x", y, n, num_trees, max_depth, seed)
+            st.oob[target] = FO.oob_score(observed, model, oob_key, "_x", y)
         st.models[target] = (prep, model, decoder)
         # the forest scores the rows that miss the column; the others are taken over as they are
         filled = _predicted(feats.where(F.col(target).isNull()), model, decoder)
@@ -86,7 +98,7 @@ def _predictors(numeric: list[str], cats: list[str]) -> Pipeline:
 
 
 def _predicted(feats: DataFrame, model, decoder) -> DataFrame:
-    pred = model.transform(feats)
+    pred = FO.predict(feats, model, "_x", "_pred") if isinstance(model, FO.BaggedForest) else model.transform(feats)
     return decoder.transform(pred) if decoder else pred.withColumn("_fill", F.col("_pred"))
 
 

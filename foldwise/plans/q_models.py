@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from foldwise.functions.hashing import uniform_sql
+from foldwise.functions.hashing import poisson_weight_sql, uniform_sql
 from foldwise.operators import boost as BO
 from foldwise.operators import encode as E
+from foldwise.operators import forest as FO
 from foldwise.operators import impute as I
 from foldwise.operators import metrics as M
 from foldwise.operators import models as ML
+from foldwise.operators import search as SE
 from foldwise.operators import split as SP
 from foldwise.plans.bindings import ENTITY_SQL, entity, round_doubles
 from foldwise.plans.registry import query
@@ -106,6 +108,54 @@ def q_random_search(spark, d):
     return ML.random_search(mf, "ID", FEATURES, "target", "kfold", 3, "logreg", space, n_trials=10, fixed={"maxIter": 30})
 
 
+SEARCH_FAMILIES = {
+    "logreg": [ML.Space("regParam", 1e-4, 1.0, log=True), ML.Space("elasticNetParam", 0.0, 1.0)],
+    "rf": [ML.Space("maxDepth", 2, 6, integer=True), ML.Space("numTrees", 5, 20, integer=True), SE.Choice("impurity", ["gini", "entropy"])],
+    "gbt": [ML.Space("maxDepth", 2, 4, integer=True), ML.Space("maxIter", 3, 10, integer=True), ML.Space("stepSize", 0.01, 0.3, log=True)],
+}
+
+
+@query(
+    "guided_search",
+    sql="""SELECT CAST(t AS INTEGER) AS trial, (SELECT count(*) FROM orders) AS n_scored, 3 AS n_folds, true AS mean_of_folds, true AS in_space
+  FROM range(10) r(t)""",
+)
+def q_guided_search(spark, d):
+    """Ten trials over three families; of the trial table, what does not hang on the models."""
+    found = SE.search_models(model_frame(spark, d, k=3), "ID", FEATURES, "target", "kfold", 3, SEARCH_FAMILIES, n_trials=10,
+                             fixed={"logreg": {"maxIter": 30}})
+    mean = sum((F.col("scores")[f] for f in range(3)), F.lit(0.0)) / 3
+    inside = F.lit(False)
+    for family, dims in SEARCH_FAMILIES.items():
+        ok = F.col("family") == family
+        for s in dims:
+            x = F.get_json_object("params", f"$.{s.name}")
+            ok &= x.isin(s.options) if isinstance(s, SE.Choice) else x.cast("double").between(s.low, s.high)
+        inside |= ok
+    return found.select(
+        "trial", (F.col("rows")[0] + F.col("rows")[1] + F.col("rows")[2]).alias("n_scored"), F.size("scores").alias("n_folds"),
+        (F.abs(mean - F.col("score_mean")) < 1e-9).alias("mean_of_folds"), inside.alias("in_space"),
+    )
+
+
+BAGS = 10
+
+
+@query(
+    "forest_oob",
+    sql=f"""SELECT ID, CAST({' + '.join(f"CAST({poisson_weight_sql(uniform_sql('ID', str(b), seed=42), 1.0)} = 0 AS INTEGER)" for b in range(BAGS))} AS INTEGER) AS out_trees,
+  {' OR '.join(f"{poisson_weight_sql(uniform_sql('ID', str(b), seed=42), 1.0)} = 0" for b in range(BAGS))} AS predicted,
+  3 AS n_classes FROM {ENTITY_SQL}""",
+)
+def q_forest_oob(spark, d):
+    """Out-of-bag predictions of a forest over three classes: which trees never saw a row, and that those alone answer."""
+    mf = ML.assemble(model_frame(spark, d, k=3, stratify="y"), FEATURES)
+    state = FO.fit_bagged(mf, "ID", "features", "y", 3, bags=BAGS, max_depth=5)
+    out = FO.oob_predictions(mf, state, "ID", "features")
+    return out.select("ID", "out_trees", F.col("oob").isNotNull().alias("predicted"),
+                      F.coalesce(F.size("oob"), F.lit(3)).alias("n_classes"))
+
+
 @query("feature_importance")
 def q_importance(spark, d):
     mf = model_frame(spark, d)
