@@ -37,7 +37,7 @@ def test_every_query_has_sql_or_is_model_product():
     allowed = {
         "train_gbt_oof", "train_multiclass_oof", "train_rf", "train_logreg", "train_oof_metrics",
         "random_search", "feature_importance", "permutation_importance", "impute_missforest", "binary_oof_scores",
-        "binary_flow_submission",
+        "binary_flow_submission", "multiclass_flow_submission",
     }
     assert rows_only <= allowed, rows_only - allowed
 
