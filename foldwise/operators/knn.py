@@ -3,15 +3,17 @@ classifier (M6) and ADASYN oversampling (D10).
 
 ``nearest`` finds each query's k nearest donors by Euclidean distance, ties to the smaller donor id. Donors are
 dealt to the cell of their nearest pivot; a cell's radius and its k smallest distances to the pivot are the only
-statistics. A query first meets the donors of its own cell. Its k-th distance there, or the k-th smallest of
-(distance to a pivot + a donor's distance to that pivot), whichever is less, is a proven bound; the query then goes
-only to those other cells that can hold something nearer, by the triangle inequality and by the plane between two
-pivots. So the answer is exact, and how many cells a query visits depends on the data: in many
-dimensions, where distances hardly differ, it may be most of them.
-
-Cells of many donors or queries are cut into blocks by a hash of the id, and each two blocks meet in a task of their
-own, which returns k rows a query: no pairs are emitted, nothing is capped, and a hot cell is many tasks. The
-driver holds at most ``PIVOTS`` pivots and as many cell statistics for each space.
+statistics. Small cells are put together into groups of up to ``BLOCK_ROWS`` donors. A query first meets the donors
+of its own cell's group. Its k-th distance there, or the k-th smallest of (distance to a pivot + a donor's distance to
+that pivot), whichever is less, is a proven bound; the query then goes only to those other groups with a cell that can
+hold something nearer, by the triangle inequality and by the plane between two pivots. So the answer is exact, and
+how many groups a query visits depends on the data: in many dimensions, where distances hardly differ, it may be most
+of them, and the pairs then grow with the square of the rows, at one matrix product's price each.
+
+Groups of many donors or queries are cut into blocks by a hash of the id, and each two blocks meet in a task of their
+own, which returns k rows a query at most: no pairs are emitted, nothing is capped, and a hot cell is many tasks. In a
+task donors and queries lie in order of one coordinate, and only those strips of donors are looked at that the bounds
+reach. The driver holds at most ``PIVOTS`` pivots and as many cell statistics for each space.
 
 Rows only meet inside their ``space`` (a null pattern, a fold, a class). Rows whose vector is null or holds a null or
 non-finite component take no part.
@@ -28,7 +30,8 @@ from foldwise.functions.hashing import uniform
 from foldwise.operators.ordering import with_global_rank
 from foldwise.session import cut_lineage
 
-PIVOTS, CELL_ROWS, BLOCK_ROWS, PAIRS = 1024, 1024, 8192, 2_000_000
+PIVOTS, CELL_ROWS, BLOCK_ROWS, PAIRS = 1024, 1024, 16384, 2_000_000
+STRIPS = (256, 1024), (512, 4096)  # queries and donors looked at together, in few (8 at most) and in many dimensions
 
 
 def vector(cols: list) -> Column:
@@ -84,91 +87,190 @@ def _celled(donors: DataFrame, pivots: dict, shape: str) -> DataFrame:
 
 
 def _statistics(celled: DataFrame, k: int) -> dict:
-    """{space: (radius of each cell, its k smallest distances)}: a few numbers for each pivot."""
+    """{space: (radius of each cell, its k smallest distances, its rows)}: a few numbers for each pivot."""
     by = Window.partitionBy("space", "cell").orderBy("r")
-    radius = celled.groupBy("space", "cell").agg(F.max("r").alias("radius")).collect()
+    cells = celled.groupBy("space", "cell").agg(F.max("r").alias("radius"), F.count(F.lit(1)).alias("n")).collect()
     low = celled.select("space", "cell", "r", F.row_number().over(by).alias("_at")).where(F.col("_at") <= k).collect()
-    out: dict[str, tuple[dict, dict]] = {}
-    for x in radius:
-        out.setdefault(x["space"], ({}, {}))[0][x["cell"]] = x["radius"]
+    out: dict[str, tuple[dict, dict, dict]] = {}
+    for x in cells:
+        own = out.setdefault(x["space"], ({}, {}, {}))
+        own[0][x["cell"]], own[2][x["cell"]] = x["radius"], x["n"]
     for x in low:
         out[x["space"]][1].setdefault(x["cell"], []).append(x["r"])
     return out
 
 
-def _reach(space: str, x: np.ndarray, pivots: dict, stats: dict, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each query: its own cell, a bound of its k-th distance, and the least distance of a donor in each cell."""
-    centres, (radius, low) = pivots[space], stats[space]
-    cells = np.array(sorted(radius))
-    away = np.sqrt(_squares(x, centres[cells]))
-    own = away.argmin(axis=1)
-    sums = np.concatenate([away[:, [i]] + np.sort(low[c])[None, :] for i, c in enumerate(cells)], axis=1)
-    bound = np.partition(sums, k - 1, axis=1)[:, k - 1] if sums.shape[1] >= k else np.full(len(x), np.inf)
-    apart = np.sqrt(_squares(centres[cells], centres[cells]))[own]
-    nearest = away[np.arange(len(x)), own][:, None]
-    with np.errstate(invalid="ignore", divide="ignore"):
-        plane = np.where(apart > 1e-6 * away, (away - nearest) * (away + nearest) / (2 * apart), 0.0)
-    least = np.maximum(away - np.array([radius[c] for c in cells])[None, :], plane) - 1e-9 * away  # rounding never hides a donor
-    every = np.full((len(x), len(centres)), np.inf)
-    every[:, cells] = least
-    return cells[own], bound, every
+def _groups(stats: dict) -> dict:
+    """{space: {cell: (group, blocks of the group)}}: cells next to each other, ``BLOCK_ROWS`` rows or one cell a group."""
+    out = {}
+    for space, (_, _, rows) in stats.items():
+        packs: list[list] = []
+        for cell in sorted(rows):
+            if not packs or packs[-1][1] + rows[cell] > BLOCK_ROWS:
+                packs.append([[], 0])
+            packs[-1][0].append(cell)
+            packs[-1][1] += rows[cell]
+        out[space] = {c: (g, -(-n // BLOCK_ROWS)) for g, (cells, n) in enumerate(packs) for c in cells}
+    return out
+
+
+class _Space:
+    """What queries need of a space: pivots, radii and distances between the pivots that have donors."""
+
+    def __init__(self, pivots: np.ndarray, stats: tuple, groups: dict, k: int):
+        radius, low, _ = stats
+        cells = sorted(radius)
+        self.k, self.centres, self.radius = k, pivots[cells], np.array([radius[c] for c in cells])
+        self.low = np.array([(sorted(low[c]) + [np.inf] * k)[:k] for c in cells])
+        self.apart = np.sqrt(_squares(self.centres, self.centres))
+        self.group = np.array([groups[c][0] for c in cells])  # does not fall from cell to cell
+        self.first = np.flatnonzero(np.diff(self.group, prepend=-1))
+
+    def reach(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each query: its own group, a bound of its k-th distance, and the least distance of a donor in each group."""
+        away, every = np.sqrt(_squares(x, self.centres)), np.arange(len(x))
+        own = away.argmin(axis=1)
+        few = min(self.k, away.shape[1])  # no cell is empty, so that these have k donors, if there are so many cells
+        near = np.argpartition(away, few - 1, axis=1)[:, :few]
+        sums = (np.take_along_axis(away, near, axis=1)[:, :, None] + self.low[near]).reshape(len(x), -1)
+        bound = np.partition(sums, self.k - 1, axis=1)[:, self.k - 1]
+        apart, nearest = self.apart[own], away[every, own][:, None]
+        with np.errstate(invalid="ignore", divide="ignore"):
+            plane = np.where(apart > 1e-6 * away, (away - nearest) * (away + nearest) / (2 * apart), 0.0)
+        least = np.maximum(away - self.radius[None, :], plane) - 1e-9 * away  # rounding never hides a donor
+        return self.group[own], bound, np.minimum.reduceat(least, self.first, axis=1)
 
 
 def _visits(queries: DataFrame, pivots: dict, stats: dict, k: int, first: bool) -> DataFrame:
-    """One row for each cell that a query goes to: its own cell, or the others within ``bound``."""
+    """One row for each group that a query goes to: its own, or the others within ``bound``."""
+    groups = _groups(stats)
 
     def run(batches):
+        spaces: dict[str, _Space] = {}
         for rows in batches:
             rows = rows.reset_index(drop=True)
             for space, at in rows.groupby("space").indices.items():
                 if space not in stats:
                     continue
-                step = max(1, PAIRS // (len(pivots[space]) * (k + 2)))
+                if space not in spaces:
+                    spaces[space] = _Space(pivots[space], stats[space], groups[space], k)
+                step = max(1, PAIRS // len(pivots[space]))
                 for lo in range(0, len(at), step):
                     part = rows.iloc[at[lo : lo + step]]
-                    own, bound, least = _reach(space, _matrix(part["x"]), pivots, stats, k)
+                    own, bound, least = spaces[space].reach(_matrix(part["x"]))
                     if first:
-                        yield part[["space", "id", "x"]].assign(cell=own, bound=bound)
+                        yield part[["space", "id", "x"]].assign(grp=own, bound=bound)
                         continue
-                    limit = np.minimum(bound, part["bound"].to_numpy()) * (1 + 1e-9) + 1e-300
-                    q, c = np.nonzero((least <= limit[:, None]) & (np.arange(least.shape[1])[None, :] != own[:, None]))
-                    yield part[["space", "id", "x"]].iloc[q].assign(cell=c, bound=0.0)
-
-    return queries.mapInPandas(run, "space string, id long, x array<double>, cell long, bound double")
-
-
-def _tiles(visits: DataFrame, donors: DataFrame, sizes: DataFrame, k: int, payload: str, itself: bool) -> DataFrame:
-    """The k nearest donors of each query in each block that it visits."""
-    asked = visits.groupBy("space", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("asked"))
-    both = sizes.join(asked, ["space", "cell"]).select("space", "cell", "blocks", "asked")
+                    bound = np.minimum(bound, part["bound"].to_numpy())
+                    limit = bound * (1 + 1e-9) + 1e-300
+                    q, g = np.nonzero((least <= limit[:, None]) & (np.arange(least.shape[1])[None, :] != own[:, None]))
+                    yield part[["space", "id", "x"]].iloc[q].assign(grp=g, bound=bound[q])
+
+    return queries.mapInPandas(run, "space string, id long, x array<double>, grp long, bound double")
+
+
+def _needed(points: np.ndarray, donor: np.ndarray, k: int) -> np.ndarray:
+    """Places of the donors but those that k + 1 others with the same vector and smaller ids stand before. ``donor`` is sorted."""
+    _, same = np.unique(points, axis=0, return_inverse=True)
+    same = same.ravel()
+    order = np.lexsort((donor, same))
+    new_vector = np.diff(same[order], prepend=-1) != 0
+    new_id = new_vector | (np.diff(donor[order], prepend=donor[order[0]]) != 0)
+    ids = np.cumsum(new_id)
+    before = ids - np.maximum.accumulate(np.where(new_vector, ids, 0))
+    return np.sort(order[before <= k])
+
+
+def _closest(x: np.ndarray, own: np.ndarray, limit: np.ndarray, points: np.ndarray, donor: np.ndarray, k: int, itself: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k nearest donors of each query among those within ``limit`` (a square): place of the query, place of the
+    donor, square. A matrix product, with a margin for its rounding, says which pairs are worth an exact square."""
+    dims, parts = points.shape[1], []
+    many, wide = STRIPS[dims > 8]
+    with np.errstate(over="ignore", invalid="ignore"):
+        axis = int(np.ptp(points, axis=0).argmax())
+        centre = points.mean(axis=0)
+        at_q, at_p = np.argsort(x[:, axis], kind="stable"), np.argsort(points[:, axis], kind="stable")
+        mid_q, mid_p = x - centre, (points - centre)[at_p]
+        if dims > 8 and max(np.abs(mid_q).max(), np.abs(mid_p).max()) < 1e12:
+            mid_q, mid_p = mid_q.astype(np.float32), mid_p.astype(np.float32)  # half the time, and a wider margin
+        sq_q, sq_p = (mid_q * mid_q).sum(axis=1), (mid_p * mid_p).sum(axis=1)
+    rounding = 4 * (dims + 16) * np.finfo(mid_q.dtype).eps
+    sound = float(sq_q.max()) < 1e300 and float(sq_p.max()) < 1e300  # else no product can be trusted, and each pair counts
+    line, points, donor = points[at_p, axis], points[at_p], donor[at_p]
+    starts = np.arange(0, len(points), wide)
+    low, high = line[starts], line[np.minimum(starts + wide, len(line)) - 1]
+    for lo in range(0, len(x), many):
+        rows = at_q[lo : lo + many]
+        xq, ids, lim = x[rows], own[rows], limit[rows].copy()
+        with np.errstate(over="ignore"):
+            gap = np.maximum(np.maximum(low - xq[-1, axis], xq[0, axis] - high), 0.0) ** 2
+        best = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
+        for c in np.argsort(gap, kind="stable"):
+            if gap[c] > lim.max() * (1 + 1e-9):
+                break
+            part = slice(starts[c], starts[c] + wide)
+            if sound:
+                about = mid_q[rows] @ mid_p[part].T
+                about *= -2.0
+                about += sq_p[part][None, :]
+                about += sq_q[rows][:, None]
+                margin = rounding * (np.sqrt(sq_q[rows].astype(np.float64)) + np.sqrt(float(sq_p[part].max()))) ** 2 + 1e-30
+                if np.isinf(lim).any() and about.shape[1] >= k:
+                    others = about if itself else np.where(ids[:, None] == donor[part][None, :], np.inf, about)
+                    lim = np.minimum(lim, np.partition(others, k - 1, axis=1)[:, k - 1] + margin)
+                edge = (lim + margin).astype(about.dtype) * about.dtype.type(1 + 1e-6)
+                r, p = np.divmod(np.flatnonzero(about <= edge[:, None]), about.shape[1])
+            else:
+                r, p = (i.ravel() for i in np.indices((len(rows), len(points[part]))))
+            p = p + starts[c]
+            if not itself:
+                other = ids[r] != donor[p]
+                r, p = r[other], p[other]
+            square = np.zeros(len(r))
+            with np.errstate(over="ignore"):
+                for i in range(dims):
+                    step = xq[r, i] - points[p, i]
+                    square += step * step
+            kept = (square <= lim[r]) & np.isfinite(square)
+            if not kept.any():
+                continue
+            r, p, square = (np.concatenate([a, b[kept]]) for a, b in zip(best, (r, p, square), strict=True))
+            order = np.lexsort((donor[p], square, r))
+            r, p, square = r[order], p[order], square[order]
+            place = np.arange(len(r)) - np.searchsorted(r, r)
+            top = place < k
+            best = r[top], p[top], square[top]
+            full = place == k - 1
+            lim[r[full]] = np.minimum(lim[r[full]], square[full])
+        parts.append((rows[best[0]], at_p[best[1]], best[2]))
+    return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
+
+
+def _tiles(visits: DataFrame, donors: DataFrame, k: int, payload: str, itself: bool) -> DataFrame:
+    """The k nearest donors, within its bound, of each query in each block that it visits."""
+    asked = visits.groupBy("space", "grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("asked"))
+    both = donors.groupBy("space", "grp").agg(F.max("blocks").alias("blocks")).join(asked, ["space", "grp"])
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     dealt = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
-    left = visits.join(both, ["space", "cell"]).withColumn("a", dealt("asked", 1)).withColumn("b", upto("blocks")).select("space", "cell", "a", "b", "id", "x")
-    right = donors.join(both, ["space", "cell"]).withColumn("b", dealt("blocks", 2)).withColumn("a", upto("asked"))
-    right = right.select("space", "cell", "a", "b", F.col("id").alias("donor"), F.col("x").alias("dx"), "payload")
+    left = visits.join(both, ["space", "grp"]).withColumn("a", dealt("asked", 1)).withColumn("b", upto("blocks")).select("space", "grp", "a", "b", "id", "x", "bound")
+    right = donors.drop("blocks").join(both, ["space", "grp"]).withColumn("b", dealt("blocks", 2)).withColumn("a", upto("asked"))
+    right = right.select("space", "grp", "a", "b", F.col("id").alias("donor"), F.col("x").alias("dx"), "payload")
     names = ["space", "id", "donor", "square", "payload"]
 
     def run(asking: pd.DataFrame, base: pd.DataFrame) -> pd.DataFrame:
         if not len(asking) or not len(base):
             return pd.DataFrame({n: [] for n in names})
-        base = base.sort_values("donor", kind="stable").reset_index(drop=True)
-        points, out = _matrix(base["dx"]), []
-        step = max(1, PAIRS // len(base))
-        for lo in range(0, len(asking), step):
-            part = asking.iloc[lo : lo + step]
-            away = _squares(_matrix(part["x"]), points)
-            if not itself:
-                away[part["id"].to_numpy()[:, None] == base["donor"].to_numpy()[None, :]] = np.inf
-            best = np.argsort(away, axis=1, kind="stable")[:, :k]
-            rows = np.repeat(np.arange(len(part)), best.shape[1])
-            found = best.ravel()
-            square = away[rows, found]
-            kept = np.isfinite(square)
-            own = base.iloc[found[kept]]
-            out.append(pd.DataFrame({"space": part["space"].to_numpy()[rows[kept]], "id": part["id"].to_numpy()[rows[kept]], "donor": own["donor"].to_numpy(), "square": square[kept], "payload": own["payload"].to_numpy()}))
-        return pd.concat(out, ignore_index=True)
-
-    key = ["space", "cell", "a", "b"]
+        base = base.sort_values("donor", kind="stable")
+        points = _matrix(base["dx"])
+        need = _needed(points, base["donor"].to_numpy(), k)
+        points, base = points[need], base.iloc[need]
+        with np.errstate(over="ignore"):
+            limit = (asking["bound"].to_numpy() * (1 + 1e-9) + 1e-150) ** 2
+        rows, found, square = _closest(_matrix(asking["x"]), asking["id"].to_numpy(), limit, points, base["donor"].to_numpy(), k, itself)
+        own, asker = base.iloc[found], asking.iloc[rows]
+        return pd.DataFrame({"space": asker["space"].to_numpy(), "id": asker["id"].to_numpy(), "donor": own["donor"].to_numpy(), "square": square, "payload": own["payload"].to_numpy()})
+
+    key = ["space", "grp", "a", "b"]
     return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(run, f"space string, id long, donor long, square double, payload {payload}")
 
 
@@ -185,13 +287,14 @@ def nearest(queries: DataFrame, donors: DataFrame, k: int, payload: str = "doubl
         return donors.join(queries.select("id"), "id").select("space", "id", F.col("id").alias("donor"), F.lit(0.0).alias("square"), "payload", F.lit(1).alias("rank")).limit(0)
     celled = cut_lineage(_celled(donors, pivots, shape))
     stats = _statistics(celled, k + 1)  # one of them may be the query itself
-    sizes = celled.groupBy("space", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+    named = [(space, cell, g, n) for space, cells in _groups(stats).items() for cell, (g, n) in cells.items()]
+    dealt = celled.join(F.broadcast(celled.sparkSession.createDataFrame(named, "space string, cell long, grp long, blocks int")), ["space", "cell"]).select("space", "grp", "blocks", "id", "x", "payload")
     asking = cut_lineage(_visits(queries, pivots, stats, k + 1, True))
     best = lambda rows: rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    near = cut_lineage(best(_tiles(asking, celled, sizes, k, payload, itself)))
+    near = cut_lineage(best(_tiles(asking, dealt, k, payload, itself)))
     reached = near.where(F.col("rank") == k).select("space", "id", F.sqrt("square").alias("kth"))
-    bounded = asking.drop("cell").join(reached, ["space", "id"], "left").withColumn("bound", F.least("bound", F.coalesce("kth", F.lit(float("inf"))))).drop("kth")
-    more = _tiles(cut_lineage(_visits(bounded, pivots, stats, k + 1, False)), celled, sizes, k, payload, itself)
+    bounded = asking.drop("grp").join(reached, ["space", "id"], "left").withColumn("bound", F.least("bound", F.coalesce("kth", F.lit(float("inf"))))).drop("kth")
+    more = _tiles(cut_lineage(_visits(bounded, pivots, stats, k + 1, False)), dealt, k, payload, itself)
     return best(near.drop("rank").unionByName(more))
 
 

@@ -112,3 +112,33 @@ def test_adasyn_counts_are_exact_whatever_the_partitions(spark, partitions):
     digest = sorted((r["id"], r["copy"], r["toward"], round(r["step"], 9)) for r in made)
     seen = test_adasyn_counts_are_exact_whatever_the_partitions.__dict__.setdefault("seen", digest)
     assert digest == seen
+
+
+def test_a_query_goes_to_groups_of_cells(spark, monkeypatch):
+    """In many dimensions nearly every cell is in reach; a query is still sent once to a group, not to each cell."""
+    monkeypatch.setattr(knn, "CELL_ROWS", 20)
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 250)
+    rng = np.random.default_rng(5)
+    donors = spark.createDataFrame([("s", i, p.tolist(), 0.0) for i, p in enumerate(rng.normal(size=(1000, 20)))], D)
+    pivots = knn._pivots(donors, 42)
+    stats = knn._statistics(knn._celled(donors, pivots, D), 4)
+    queries = donors.select("space", "id", "x")
+    more = knn._visits(knn._visits(queries, pivots, stats, 4, True), pivots, stats, 4, False).count()
+    assert len(pivots["s"]) == 50 and more <= 1000 * 8  # of 49 other cells
+
+
+@pytest.mark.parametrize(("dims", "scale"), [(2, 1.0), (20, 1.0), (20, 1e-9), (20, 1e20), (3, 1e200)])
+def test_closest_in_strips_equals_brute_force(monkeypatch, dims, scale):
+    monkeypatch.setattr(knn, "STRIPS", ((7, 13), (7, 13)))
+    rng = np.random.default_rng(dims)
+    points = rng.integers(0, 9, (300, dims)) * scale + 5 * scale  # copies and ties
+    ids = np.arange(300)
+    need = knn._needed(points, ids, 4)
+    rows, found, square = knn._closest(points[:90], ids[:90], np.full(90, np.inf), points[need], ids[need], 4, False)
+    with np.errstate(over="ignore"):
+        away = knn._squares(points[:90], points)
+    away[ids[:90], ids[:90]] = np.inf
+    for q in range(90):
+        best = [i for i in np.argsort(away[q], kind="stable")[:4] if np.isfinite(away[q, i])]
+        mine = np.flatnonzero(rows == q)
+        assert list(need[found[mine]]) == best and list(square[mine]) == list(away[q, best])
