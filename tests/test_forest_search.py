@@ -161,3 +161,44 @@ def test_models_of_several_families_are_searched_and_resumed(spark, tmp_path):
     assert max(r["score_mean"] for r in whole) > 0.8
     three = SE.search_models(df, "id", ["a", "b"], "y", "k", 2, {"gbt": [Space("maxIter", 1, 3, integer=True)]}, 1, n_classes=3).collect()
     assert three[0]["score_mean"] > 0.6 and json.loads(three[0]["params"])["maxIter"] in (1, 2, 3)
+
+
+def test_random_trials_run_together(spark):
+    """The start's trials wait for each other here, so they must run at the same time; the table is that of one at a time."""
+    import threading
+
+    together = threading.Barrier(5, timeout=30)
+
+    def waiting(family, params):
+        if len(started) < 5:
+            started.append(family)
+            together.wait()
+        return planted(family, params)
+
+    started, seen = [], []
+    found = SE.guided_search(waiting, FAMILIES, 12, 3, done=seen.append, at_once=5)
+    assert found == seen == SE.guided_search(planted, FAMILIES, 12, 3)
+
+
+def test_folds_are_fitted_together(spark, monkeypatch):
+    import threading
+
+    from foldwise.operators import models as ML
+
+    together, plain = threading.Barrier(3, timeout=60), ML.fit_predict
+
+    def waiting(*args):
+        together.wait()
+        return plain(*args)
+
+    monkeypatch.setattr(ML, "fit_predict", waiting)
+    df = rows(spark, 90).withColumnsRenamed({"x": "features"}).withColumns({"kfold": F.col("id") % 3, "b1": (F.col("a") > 0.5).cast("double")})
+    out, models = ML._oof_of(df, "id", "b1", "kfold", 3, "logreg", {"maxIter": 5})
+    assert len(models) == 3 and out.count() == 90
+
+
+def test_all_bag_weights_at_once(spark):
+    df = spark.range(50).withColumn("id", F.when(F.col("id") != 7, F.col("id")))
+    each = df.select(FO.bag_weights("id", 6, 5).alias("all"), F.array(*[FO.bag_weight("id", b, 5) for b in range(6)]).alias("one"),
+                     F.array(*[FO._left_out("id", b, 5) for b in range(6)]).alias("out")).collect()
+    assert all(r["all"] == r["one"] and r["out"] == [w == 0 for w in r["one"]] for r in each)
