@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwise.functions.hashing import uniform
+from foldwise.operators.lookup import local_table
 from foldwise.operators.ordering import with_global_rank
 from foldwise.session import cut_lineage
 
@@ -288,7 +289,7 @@ def nearest(queries: DataFrame, donors: DataFrame, k: int, payload: str = "doubl
     celled = cut_lineage(_celled(donors, pivots, shape))
     stats = _statistics(celled, k + 1)  # one of them may be the query itself
     named = [(space, cell, g, n) for space, cells in _groups(stats).items() for cell, (g, n) in cells.items()]
-    dealt = celled.join(F.broadcast(celled.sparkSession.createDataFrame(named, "space string, cell long, grp long, blocks int")), ["space", "cell"]).select("space", "grp", "blocks", "id", "x", "payload")
+    dealt = celled.join(F.broadcast(local_table(celled.sparkSession, named, "space string, cell long, grp long, blocks int")), ["space", "cell"]).select("space", "grp", "blocks", "id", "x", "payload")
     asking = cut_lineage(_visits(queries, pivots, stats, k + 1, True))
     best = lambda rows: rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     near = cut_lineage(best(_tiles(asking, dealt, k, payload, itself)))
