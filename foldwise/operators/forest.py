@@ -22,7 +22,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.functions.hashing import poisson_weight, uniform
+from foldwise.functions.hashing import poisson_thresholds, poisson_weight, uniform
 
 
 @dataclass
@@ -32,9 +32,23 @@ class BaggedForest:
     n_classes: int  # 0: regression
 
 
+def _draw(key: str, bag: int, seed: int) -> Column:
+    return uniform(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(bag), seed=seed)
+
+
 def bag_weight(key: str, bag: int, seed: int = 42) -> Column:
     """How often the row is in the bag."""
-    return poisson_weight(uniform(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(bag), seed=seed), 1.0)
+    return poisson_weight(_draw(key, bag, seed), 1.0)
+
+
+def bag_weights(key: str, bags: int, seed: int = 42) -> Column:
+    """The weights of all bags; each draw is hashed once, however many thresholds it is held against."""
+    return F.transform(F.array(*[_draw(key, b, seed) for b in range(bags)]), lambda u: poisson_weight(u, 1.0).cast("tinyint"))
+
+
+def _left_out(key: str, bag: int, seed: int) -> Column:
+    """Whether the row's weight is 0."""
+    return _draw(key, bag, seed) < F.lit(poisson_thresholds(1.0)[0])
 
 
 def _labelled(label: str) -> Column:
@@ -49,8 +63,8 @@ def fit_bagged(df: DataFrame, key: str, features: str, label: str, n_classes: in
     # a bag may lack the last class: the number of classes goes with the column
     known = {"metadata": {"ml_attr": {"type": "nominal", "num_vals": n_classes}}} if n_classes else {}
     y = F.col(label).cast("double").alias("_y", **known)
-    data = df.where(_labelled(label)).select(F.col(key).alias("_k"), F.col(features).alias("_v"), y).persist(StorageLevel.MEMORY_AND_DISK)
-    filled = data.agg(*[F.count_if(bag_weight("_k", b, seed) > 0).alias(f"b{b}") for b in range(bags)]).first()
+    data = df.where(_labelled(label)).select(F.col(features).alias("_v"), y, bag_weights(key, bags, seed).alias("_bags")).persist(StorageLevel.MEMORY_AND_DISK)
+    filled = data.agg(*[F.count_if(F.col("_bags")[b] > 0).alias(f"b{b}") for b in range(bags)]).first()
     if not any(filled):
         data.unpersist()
         raise ValueError("no labelled row is in any bag")
@@ -58,7 +72,7 @@ def fit_bagged(df: DataFrame, key: str, features: str, label: str, n_classes: in
     def grown(bag: int):
         if not filled[bag]:
             return None
-        own = data.withColumn("_w", bag_weight("_k", bag, seed).cast("double")).where("_w > 0")
+        own = data.select("_v", "_y", F.col("_bags")[bag].cast("double").alias("_w")).where("_w > 0")
         kind, subset = (RandomForestClassifier, "sqrt") if n_classes else (RandomForestRegressor, "all")
         return kind(featuresCol="_v", labelCol="_y", weightCol="_w", numTrees=1, bootstrap=False, subsamplingRate=1.0,
                     featureSubsetStrategy=subset, maxDepth=max_depth, seed=seed + bag).fit(own)
@@ -113,7 +127,7 @@ def oob_predictions(df: DataFrame, forest: BaggedForest, key: str, features: str
     """Adds ``out_trees`` (how many trees never saw the row's key) and ``out``: their mean class shares
     (array) or mean value, NULL where every tree saw it."""
     scored, cols = _answers(df, forest, features)
-    counts = {b: (bag_weight(key, b, forest.seed) == 0).cast("int") for b in cols}
+    counts = {b: _left_out(key, b, forest.seed).cast("int") for b in cols}
     scored = scored.withColumns({f"_out{b}": c for b, c in counts.items()})
     counts = {b: F.col(f"_out{b}") for b in cols}
     found = scored.withColumns({"out_trees": sum(counts.values(), F.lit(0)).cast("int"), out: _mean(cols, counts, forest.n_classes)})
