@@ -149,6 +149,21 @@ def norm_ppf(p: Column) -> Column:
     return _ppf(p, _ColOps)
 
 
+def ppf_point(p: Column) -> Column:
+    """Where ``norm_ppf_at`` takes its polynomials, for p in (0, 1)."""
+    tail = F.when(p < ACKLAM_P_LOW, p).when(p > 1.0 - ACKLAM_P_LOW, 1.0 - p)
+    return F.when(tail.isNull(), p - 0.5).otherwise(F.sqrt(F.log(tail) * -2.0))
+
+
+def norm_ppf_at(p: Column, q: Column) -> Column:
+    """``norm_ppf(p)`` from ``q``, which is ``ppf_point(p)``: the same operations, with the point worked out once."""
+    tail = _horner(ACKLAM_C, q, _ColOps) / (_horner(ACKLAM_D, q, _ColOps) * q + 1.0)
+    r = q * q
+    central = _horner(ACKLAM_A, r, _ColOps) * q / (_horner(ACKLAM_B, r, _ColOps) * r + 1.0)
+    sign = F.when(p > 0.5, F.lit(-1.0)).otherwise(F.lit(1.0))
+    return F.when((p < ACKLAM_P_LOW) | (p > 1.0 - ACKLAM_P_LOW), sign * tail).otherwise(central)
+
+
 def norm_cdf(x: Column) -> Column:
     return _cdf(x, _ColOps)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import string
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,11 +11,14 @@ from pyspark.sql import functions as F
 # Python's \W is Unicode-aware; Java's needs the (?U) flag to match it.
 _NON_WORD_JAVA = r"(?U)\W+"
 _NON_WORD_PY = re.compile(r"\W+")
+_PLAIN = f"_{string.ascii_letters}{string.digits}"
 
 
 def clean_category(c: Column) -> Column:
-    """Runs of non-word characters become one underscore; NULL stays NULL."""
-    return F.regexp_replace(c, _NON_WORD_JAVA, "_")
+    """Runs of non-word characters become one underscore; NULL stays NULL. Plain words are told by their characters,
+    without the regular expression."""
+    text = c.cast("string")
+    return F.when(F.translate(text, _PLAIN, "") == "", text).otherwise(F.regexp_replace(text, _NON_WORD_JAVA, "_"))
 
 
 def clean_name(name: str) -> str:

@@ -16,9 +16,13 @@ from foldwise.operators.lookup import collect_levels
 
 
 def fit_child_levels(child: DataFrame, cat_cols: list[str]) -> dict[str, list[str]]:
-    """Cleaned level list per category column, fixed at fit time (transform schema is static)."""
-    cleaned = child.select(*[clean_category(F.col(c)).alias(c) for c in cat_cols])
-    return collect_levels(cleaned, cat_cols)
+    """Cleaned level list per category column, fixed at fit time (transform schema is static). Only the distinct
+    texts are cleaned."""
+    if not cat_cols:
+        return {}
+    texts = child.select(F.inline(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v")) for c in cat_cols])))
+    texts = texts.where("v is not null").distinct()
+    return collect_levels(texts.select(*[F.when(F.col("k") == c, clean_category(F.col("v"))).alias(c) for c in cat_cols]), cat_cols)
 
 
 def sum_aggs(cols: list[str]) -> list[Column]:

@@ -17,7 +17,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.functions.normal import norm_cdf, norm_ppf, norm_ppf_py
+from foldwise.functions.normal import norm_cdf, norm_ppf_at, norm_ppf_py, ppf_point
 from foldwise.operators.lookup import local_table
 from foldwise.operators.stats import column_quantiles, number
 
@@ -149,41 +149,44 @@ def quantile_transform(df: DataFrame, st: QuantileState, cols: list[str], output
         n = len(d)
         # neighbours of each distinct quantile: at most n_quantiles rows, broadcast on m
         rows = [(m, d[m - 1], rlo[m - 1], rhi[m - 1], d[min(m, n - 1)], rlo[min(m, n - 1)]) for m in range(1, n + 1)]
-        lut = local_table(spark, rows, f"_m_{c} int, _d_{c} double, _lo_{c} double, _hi_{c} double, _dn_{c} double, _lon_{c} double")
+        lut = local_table(spark, rows, "m int, d double, lo double, hi double, dn double, lon double")
+        lut = lut.select(F.col("m").alias(f"_m_{c}"), F.struct("d", "lo", "hi", "dn", "lon").alias(f"_l_{c}"))
         out = out.join(F.broadcast(lut), F.col(f"_b_{c}").cast("int") == F.col(f"_m_{c}"), "left")
-    u_cols = {}
-    for c in cols:
-        d = distinct[c][0]
-        q0, qn, n = d[0], d[-1], len(d)
-        x = F.col(f"_n_{c}")
-        m = F.col(f"_b_{c}").cast("int")
-        dm, dn, lom, him, lon = (F.col(f"_{k}_{c}") for k in ("d", "dn", "lo", "hi", "lon"))
+
+    def share(s):
+        x, m, n, q0, qn, near = s["x"], s["m"], s["n"], s["q0"], s["qn"], s["near"]
         interp = (
             F.when(m <= 0, F.lit(0.0))
-            .when(m >= n, F.when(x == dm, (lom + him) / 2).otherwise(F.lit(1.0)))
-            .when(x == dm, (lom + him) / 2)
-            .otherwise(him + (x - dm) * (lon - him) / (dn - dm))
+            .when(m >= n, F.when(x == near["d"], (near["lo"] + near["hi"]) / 2).otherwise(F.lit(1.0)))
+            .when(x == near["d"], (near["lo"] + near["hi"]) / 2)
+            .otherwise(near["hi"] + (x - near["d"]) * (near["lon"] - near["hi"]) / (near["dn"] - near["d"]))
         )
         if output == "normal":
-            lower, upper = (x - F.lit(BOUNDS_THRESHOLD)) < F.lit(q0), (x + F.lit(BOUNDS_THRESHOLD)) > F.lit(qn)
+            lower, upper = (x - F.lit(BOUNDS_THRESHOLD)) < q0, (x + F.lit(BOUNDS_THRESHOLD)) > qn
         else:
-            lower, upper = x == F.lit(q0), x == F.lit(qn)
-        u_cols[f"_u_{c}"] = F.when(lower, F.lit(0.0)).when(upper, F.lit(1.0)).otherwise(interp)
-    # materialise u: the inverse-normal polynomial references it many times
-    out = out.withColumns(u_cols)
-    z_cols = {}
-    for c in cols:
-        u = F.col(f"_u_{c}")
-        if output == "normal":
-            z = F.when(u <= 0.0, F.lit(CLIP_MIN)).when(u >= 1.0, F.lit(CLIP_MAX)).otherwise(
-                F.least(F.greatest(norm_ppf(u), F.lit(CLIP_MIN)), F.lit(CLIP_MAX))
-            )
-        else:
-            z = u
-        z_cols[c + suffix] = F.when(F.col(f"_n_{c}").isNotNull(), z)
+            lower, upper = x == q0, x == qn
+        return F.when(x.isNotNull(), F.when(lower, F.lit(0.0)).when(upper, F.lit(1.0)).otherwise(interp))
+
+    def score(u):
+        z = F.transform(F.array(ppf_point(u)), lambda q: norm_ppf_at(u, q))[0]
+        z = F.when(u <= 0.0, F.lit(CLIP_MIN)).when(u >= 1.0, F.lit(CLIP_MAX)).otherwise(F.least(F.greatest(z, F.lit(CLIP_MIN)), F.lit(CLIP_MAX)))
+        return F.when(u.isNotNull(), z)
+
+    # one function over all columns: written out for each, the generated method soon has more than the 8,000 bytes
+    # of code up to which the JVM compiles a method, and the whole stage is interpreted
+    each = F.array(*[
+        F.struct(
+            F.col(f"_n_{c}").alias("x"), F.col(f"_b_{c}").cast("int").alias("m"), F.lit(len(distinct[c][0])).alias("n"),
+            F.lit(distinct[c][0][0]).alias("q0"), F.lit(distinct[c][0][-1]).alias("qn"), F.col(f"_l_{c}").alias("near"),
+        )
+        for c in cols
+    ])
+    shares = F.transform(each, share)
+    out = out.withColumn("_z", F.transform(shares, score) if output == "normal" else shares)
+    z_cols = {c + suffix: F.col("_z")[i] for i, c in enumerate(cols)}
     z_cols |= {c + suffix: F.col(c).cast("double") for c in asked if c not in cols}
-    helper = [f"_{k}_{c}" for c in cols for k in ("b", "n", "x", "u", "m", "d", "lo", "hi", "dn", "lon")]
-    return out.withColumns(z_cols).drop(*helper)
+    helper = [f"_{k}_{c}" for c in cols for k in ("b", "n", "x", "m", "l")]
+    return out.withColumns(z_cols).drop("_z", *helper)
 
 
 def quantile_inverse(df: DataFrame, st: QuantileState, cols: list[str], output: str = "normal", suffix: str = "",

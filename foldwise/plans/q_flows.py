@@ -29,7 +29,7 @@ from foldwise.plans import q_child, q_encode, q_quantile
 from foldwise.plans.bindings import ENTITY_SQL, child, entity, round_doubles
 from foldwise.plans.q_split import FOLDS_SQL
 from foldwise.plans.registry import query
-from foldwise.session import cut_lineage
+from foldwise.session import cut_lineage, stored
 
 BIN_CATS = ["o_orderpriority", "c_mktsegment", "n_name", "priority_m"]
 BETA = {"n_name": "n_name", "c_mktsegment": "c_mktsegment", "o_orderpriority": "o_orderpriority"}
@@ -174,9 +174,9 @@ DIR = {"n_name": "n_name", "Place": ["n_name", "c_mktsegment"]}
 
 def multiclass_features(spark, d):
     e = entity(spark, d, ["ID", "o_orderstatus", "o_orderpriority", "c_mktsegment", "n_name", "o_orderdate", *QCOLS])
-    e = attach(e, q_child.summary(spark, d), "ID")
+    own = e.columns
     e = e.withColumn("o_orderpriority", C.recode(F.col("o_orderpriority"), RECODE))
-    e = cut_lineage(e.withColumns(date_parts(F.col("o_orderdate"), "o_orderdate")))
+    e = stored(e.withColumns(date_parts(F.col("o_orderdate"), "o_orderdate")))  # no fit reads the summary: it is attached last
     # one exact-quantile sort gives both the transformer's quantiles and the outlier quartiles
     quartiles = {"probs": [0.25, 0.75]}
     qst, _ = Q.fit_quantiles(e, QCOLS, q_quantile.NQ, extra=quartiles)
@@ -188,6 +188,9 @@ def multiclass_features(spark, d):
     e = E.one_hot(e, E.collect_levels(e, ["c_mktsegment", "o_orderpriority"]))
     e = Q.quantile_transform(e, qst, QCOLS, "normal")
     e = SP.stratified_kfold(e, "y", "ID", 3, 42)
+    added = [c for c in e.columns if c not in own]
+    history = q_child.summary(spark, d)
+    e = attach(e, history, "ID").select(*own, *[c for c in history.columns if c != "ID"], *added)
     return _drop_text(e.drop("o_orderdate"))
 
 
