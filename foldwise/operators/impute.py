@@ -111,12 +111,16 @@ def transform_fallback(df: DataFrame, st: MissForestState, cat_cols: list[str],
 
 def transform_missforest(df: DataFrame, st: MissForestState, cat_cols: list[str], num_cols: list[str]) -> DataFrame:
     """Apply the fitted per-column forests to a new batch in the fitted order; a forest scores only the rows that
-    miss its column. Columns without a model use the mean / mode fallback. Stateless per row, so valid on a stream too."""
+    miss its column, in one pass over the batch (bagged forests read it twice). Columns without a model use the mean / mode fallback. Stateless per row, so valid on a stream too."""
     current = df
     for target in st.order:
         prep, model, decoder = st.models[target]
-        lacking = current.where(F.col(target).isNull())
+        lacking = current.where(F.col(target).isNull()) if isinstance(model, FO.BaggedForest) else current
         feats, _, _ = _features(lacking, cat_cols, num_cols, target, st.means, st.modes, [])
-        fill = _predicted(prep.transform(feats), model, decoder).withColumn(target, F.col("_fill")).select(*df.columns)
-        current = current.where(F.col(target).isNotNull()).unionByName(fill)
+        fill = _predicted(prep.transform(feats), model, decoder)
+        if lacking is current:  # the prediction stands inside the condition, so that it is made only where it counts
+            current = fill.withColumn(target, F.when(F.col(target).isNull(), F.col("_fill")).otherwise(F.col(target))).select(*df.columns)
+        else:
+            fill = fill.withColumn(target, F.col("_fill")).select(*df.columns)
+            current = current.where(F.col(target).isNotNull()).unionByName(fill)
     return transform_fallback(current, st, cat_cols, num_cols)

@@ -25,7 +25,7 @@ from foldwise.operators import encode as E
 from foldwise.operators import features as FT
 from foldwise.operators import impute as I
 from foldwise.operators import quantile as Q
-from foldwise.session import cut_lineage
+from foldwise.session import stored
 
 
 def drop_text(df: DataFrame, keep: list[str]) -> DataFrame:
@@ -167,26 +167,37 @@ def _summary(rows: DataFrame, c: TopupConfig, levels: dict) -> DataFrame:
     return CH.child_summary(typed, c.id_col, sum_cols=c.child_sums, levels=levels, num_cols=c.child_numbers)
 
 
-def fit_topup(train: DataFrame, history: DataFrame, c: TopupConfig) -> TopupState:
+def fit_history(own: DataFrame, history: DataFrame, c: TopupConfig) -> tuple[dict, DataFrame]:
+    """The category levels of the training rows' ``own`` history, and with them the summary of all of ``history``, one
+    row an id, stored: fit and any batch take their entities from it."""
+    levels = CH.fit_child_levels(own, c.child_categories)
+    return levels, stored(_summary(history, c, levels))
+
+
+def fit_topup(train: DataFrame, history: DataFrame, c: TopupConfig, summarised: tuple[dict, DataFrame] | None = None) -> TopupState:
+    """``summarised``: what ``fit_history`` gave for the training rows' ``history`` and a history that contains it."""
     x = _topup_dated(train, c)
     bounds = Q.fit_outlier_bounds(x, c.outliers)
     levels = C.fit_levels(x, c.categories)
     x = C.type_conversion(Q.outlier_flag(x, bounds), levels, category_cols=c.categories)
     x, forest = I.fit_transform_missforest(x, c.forest_categories, c.forest_numbers, num_trees=c.trees, max_depth=c.depth, seed=c.seed)
+    x = stored(x)  # read by every fit below, some columns each
     codes = E.fit_label_encoder(x, c.target)
     y = E.label_encode(x, c.target, codes, out="_y")
     dirichlet = E.fit_dirichlet(y, "_y", c.dirichlet, c.id_col, n_samples=c.samples, sample_size=c.share, seed=c.seed, mode="expected")
     dummies = E.collect_levels(x, c.dummies)
     quantiles, _ = Q.fit_quantiles(_loan(x, c), c.quantiles, c.n_quantiles)
-    child_levels = CH.fit_child_levels(history, c.child_categories)
-    summary = cut_lineage(_summary(history, c, child_levels))  # read by the sketch, the counts and the ranks
+    child_levels, summary = summarised or fit_history(history, history, c)
+    if summarised:
+        summary = summary.join(train.select(c.id_col), c.id_col, "left_semi").select(c.id_col, *c.child_quantiles)
     child_quantiles, _ = Q.fit_quantiles(summary, c.child_quantiles, c.child_n_quantiles)
     classes = [r[c.target] for r in codes.df.orderBy("code").collect()]  # one of each class
     return TopupState(c, bounds, levels, forest, codes, dirichlet, dummies, quantiles, child_levels, child_quantiles, classes)
 
 
-def apply_topup(batch: DataFrame, history: DataFrame, st: TopupState) -> DataFrame:
-    """The batch may lack the target; entities without history get missing child columns."""
+def apply_topup(batch: DataFrame, history: DataFrame, st: TopupState, summary: DataFrame | None = None) -> DataFrame:
+    """The batch may lack the target; entities without history get missing child columns. ``summary``: that of a history
+    that contains ``history``, by the state's levels, if it was made before."""
     c = st.config
     x = Q.outlier_flag(_topup_dated(batch, c), st.bounds)
     x = C.type_conversion(x, st.levels, category_cols=c.categories)
@@ -194,5 +205,6 @@ def apply_topup(batch: DataFrame, history: DataFrame, st: TopupState) -> DataFra
     x = E.dirichlet_transform(x, st.dirichlet, ("mean",))
     x = E.one_hot(x, st.dummies)
     x = Q.quantile_transform(_loan(x, c), st.quantiles, c.quantiles, "normal")
-    summary = Q.quantile_transform(_summary(history, c, st.child_levels), st.child_quantiles, c.child_quantiles, "normal")
-    return drop_text(CH.attach(x, summary, c.id_col), [c.id_col, c.target])
+    summary = _summary(history, c, st.child_levels) if summary is None else summary
+    x = Q.quantile_transform(CH.attach(x, summary, c.id_col), st.child_quantiles, c.child_quantiles, "normal")  # of the batch's entities only
+    return drop_text(x, [c.id_col, c.target])

@@ -19,7 +19,7 @@ from foldwise.plans.q_flows import _CUT
 from foldwise.plans.q_models import FEATURES, model_frame
 from foldwise.plans.registry import query
 from foldwise.functions.history import history_sum
-from foldwise.session import checkpoint_dir
+from foldwise.session import checkpoint_dir, stored
 from foldwise.sources.state import load_state, save_state
 
 NQ = q_quantile.NQ
@@ -179,18 +179,19 @@ def _history(spark, d):
 
 
 def _fit_topup(spark, d):
-    rows, history = _topup_rows(spark, d), _history(spark, d)
+    rows, history = stored(_topup_rows(spark, d)), _history(spark, d)
     train = rows.where(_cut())
     own = history.join(train.select("ID"), "ID", "left_semi")
-    return rows, history, train, own, P.fit_topup(train.drop("o_orderdate"), own, TOPUP)
+    levels, summary = P.fit_history(own, history, TOPUP)  # training and unseen rows share the history's table
+    return rows, history, train, own, summary, P.fit_topup(train.drop("o_orderdate"), own, TOPUP, (levels, summary))
 
 
 @query("topup_pipeline_unseen", sql=_topup_sql())
 def q_topup_unseen(spark, d):
-    rows, history, _, _, state = _fit_topup(spark, d)
+    rows, history, _, _, summary, state = _fit_topup(spark, d)
     state = reloaded(spark, state)
     unseen = rows.where(~_cut()).drop("o_orderdate", "o_orderpriority")
-    out = P.apply_topup(unseen, history.join(unseen.select("ID"), "ID", "left_semi"), state)
+    out = P.apply_topup(unseen, history.join(unseen.select("ID"), "ID", "left_semi"), state, summary)
     return round_doubles(out.withColumn("whole", F.col("balance").isNotNull()).drop("balance"))
 
 
@@ -198,15 +199,15 @@ def q_topup_unseen(spark, d):
 def q_multiclass_submission(spark, d):
     """The multi-class predict path: the pipeline fitted and saved, a forest for each fold, the unseen batch transformed by the
     reloaded state, scored by all fold models in one scan, the class decoded to its label."""
-    rows, history, train, own, state = _fit_topup(spark, d)
+    rows, history, train, own, summary, state = _fit_topup(spark, d)
     state = reloaded(spark, state)
-    feats = P.apply_topup(train.drop("o_orderdate"), own, state)
+    feats = stored(P.apply_topup(train.drop("o_orderdate"), own, state, summary))  # the folds' counts and the forests read it
     feats = SP.stratified_kfold(E.label_encode(feats, TOPUP.target, state.codes, out="y"), "y", "ID", 3, 42)
     cols = [c for c in feats.columns if c not in ("ID", TOPUP.target, "y", "kfold")]
     feats = feats.fillna(0.0, cols)
     _, fold_models = ML.train_oof(feats, "ID", cols, "y", "kfold", 3, "rf", {"numTrees": 10, "maxDepth": 5})
     unseen = rows.where(~_cut()).drop("o_orderdate", TOPUP.target)
-    batch = P.apply_topup(unseen, history.join(unseen.select("ID"), "ID", "left_semi"), state).fillna(0.0, cols)
+    batch = P.apply_topup(unseen, history.join(unseen.select("ID"), "ID", "left_semi"), state, summary).fillna(0.0, cols)
     scored = ML.score_with_folds(batch, fold_models, cols, len(state.classes))
     return E.label_decode(scored, "pred", state.codes, TOPUP.target, TOPUP.target).select("ID", TOPUP.target)
 

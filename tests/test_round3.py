@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from foldwise.functions.normal import norm_ppf, norm_ppf_at, ppf_point
 from foldwise.functions.text import clean_category
 from foldwise.operators import child as CH
+from foldwise.operators import impute as I
 from foldwise.operators import quantile as Q
 from foldwise.session import stored
 
@@ -55,3 +56,15 @@ def test_stored_keeps_rows_and_names(spark):
     out = stored(df.toDF("a", "b c", "A;"))
     assert out.columns == ["a", "b c", "A;"] and sorted(map(repr, out.collect())) == sorted(map(repr, df.toDF("a", "b c", "A;").collect()))
     assert "ReadSchema: struct<c0:bigint>" in out.select("a")._jdf.queryExecution().toString()
+
+
+def test_a_batch_is_read_once_by_all_forests(spark):
+    rows = [(i, None if i % 5 == 0 else "ab"[i % 2], None if i % 7 == 0 else float(i % 4), float(i)) for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, m string, v double, w double")
+    _, st = I.fit_transform_missforest(df, ["m"], ["v", "w"], num_trees=2, max_depth=3)
+    out = I.transform_missforest(df, st, ["m"], ["v", "w"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+    found = {r["id"]: r for r in out.collect()}
+    assert len(found) == 80 and all(r["m"] in ("a", "b") and r["v"] is not None for r in found.values())
+    assert all((m is None or found[i]["m"] == m) and (v is None or found[i]["v"] == v) for i, m, v, _ in rows)
