@@ -8,7 +8,7 @@ both sides of the merged symbol. Both give the same symbols.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -16,22 +16,55 @@ import numpy as np
 BITS = 21
 NONE = np.iinfo(np.int32).max
 LONG = 40
+FACTOR = 0x9E3779B97F4A7C15
 
 
 class Pairs:
-    """Pairs of symbols that merge: ``(left, right) -> (rank, merged)``."""
+    """Pairs of symbols that merge: ``(left, right) -> (rank, merged)``. ``find`` looks many pairs up in a
+    hash table without collisions: the keys of one bucket are shifted together to free places."""
 
     def __init__(self, entries: dict[tuple[int, int], tuple[int, int]]):
         self.of = entries
-        keys = np.array([a << BITS | b for a, b in entries], dtype=np.int64)
-        order = np.argsort(keys)
-        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
-        values = np.array([*entries.values()], dtype=np.int32).reshape(-1, 2)[order]
-        self.rank, self.merged = (np.append(values[:, k], NONE) for k in (0, 1))
+        keys = np.array([a << BITS | b for a, b in entries], dtype=np.uint64)
+        size = max(6, (4 * len(keys)).bit_length())  # bits of a place; four less tell the bucket
+        self.mask, self.high, self.low = np.uint64((1 << size) - 1), np.uint64(68 - size), np.uint64(68 - 2 * size)
+        factor = FACTOR
+        while (shift := self.placed(keys, factor)) is None:
+            factor = (factor * FACTOR + 2) % (1 << 64) | 1
+        self.factor, self.shift = np.uint64(factor), shift
+        at = self.places(keys)
+        self.keys = np.full(1 << size, np.iinfo(np.uint64).max)
+        self.rank, self.merged = (np.full(1 << size, NONE, np.int32) for _ in range(2))
+        self.keys[at] = keys
+        values = np.array([*entries.values()], dtype=np.int32).reshape(-1, 2)
+        self.rank[at], self.merged[at] = values[:, 0], values[:, 1]
+
+    def placed(self, keys: np.ndarray, factor: int) -> np.ndarray | None:
+        """The shift of each bucket; none if two keys of a bucket fall on one place."""
+        mixed = keys * np.uint64(factor)
+        bucket, home = mixed >> self.high, mixed >> self.low & self.mask
+        if len(np.unique(bucket << np.uint64(32) | home)) < len(keys):
+            return None
+        size = int(self.mask) + 1
+        shift, taken = np.zeros(size >> 4, np.uint64), bytearray(size)
+        order = np.argsort(bucket, kind="stable")
+        of, first = np.unique(bucket[order], return_index=True)
+        homes = np.split(home[order], first[1:])
+        for k in sorted(range(len(of)), key=lambda k: -len(homes[k])):
+            own = homes[k].tolist()
+            move = next(d for d in range(size) if not any(taken[h + d & size - 1] for h in own))
+            shift[of[k]] = move
+            for h in own:
+                taken[h + move & size - 1] = 1
+        return shift
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys * self.factor
+        return ((mixed >> self.low) + self.shift[mixed >> self.high] & self.mask).view(np.int64)
 
     def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        wanted = left.astype(np.int64) << BITS | right
-        at = np.searchsorted(self.keys, wanted)
+        wanted = left.astype(np.uint64) << np.uint64(BITS) | right.astype(np.uint64)
+        at = self.places(wanted)
         return np.where(self.keys[at] == wanted, self.rank[at], NONE), self.merged[at]
 
 
@@ -92,9 +125,9 @@ def merge_many(symbols: np.ndarray, pairs: Pairs) -> list[tuple[np.ndarray, np.n
         drop = np.ones(rank.shape, bool)
         drop[at, np.minimum(best, width - 2)] = False
         rank, merged = rank[drop].reshape(len(live), width - 2), merged[drop].reshape(len(live), width - 2)
-        for there, left in ((best < width - 2, best), (best > 0, best - 1)):
-            rows, left = at[there], left[there]
-            rank[rows, left], merged[rows, left] = pairs.find(symbols[rows, left], symbols[rows, left + 1])
+        after, before = best < width - 2, best > 0
+        rows, left = np.append(at[after], at[before]), np.append(best[after], best[before] - 1)
+        rank[rows, left], merged[rows, left] = pairs.find(symbols[rows, left], symbols[rows, left + 1])
     return out
 
 
@@ -125,17 +158,23 @@ class Memo(dict):
         self.old = {}
 
 
-def merged_words(flat: np.ndarray, lengths: np.ndarray, pairs: Pairs, finish: Callable[[np.ndarray], list]) -> list:
-    """Merge words given as symbols in a row; ``finish`` turns equally long rows of ids into values."""
+def merged_rows(flat: np.ndarray, lengths: np.ndarray, pairs: Pairs) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Merge words given as symbols in a row; gives (numbers of words, their equally long merged symbols)."""
     starts = np.cumsum(lengths) - lengths
-    out: list = [None] * len(lengths)
     for n in np.unique(lengths):
         which = np.flatnonzero(lengths == n)
         if n > LONG:
             for w in which:
-                out[w] = finish(np.array([merge(flat[starts[w] : starts[w] + n].tolist(), pairs)]))[0]
+                yield np.array([w]), np.array([merge(flat[starts[w] : starts[w] + n].tolist(), pairs)])
             continue
         for rows, ids in merge_many(flat[starts[which][:, None] + np.arange(n)], pairs):
-            for w, value in zip(which[rows], finish(ids), strict=True):
-                out[w] = value
+            yield which[rows], ids
+
+
+def merged_words(flat: np.ndarray, lengths: np.ndarray, pairs: Pairs, finish: Callable[[np.ndarray], list]) -> list:
+    """Merge words given as symbols in a row; ``finish`` turns equally long rows of ids into values."""
+    out: list = [None] * len(lengths)
+    for which, ids in merged_rows(flat, lengths, pairs):
+        for w, value in zip(which, finish(ids), strict=True):
+            out[w] = value
     return out

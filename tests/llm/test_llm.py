@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from foldwise.llm import chat, components, langid, lm, neardup, packing, pages, pieces, quality, queries, topk, vptree, words
-from foldwise.llm.bpe import merge, merged_words
+from foldwise.llm.bpe import NONE, Pairs, merge, merged_words
 from tests.conftest import SMALL
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, ids string"
@@ -157,6 +157,48 @@ def test_texts_of_odd_spaces_encode_like_the_library():
     own.check(some, ids, [own.decode(i) for i in ids])
 
 
+def test_many_texts_are_encoded_and_held_against_the_library_at_once(monkeypatch):
+    with open(queries.vocabulary("piece_bpe_32k.model"), "rb") as f:
+        own = pieces.Codec(f.read())
+    merged, asked = [], []
+    rows, library = pieces.merged_rows, own.library
+
+    class Library:
+        def __getattr__(self, name):
+            asked.append(name)
+            return getattr(library, name)
+
+    monkeypatch.setattr(pieces, "merged_rows", lambda flat, lengths, pairs: merged.append(len(lengths)) or rows(flat, lengths, pairs))
+    own.library = Library()
+    some = ["", "one two\ntwo", "\u2581two  \U00010400\u0bf5 one", "", "\n\n", " ", "a\r\nb\t" + "x" * 90] * 50
+    ids = own.encode(some)
+    decoded = own.decode_many(ids)
+    own.check(some, ids, decoded)
+    assert merged == [len({p for t in some if t for p in re.findall(r"\n| *[^ \n]+| +", " " + t.replace("\u2581", " "))})]
+    assert sorted(asked) == ["decode", "encode"]
+    assert decoded == [own.decode(i) for i in ids] == [library.decode(library.encode(t, add_bos=True, add_eos=True)) for t in some]
+    assert own.encode([]) == own.decode_many([]) == []
+
+
+def test_ids_that_show_no_text_decode_like_the_library():
+    with open(queries.vocabulary("piece_bpe_32k.model"), "rb") as f:
+        own = pieces.Codec(f.read())
+    rng = np.random.default_rng(3)
+    some = [[], [1], [1, 2], [0], [1, 0, 300], *(rng.integers(0, own.size, n).tolist() for n in range(1, 40)), *(rng.integers(0, 300, n).tolist() for n in range(1, 40))]
+    assert own.decode_many([np.array(i, dtype="<u4").tobytes() for i in some]) == [own.library.decode(i) for i in some]
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 5000])
+def test_pairs_are_found_as_in_the_dictionary(n):
+    rng = np.random.default_rng(n)
+    entries = {(a, b): (k, a + b) for k, (a, b) in enumerate(rng.integers(0, 1 << 20, (n, 2)).tolist())}
+    pairs = Pairs(entries)
+    left, right = np.vstack([np.array([*entries], dtype=np.int64).reshape(-1, 2), rng.integers(0, 300, (1000, 2))]).T
+    rank, merged = pairs.find(left, right)
+    for a, b, r, m in zip(left.tolist(), right.tolist(), rank.tolist(), merged.tolist(), strict=True):
+        assert (r, m) == entries[a, b] if (a, b) in entries else r == NONE
+
+
 def test_a_null_id_has_no_class_even_beside_a_copy(llm):
     df = frame(llm, [{"doc_id": 5, "text": "one two three four"}, {"text": "one two three four"}, {"doc_id": 9, "text": "one two three four"}])
     assert sorted(((r["id"] or 0), r["root"]) for r in neardup.near_duplicates(df, 3, 85).collect()) == [(0, None), (5, 5), (9, 5)]
