@@ -19,10 +19,10 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import reduce
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,7 +69,7 @@ def fit(labelled: DataFrame, per_language: int = 1500, words: int = 60_000, gram
     there = labelled.filter("lang is not null and text is not null")
     sizes = there.groupBy("lang").count().orderBy("lang").collect()
     if not sizes:
-        return {"langs": [], "grams": [([], np.zeros(0, int))] * (max(ORDERS) + 1), "table": np.zeros((0, 0), np.float32)}
+        return {"langs": [], "grams": [(pa.array([], pa.string()), np.zeros(0, int))] * (max(ORDERS) + 1), "table": np.zeros((0, 0), np.float32)}
     share = F.create_map(*chain.from_iterable((F.lit(r["lang"]), F.lit(min(1.0, per_language / r["count"]))) for r in sizes))
     part = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)
     counts = kept(counted(there.filter(part)), "grams")  # of the sample, so bounded
@@ -81,15 +81,16 @@ def fit(labelled: DataFrame, per_language: int = 1500, words: int = 60_000, gram
     for kind, total in sorted(totals.items()):
         shares = [F.col(f"l{i}") / F.lit(float(max(total[f"l{i}"], 1))) for i in range(len(langs))]
         top = F.array_max(F.array(*shares)).desc()
-        best.append(wide.filter(F.col("kind") == kind).orderBy(top, "gram").limit(words if kind == 0 else grams).toPandas())
-    found = pd.concat(best, ignore_index=True) if best else wide.toPandas()
-    table = np.zeros((len(found), len(langs)), np.float32)
+        best.append(wide.filter(F.col("kind") == kind).orderBy(top, "gram").limit(words if kind == 0 else grams))
+    # picked on the executors; the driver gets the kept rows only, as Arrow columns, and makes no object of a row
+    found = (kept(reduce(DataFrame.unionByName, best), "best") if best else wide).toArrow()
     kinds = found["kind"].to_numpy()
+    table = np.zeros((len(found), len(langs)), np.float32)
     for i in range(len(langs)):
         top = np.array([float(totals[k][f"l{i}"] + ALPHA * totals[k]["size"]) if k in totals else 1.0 for k in range(max(ORDERS) + 1)])
         table[:, i] = np.log((found[f"l{i}"].to_numpy() + ALPHA) / top[kinds])
-    grams = [found["gram"].where(kinds == k).dropna() for k in range(max(ORDERS) + 1)]
-    return {"langs": langs, "grams": [(g.tolist(), g.index.to_numpy()) for g in grams], "table": table}
+    rows = [np.flatnonzero(kinds == k) for k in range(max(ORDERS) + 1)]
+    return {"langs": langs, "grams": [(found["gram"].take(pa.array(r)).combine_chunks(), r) for r in rows], "table": table}
 
 
 class Scorer:
@@ -97,7 +98,7 @@ class Scorer:
 
     def __init__(self, model: dict, limit: int = 100_000):
         self.langs, self.base, self.limit = model["langs"], model["table"], limit
-        self.by_kind = [dict(zip(grams, rows.tolist(), strict=True)) for grams, rows in model["grams"]]
+        self.by_kind = [dict(zip(grams.to_pylist(), rows.tolist(), strict=True)) for grams, rows in model["grams"]]
         self.clear()
 
     def clear(self) -> None:

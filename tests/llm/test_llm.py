@@ -490,6 +490,45 @@ def brute_lm(texts, train):
     return {i: (len(t), sum(counts[w] > 0 for w in t), n, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in t)) for i, t in tokens.items()}
 
 
+def test_language_model_reaches_the_driver_as_kept_columns(llm, monkeypatch):
+    """Top words and n-grams are picked on the executors; the driver gets no row but the kept ones, as Arrow columns."""
+    frames, plans = type(llm.range(1)), []
+    arrow, collect = frames.toArrow, frames.collect
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return arrow(df)
+
+    def few(df):
+        rows = collect(df)
+        assert len(rows) <= 6
+        return rows
+
+    monkeypatch.setattr(frames, "toPandas", lambda df: pytest.fail("rows of the model as objects"))
+    monkeypatch.setattr(frames, "toArrow", seen)
+    monkeypatch.setattr(frames, "collect", few)
+    texts = [("de", "das haus und der hund"), ("de", "der baum"), ("en", "the house and the dog"), ("en", "the tree"), ("en", None), (None, "le chien")]
+    model = langid.fit(frame(llm, [{"doc_id": i, "lang": lang, "text": t} for i, (lang, t) in enumerate(texts)]), words=4, grams=7)
+    assert model["langs"] == ["de", "en"]
+    assert len(plans) == 1 and not re.search("Sort|Limit", plans[0])
+    at = {}
+    for kind in range(6):
+        counts = {lang: Counter(g for own, t in texts if own == lang for w in (t or "").split() for g in ([w] if kind == 0 else langid.ngrams(w, kind))) for lang in model["langs"]}
+        every = sorted(set().union(*counts.values()), key=lambda g: (-max(c[g] / c.total() for c in counts.values()), g))
+        grams, rows = model["grams"][kind]
+        assert isinstance(grams, pa.Array) and sorted(grams.to_pylist()) == sorted(every[: 7 if kind else 4])
+        for g, row in zip(grams.to_pylist(), rows, strict=True):
+            at[int(row)] = [math.log((c[g] + langid.ALPHA) / (c.total() + langid.ALPHA * len(every))) for c in counts.values()]
+    assert sorted(at) == list(range(len(model["table"])))
+    np.testing.assert_allclose(model["table"], [at[k] for k in range(len(at))], rtol=1e-6)
+
+
+def test_language_model_of_texts_without_letters(llm):
+    model = langid.fit(frame(llm, [{"doc_id": i, "lang": "en", "text": "12 3"} for i in range(2)]))
+    assert model["langs"] == ["en"] and model["table"].shape == (0, 1) and [len(g) for g, _ in model["grams"]] == [0] * 6
+    assert langid.Scorer(model).score(["one", "1"])[0] == ["en", "und"]
+
+
 def test_language_model_counts_and_gain(llm):
     docs = llm.read.parquet(f"{SMALL}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
