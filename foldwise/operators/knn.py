@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from foldwise.functions.hashing import uniform
 from foldwise.operators.lookup import local_table
 from foldwise.operators.ordering import with_global_rank
-from foldwise.session import cut_lineage
+from foldwise.session import cut_lineage, stored
 
-PIVOTS, CELL_ROWS, BLOCK_ROWS, PAIRS = 1024, 1024, 16384, 2_000_000
+PIVOTS, CELL_ROWS, BLOCK_ROWS, PAIRS = 1000, 1024, 16384, 2_000_000  # up to 1000 a space Spark picks before the shuffle, too
+NEAR_PAIRS = 65_536  # distances that stay in a core's cache
 STRIPS = (256, 1024), (512, 4096)  # queries and donors looked at together, in few (8 at most) and in many dimensions
 
 
@@ -79,9 +80,11 @@ def _celled(donors: DataFrame, pivots: dict, shape: str) -> DataFrame:
         for rows in batches:
             cell, r = np.zeros(len(rows), dtype=np.int64), np.zeros(len(rows))
             for space, at in rows.groupby("space").indices.items():
-                away = np.sqrt(_squares(_matrix(rows["x"].iloc[at]), pivots[space]))
-                cell[at] = away.argmin(axis=1)
-                r[at] = away[np.arange(len(at)), cell[at]]
+                x, step = _matrix(rows["x"].iloc[at]), max(1, NEAR_PAIRS // len(pivots[space]))
+                for lo in range(0, len(at), step):
+                    away, some = np.sqrt(_squares(x[lo : lo + step], pivots[space])), at[lo : lo + step]
+                    cell[some] = away.argmin(axis=1)
+                    r[some] = away[np.arange(len(some)), cell[some]]
             yield rows.assign(cell=cell, r=r)
 
     return donors.mapInPandas(run, f"{shape}, cell long, r double")
@@ -307,6 +310,43 @@ def weights(found: DataFrame, square: str = "square") -> DataFrame:
 
 # ---- I8: kNN imputer -------------------------------------------------------------------------------
 
+def _equal_rows(lack: DataFrame, have: DataFrame, cols: list[str], spaces: list[tuple], k: int, need: int) -> DataFrame:
+    """One row for each id of ``lack``: ``_open``, the bits of its missing columns that fewer than ``need`` donors at distance 0
+    settle, and ``_fill_`` of each other one: the mean of its ``k`` (or all, if fewer) such donors of the smallest ids.
+
+    Donors at distance 0 are equal in all common columns, so that a join by those finds them. Of the donors of one vector only
+    the ``k`` of the smallest ids can be wanted; they are picked before the shuffle, too."""
+    places = sorted({s[1:] for s in spaces})  # column to fill, common columns, columns of the donor
+    pick = lambda at: F.element_at(F.array(*[F.lit(p[at]) for p in places]), F.col("_place") + 1)
+    keys = [f"_key{i}" for i in range(len(cols))]
+
+    def side(rows: DataFrame, pairs: dict[int, set]) -> DataFrame:
+        table = F.create_map(*[y for has, at in sorted(pairs.items()) for y in (F.lit(has), F.array(*[F.lit(p) for p in sorted(at)]))])
+        out = rows.where(F.col("id").isNotNull() & F.col("has").isin(sorted(pairs))).withColumn("_place", F.explode(F.element_at(table, F.col("has"))))
+        shared = [pick(1).bitwiseAND(F.lit(1 << i)) != 0 for i in range(len(cols))]
+        out = out.withColumns({key: F.when(on, F.col(c)).otherwise(0.0) for key, on, c in zip(keys, shared, cols, strict=True)})
+        return out.where(" AND ".join(f"abs({key}) < double('infinity')" for key in keys))
+
+    asked, given = {}, {}
+    for q, *place in spaces:
+        at = places.index(tuple(place))
+        asked.setdefault(q, set()).add(at)
+        given.setdefault(place[2], set()).add(at)
+    value = F.element_at(F.array(*[F.col(c) for c in cols]), pick(0) + 1)
+    donors = side(have, given).select("_place", *keys, F.col("id").alias("donor"), value.alias("payload"))
+    order = Window.partitionBy("_place", *keys).orderBy("donor", "payload")
+    first = donors.withColumn("_at", F.row_number().over(order)).where(F.col("_at") <= k)
+    lists = first.groupBy("_place", *keys).agg(F.collect_list(F.struct("donor", "payload")).alias("near"))  # k at most
+    queries = side(lack, asked).select("id", "_place", pick(0).alias("_i"), *keys)
+    met = queries.join(lists, ["_place", *keys], "left")
+    near = met.groupBy("id").agg(*[F.max(F.col("_i") == i).alias(f"_ask{i}") for i in range(len(cols))],
+                                 *[F.flatten(F.collect_list(F.when(F.col("_i") == i, F.col("near")))).alias(f"_near{i}") for i in range(len(cols))])  # a list for each space
+    settled = [F.size(f"_near{i}") >= need for i in range(len(cols))]
+    total = lambda i: F.aggregate(F.slice(F.array_sort(f"_near{i}"), 1, k), F.lit(0.0), lambda a, d: a + d["payload"])
+    still = sum((F.when(F.col(f"_ask{i}") & ~settled[i], 1 << i).otherwise(0) for i in range(len(cols))), F.lit(0)).cast("long")
+    return near.select("id", still.alias("_open"), *[F.when(settled[i], total(i) / F.least(F.size(f"_near{i}"), F.lit(k))).alias(f"_fill_{c}") for i, c in enumerate(cols)])
+
+
 def impute_knn(df: DataFrame, id_col: str, cols: list[str], fitted: DataFrame | None = None, k: int = 5, weight: str = "distance") -> DataFrame:
     """Fills each missing number from the ``k`` rows of ``fitted`` (default: ``df``) that have it and are nearest.
 
@@ -315,43 +355,57 @@ def impute_knn(df: DataFrame, id_col: str, cols: list[str], fitted: DataFrame |
     the column's mean is taken; a column that ``fitted`` never has stays as it is. ``id_col`` must be unique and whole
     numbers. Each combination of present columns is a space of its own: there are at most 2^columns of them, and as a
     rule few; donors are copied once for each combination of missing columns that occurs.
+
+    Nothing is nearer than a donor at distance 0, and with "distance" such donors alone count. So a join finds those first, and
+    only what they leave open is searched for by ``nearest``.
     """
-    base = fitted if fitted is not None else df
+    names = [f"_col{i}" for i in range(len(cols))]
     clean = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
-    bits = lambda: sum((F.when(F.col(c).isNotNull(), 1 << i).otherwise(0) for i, c in enumerate(cols)), F.lit(0)).cast("long")
-    have = base.select(F.col(id_col).cast("long").alias("id"), *[v.alias(c) for c, v in clean.items()]).withColumn("has", bits())
-    lack = df.select(F.col(id_col).cast("long").alias("id"), *[v.alias(c) for c, v in clean.items()]).withColumn("has", bits())
+    bits = lambda: sum((F.when(F.col(c).isNotNull(), 1 << i).otherwise(0) for i, c in enumerate(names)), F.lit(0)).cast("long")
+    rows_of = lambda rows: stored(rows.select(F.col(id_col).cast("long").alias("id"), *[v.alias(n) for n, v in zip(names, clean.values(), strict=True)]).withColumn("has", bits()))
+    have = rows_of(df if fitted is None else fitted)
+    lack = have if fitted is None else rows_of(df)
     every = (1 << len(cols)) - 1
-    asked = [r["has"] for r in lack.where(F.col("has") != every).select("has").distinct().collect()]
-    given = [r["has"] for r in have.select("has").distinct().collect()]
+    seen = have.agg(F.collect_set("has").alias("has"), *[F.avg(n).alias(n) for n in names]).first()  # a few patterns
+    means, given = {c: seen[n] for c, n in zip(cols, names, strict=True)}, seen["has"]
+    asked = [q for q in (given if fitted is None else lack.agg(F.collect_set("has")).first()[0]) if q != every]
     spaces = [(q, i, q & g, g) for q in asked for i in range(len(cols)) if not q >> i & 1 for g in given if g >> i & 1 and q & g]
-    means = have.agg(*[F.avg(c).alias(c) for c in cols]).first()
     if not spaces:
         return df.withColumns({c: F.coalesce(clean[c], F.lit(means[c])) for c in cols})
 
     def side(rows: DataFrame, pairs: dict[int, list], extra) -> DataFrame:
-        table = F.create_map(*[y for has, names in pairs.items() for y in (F.lit(has), F.array(*[F.lit(n) for n in sorted(names)]))])
+        table = F.create_map(*[y for has, named in pairs.items() for y in (F.lit(has), F.array(*[F.lit(n) for n in sorted(named)]))])
         out = rows.where(F.col("has").isin(list(pairs))).withColumn("space", F.explode(F.element_at(table, F.col("has"))))
         parts = F.split("space", ":")
         out = out.withColumn("_i", parts[1].cast("int")).withColumn("_common", parts[2].cast("long"))
-        x = F.array_compact(F.array(*[F.when(F.col("_common").bitwiseAND(F.lit(1 << i)) != 0, F.col(c)) for i, c in enumerate(cols)]))
+        x = F.array_compact(F.array(*[F.when(F.col("_common").bitwiseAND(F.lit(1 << i)) != 0, F.col(c)) for i, c in enumerate(names)]))
         return out.select("space", "id", x.alias("x"), *extra)
 
     name = lambda s: f"{s[0]}:{s[1]}:{s[2]}"
-    queries = side(lack, {q: {name(s) for s in spaces if s[0] == q} for q in {s[0] for s in spaces}}, [])
-    value = F.element_at(F.array(*[F.col(c) for c in cols]), F.col("_i") + 1).alias("payload")
-    donors = side(have, {g: {name(s) for s in spaces if s[3] == g} for g in {s[3] for s in spaces}}, [value])
-    found = nearest(queries, donors, k, itself=True)  # a donor has what the query lacks: an equal id is another table's
-    target, common = F.split("space", ":")[1].cast("int"), F.split("space", ":")[2].cast("long")
-    found = found.select(target.cast("string").alias("space"), "id", "donor", "payload", (F.col("square") * len(cols) / F.bit_count(common)).alias("square"))
-    found = found.withColumn("_at", F.row_number().over(Window.partitionBy("space", "id").orderBy("square", "donor"))).where(F.col("_at") <= k)
-    found = weights(found) if weight == "distance" else found.withColumn("w", F.lit(1.0))
-    filled = found.groupBy("id").agg(*[
-        (F.sum(F.when(F.col("space") == str(i), F.col("w") * F.col("payload"))) / F.sum(F.when(F.col("space") == str(i), F.col("w")))).alias(f"_fill_{c}")
-        for i, c in enumerate(cols)
-    ])
-    out = df.join(filled.withColumnRenamed("id", "_knn_id"), F.col(id_col).cast("long") == F.col("_knn_id"), "left")
-    return out.withColumns({c: F.coalesce(clean[c], F.col(f"_fill_{c}"), F.lit(means[c])) for c in cols}).select(*df.columns)
+    filled = stored(_equal_rows(lack, have, names, spaces, k, 1 if weight == "distance" else k))
+    left = lack.join(filled.where(F.col("_open") != 0).select("id", "_open"), "id")
+    wanted = {(r["has"], i) for r in left.select("has", "_open").distinct().collect() for i in range(len(cols)) if r["_open"] >> i & 1}
+    fills = [F.col(f"_fill_{n}") for n in names]
+    spaces = [s for s in spaces if s[:2] in wanted]
+    if spaces:
+        queries = side(left, {q: {name(s) for s in spaces if s[0] == q} for q in {s[0] for s in spaces}}, ["_i", "_open"])
+        queries = queries.where(F.expr("shiftright(_open, _i) & 1") == 1).drop("_i", "_open")
+        value = F.element_at(F.array(*[F.col(c) for c in names]), F.col("_i") + 1).alias("payload")
+        donors = side(have, {g: {name(s) for s in spaces if s[3] == g} for g in {s[3] for s in spaces}}, [value])
+        found = nearest(queries, donors, k, itself=True)  # a donor has what the query lacks: an equal id is another table's
+        target, common = F.split("space", ":")[1].cast("int"), F.split("space", ":")[2].cast("long")
+        found = found.select(target.cast("string").alias("space"), "id", "donor", "payload", (F.col("square") * len(cols) / F.bit_count(common)).alias("square"))
+        found = found.withColumn("_at", F.row_number().over(Window.partitionBy("space", "id").orderBy("square", "donor"))).where(F.col("_at") <= k)
+        found = weights(found) if weight == "distance" else found.withColumn("w", F.lit(1.0))
+        rest = found.groupBy("id").agg(*[
+            (F.sum(F.when(F.col("space") == str(i), F.col("w") * F.col("payload"))) / F.sum(F.when(F.col("space") == str(i), F.col("w")))).alias(f"_rest_{n}")
+            for i, n in enumerate(names)
+        ])
+        filled = filled.join(rest, "id", "left")
+        fills = [F.coalesce(f"_fill_{n}", f"_rest_{n}") for n in names]
+    filled = filled.select(F.col("id").alias("_knn_id"), *[v.alias(f"_fill{i}") for i, v in enumerate(fills)])
+    out = df.join(filled, F.col(id_col).cast("long") == F.col("_knn_id"), "left")
+    return out.withColumns({c: F.coalesce(clean[c], F.col(f"_fill{i}"), F.lit(means[c])) for i, c in enumerate(cols)}).select(*df.columns)
 
 
 # ---- M6: kNN classifier ----------------------------------------------------------------------------

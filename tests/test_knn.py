@@ -142,3 +142,45 @@ def test_closest_in_strips_equals_brute_force(monkeypatch, dims, scale):
         best = [i for i in np.argsort(away[q], kind="stable")[:4] if np.isfinite(away[q, i])]
         mine = np.flatnonzero(rows == q)
         assert list(need[found[mine]]) == best and list(square[mine]) == list(away[q, best])
+
+
+@pytest.mark.parametrize("weight", ["distance", "uniform"])
+def test_imputer_searches_only_what_equal_donors_leave_open(spark, monkeypatch, weight):
+    """Donors at distance 0 settle a value by a join; the others are searched, and all values are those of brute force."""
+    rng = np.random.default_rng(11)
+    cols, k = ["u", "v", "w"], 3
+    rows = [(i, *[None if rng.random() < 0.3 else float(rng.integers(0, 4)) * (-1) ** (i % 2) for _ in cols]) for i in range(150)]  # 0.0 and -0.0, too
+    rows += [(200 + i, 50.0 + i, None, None) for i in range(4)] + [(300, None, None, 99.5), (301, float("inf"), None, None), (7, 1.0, None, 2.0)]  # far off; an id twice
+    want, open_ = {}, set()
+    for t in range(3):
+        near = {}
+        for i, *x in rows:
+            if x[t] is None:
+                for j, *y in rows:
+                    both = [c for c in range(3) if x[c] is not None and y[c] is not None]
+                    if y[t] is not None and both and np.isfinite([*(x[c] for c in both), *(y[c] for c in both)]).all():
+                        near.setdefault(i, []).append((sum((x[c] - y[c]) ** 2 for c in both) * 3 / len(both), j, y[t]))
+        for i, found in near.items():
+            top = sorted(found)[:k]
+            zero = [v for s, _, v in top if s == 0]
+            if len(zero) < (1 if weight == "distance" else k):
+                open_.add(i)
+            w = [1.0 if weight == "uniform" else float(s == 0) if zero else 1 / np.sqrt(s) for s, _, _ in top]
+            want[i, t] = sum(a * v for a, (_, _, v) in zip(w, top, strict=True)) / sum(w)
+    asked, plain_nearest = [], knn.nearest
+
+    def watched(queries, *args, **kwargs):
+        asked.extend(r["id"] for r in queries.select("id").distinct().collect())
+        return plain_nearest(queries, *args, **kwargs)
+
+    monkeypatch.setattr(knn, "nearest", watched)
+    df = spark.createDataFrame(rows, "id long, u double, v double, w double")
+    means = [np.mean([r[t + 1] for r in rows if r[t + 1] is not None]) for t in range(3)]
+    out = knn.impute_knn(df, "id", cols, k=k, weight=weight).collect()
+    assert len(out) == len(rows) and set(asked) == open_ and 300 in open_ and len(open_) < 110
+    given = {(i, t): x[t] for i, *x in rows for t in range(3) if i != 7}
+    for r in out:
+        if r["id"] != 7:
+            for t, c in enumerate(cols):
+                value = given[r["id"], t]
+                assert r[c] == pytest.approx(value if value is not None else want.get((r["id"], t), means[t])), (r, c)
