@@ -2,13 +2,13 @@
 
 AUC is exact and tie aware: scores are aggregated to (group, score, pos, neg), a global
 running sum of negatives in (group, score) order is taken with a range shuffle
-(``with_global_cumsum``), and AUC = sum(pos * (neg below + neg tied / 2)) / (P * N) per group.
+(``with_global_cumsum``; for groups, sums of each range), and AUC = sum(pos * (neg below + neg tied / 2)) / (P * N) per group.
 Counts stay integers, so the result does not depend on partitioning.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,26 +51,37 @@ def log_loss_multi(df: DataFrame, label: str, probs: str, groups: list[str] = ()
     return df.groupBy(*groups).agg(F.avg(multi_loss(label, probs)).alias("log_loss"))
 
 
-def grouped_auc(df: DataFrame, groups: list[str], score: str, label: str) -> DataFrame:
-    """Exact ROC-AUC per group (label 1 = positive). Groups with one class give NULL."""
-    pos = F.sum((F.col(label) == 1).cast("long")).alias("pos")
-    neg = F.sum((F.col(label) != 1).cast("long")).alias("neg")
-    agg = df.groupBy(*groups, score).agg(pos, neg)
-    cum = with_global_cumsum(agg, [*groups, score], ["neg"])
-    excl = F.col("neg_cum") - F.col("neg")
-    cum = cum.withColumn("_excl", excl)
-    gid = groups if groups else []
-    if gid:
-        first = cum.groupBy(*gid).agg(F.min("_excl").alias("_g0"))
-        cum = Lookup.fit(first).join(cum, gid, "inner")
-    else:
-        cum = cum.withColumn("_g0", F.lit(0))  # the first row of the global order has nothing below it
-    contrib = F.col("pos") * (F.col("_excl") - F.col("_g0") + 0.5 * F.col("neg"))
-    res = cum.groupBy(*gid).agg(
-        F.sum(contrib).alias("_s"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg")
-    )
+def grouped_auc(df: DataFrame, groups: list[str], score: str, label: str, rows: str | None = None) -> DataFrame:
+    """Exact ROC-AUC per group (label 1 = positive). Groups with one class give NULL. ``rows``: how many rows a row stands for.
+
+    Each range of the scores in order gives a row for each group in it: its positives and negatives, and the pairs won inside it. The negatives of
+    the ranges before are added to those; no score is written or numbered."""
+    one = F.lit(1).cast("long") if rows is None else F.col(rows)
+    pos = F.sum((F.col(label) == 1).cast("long") * one).alias("_pos")
+    neg = F.sum((F.col(label) != 1).cast("long") * one).alias("_neg")
+    known = df
+    for g in groups:
+        known = known.where(F.col(g).isNotNull())
+    agg = known.groupBy(*groups, score).agg(pos, neg)
+    ranged = agg.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *groups, score)
+    ranged = ranged.sortWithinPartitions(*groups, score).select(*groups, "_pos", "_neg", F.spark_partition_id().cast("long").alias("_pid"))
+
+    def won(batches):
+        for at, batch in enumerate(batches):
+            batch["_at"] = at
+            keys = [*groups, "_pid", "_at"]
+            below = batch.groupby(keys, dropna=False)["_neg"].cumsum() - batch["_neg"]
+            batch["_won"] = batch["_pos"] * (below + 0.5 * batch["_neg"])
+            yield batch.groupby(keys, dropna=False, sort=False)[["_pos", "_neg", "_won"]].sum(min_count=1).reset_index()
+
+    shape = T.StructType([f for f in agg.schema.fields if f.name in groups] + [T.StructField(c, T.LongType()) for c in ("_pid", "_at")]
+                         + [T.StructField(c, T.DoubleType()) for c in ("_pos", "_neg", "_won")])
+    parts = ranged.mapInPandas(won, shape)
+    before = F.coalesce(F.sum("_neg").over(Window.partitionBy(*groups).orderBy("_pid", "_at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    parts = parts.withColumn("_s", F.col("_won") + F.col("_pos") * before)
+    res = parts.groupBy(*groups).agg(F.sum("_s").alias("_s"), F.sum("_pos").cast("long").alias("n_pos"), F.sum("_neg").cast("long").alias("n_neg"))
     auc = F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), F.col("_s") / (F.col("n_pos") * F.col("n_neg")))
-    return res.select(*gid, auc.alias("auc"), "n_pos", "n_neg")
+    return res.select(*groups, auc.alias("auc"), "n_pos", "n_neg")
 
 
 def auc_binary(df: DataFrame, score: str, label: str) -> DataFrame:

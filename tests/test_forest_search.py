@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from foldwise.operators import forest as FO
 from foldwise.operators import impute as I
+from foldwise.operators import metrics as M
+from foldwise.operators import models as ML
 from foldwise.operators import search as SE
+from foldwise.operators import trees as TR
 from foldwise.operators.models import Space
 from foldwise.sources.state import load_state, save_state
 
@@ -202,3 +205,100 @@ def test_all_bag_weights_at_once(spark):
     each = df.select(FO.bag_weights("id", 6, 5).alias("all"), F.array(*[FO.bag_weight("id", b, 5) for b in range(6)]).alias("one"),
                      F.array(*[FO._left_out("id", b, 5) for b in range(6)]).alias("out")).collect()
     assert all(r["all"] == r["one"] and r["out"] == [w == 0 for w in r["one"]] for r in each)
+
+
+def _search_rows(spark, n=900):
+    df = rows(spark, n).drop("x").withColumns({"k": (F.col("id") % 3).cast("int"), "c": F.pmod(F.xxhash64("id", F.lit(9)), F.lit(5)) / 1.0})
+    noisy = F.col("a") + F.col("b") + (F.pmod(F.xxhash64("id", F.lit(4)), F.lit(100)) / 100.0) > 1.5
+    return ML._training_frame(df.withColumn("two", noisy.cast("int")), "id", ["a", "b", "c"], "two", "k", None).cache()
+
+
+def _answers(oof):
+    return sorted((r["k"], r["two"], round(r["probs"][1], 6)) for r in oof.collect() for _ in range(r["_rows"] if "_rows" in r else 1))
+
+
+@pytest.mark.parametrize("params", [{"maxDepth": 3, "maxIter": 4, "stepSize": 0.3}, {"maxDepth": 1, "maxIter": 2}])
+def test_boosted_trees_on_bins_equal_sparks(spark, monkeypatch, params):
+    monkeypatch.setattr(TR, "BLOCK", 70)
+    data = _search_rows(spark)
+    bins = TR.binned(data, "two", "k", 3)
+    want, models = ML._oof_of(data, "id", "two", "k", 3, "gbt", params)
+    got, none = ML._oof_of(data, "id", "two", "k", 3, "gbt", params, bins=bins)
+    assert len(models) == 3 and none == [] and _answers(got) == _answers(want)
+    assert bins.blocks.count() >= 900 // 70
+
+
+@pytest.mark.parametrize("impurity", ["gini", "entropy"])
+def test_forests_on_bins_score_like_sparks(spark, monkeypatch, impurity):
+    data = _search_rows(spark)
+    bins = TR.binned(data, "two", "k", 3)
+    params = {"maxDepth": 4, "numTrees": 15, "impurity": impurity}
+    auc = lambda oof, rows=None: {r["k"]: (r["auc"], r["n_pos"], r["n_neg"]) for r in M.grouped_auc(oof.withColumn("p1", F.col("probs")[1]), ["k"], "p1", "two", rows).collect()}
+    want, _ = ML._oof_of(data, "id", "two", "k", 3, "rf", params)
+    got, _ = ML._oof_of(data, "id", "two", "k", 3, "rf", params, bins=bins)
+    mine, sparks = auc(got, "_rows"), auc(want)
+    assert all(mine[f][0] == pytest.approx(sparks[f][0], abs=0.03) and mine[f][1:] == sparks[f][1:] for f in range(3))
+    monkeypatch.setattr(TR, "HISTOGRAM_BYTES", 1)  # one tree a job
+    assert _answers(bins.oof("rf", params)) == _answers(got)
+    for f in TR.BinnedRows._forests(bins, {**TR.USUAL["rf"], **params}):
+        assert len({t.value.tobytes() for t in f}) > 10  # other bags, other trees
+
+
+def test_one_split_is_the_best_one_of_the_bag():
+    """A node's split by brute force over rows and bins, and siblings of the same class put together."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x, y, w = rng.integers(0, 6, (2, 300)), rng.integers(0, 2, 300), rng.poisson(1, 300)
+    stats = np.zeros((1, 2, TR.BINS, 2))
+    for j in range(2):
+        np.add.at(stats[0, j], (x[j], y), w)
+    feature, cut, gain, left, right = TR._best(stats, "gini", np.ones((1, 2), dtype=bool))
+    gini = lambda on: 1 - sum((w[on & (y == c)].sum() / w[on].sum()) ** 2 for c in (0, 1))
+    every = np.ones(300, dtype=bool)
+    gains = {(j, b): gini(every) - sum(w[on].sum() / w.sum() * gini(on) for on in (x[j] <= b, x[j] > b)) for j in range(2) for b in range(5)}
+    assert gain[0] == pytest.approx(max(gains.values())) and gains[feature[0], cut[0]] == pytest.approx(gain[0])
+    assert left[0].sum() + right[0].sum() == w.sum()
+    tree = TR.Tree(1)
+    tree.cut[0] = 2
+    TR._joined(tree, np.array([[4.0, 2.0], [3.0, 1.0], [1.0, 1.0]]))
+    assert tree.cut[0] == TR.STAY and tree.value[0] == pytest.approx(1 / 3)
+
+
+def test_search_fits_trees_of_all_folds_on_bins(spark, monkeypatch):
+    """No trial of trees fits Spark's models; rows that bins cannot stand for, and parameters they do not know, go to Spark's."""
+    fitted, plain = [], ML.fit_predict
+    monkeypatch.setattr(ML, "fit_predict", lambda train, valid, kind, *rest: (fitted.append(kind), plain(train, valid, kind, *rest))[1])
+    df = rows(spark, 240).drop("x").withColumns({"k": (F.col("id") % 3).cast("int"), "two": (F.col("y") > 0).cast("int")})
+    families = {"gbt": [Space("maxIter", 1, 3, integer=True)], "rf": [Space("maxDepth", 1, 4, integer=True)]}
+    run = lambda rows, fixed: SE.search_models(rows, "id", ["a", "b"], "two", "k", 3, families, 4, 7, fixed=fixed).collect()
+    found = run(df.withColumn("a", F.when(F.col("id") % 50 != 7, F.col("a"))), {"rf": {"numTrees": 4}})  # gaps, too
+    assert fitted == [] and all(sum(r["rows"]) == 240 and 0.6 < r["score_mean"] <= 1 for r in found)
+    run(df, {"gbt": {"subsamplingRate": 0.5}, "rf": {"numTrees": 4}})
+    assert set(fitted) == {"gbt"}
+    data = ML._training_frame(df, "id", ["a", "b"], "two", "k", None)
+    assert TR.binned(data.withColumn("two", F.col("two") * 2.0), "two", "k", 3) is None and TR.binned(data.limit(0), "two", "k", 3) is None
+    assert TR.binned(data.withColumn("two", F.when(F.col("id") > 3, F.col("two"))), "two", "k", 3) is None
+
+
+def test_grouped_auc_of_ranges_nulls_and_counted_rows(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    some = [(g, float(s), int(y)) for g in ("a", "b") for s, y in zip(rng.integers(0, 40, 300) / 8, rng.integers(0, 2, 300), strict=True)]
+    odd = [(None, 1.0, 1), (None, 2.0, 0), ("c", 1.0, None), ("c", None, 1), ("d", 0.0, 1), ("d", -0.0, 0), ("d", float("nan"), 1)]
+    df = spark.createDataFrame(some + odd, "g string, s double, y int")
+    want = {}
+    for g in ("a", "b"):
+        p, n = ([s for h, s, y in some if h == g and y == c] for c in (1, 0))
+        want[g] = sum((a > b) + 0.5 * (a == b) for a in p for b in n) / (len(p) * len(n)), len(p), len(n)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # ranges of many batches
+    try:
+        got = {r["g"]: (r["auc"], r["n_pos"], r["n_neg"]) for r in M.grouped_auc(df, ["g"], "s", "y").collect()}
+        counted = df.groupBy("g", "s", "y").agg(F.count(F.lit(1)).alias("n"))
+        assert got == {r["g"]: (r["auc"], r["n_pos"], r["n_neg"]) for r in M.grouped_auc(counted, ["g"], "s", "y", "n").collect()}
+        assert M.grouped_auc(df.where("g < 'c'"), [], "s", "y").count() == 1
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert set(got) == {"a", "b", "c", "d"} and got["c"] == (None, 1, 0) and got["d"] == (0.75, 2, 1)
+    assert all(got[g] == pytest.approx(want[g]) for g in want)
