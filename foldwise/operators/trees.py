@@ -30,9 +30,8 @@ STAY = 255  # the threshold of a leaf: all rows go on to its left child, which s
 
 def thresholds(values: np.ndarray, bins: int) -> np.ndarray:
     """Spark ML's split points of a feature: between all distinct values, or where the counts come next to equal shares."""
-    level, count = np.unique(values[~np.isnan(values)], return_counts=True)
-    with np.errstate(invalid="ignore"):
-        between = (level[:-1] + level[1:]) / 2.0
+    level, count = np.unique(values[np.isfinite(values)], return_counts=True)
+    between = (level[:-1] + level[1:]) / 2.0
     if len(between) > bins - 1:
         stride = len(values) / bins
         target, kept, total = stride, [], int(count[0])
@@ -42,7 +41,7 @@ def thresholds(values: np.ndarray, bins: int) -> np.ndarray:
                 kept.append(between[i - 1])
                 target += stride
         between = np.array(kept)
-    return between[~np.isnan(between)]
+    return between
 
 
 class Tree:
@@ -141,6 +140,8 @@ class BinnedRows:
             block, held, count = TaskContext.get().partitionId() << 32, [], 0
             for batch in batches:
                 x = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, wide)
+                if not np.isfinite(x).all():
+                    raise ValueError("Vector values MUST NOT be NaN or Infinity")  # Spark ML refuses them, too
                 held.append((batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False), x))
                 count += len(x)
                 while count >= BLOCK:

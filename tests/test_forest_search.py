@@ -272,8 +272,11 @@ def test_search_fits_trees_of_all_folds_on_bins(spark, monkeypatch):
     df = rows(spark, 240).drop("x").withColumns({"k": (F.col("id") % 3).cast("int"), "two": (F.col("y") > 0).cast("int")})
     families = {"gbt": [Space("maxIter", 1, 3, integer=True)], "rf": [Space("maxDepth", 1, 4, integer=True)]}
     run = lambda rows, fixed: SE.search_models(rows, "id", ["a", "b"], "two", "k", 3, families, 4, 7, fixed=fixed).collect()
-    found = run(df.withColumn("a", F.when(F.col("id") % 50 != 7, F.col("a"))), {"rf": {"numTrees": 4}})  # gaps, too
+    found = run(df, {"rf": {"numTrees": 4}})
     assert fitted == [] and all(sum(r["rows"]) == 240 and 0.6 < r["score_mean"] <= 1 for r in found)
+    with pytest.raises(Exception, match="MUST NOT be NaN"):  # as Spark's
+        run(df.withColumn("a", F.when(F.col("id") % 50 != 7, F.col("a"))), {"rf": {"numTrees": 4}})
+    assert fitted == []
     run(df, {"gbt": {"subsamplingRate": 0.5}, "rf": {"numTrees": 4}})
     assert set(fitted) == {"gbt"}
     data = ML._training_frame(df, "id", ["a", "b"], "two", "k", None)
